@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
+from quaybook.llm import bpe, media
 from quaybook.llm.common import documents
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 
 
+def op2_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text as a PNG, read back: digests and cosine hash."""
+    return media.read_media(media.with_png(documents(spark, sf_dir))).drop("error")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids and its decoded text, as digests."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    return bpe.digests(bpe.encode_texts(documents(spark, sf_dir), path), path)
+
+
 def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block, slot and position in the mix of the sources."""
     return mix_sources(documents(spark, sf_dir).select("doc_id", "source")).select("doc_id", "source", "block", "slot", "position")
@@ -63,6 +76,8 @@ FROM placed
 """
 
 QUERIES = {
+    "op2_png_media": op2_png_media,
+    "op7_bpe": op7_bpe,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_line_dedup": op10_line_dedup,
 }
