@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quaybook.llm import bpe, media
+from quaybook.llm import bpe, langid, media
 from quaybook.llm.common import documents
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
+from quaybook.llm.repetition import repetition
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, from a model of the documents that are not held out."""
+    docs = documents(spark, sf_dir)
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def op2_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +25,11 @@ def op2_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.with_png(documents(spark, sf_dir))).drop("error")
 
 
+def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's word and repetition counts, and the verdict of the rules."""
+    return repetition(documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids and its decoded text, as digests."""
     path = tokenizer_path("byte_bpe_50k.json")
@@ -76,7 +90,9 @@ FROM placed
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_png_media": op2_png_media,
+    "op5_repetition": op5_repetition,
     "op7_bpe": op7_bpe,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_line_dedup": op10_line_dedup,
