@@ -10,6 +10,7 @@ from quaybook.llm import bpe, langid, media
 from quaybook.llm.common import documents
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
+from quaybook.llm.pii import find_pii
 from quaybook.llm.repetition import repetition
 
 
@@ -36,6 +37,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_texts(documents(spark, sf_dir), path), path)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data, plain and disguised."""
+    return find_pii(documents(spark, sf_dir))
+
+
 def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block, slot and position in the mix of the sources."""
     return mix_sources(documents(spark, sf_dir).select("doc_id", "source")).select("doc_id", "source", "block", "slot", "position")
@@ -94,6 +100,7 @@ QUERIES = {
     "op2_png_media": op2_png_media,
     "op5_repetition": op5_repetition,
     "op7_bpe": op7_bpe,
+    "op8_pii": op8_pii,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_line_dedup": op10_line_dedup,
 }
