@@ -6,8 +6,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaybook.llm import bpe, langid, media
-from quaybook.llm.common import documents
+from quaybook.llm import bpe, langid, media, warc
+from quaybook.llm.common import documents, small_batches, table
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 from quaybook.llm.pii import find_pii
@@ -26,6 +26,13 @@ def op2_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.with_png(documents(spark, sf_dir))).drop("error")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written to bundles and read back."""
+    small_batches(spark)
+    bundles = table(warc.write_bundles(warc.with_responses(spark.read.parquet(f"{sf_dir}/pages.parquet"))), "warc")
+    return warc.read_bundles(bundles).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's word and repetition counts, and the verdict of the rules."""
     return repetition(documents(spark, sf_dir))
@@ -98,6 +105,7 @@ FROM placed
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_png_media": op2_png_media,
+    "op4_warc": op4_warc,
     "op5_repetition": op5_repetition,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
@@ -105,7 +113,20 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 
+#: SHA-1 in base32: the digest's hex digits, padded to 40 bits, five bits at a time.
+OP4_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+first AS (SELECT d, min(page_id) AS first FROM p GROUP BY d),
+bits AS (SELECT d, list_reduce(list_transform(string_split(d, ''), lambda h: lpad(to_binary(strpos('0123456789abcdef', h) - 1), 4, '0')), lambda a, b: a || b) AS b FROM first)
+SELECT p.page_id, p.n::BIGINT AS payload_bytes,
+       list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_reduce(list_transform(range(5), lambda j: CASE WHEN substr(b, CAST(i * 5 + j + 1 AS BIGINT), 1) = '1' THEN CAST(16 // (1 << j) AS BIGINT) ELSE 0::BIGINT END), lambda x, y: x + y), 1)), lambda x, y: x || y) AS payload_digest,
+       CASE WHEN p.page_id = f.first OR f.first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id = f.first THEN NULL ELSE f.first END AS refers_to
+FROM p JOIN first f USING (d) JOIN bits USING (d)
+"""
+
 ORACLE_SQL = {
+    "op4_warc": OP4_SQL,
     "op9_pfair_mix": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
