@@ -12,6 +12,7 @@ from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 from quaybook.llm.pii import find_pii
 from quaybook.llm.repetition import repetition
+from quaybook.llm.suffix_dedup import dedup_substrings
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,11 @@ def op2_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.with_png(documents(spark, sf_dir))).drop("error")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes under strings of 400 bytes that begin elsewhere, too."""
+    return dedup_substrings(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, written to bundles and read back."""
     small_batches(spark)
@@ -105,6 +111,7 @@ FROM placed
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_png_media": op2_png_media,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
     "op5_repetition": op5_repetition,
     "op7_bpe": op7_bpe,
