@@ -10,6 +10,7 @@ from quaybook.llm import bpe, langid, media, warc
 from quaybook.llm.common import documents, small_batches, table
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
+from quaybook.llm.near_dedup import classes
 from quaybook.llm.pii import find_pii
 from quaybook.llm.repetition import repetition
 from quaybook.llm.suffix_dedup import dedup_substrings
@@ -44,6 +45,11 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(documents(spark, sf_dir))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near-duplicates."""
+    return classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_rows", "n_links")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids and its decoded text, as digests."""
     path = tokenizer_path("byte_bpe_50k.json")
@@ -114,6 +120,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
     "op5_repetition": op5_repetition,
+    "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
     "op9_pfair_mix": op9_pfair_mix,
