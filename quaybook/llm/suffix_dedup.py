@@ -20,6 +20,7 @@ place. A segment is the bytes under the windows that share an anchor.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,7 +186,7 @@ def merge_spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
     return begin[new], end[np.append(np.flatnonzero(new)[1:], len(end)) - 1] if len(begin) else end
 
 
-#: A segment's first window and how many it has, in one number.
+#: A segment's first window, the anchor's place behind it and the number of windows, in one number.
 _PACK = 1 << 12
 
 
@@ -210,7 +211,7 @@ def segments(docs: DataFrame, length: int, word: int) -> DataFrame:
     """(k1, k2, anchor, body, span) of docs (k1, k2, text): a row for each segment.
 
     body is a hash of the segment's bytes seeded with the anchor's place in it, so anchor
-    and body together are 128 bits; span packs its first window and their number.
+    and body together are 128 bits; span packs its windows and the anchor's place.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +224,7 @@ def segments(docs: DataFrame, length: int, word: int) -> DataFrame:
                 data = part.tobytes()
                 places = (place - first).tolist()
                 body = np.array([xxhash.xxh3_64_intdigest(data[a : b + length - 1], o) for a, b, o in zip(first.tolist(), last.tolist(), places, strict=True)], np.uint64)
-                span = (first - at[doc] + shift) * _PACK + (last - first)
+                span = ((first - at[doc] + shift) * _PACK + (place - first)) * _PACK + (last - first)
                 rows = pa.array(doc + row)
                 yield pa.RecordBatch.from_arrays([batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(anchor.view(np.int64)), pa.array(body.view(np.int64)), pa.array(span)], ["k1", "k2", "anchor", "body", "span"])
 
@@ -231,7 +232,7 @@ def segments(docs: DataFrame, length: int, word: int) -> DataFrame:
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(anchor, k1, k2, first, data): the bytes of the segments `wanted` (k1, k2, anchor, span)."""
+    """(anchor, k1, k2, first, place, data): the bytes of the segments `wanted` (k1, k2, anchor, span)."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct("anchor", "span")).alias("rows"))
     joined = docs.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "rows")
 
@@ -242,10 +243,24 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 span = flat.field("span").to_numpy()
                 for at in range(0, len(span), 2000):
                     first, n = np.divmod(span[at : at + 2000], _PACK)
+                    first, place = np.divmod(first, _PACK)
                     cut_out = [data[a : a + m + length - 1] for a, m in zip(first.tolist(), n.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([flat.field("anchor").slice(at, 2000), pa.array([k1.as_py()] * len(first)), pa.array([k2.as_py()] * len(first)), pa.array(first), pa.array(cut_out, pa.binary())], ["anchor", "k1", "k2", "first", "data"])
+                    yield pa.RecordBatch.from_arrays([flat.field("anchor").slice(at, 2000), pa.array([k1.as_py()] * len(first)), pa.array([k2.as_py()] * len(first)), pa.array(first), pa.array(place), pa.array(cut_out, pa.binary())], ["anchor", "k1", "k2", "first", "place", "data"])
 
-    return joined.mapInArrow(run, "anchor long, k1 long, k2 long, first long, data binary")
+    return joined.mapInArrow(run, "anchor long, k1 long, k2 long, first long, place long, data binary")
+
+
+def may_match(group: list[tuple[int, bytes]], length: int, word: int) -> list[bool]:
+    """Which of an anchor's segments, as (the anchor's place, bytes), may share a window with another.
+
+    A window reaches past the anchor by half of what it has besides on the left or on the
+    right; so two equal ones agree on that half next to the anchor, too.
+    """
+    half = (length - word) // 2
+    left = [data[at - half : at + word] if at >= half else None for at, data in group]
+    right = [data[at : at + word + half] if len(data) >= at + word + half else None for at, data in group]
+    seen = [Counter(x for x in side if x is not None) for side in (left, right)]
+    return [seen[0][a] > 1 or seen[1][b] > 1 for a, b in zip(left, right, strict=True)]
 
 
 def repeated_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +272,7 @@ def repeated_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.n
     return np.repeat(np.arange(len(bodies)), sizes)[at], runs(sizes)[at]
 
 
-def _compare(bodies: DataFrame, length: int) -> DataFrame:
+def _compare(bodies: DataFrame, length: int, word: int) -> DataFrame:
     """(k1, k2, begin, end): spans under windows of `bodies` that occur in another body of the anchor.
 
     Windows with different anchors differ, so a block may hold whole groups of many anchors.
@@ -265,29 +280,35 @@ def _compare(bodies: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size, anchor, known = 0, None, set()
+        group: dict[bytes, tuple] = {}  # a body stands once, if several places or rows have it
+        anchor = None
+
+        def close() -> int:
+            rows = list(group.values())
+            if len(rows) > 1:
+                held.extend(r for r, may in zip(rows, may_match([r[3:] for r in rows], length, word), strict=True) if may)
+            group.clear()
+            return sum(len(r[4]) for r in held)
 
         def done() -> pa.RecordBatch:
-            which, window = repeated_windows([r[3] for r in held], length)
+            which, window = repeated_windows([r[4] for r in held], length)
             begin = np.array([r[2] for r in held], np.int64)[which] + window
             new = np.ones(len(which), bool)
             new[1:] = (which[1:] != which[:-1]) | (window[1:] != window[:-1] + 1)
             last = np.append(np.flatnonzero(new)[1:], len(which)) - 1 if len(which) else np.empty(0, np.int64)
             owner = which[new].tolist()
-            return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in owner], pa.int64()), pa.array([held[i][1] for i in owner], pa.int64()), pa.array(begin[new]), pa.array(begin[last] + length)], ["k1", "k2", "begin", "end"])
+            held_by = [held[i] for i in owner]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in held_by], pa.int64()), pa.array([r[1] for r in held_by], pa.int64()), pa.array(begin[new]), pa.array(begin[last] + length)], ["k1", "k2", "begin", "end"])
 
         for batch in batches:
-            for of, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "first", "data")), strict=True):
+            for of, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "first", "place", "data")), strict=True):
                 if of != anchor:
-                    anchor, known = of, set()
-                    if size > SUFFIX_BYTES:
+                    anchor = of
+                    if group and close() > SUFFIX_BYTES:
                         yield done()
-                        held, size = [], 0
-                if row[3] not in known:  # one of several places in one text, or of rows with one text
-                    known.add(row[3])
-                    held.append(tuple(row))
-                    size += len(row[3])
-        if held:
+                group.setdefault(row[4], tuple(row))
+        if close():
             yield done()
 
     dealt = bodies.repartition("anchor").sortWithinPartitions("anchor")
@@ -318,11 +339,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, wo
     anchors = same.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("n").alias("most")).where("kinds > 1 OR most > 1").select("anchor", "kinds")
     live = same.join(anchors, "anchor").where("n > 1 OR kinds > 1")
     rows = table(cut_up.join(live, ["anchor", "body"]).where("n > 1 OR kinds > 1").select("k1", "k2", "anchor", "span", "n", "kinds", "one"), "repeats")
-    first = F.floor(F.col("span") / _PACK).cast("long")
+    first = F.shiftright("span", 24)  # twice _PACK
     whole = rows.where("n > 1").select("k1", "k2", first.alias("begin"), (first + F.col("span") % _PACK + (length - 1)).alias("end"))
     # one text for each kind of segment; a kind met once is itself, others are known to repeat and only stand for comparison
     wanted = rows.where("kinds > 1 AND k1 = one")
-    few = _compare(_bodies(long_enough, wanted.where(F.col("kinds") <= group), length), length)
+    few = _compare(_bodies(long_enough, wanted.where(F.col("kinds") <= group), length), length, word)
     many = _windows(_bodies(long_enough, wanted.where(F.col("kinds") > group), length), length)
     spans = whole.unionByName(few).unionByName(many).distinct()
     return spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
