@@ -239,9 +239,9 @@ def decode_ids(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(key, "ids").mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of (key, ids): of the decimal ids joined by commas, and of the decoded text."""
-    schema = f"{key} {encoded.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+def digests(encoded: DataFrame, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256[, ids]) of (key, ids): of the decimal ids joined by commas, and of the decoded text."""
+    schema = f"{key} {encoded.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
@@ -251,6 +251,6 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
                 ids, ends = _lists(part.column("ids"))
                 numbers = [hashlib.sha256(x[:-1]).hexdigest() for x in bpe.decimals.join(ids, ends)]
                 decoded = [hashlib.sha256(x.decode("utf-8", "replace").encode()).hexdigest() for x in bpe.bytes_of.join(ids, ends)]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(np.diff(ends, prepend=0)), pa.array(numbers), pa.array(decoded)], [x.split()[0] for x in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(np.diff(ends, prepend=0)), pa.array(numbers), pa.array(decoded), *[part.column("ids")] * with_ids], [x.split()[0] for x in schema.split(", ")])
 
     return encoded.select(key, "ids").mapInArrow(run, schema)
