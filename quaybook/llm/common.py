@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,9 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it: cuts lineage, survives lost executors."""
+    """Write df to the shared folder and read it: cuts lineage, survives lost executors.
+
+    The shuffles behind it are of no more use; a collection on the driver makes Spark's
+    cleaner remove their files now rather than at some later time.
+    """
     path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from quaybook.llm.common import blocks, mix, rolling, runs, table, texts
 
 LENGTH = 400
-#: Bytes of the words that compete to be an anchor; half of LENGTH keeps both anchors and chance matches rare.
-WORD = 200
+#: Bytes of the words that compete to be an anchor: a longer one makes chance matches rarer, a shorter one segments fewer.
+WORD = 128
 #: Different segments of one anchor that a block compares; an anchor with more is cut into windows.
 GROUP = 2000
 #: Bytes of segments in one suffix array.
-SUFFIX_BYTES = 1_500_000
+SUFFIX_BYTES = 300_000
 #: Windows of a long text that are cut at once.
 PIECE = 4_000_000
 BASE = 0x9E3779B97F4A7C15
@@ -138,11 +138,15 @@ class Suffixes:
         return best
 
     def has_factor(self, later: bool = False) -> np.ndarray:
-        """longest_factor() == depth, without the lengths of the shorter ones."""
+        """longest_factor() == depth.
+
+        Suffixes that agree to `depth` stand together, by position: the previous smaller
+        position of each but the first is its neighbour's, and no next one is smaller.
+        So the neighbour decides, and no shorter match needs to be measured.
+        """
         out = np.zeros(self.n, bool)
-        at, sides = self.neighbours(later)
-        for other in sides:
-            out[at] |= (other >= 0) & (self.rank[other] == self.rank[at])
+        same = self.rank[self.order[1:]] == self.rank[self.order[:-1]]
+        out[self.order[:-1] if later else self.order[1:]] = same
         return out & (self.left >= self.depth)
 
 
@@ -346,7 +350,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, wo
     few = _compare(_bodies(long_enough, wanted.where(F.col("kinds") <= group), length), length, word)
     many = _windows(_bodies(long_enough, wanted.where(F.col("kinds") > group), length), length)
     spans = whole.unionByName(few).unionByName(many).distinct()
-    return spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    # written, so that the shuffles behind it are gone before the texts are shuffled again
+    return table(spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
 
 
 def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, word: int = WORD, group: int = GROUP) -> DataFrame:
