@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from quaybook.plans.oracle import ORACLE_SQL
+from quaybook.plans.queries import QUERIES
+
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

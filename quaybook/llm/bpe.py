@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quaybook.llm.common import blocks, runs, texts
+from quaybook.llm.common import blocks, runs, texts, tidily
 
 #: Words that a worker remembers before it starts anew.
 WORDS_KEPT = 300_000
@@ -217,7 +217,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", key: str = "doc
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(key), lists], [key, "ids"])
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(tidily(run), schema)
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +236,7 @@ def decode_ids(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             decoded = [x.decode("utf-8", "replace") for x in bpe.bytes_of.join(*_lists(batch.column("ids")))]
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(decoded, pa.string())], [key, "text"])
 
-    return encoded.select(key, "ids").mapInArrow(run, schema)
+    return encoded.select(key, "ids").mapInArrow(tidily(run), schema)
 
 
 def digests(encoded: DataFrame, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -253,4 +253,4 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id", with_ids: bool =
                 decoded = [hashlib.sha256(x.decode("utf-8", "replace").encode()).hexdigest() for x in bpe.bytes_of.join(ids, ends)]
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array(np.diff(ends, prepend=0)), pa.array(numbers), pa.array(decoded), *[part.column("ids")] * with_ids], [x.split()[0] for x in schema.split(", ")])
 
-    return encoded.select(key, "ids").mapInArrow(run, schema)
+    return encoded.select(key, "ids").mapInArrow(tidily(run), schema)

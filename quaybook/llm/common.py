@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows in a batch that goes to Python; blocks() cuts batches by bytes as well.
 BATCH_ROWS = 1000
 #: Bytes of text that numpy code works on at once.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,22 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK_BYT
             row = end
 
 
+def tidily(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, and at a task's end its memory goes back to the system: idle Python workers stay beside the next stage's JVM."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (a bijection)."""
     x = x.astype(np.uint64, copy=True)

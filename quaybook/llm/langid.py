@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quaybook.llm.common import blocks
+from quaybook.llm.common import blocks, tidily
 
 UNDETERMINED = "und"
 #: Labelled documents that a language is learned from, chosen by a hash of their ids.
@@ -29,7 +29,7 @@ LANGUAGES = 200
 #: Longest n-gram to fall back to.
 LONGEST = 5
 #: Words that a worker remembers before it starts anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["lang", "word", "n"])
 
-    counted = sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = sample.select("lang", "text").mapInArrow(tidily(count), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     counts: dict[str, dict[str, int]] = {r["lang"]: {} for r in sizes}
     for row in counted.withColumn("rank", rank).where(F.col("rank") <= words).collect():
@@ -164,8 +164,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_here = shared.value
         for batch in blocks(batches, text):
-            lang, score = shared.value.predict(batch.column(text).fill_null("").to_pylist())
+            lang, score = model_here.predict(batch.column(text).fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
+        model_here.forget()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidily(run), schema)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quaybook.llm.common import blocks, texts
+from quaybook.llm.common import blocks, texts, tidily
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 #: Samples in a row; payloads are padded to a multiple of it.
@@ -158,7 +158,7 @@ def with_png(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
             media = [encode_png(pad(data[a:b])) for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(np.diff(starts)), pa.array(media, pa.binary())], [key, "n_bytes", "media"])
 
-    return docs.select(key, text).mapInArrow(encode, schema)
+    return docs.select(key, text).mapInArrow(tidily(encode), schema)
 
 
 def read_media(media: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -189,4 +189,4 @@ def read_media(media: DataFrame, key: str = "doc_id") -> DataFrame:
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("n_bytes"), *columns], [x.split()[0] for x in schema.split(", ")])
 
-    return media.select(key, "n_bytes", "media").mapInArrow(read, schema)
+    return media.select(key, "n_bytes", "media").mapInArrow(tidily(read), schema)

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quaybook.llm.common import blocks
+from quaybook.llm.common import blocks, tidily
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, str, int]
@@ -250,4 +250,4 @@ def find_pii(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
             types = (*[pa.int64()] * 4, pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names)
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(tidily(run), schema)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quaybook.llm.common import blocks, mix, rolling, texts
+from quaybook.llm.common import blocks, mix, rolling, texts, tidily
 
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -142,4 +142,4 @@ def repetition(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
             found = measure(*texts(batch.column(text)))
             yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(found[c]) for c in COLUMNS)], [key, *COLUMNS])
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(tidily(run), schema)

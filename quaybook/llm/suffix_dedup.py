@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaybook.llm.common import blocks, mix, rolling, runs, table, texts
+from quaybook.llm.common import blocks, mix, rolling, runs, table, texts, tidily
 
 LENGTH = 400
 #: Bytes of the words that compete to be an anchor: a longer one makes chance matches rarer, a shorter one segments fewer.
@@ -232,7 +232,7 @@ def segments(docs: DataFrame, length: int, word: int) -> DataFrame:
                 rows = pa.array(doc + row)
                 yield pa.RecordBatch.from_arrays([batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(anchor.view(np.int64)), pa.array(body.view(np.int64)), pa.array(span)], ["k1", "k2", "anchor", "body", "span"])
 
-    return docs.mapInArrow(run, "k1 long, k2 long, anchor long, body long, span long")
+    return docs.mapInArrow(tidily(run), "k1 long, k2 long, anchor long, body long, span long")
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -251,7 +251,7 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     cut_out = [data[a : a + m + length - 1] for a, m in zip(first.tolist(), n.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays([flat.field("anchor").slice(at, 2000), pa.array([k1.as_py()] * len(first)), pa.array([k2.as_py()] * len(first)), pa.array(first), pa.array(place), pa.array(cut_out, pa.binary())], ["anchor", "k1", "k2", "first", "place", "data"])
 
-    return joined.mapInArrow(run, "anchor long, k1 long, k2 long, first long, place long, data binary")
+    return joined.mapInArrow(tidily(run), "anchor long, k1 long, k2 long, first long, place long, data binary")
 
 
 def may_match(group: list[tuple[int, bytes]], length: int, word: int) -> list[bool]:
@@ -316,7 +316,7 @@ def _compare(bodies: DataFrame, length: int, word: int) -> DataFrame:
             yield done()
 
     dealt = bodies.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "k1 long, k2 long, begin long, end long")
+    return dealt.mapInArrow(tidily(run), "k1 long, k2 long, begin long, end long")
 
 
 def _windows(bodies: DataFrame, length: int) -> DataFrame:
@@ -329,7 +329,7 @@ def _windows(bodies: DataFrame, length: int) -> DataFrame:
                 hashed = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([k1] * n), pa.array([k2] * n), pa.array(hashed[::2]), pa.array(hashed[1::2]), pa.array(np.arange(n) + first)], ["k1", "k2", "a", "b", "begin"])
 
-    each = bodies.mapInArrow(run, "k1 long, k2 long, a long, b long, begin long").distinct()
+    each = bodies.mapInArrow(tidily(run), "k1 long, k2 long, a long, b long, begin long").distinct()
     twice = each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
     return each.join(twice, ["a", "b"]).select("k1", "k2", "begin", (F.col("begin") + length).alias("end"))
 
@@ -385,4 +385,4 @@ def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", l
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), span_type)
             yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidily(run), schema)

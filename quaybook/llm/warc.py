@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaybook.llm.common import blocks
+from quaybook.llm.common import blocks, tidily
 
 #: Bytes of records in a frame, and in a bundle, before the next one begins.
 FRAME_BYTES = 256_000
@@ -200,7 +200,7 @@ def write_bundles(pages: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_bytes
         if bundle.rows:
             yield done()
 
-    return pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, f"bundle string, data binary, entries {entry}")
+    return pages.select("page_id", "url", "html", "refers_to").mapInArrow(tidily(run), f"bundle string, data binary, entries {entry}")
 
 
 def index(bundles: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def read_bundles(bundles: DataFrame, key_type: str = "bigint") -> DataFrame:
     names = [x.split()[0] for x in schema.split(", ")]
     own = pa.int64() if key_type == "bigint" else pa.int32() if key_type == "int" else pa.string()
     arrow = pa.schema([("page_id", own), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", own), ("url", pa.string()), ("record_id", pa.string())])
-    return bundles.select("data", "entries").mapInArrow(run, schema)
+    return bundles.select("data", "entries").mapInArrow(tidily(run), schema)
 
 
 def export(bundles: DataFrame, folder: str) -> None:
@@ -252,4 +252,4 @@ def export(bundles: DataFrame, folder: str) -> None:
                 part.replace(Path(folder, name))
             yield batch.select(["bundle"])
 
-    bundles.select("bundle", "data").mapInArrow(run, "bundle string").write.format("noop").mode("overwrite").save()
+    bundles.select("bundle", "data").mapInArrow(tidily(run), "bundle string").write.format("noop").mode("overwrite").save()

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quaybook.functions.ids import minted
+from quaybook.sources.io import landed
 
 EXCHANGES = (1, 2, 3, 4, 5, 6, 8)
 PAIRS = (1, 2, 3, 4, 5)
@@ -28,7 +29,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "exchange_id": F.when(lane == 7, 8).otherwise(lane).cast("int"),
         "pair_id": (1 + F.floor(F.col("user_id") / 7) % 5).cast("int"),
         "gap": ((F.col("event_type") == "error") & (F.col("event_id") % 4 == 0)).cast("long"),
-        "p": F.col("value").cast("decimal(18,1)"),
+        "p": F.col("value").cast("decimal(18,2)").cast("decimal(18,1)"),
         "k": F.get_json_object("props", "$.k").cast("int"),
     })
     lane = Window.partitionBy("exchange_id", "pair_id").orderBy("event_id")
@@ -53,7 +54,7 @@ def _json(side: Column, quoted: bool) -> Column:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as the frames that its exchanges would send, among acknowledgements and damage."""
+    """The feed as the frames that its exchanges would send, among acknowledgements and damage; they lie in files, as a topic's would."""
     e = events(spark, sf_dir)
     n = F.col("ord")
     text = {
@@ -92,7 +93,8 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         body = F.when(F.col("exchange_id") == exchange, value).otherwise(body)
     value = F.when(n % 47 == 0, F.lit("{broken")).when(n % 31 == 0, F.lit('{"id":1,"result":{}}')).otherwise(body)
     topic = F.when(n % 53 == 0, F.lit("elsewhere-raw")).when(n % 59 == 0, F.lit("ex7-raw")).otherwise(F.format_string("ex%d-raw", F.col("exchange_id")))
-    return e.select(topic.alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), value.alias("value"), F.col("event_time").alias("processing_time"))
+    made_up = e.select(topic.alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), value.alias("value"), F.col("event_time").alias("processing_time"))
+    return landed(made_up, "frames")
 
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
