@@ -8,6 +8,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,18 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sparing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Columns whose names begin with an underscore, as those do that operators use within, pass through untouched."""
+
+    @wraps(operator)
+    def wrapped(docs: DataFrame, *args: object, **kwargs: object) -> DataFrame:
+        used = {x for x in (*args, *kwargs.values()) if isinstance(x, str)}
+        aside = {c: f"aside{i}_{uuid.uuid4().hex}" for i, c in enumerate(docs.columns) if c.startswith("_") and c not in used}
+        return operator(docs.withColumnsRenamed(aside), *args, **kwargs).withColumnsRenamed({v: k for k, v in aside.items()})
+
+    return wrapped
+
+
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and where each row's begin; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaybook.llm.common import table
+from quaybook.llm.common import sparing, table
 
 #: Up to so many boilerplate lines (about 40 bytes each) are sent to all executors.
 BROADCAST_LINES = 50_000
@@ -39,6 +39,7 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
     return frequent.where(F.col("n") > ratio * F.col("pages")).groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
+@sparing
 def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 20) -> DataFrame:
     """docs with `text` rid of its host's boilerplate, and columns n_lines, n_dropped.
 

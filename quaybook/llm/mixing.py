@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaybook.llm.common import sparing
+
 #: About how many slots a period has: weights are rounded to this resolution.
 PERIOD = 512
 #: Documents in a block.
@@ -68,6 +70,7 @@ def schedule(counts: DataFrame, weights: dict[str | None, float] | None = None,
     return rows.groupBy("source", "k", "period", "totals", "shares").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
 
 
+@sparing
 def mix_sources(docs: DataFrame, source: str = "source", key: str = "doc_id", weights: dict[str | None, float] | None = None, block: int = BLOCK, period: int = PERIOD) -> DataFrame:
     """docs with columns block, slot and position (its place in the mix, from 0).
 
