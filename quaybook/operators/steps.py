@@ -5,7 +5,8 @@ Batch and streaming run the same functions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from decimal import Decimal
 
 ACCEPTED = "accepted"
 
@@ -55,6 +56,30 @@ class Sequence:
         return "sequence_gap", request, True
 
 
+@dataclass
+class Book:
+    """A market's levels: of each price the quantity and the event that set it."""
+
+    asks: dict[str, list[str]] = field(default_factory=dict)
+    bids: dict[str, list[str]] = field(default_factory=dict)
+
+    def step(self, kind: str, event_id: str, asks: list[tuple[str, str]] | None, bids: list[tuple[str, str]] | None) -> None:
+        """Canonical (price, quantity) levels; None says nothing about the side. A quantity of zero removes the level."""
+        for side, levels in ((self.asks, asks), (self.bids, bids)):
+            if kind == "reset" or (kind == "snapshot" and levels is not None):
+                side.clear()
+            for price, quantity in levels or ():
+                if quantity == "0":
+                    side.pop(price, None)
+                else:
+                    side[price] = [quantity, event_id]
+
+    def sides(self) -> tuple[list[tuple[str, str, str]], list[tuple[str, str, str]]]:
+        """(price, quantity, event) of asks by rising and of bids by falling price."""
+        asks, bids = (sorted(((p, *v) for p, v in side.items()), key=lambda x: Decimal(x[0])) for side in (self.asks, self.bids))
+        return asks, bids[::-1]
+
+
 @dataclass
 class Staleness:
     """What the monitor remembers of a topic."""

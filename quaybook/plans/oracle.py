@@ -196,3 +196,6 @@ ORACLE_SQL: dict[str, str] = {
     "subscriptions": "SELECT 'e' || n_regionkey AS exchange, n_name AS market, CASE WHEN n_nationkey % 5 = 0 THEN 'unsubscribe' ELSE 'subscribe' END AS action FROM nation WHERE n_nationkey % 5 IN (0, 1, 4)",
     "market_catalog": f"WITH {MARKETS}, coins(id, name) AS (VALUES (1, 'BTC'), (2, 'USDT'), (3, 'IRT'), (4, 'ETH')) SELECT m.id AS pair_id, b.name AS base, q.name AS quote FROM markets m JOIN coins b ON b.id = m.base_id JOIN coins q ON q.id = m.quote_id",
 }
+
+ORACLE_SQL["stream_validate"] = ORACLE_SQL["validate_verdicts"]
+ORACLE_SQL["stream_books"] = ORACLE_SQL["book_events"]

@@ -1,4 +1,9 @@
-"""The whole chain, frames to both cross-exchange views, as one lazy plan."""
+"""The whole chain, frames to both cross-exchange views.
+
+What several later steps read is written to the shared folder once, as topics would
+hold it between jobs: no step computes the ones before it anew, and a lost executor costs
+one step.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +12,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from quaybook.operators import aggregate, book, extract, scale, validate
+from quaybook.sources.io import landed
 
 
 @dataclass
 class Views:
-    """The outputs of the chain; each is a plan until it is read."""
+    """The outputs of the chain."""
 
     validated: DataFrame
     rejected: DataFrame
@@ -22,12 +28,12 @@ class Views:
 
 
 def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False) -> Views:
-    judged = validate.verdicts(events)
+    judged = landed(validate.verdicts(events), "judged")
     validated = validate.accepted(judged)
     based = scale.rebased(validated, factors)
-    ready = scale.precise(based.where("reject IS NULL").drop("reject"), precisions)
-    snapshots = book.books(ready, final_only)
-    union = aggregate.unioned(book.split(snapshots))
+    ready = landed(scale.precise(based.where("reject IS NULL").drop("reject"), precisions), "ready")
+    snapshots = landed(book.books(ready, final_only), "snapshots")
+    union = landed(aggregate.unioned(book.split(snapshots)), "union")
     late = validate.dead_letters(based.where("reject IS NOT NULL"), "reject", "rebase").drop("event")
     rejected = validate.rejected(judged).drop("event").unionByName(late)
     return Views(validated, rejected, validate.controls(judged), snapshots, union, aggregate.merged(union))

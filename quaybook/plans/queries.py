@@ -13,8 +13,9 @@ from quaybook.functions import exact
 from quaybook.operators import aggregate, book, extract, monitor, quality, scale, serve, validate
 from quaybook.plans import pipeline
 from quaybook.schema import STAGES
-from quaybook.sources import feed, reference
+from quaybook.sources import feed, io, reference
 from quaybook.sources.frames import PARSERS, from_topics, parsed
+from quaybook.streaming import market as streaming
 
 MARKET = ["exchange_id", "pair_id"]
 NOW = 1_706_000_000_000
@@ -229,6 +230,16 @@ def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.latest(views.merged).select("pair_id", "side", F.size("levels").cast("long").alias("n"), "event_time")
 
 
+def stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """validate_verdicts by Structured Streaming, to files and back."""
+    return io.streamed(feed.events(spark, sf_dir), streaming.verdicts, "stream-verdicts").select(*MARKET, "ord", "verdict", "request", "reset")
+
+
+def stream_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """book_events by Structured Streaming, to files and back."""
+    return _flat_books(io.streamed(validate.accepted(_judged(spark, sf_dir)), streaming.books, "stream-books"))
+
+
 QUERIES = {
     "scan_topic_ids": scan_topic_ids,
     **{f"parse_ex{e}": parse(e) for e in PARSERS},
@@ -238,6 +249,7 @@ QUERIES = {
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
             book_events, book_final, book_lineage_check, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
             topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, subscriptions, market_catalog, full_chain,
+            stream_validate, stream_books,
         )
     },
 }

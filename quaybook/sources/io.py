@@ -9,9 +9,11 @@ from __future__ import annotations
 import struct
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from quaybook.schema import FRAME
 
@@ -36,6 +38,22 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def streamed(df: DataFrame, transform: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """df landed, read as a stream through `transform`, and its output read again."""
+    spark, schema = df.sparkSession, df.schema
+    folder = f"{shared_dir(spark)}/streamed/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/in")
+    out = transform(spark.readStream.schema(schema).parquet(f"{folder}/in"))
+    to_files(out, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{folder}/out")
+
+
+def to_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append a stream to Parquet, each row once; with available_now what is there is done and the query ends."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+
+
 def _connector(spark: SparkSession, name: str) -> None:
     loader = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
     try:
@@ -72,7 +90,7 @@ def framed_schema_id(value: Column) -> Column:
 
 
 def framed_datum(value: Column) -> Column:
-    return F.expr(f"substring({value._jc.toString()}, 6)")
+    return F.substring(value, 6, 1 << 30)
 
 
 def frame(schema_id: int, datum: bytes) -> bytes:
