@@ -80,6 +80,23 @@ class Book:
         return asks, bids[::-1]
 
 
+@dataclass
+class Union:
+    """A pair's side: what each exchange's latest book has. Exchanges are text, as keys of JSON are."""
+
+    held: dict[str, dict] = field(default_factory=dict)
+
+    def step(self, exchange: str, time: int, levels: list[dict]) -> None:
+        self.held[exchange] = {"time": time, "levels": levels}
+
+    def view(self, side: str) -> tuple[int, list[dict]]:
+        """(latest time of the books, all levels) by price from the best, then falling quantity, then exchange."""
+        sign = 1 if side == "asks" else -1
+        levels = [x for book in self.held.values() for x in book["levels"]]
+        levels.sort(key=lambda x: (sign * Decimal(x["price"]), -Decimal(x["quantity"]), x["exchange_id"]))
+        return max(book["time"] for book in self.held.values()), levels
+
+
 @dataclass
 class Staleness:
     """What the monitor remembers of a topic."""

@@ -199,3 +199,5 @@ ORACLE_SQL: dict[str, str] = {
 
 ORACLE_SQL["stream_validate"] = ORACLE_SQL["validate_verdicts"]
 ORACLE_SQL["stream_books"] = ORACLE_SQL["book_events"]
+ORACLE_SQL["stream_union"] = ORACLE_SQL["aggregate_union"]
+ORACLE_SQL["stream_episodes"] = f"SELECT * FROM ({ORACLE_SQL['staleness_episodes']}) WHERE recovered IS NOT NULL"

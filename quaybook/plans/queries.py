@@ -208,9 +208,12 @@ def staleness_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.staleness(_watched(spark), monitor.last_seen(_records(spark, sf_dir)), NOW)
 
 
+def _polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(spark, sf_dir).select("topic", F.col("offset").alias("now"), (F.pmod("timestamp", F.lit(3)) == 0).cast("int").alias("stale"))
+
+
 def staleness_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polls = _records(spark, sf_dir).select("topic", F.col("offset").alias("now"), (F.pmod("timestamp", F.lit(3)) == 0).cast("int").alias("stale"))
-    return monitor.episodes(polls)
+    return monitor.episodes(_polls(spark, sf_dir))
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +243,17 @@ def stream_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_books(io.streamed(validate.accepted(_judged(spark, sf_dir)), streaming.books, "stream-books"))
 
 
+def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """aggregate_union by Structured Streaming, to files and back."""
+    out = io.streamed(book.split(_books(spark, sf_dir)), streaming.unioned, "stream-union")
+    return out.select("pair_id", "side", "ord", "event_time", written("levels", "exchange_id", "simulation", "price", "quantity").alias("levels"))
+
+
+def stream_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ended episodes of staleness_episodes by Structured Streaming, to files and back."""
+    return io.streamed(_polls(spark, sf_dir), streaming.episodes, "stream-episodes")
+
+
 QUERIES = {
     "scan_topic_ids": scan_topic_ids,
     **{f"parse_ex{e}": parse(e) for e in PARSERS},
@@ -249,7 +263,7 @@ QUERIES = {
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
             book_events, book_final, book_lineage_check, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
             topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, subscriptions, market_catalog, full_chain,
-            stream_validate, stream_books,
+            stream_validate, stream_books, stream_union, stream_episodes,
         )
     },
 }

@@ -1,8 +1,8 @@
-"""The stateful operators on streams: sequence rules and books, with a market's state in Spark's state store.
+"""The stateful operators on streams: sequence rules, books, unions and staleness, with state in Spark's state store.
 
 Stateless operators (parsing, rebasing, precision) take streams as they are. Here a
-micro-batch's events of a market are put in order, then stepped through as in batch; the
-state of a market is what the step functions remember, written as JSON. Events travel
+micro-batch's events of a key are put in order, then stepped through as in batch; the
+state of a key is what the step functions remember, written as JSON. Events travel
 through Python as JSON as well, so that large numbers and nulls stay what they are.
 """
 
@@ -19,22 +19,22 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quaybook.functions import exact
 from quaybook.functions.ids import minted
-from quaybook.operators.steps import Book, Sequence
-from quaybook.schema import OWNED_LEVEL
+from quaybook.operators.steps import Book, Sequence, Staleness, Union
+from quaybook.schema import EXCHANGE_BOOK, OWNED_LEVEL
 
 MARKET = ["exchange_id", "pair_id"]
 Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
 
 def _in_order(batches: Iterator[pd.DataFrame]) -> list[str]:
-    """A market's events of this micro-batch, as JSON; the trigger's limits bound them."""
+    """A key's events of this micro-batch, as JSON; the trigger's limits bound them."""
     rows = [r for pdf in batches for r in zip(pdf["ord"].tolist(), pdf["event"].tolist(), strict=True)]
     return [event for _, event in sorted(rows, key=lambda r: r[0])]
 
 
-def _stepped(events: DataFrame, event: Column, order: str, step: Step, schema: str) -> DataFrame:
-    packed = events.select(*MARKET, F.col(order).alias("ord"), F.to_json(event).alias("event"))
-    return packed.groupBy(*MARKET).applyInPandasWithState(step, schema, "state string", "append", GroupStateTimeout.NoTimeout)
+def _stepped(events: DataFrame, event: Column, order: str, step: Step, schema: str, keys: list[str] = MARKET) -> DataFrame:
+    packed = events.select(*keys, F.col(order).alias("ord"), F.to_json(event).alias("event"))
+    return packed.groupBy(*keys).applyInPandasWithState(step, schema, "state string", "append", GroupStateTimeout.NoTimeout)
 
 
 def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
@@ -77,3 +77,39 @@ def books(events: DataFrame, order: str = "ord") -> DataFrame:
     return read.select(
         "e.exchange_id", "e.pair_id", "e.ord", "e.simulation", minted("book", F.col("e.id")).alias("id"), F.col("e.id").alias("trigger_id"), "e.event_time", F.col("e.sequence_id").alias("last_sequence_id"), "asks", "bids",
     )
+
+
+def unioned(exchange_books: DataFrame) -> DataFrame:
+    """operators.aggregate.unioned() on a stream of operators.book.split(); merged() needs no state and takes its output."""
+
+    def step(view: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        union = Union(**json.loads(state.get[0])) if state.exists else Union()
+        rows = []
+        for text in _in_order(batches):
+            e = json.loads(text)
+            union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
+            time, levels = union.view(view[1])
+            rows.append((*view, e["ord"], e["snapshot_id"], time, json.dumps(levels)))
+        state.update((json.dumps(asdict(union)),))
+        yield pd.DataFrame(rows, columns=["pair_id", "side", "ord", "snapshot_id", "event_time", "levels"])
+
+    event = F.struct("exchange_id", "ord", "snapshot_id", "event_time", "levels")
+    out = _stepped(exchange_books, event, "ord", step, "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])
+    levels = F.from_json("levels", f"array<{EXCHANGE_BOOK}>").alias("levels")
+    return out.select("pair_id", "side", "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", levels)
+
+
+def episodes(polls: DataFrame) -> DataFrame:
+    """Stale episodes of (topic, now, stale), as they end; one that is still open is in the state alone."""
+
+    def step(topic: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen = Staleness(**json.loads(state.get[0])) if state.exists else Staleness()
+        closed = []
+        for text in _in_order(batches):
+            e = json.loads(text)
+            if (episode := seen.step(bool(e["stale"]), e["now"])) is not None:
+                closed.append((*topic, *episode))
+        state.update((json.dumps(asdict(seen)),))
+        yield pd.DataFrame(closed, columns=["topic", "since", "recovered", "duration"])
+
+    return _stepped(polls, F.struct("now", "stale"), "now", step, "topic string, since long, recovered long, duration long", ["topic"])

@@ -1,4 +1,4 @@
-from decimal import ROUND_DOWN, Decimal
+from decimal import ROUND_DOWN, Decimal, localcontext
 
 import pytest
 from hypothesis import given, settings
@@ -22,9 +22,10 @@ number = st.builds(lambda sign, whole, part, point: sign + whole + (f".{part}" i
 def test_against_decimal(spark, rows):
     df = spark.createDataFrame(rows, "v string, k int, p int")
     got = df.select("v", "k", "p", exact.canonical(F.col("v")).alias("c"), exact.shift(F.col("v"), F.col("k")).alias("s"), exact.cut(F.col("v"), F.col("p")).alias("t")).collect()
-    for r in got:
-        d = Decimal(r.v)
-        assert (r.c, r.s, r.t) == (plain(d), plain(d.scaleb(r.k)), plain(d.quantize(Decimal(1).scaleb(-r.p), rounding=ROUND_DOWN))), r
+    with localcontext(prec=80):  # values have up to 30 digits, more than Decimal's 28 by default
+        for r in got:
+            d = Decimal(r.v)
+            assert (r.c, r.s, r.t) == (plain(d), plain(d.scaleb(r.k)), plain(d.quantize(Decimal(1).scaleb(-r.p), rounding=ROUND_DOWN))), r
 
 
 @pytest.mark.parametrize(
