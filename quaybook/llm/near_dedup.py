@@ -4,9 +4,12 @@ A text is its sequence of five-word shingles, each labelled with its occurrence
 One sketch value is made of the few labelled shingles with the least hashes, in the
 order in which the text has them, so that texts agree on it when they share content in
 the same order. Texts that agree on a value stand in a bucket; in each bucket they are
-compared with its leaders, the members that agree most with all others, so the number
-of comparisons grows with the rows. Pairs that agree on enough values are verified by
-aligning their shingles inside a band. Links make classes by label propagation.
+compared with its leaders, the members that agree most with all others. Pairs that
+agree on enough values are verified by aligning their shingles inside a band. Links
+make classes by label propagation. Buckets that still hold several classes go through
+rounds with more leaders each, until every two of their members are in one class or
+have been compared; so the number of comparisons grows with the rows inside a class,
+and with the product of their sizes only between classes that meet in a bucket.
 """
 
 from __future__ import annotations
@@ -28,8 +31,12 @@ SIMILARITY = 0.8
 SKETCHES, PICKED = 32, 3
 #: Pairs that agree on fewer values aren't aligned: at similarity 0.8 that happens to about 3 in a million.
 AGREE = 5
-#: Leaders of a bucket. Buckets of one more member have every pair of them compared.
+#: Leaders of a bucket in the first pass; settled() goes on from there.
 LEADERS = 2
+#: About how many leaders a bucket gets in the first round after that, and how many times as many in each further one.
+ROUND_LEADERS, ROUND_GROWTH = 8, 8
+#: A bucket's members are dealt over so many parts, each of which gets all leaders of a round.
+SALTS = 16
 
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _WORD_BYTE = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
@@ -168,6 +175,23 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select("k1", "k2", text).mapInArrow(tidily(run), "k1 long, k2 long, n long, values array<bigint>")
 
 
+def _shared(sketched: DataFrame, values: str) -> DataFrame:
+    """(bucket, k1, k2, n, size): the texts of each bucket of at least two."""
+    each = sketched.select("k1", "k2", "n", F.posexplode(values).alias("j", "h")).select("k1", "k2", "n", F.xxhash64("j", "h").alias("bucket"))
+    return each.join(each.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket")
+
+
+def _alike(n: str, other: str) -> Column:
+    return F.least(n, other) >= F.floor(SIMILARITY * F.greatest(n, other) * 0.75)
+
+
+def _paired(pairs: DataFrame) -> DataFrame:
+    """The pairs (k1, k2, l1, l2) once each, whichever of the two texts came first."""
+    one, other = F.struct(F.col("k1").alias("x"), F.col("k2").alias("y")), F.struct(F.col("l1").alias("x"), F.col("l2").alias("y"))
+    pairs = pairs.select(F.greatest(one, other).alias("k"), F.least(one, other).alias("l"))
+    return pairs.select(F.col("k.x").alias("k1"), F.col("k.y").alias("k2"), F.col("l.x").alias("l1"), F.col("l.y").alias("l2")).distinct()
+
+
 def candidates(sketched: DataFrame, leaders: int = LEADERS) -> DataFrame:
     """(k1, k2, l1, l2): texts with the leaders of their buckets, once each.
 
@@ -175,21 +199,18 @@ def candidates(sketched: DataFrame, leaders: int = LEADERS) -> DataFrame:
     together: in a group of copies, the text that the copies were made from. They are
     found by aggregates that are formed before the shuffle, one leader after another.
     """
-    each = sketched.select("k1", "k2", "n", F.posexplode("values").alias("j", "h")).select("k1", "k2", "n", F.xxhash64("j", "h").alias("bucket"))
-    sizes = each.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = each.join(sizes, "bucket")
+    shared = _shared(sketched, "values")
     fame = shared.groupBy(F.col("k1").alias("f1"), F.col("k2").alias("f2")).agg(F.sum("size").alias("fame"))
     rest = table(shared.join(fame, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2"))).select("bucket", "k1", "k2", "n", "fame"), "buckets")
     found = []
-    alike = F.least("n", "ln") >= F.floor(SIMILARITY * F.greatest("n", "ln") * 0.75)
     for turn in range(leaders):
         lead = rest.groupBy("bucket").agg(F.max(F.struct("fame", "k1", "k2", "n")).alias("lead")).select("bucket", F.col("lead.k1").alias("l1"), F.col("lead.k2").alias("l2"), F.col("lead.n").alias("ln"))
         rest = rest.join(lead, "bucket").where((F.col("k1") != F.col("l1")) | (F.col("k2") != F.col("l2")))
         if turn + 1 < leaders:  # written, so that the next aggregate has partial results and the join can split a large bucket
             rest = table(rest, "buckets")
-        found.append(rest.where(alike).select("k1", "k2", "l1", "l2").distinct())
+        found.append(rest.where(_alike("n", "ln")).select("k1", "k2", "l1", "l2").distinct())
         rest = rest.drop("l1", "l2", "ln")
-    return reduce(DataFrame.unionByName, found).distinct()
+    return _paired(reduce(DataFrame.unionByName, found))
 
 
 def links(pairs: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -239,11 +260,54 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (id, label) after more edges (a, b): only the labels that these connect are worked on."""
+    ends = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
+    known = table(labels.unionByName(ends.join(labels, "id", "left_anti").select("id", F.col("id").alias("label"))), "labels")
+    left, right = known.select(F.col("id").alias("a"), F.col("label").alias("la")), known.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    between = edges.join(left, "a").join(right, "b").where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    moved = components(between).select(F.col("id").alias("label"), F.col("label").alias("to"))
+    return table(known.join(moved, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+
+
+def settled(shared: DataFrame, bodies: DataFrame, tried: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, labels) when no bucket of `shared` holds two texts that are in different classes and weren't compared.
+
+    A round's leaders are compared with all members of other classes, then leave the
+    bucket. They aren't taken from its largest class, whose members may stay together.
+    What is left of one class is done; labels only ever join, so it stays so. Each round
+    takes ROUND_GROWTH times as many leaders, so the rounds grow with the size's logarithm.
+    """
+    texts = bodies.select("k1", "k2", _name("k1", "k2").alias("id"))
+    rest, per = shared.select("bucket", "k1", "k2", "n"), ROUND_LEADERS
+    while True:
+        tags = texts.join(labels, "id", "left").select("k1", "k2", F.xxhash64(F.coalesce("label", "id")).alias("tag"))
+        tagged = table(rest.join(tags, ["k1", "k2"]), "tagged")
+        kinds = tagged.groupBy("bucket", "tag").agg(F.count("*").alias("many"))
+        mixed = kinds.groupBy("bucket").agg(F.count("*").alias("kinds"), F.max(F.struct("many", "tag")).alias("major"), F.sum("many").alias("all")).where("kinds > 1")
+        mixed = mixed.select("bucket", F.col("major.tag").alias("major"), (F.col("all") - F.col("major.many")).alias("minor"))
+        tagged = table(tagged.join(mixed, "bucket"), "mixed")
+        if tagged.isEmpty():
+            return edges, labels
+        leads = (F.col("tag") != F.col("major")) & (F.pmod(F.xxhash64("k2", "k1"), F.col("minor")) < per)
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        leaders = tagged.where(leads).select("bucket", F.col("k1").alias("l1"), F.col("k2").alias("l2"), F.col("n").alias("ln"), F.col("tag").alias("ltag"), salts)
+        members = tagged.select("bucket", "k1", "k2", "n", "tag", F.pmod(F.xxhash64("k1", "k2"), F.lit(SALTS)).cast("int").alias("salt"))
+        met = members.join(leaders, ["bucket", "salt"]).where((F.col("tag") != F.col("ltag")) & _alike("n", "ln"))
+        pairs = table(_paired(met).join(tried, ["k1", "k2", "l1", "l2"], "left_anti"), "candidates")
+        more = table(links(pairs, bodies), "links")
+        if not more.isEmpty():
+            edges, labels = edges.unionByName(more), _joined(labels, more)
+        tried = tried.unionByName(pairs)
+        rest, per = tagged.where(~leads).select("bucket", "k1", "k2", "n"), per * ROUND_GROWTH
+
+
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs' rows as (key, class_id, class_rows, n_links, k1, k2, r1, r2).
 
     class_id is the least key in the class, which holds all texts that links connect;
-    equal texts are always in one class. n_links: verified links of the row's text. k1 and
+    equal texts are always in one class. n_links: the row's text's verified links; two texts
+    that others have brought into one class aren't compared any more, and don't count. k1 and
     k2 stand for the text and r1, r2 for the text that has the class_id. Null keys come
     last; a class of null keys alone has a null class_id. A null text counts as empty; texts without a
     word are alike only if equal. Repeated rows are rows of one class. Other columns are
@@ -253,11 +317,12 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     by_text = keyed.groupBy("k1", "k2").agg(F.min("key").alias("least"), F.count("*").alias("rows"))
     sketched = table(sketches(keyed).groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("values").alias("values")), "sketches")
     pairs = table(candidates(sketched), "candidates")
-    involved = pairs.select("k1", "k2").unionByName(pairs.select(F.col("l1").alias("k1"), F.col("l2").alias("k2"))).distinct()
+    shared = table(_shared(sketched, "values"), "buckets")
+    involved = shared.select("k1", "k2").distinct()
     texts = keyed.select("k1", "k2", F.coalesce("text", F.lit("")).alias("text")).join(involved, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text"))
     bodies = table(texts.join(sketched.select("k1", "k2", "values"), ["k1", "k2"]), "bodies")
     edges = table(links(pairs, bodies), "links")
-    label = components(edges)
+    edges, label = settled(shared, bodies, pairs, edges, components(edges))
     degree = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
     labelled_texts = label.join(degree, "id")
     named = by_text.withColumn("id", _name("k1", "k2")).join(labelled_texts, "id", "left").withColumns({"label": F.coalesce("label", "id"), "n_links": F.coalesce("n_links", F.lit(0)).cast("long")})

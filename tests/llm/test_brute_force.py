@@ -87,6 +87,30 @@ def test_one_large_group_of_copies(spark):
     assert {(r.class_id, r.class_rows) for r in got} == {(0, 300)}
 
 
+def test_large_group_without_a_hub(spark):
+    """Versions of a template that isn't there: pairs lie around 0.8, one or two in a hundred above, and no text is like most others."""
+    r = random.Random(11)
+    size, n = 2000, 200
+    bodies, kept = [], np.ones((size, n - 4), np.float32)
+    for i in range(size):
+        places = r.sample(range(n), 3)
+        bodies.append(" ".join(f"new{i}x{j}" if j in places else f"w{j}" for j in range(n)))
+        for j in places:
+            kept[i, max(0, j - 4) : j + 1] = 0
+    both = kept @ kept.T
+    linked = both >= 0.8 * (2 * (n - 4) - both)
+    want = list(range(size))
+    for i in range(size):  # flood from each text that isn't in a class yet
+        todo = [i] if want[i] == i else []
+        while todo:
+            for k in np.flatnonzero(linked[todo.pop()]).tolist():
+                if want[k] == k and k != i:
+                    want[k] = i
+                    todo.append(k)
+    got = near_dedup.classes(spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == dict(enumerate(want))
+
+
 def test_bpe_against_the_library(spark):
     odd = ["", " ", "a" * 5000, "<|endoftext|> x<|endoftext|>", "don't  stop\n\n  now", "é中\U0001f600‍́", "x\ty 12345,678", "'s 'S ’s", "    indented\r\n"]
     df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text"))
