@@ -1,9 +1,11 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A text is its sequence of five-word shingles, each labelled with its occurrence number.
-One sketch value is made of the few labelled shingles with the least hashes, in the
-order in which the text has them, so that texts agree on it when they share content in
-the same order. Texts that agree on a value stand in a bucket; in each bucket they are
+A text is its sequence of different five-word shingles, each at its first place. One
+sketch value is made of the few shingles with the least hashes, in the order in which
+the text has them, so that texts agree on it when they share content in the same order;
+a free value is made of the same shingles in any order. Texts that agree on a value
+stand in a bucket: the first pass is over buckets of ordered values, the rounds after
+it over those of free values, which contain them. In each bucket texts are
 compared with its leaders, the members that agree most with all others. Pairs that
 agree on enough values are verified by aligning their shingles inside a band. Links
 make classes by label propagation. Buckets that still hold several classes go through
@@ -27,10 +29,12 @@ from quaybook.llm.common import blocks, mix, rolling, runs, sparing, table, tidi
 
 WORDS = 5
 SIMILARITY = 0.8
-#: Sketch values of a text, and shingles in each. Texts of similarity 0.8 agree on about half the values.
+#: Sketch values of a text, and shingles in each. Texts of similarity 0.8 agree on about half the free values.
 SKETCHES, PICKED = 32, 3
-#: Pairs that agree on fewer values aren't aligned: at similarity 0.8 that happens to about 3 in a million.
-AGREE = 5
+#: Pairs that agree on fewer free values aren't aligned: at similarity 0.8, whatever the order, that happens to about
+#: 4 in a million (the binomial tail at 0.506, what 3 picks from 65 shingles give). Where both texts have at most
+#: FEW shingles, picks without replacement agree less often, and a pair with one value is aligned.
+AGREE, FEW = 5, 64
 #: Leaders of a bucket in the first pass; settled() goes on from there.
 LEADERS = 2
 #: About how many leaders a bucket gets in the first round after that, and how many times as many in each further one.
@@ -75,18 +79,15 @@ def shingles(bodies: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, hashed, occurrence
 
 
-def labelled(hashed: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
-    return mix(hashed + _SEEDS[11] * occurrence.astype(np.uint64))
-
-
-def sketch(bodies: list[str], sketches: int = SKETCHES, picked: int = PICKED) -> tuple[np.ndarray, np.ndarray]:
-    """(sketch values of each text, its shingles): zeros where there is no shingle."""
+def sketch(bodies: list[str], sketches: int = SKETCHES, picked: int = PICKED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sketch values of each text, its free values, its different shingles): zeros where there is no shingle."""
     doc, hashed, occurrence = shingles(bodies)
-    out, n = np.zeros((len(bodies), sketches), np.uint64), np.bincount(doc, minlength=len(bodies))
+    doc, label = doc[occurrence == 0], mix(hashed[occurrence == 0])
+    n = np.bincount(doc, minlength=len(bodies))
+    out, free = np.zeros((2, len(bodies), sketches), np.uint64)
     some = np.flatnonzero(n)
     if not len(some):
-        return out, n
-    label = labelled(hashed, occurrence)
+        return out, free, n
     at = (np.cumsum(n) - n)[some]
     bits = np.uint64(max(20, len(label).bit_length()))
     place = np.arange(len(label), dtype=np.uint64)
@@ -102,11 +103,12 @@ def sketch(bodies: list[str], sketches: int = SKETCHES, picked: int = PICKED) ->
             chosen[k] = np.where(least == _TOP, -1, spot)
             v[spot[least != _TOP]] = _TOP
         chosen.sort(axis=0)
-        value = np.full(len(some), _SEEDS[j], np.uint64)
+        value, total = np.full((2, len(some)), _SEEDS[j], np.uint64)
         for row in chosen:
             value = np.where(row < 0, value, mix(value * _SEEDS[13] + label[row]))
-        out[some, j] = value
-    return out, n
+            total = np.where(row < 0, total, total + mix(label[row] ^ _SEEDS[14]))
+        out[some, j], free[some, j] = value, total
+    return out, free, n
 
 
 def _rising(values: list[int]) -> int:
@@ -161,18 +163,18 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(k1, k2, n, values) of docs (k1, k2, text) that have shingles."""
+    """(k1, k2, n, values, free) of docs (k1, k2, text) that have shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, text):
-            values, n = sketch(batch.column(text).fill_null("").to_pylist())
+            values, free, n = sketch(batch.column(text).fill_null("").to_pylist())
             some = np.flatnonzero(n)
             rows = pa.array(some)
-            flat = pa.array(values[some].view(np.int64).ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * SKETCHES, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(n[some]), lists], ["k1", "k2", "n", "values"])
+            ends = pa.array(np.arange(len(some) + 1) * SKETCHES, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x[some].view(np.int64).ravel())) for x in (values, free)]
+            yield pa.RecordBatch.from_arrays([batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(n[some]), *lists], ["k1", "k2", "n", "values", "free"])
 
-    return docs.select("k1", "k2", text).mapInArrow(tidily(run), "k1 long, k2 long, n long, values array<bigint>")
+    return docs.select("k1", "k2", text).mapInArrow(tidily(run), "k1 long, k2 long, n long, values array<bigint>, free array<bigint>")
 
 
 def _shared(sketched: DataFrame, values: str) -> DataFrame:
@@ -182,7 +184,8 @@ def _shared(sketched: DataFrame, values: str) -> DataFrame:
 
 
 def _alike(n: str, other: str) -> Column:
-    return F.least(n, other) >= F.floor(SIMILARITY * F.greatest(n, other) * 0.75)
+    """Whether texts of so many different shingles can be similar enough; one in a thousand is left for rounding."""
+    return F.least(n, other) >= 0.999 * SIMILARITY * F.greatest(n, other)
 
 
 def _paired(pairs: DataFrame) -> DataFrame:
@@ -216,13 +219,14 @@ def candidates(sketched: DataFrame, leaders: int = LEADERS) -> DataFrame:
 def links(pairs: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): the pairs (k1, k2, l1, l2) that are similar, as 32 hex digits each.
 
-    bodies: (k1, k2, values, text), a row for each text. Pairs first lose those whose
-    sketches agree too little; the rest are aligned.
+    bodies: (k1, k2, n, free, text), a row for each text. Pairs first lose those whose
+    free values agree too little; the rest are aligned.
     """
-    values = bodies.select("k1", "k2", "values")
-    leads = values.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), F.col("values").alias("lead_values"))
-    agree = F.aggregate(F.zip_with("values", "lead_values", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    near = pairs.join(values, ["k1", "k2"]).join(leads, ["l1", "l2"]).where(agree >= AGREE).select("k1", "k2", "l1", "l2")
+    values = bodies.select("k1", "k2", "n", "free")
+    leads = values.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), F.col("n").alias("ln"), F.col("free").alias("lead_free"))
+    agree = F.aggregate(F.zip_with("free", "lead_free", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    enough = (agree >= AGREE) | (F.greatest("n", "ln") <= FEW)
+    near = pairs.join(values, ["k1", "k2"]).join(leads, ["l1", "l2"]).where(enough).select("k1", "k2", "l1", "l2")
     near = table(near, "pairs")
     own = bodies.select("k1", "k2", "text")
     lead_text = own.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), F.col("text").alias("lead"))
@@ -315,12 +319,12 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     """
     keyed = _keyed(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text")
     by_text = keyed.groupBy("k1", "k2").agg(F.min("key").alias("least"), F.count("*").alias("rows"))
-    sketched = table(sketches(keyed).groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("values").alias("values")), "sketches")
+    sketched = table(sketches(keyed).groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("values").alias("values"), F.first("free").alias("free")), "sketches")
     pairs = table(candidates(sketched), "candidates")
-    shared = table(_shared(sketched, "values"), "buckets")
+    shared = table(_shared(sketched, "free"), "buckets")
     involved = shared.select("k1", "k2").distinct()
     texts = keyed.select("k1", "k2", F.coalesce("text", F.lit("")).alias("text")).join(involved, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    bodies = table(texts.join(sketched.select("k1", "k2", "values"), ["k1", "k2"]), "bodies")
+    bodies = table(texts.join(sketched.select("k1", "k2", "n", "free"), ["k1", "k2"]), "bodies")
     edges = table(links(pairs, bodies), "links")
     edges, label = settled(shared, bodies, pairs, edges, components(edges))
     degree = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))

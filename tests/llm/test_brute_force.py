@@ -111,6 +111,20 @@ def test_large_group_without_a_hub(spark):
     assert {r.doc_id: r.class_id for r in got} == dict(enumerate(want))
 
 
+def test_near_duplicates_in_any_order(spark):
+    """Set similarity is enough: sections that have changed places, and a line that a copy repeats."""
+    r = random.Random(12)
+    bodies = []
+    for _ in range(40):
+        a, b, c = ([f"w{r.randrange(10**6)}" for _ in range(100)] for _ in range(3))
+        bodies += [a + b + c, c + b + a]
+        line = [f"w{r.randrange(10**6)}" for _ in range(5)]
+        bodies += [a[:99] + line, a[:99] + line * 60]
+    rows = [(i, " ".join(b)) for i, b in enumerate(bodies)]
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(len(bodies))}
+
+
 def test_bpe_against_the_library(spark):
     odd = ["", " ", "a" * 5000, "<|endoftext|> x<|endoftext|>", "don't  stop\n\n  now", "é中\U0001f600‍́", "x\ty 12345,678", "'s 'S ’s", "    indented\r\n"]
     df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text"))
