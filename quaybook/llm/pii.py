@@ -53,7 +53,14 @@ _GLYPHS = _glyphs()
 _GLYPH = re.compile("[" + "".join(map(chr, _GLYPHS)) + "]")
 _DIGIT_OF = {w: str(d) for words in DIGIT_WORDS for d, w in enumerate(words.split())}
 _ONE_WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
-_SPELLED = re.compile(rf"\b{_ONE_WORD}(?:[\s,.-]{{1,3}}{_ONE_WORD}\b)+")
+#: What may stand between the digits of a number, before or after the transducers.
+_BETWEEN = r"[\s,().-]"
+#: Where spelled_digits() can bring an identifier to light: a digit word next to a digit or to another one, "plus" before a digit.
+_SPELLED = re.compile(rf"(?i)\b(?:{_ONE_WORD}\b{_BETWEEN}*(?:[0-9]|\b{_ONE_WORD}\b)|plus[\s,-]{{1,3}}[0-9])|[0-9]{_BETWEEN}+{_ONE_WORD}\b")
+#: Signs that (?i) takes for letters of digit words, though lower() doesn't give these.
+_FOLD = str.maketrans("ſİıK", "siik")
+#: A digit word that isn't ASCII can also complete the domain after an @.
+_NON_ASCII_WORD = re.compile("(?i)[ſİıK]|" + "|".join(sorted(w for w in _DIGIT_OF if not w.isascii())))
 _SPELLED_OR_DIGIT = re.compile(rf"(?i)\b(?P<word>{_ONE_WORD})\b|(?P<digit>[0-9])")
 _JOINT = re.compile(r"[\s,-]{1,3}")
 
@@ -64,13 +71,14 @@ _BRACKETED_DOT = rf"{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}"
 _ANY_DOT = rf"(?:{_BRACKETED_DOT}|[ \t]+{_DOT_WORD}[ \t]+|\.)"
 _HIDDEN_DOT = rf"(?:{_BRACKETED_DOT}|[ \t]+{_DOT_WORD}[ \t]+)"
 _NAME = r"[A-Za-z0-9-]+"
-#: An @ in brackets with any dots; a bare "at", or @ between spaces, with hidden dots; numbers between hidden dots.
-_ADDRESS = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:(?P<a>{_BRACKETED_AT}){_NAME}(?:{_ANY_DOT}{_NAME})+|(?P<b>[ \t]+{_AT_WORD}[ \t]+|[ \t]*@[ \t]*){_NAME}(?:{_HIDDEN_DOT}{_NAME})+)")
+#: An @ in brackets or beside spaces with any dots; a bare "at", or any @, with hidden dots; numbers between hidden dots.
+_ADDRESS = re.compile(rf"(?i)(?<=[A-Za-z0-9._%+-])(?:(?P<a>{_BRACKETED_AT}|[ \t]+@[ \t]*|@[ \t]+){_NAME}(?:{_ANY_DOT}{_NAME})+|(?P<b>[ \t]+{_AT_WORD}[ \t]+|[ \t]*@[ \t]*){_NAME}(?:{_HIDDEN_DOT}{_NAME})+)")
 _IN_LOCAL = re.compile(rf"(?i){_HIDDEN_DOT}(?=[A-Za-z0-9])")
 _NUMBERS = re.compile(rf"(?i)[0-9]{{1,3}}(?:{_ANY_DOT}[0-9]{{1,3}}(?![0-9])){{3}}")
 _SOME_DOT = re.compile(rf"(?i){_HIDDEN_DOT}")
 _SIGN = re.compile(rf"(?i)[\[({{<]\s*(?:at\b|dot\b|@|\.|arroba|punkt|punto)|\b(?:dot|punkt|punto)\b")
 _PLUS = re.compile(r"(?i)\bplus[\s,-]{1,3}(?=[0-9])")
+_SPACED_AT = re.compile(r"[ \t]@|@[ \t]")
 _HINTS = ("dot", "punkt", "punto", "[", "(", "{", "<")
 
 
@@ -108,7 +116,7 @@ def spelled_digits(tape: Tape) -> Tape:
         if last and (word or last[1]) and last[0] < m.start() and _JOINT.fullmatch(tape.text, last[0], m.start()):
             changes.append((last[0], m.start(), ""))
         if word:
-            changes.append((m.start(), m.end(), _DIGIT_OF[word.lower()]))
+            changes.append((m.start(), m.end(), _DIGIT_OF[word.translate(_FOLD).lower()]))
         last = m.end(), word
     tape = tape.rewrite(changes)
     return tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
@@ -200,19 +208,24 @@ def find(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
-def find_disguised(text: str, base: list[Span]) -> list[Span]:
-    """What more the transducers bring to light: identifiers that overlap none of their kind in `base`."""
-    odd = not text.isascii() and _GLYPH.search(text) is not None
+def may_be_disguised(text: str) -> bool:
+    """Whether the transducers can bring anything to light; true for more texts than those, never for fewer."""
+    if not text.isascii() and (_GLYPH.search(text) is not None or ("@" in text and _NON_ASCII_WORD.search(text) is not None)):
+        return True
     lower = text.lower()
-    spelled = _SPELLED.search(lower) is not None or odd
-    signed = odd or spelled or (any(h in lower for h in _HINTS) and _SIGN.search(text) is not None) or (" @" in text or "@ " in text)
-    if not (odd or spelled or signed):
+    if any(h in lower for h in _HINTS) and _SIGN.search(text) is not None:
+        return True
+    return ("@" in text and _SPACED_AT.search(text) is not None) or _SPELLED.search(text) is not None
+
+
+def find_disguised(text: str, base: list[Span], gated: bool = True) -> list[Span]:
+    """What more the transducers bring to light: identifiers that overlap none of their kind in `base`.
+
+    Not gated, they also run where there is nothing for them, with the same result.
+    """
+    if gated and not may_be_disguised(text):
         return []
-    tape = Tape(text)
-    if odd:
-        tape = plain_glyphs(tape)
-    if spelled or signed:
-        tape = spelled_digits(tape)
+    tape = spelled_digits(plain_glyphs(Tape(text)))
     tape = signs(tape)
     taken = {kind: [(a, b) for a, k, b in base if k == kind] for kind in KINDS}
     found = []

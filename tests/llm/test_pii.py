@@ -57,6 +57,35 @@ def test_disguises(text, kind, source):
     assert source in [text[a:b] for a, k, b in added if k == kind]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("call +49 151 two 345 6789 now", "phone", "+49 151 two 345 6789"),
+        ("call plus 49 151 2345678 now", "phone", "plus 49 151 2345678"),
+        ("card 4080 1607 1994 491 seven ok", "card", "4080 1607 1994 491 seven"),
+        ("server 10.0.0.one is down", "ip", "10.0.0.one"),
+        ("mail joe @ example.com now", "email", "joe @ example.com"),
+        ("mail joe@fünf.de now", "email", "joe@fünf.de"),
+    ],
+)
+def test_single_signs(text, kind, source):
+    assert source in [text[a:b] for a, k, b in find_disguised(text, find(text)) if k == kind]
+
+
+@pytest.mark.parametrize("card", ["four zero eight zero one six zero seven one nine nine four four nine one seven", "٤٠٨٠ ١٦٠٧ ١٩٩٤ ٤٩١٧"])
+def test_cards(card):
+    assert find_disguised(f"card {card}", []) == [(5, "card", 5 + len(card))]
+
+
+def test_the_gate_changes_nothing():
+    rng = random.Random(9)
+    pieces = ["@", " @ ", ".", "1", "23", "4080", "255", "+", "plus", " ", " ", "-", ",", "(", ")", "fünf", "two", "Six", "ſix", "un", "joe", "example", "dot", " at ", "[at]", "\t", "a@b.c", ".com", "10.0.0.", "+49 151 ", "4080 1607 1994 491"]
+    for _ in range(40000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        base = find(text)
+        assert find_disguised(text, base) == find_disguised(text, base, gated=False), text
+
+
 def test_plain_text_is_left_alone():
     for text in ["look at example.com", "the dot product at one point", "one of two (at most) or three", "à deux ou trois heures", "version 3. Licence (GNU) [1]"]:
         assert find_disguised(text, find(text)) == []
