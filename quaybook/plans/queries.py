@@ -251,7 +251,7 @@ def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ended episodes of staleness_episodes by Structured Streaming, to files and back."""
-    return io.streamed(_polls(spark, sf_dir), streaming.episodes, "stream-episodes")
+    return io.streamed(_polls(spark, sf_dir), streaming.episodes, "stream-episodes", "now")
 
 
 QUERIES = {

@@ -6,8 +6,10 @@ here say so, and the same plans read and write files of (topic, partition, offse
 
 from __future__ import annotations
 
+import re
 import struct
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 from quaybook.schema import FRAME
 
 RAW_PATTERN = "ex[0-9]+-raw"
+#: Rows of a micro-batch when landed rows are streamed; all of them may be of one key.
+TRIGGER_ROWS = 20_000
 AGGREGATED_PATTERN = "^p[0-9]+-(asks|bids)$"
 
 
@@ -38,12 +42,35 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def streamed(df: DataFrame, transform: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """df landed, read as a stream through `transform`, and its output read again."""
-    spark, schema = df.sparkSession, df.schema
+def in_order(df: DataFrame, path: str, order: str, rows: int = TRIGGER_ROWS) -> DataFrame:
+    """A stream of df's rows by `order`: each micro-batch is one file of at most `rows` rows.
+
+    The files source goes by modification time, so the files are given times in the
+    order of their names, which is that of the ranges.
+    """
+    spark = df.sparkSession
+    df.repartitionByRange(order).sortWithinPartitions(order).write.option("maxRecordsPerFile", rows).parquet(path)
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda f: _written_at(f.getName()))
+    newest = int(time.time()) - 1
+    for i, f in enumerate(files):
+        fs.setTimes(f, (newest - len(files) + i) * 1000, -1)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("maxFileAge", "36500d").parquet(path)
+
+
+def _written_at(name: str) -> tuple[int, int]:
+    """(task, number of its file) from the name of a file that Spark wrote."""
+    task, number = re.match(r"part-(\d+)-.*-c(\d+)", name).groups()
+    return int(task), int(number)
+
+
+def streamed(df: DataFrame, transform: Callable[[DataFrame], DataFrame], name: str, order: str = "ord") -> DataFrame:
+    """df landed by `order`, read as a stream of bounded micro-batches through `transform`, and its output read again."""
+    spark = df.sparkSession
     folder = f"{shared_dir(spark)}/streamed/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{folder}/in")
-    out = transform(spark.readStream.schema(schema).parquet(f"{folder}/in"))
+    out = transform(in_order(df, f"{folder}/in", order))
     to_files(out, f"{folder}/out", f"{folder}/state").awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{folder}/out")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import asdict
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,8 @@ from quaybook.operators.steps import Book, Sequence, Staleness, Union
 from quaybook.schema import EXCHANGE_BOOK, OWNED_LEVEL
 
 MARKET = ["exchange_id", "pair_id"]
+#: Rows that go back to Spark at once: each may hold a whole book.
+FRAME_ROWS = 200
 Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
 
@@ -32,6 +35,12 @@ def _in_order(batches: Iterator[pd.DataFrame]) -> list[str]:
     return [event for _, event in sorted(rows, key=lambda r: r[0])]
 
 
+def _frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows in frames of at most FRAME_ROWS, each made when the one before has gone."""
+    while part := list(islice(rows, FRAME_ROWS)):
+        yield pd.DataFrame(part, columns=columns)
+
+
 def _stepped(events: DataFrame, event: Column, order: str, step: Step, schema: str, keys: list[str] = MARKET) -> DataFrame:
     packed = events.select(*keys, F.col(order).alias("ord"), F.to_json(event).alias("event"))
     return packed.groupBy(*keys).applyInPandasWithState(step, schema, "state string", "append", GroupStateTimeout.NoTimeout)
@@ -42,12 +51,14 @@ def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
 
     def step(market: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rules = Sequence(**json.loads(state.get[0])) if state.exists else Sequence()
-        rows = []
-        for text in _in_order(batches):
-            e = json.loads(text)
-            rows.append((text, *rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))))
+
+        def rows() -> Iterator[tuple]:
+            for text in _in_order(batches):
+                e = json.loads(text)
+                yield text, *rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
+
+        yield from _frames(rows(), ["event", "verdict", "request", "reset"])
         state.update((json.dumps(asdict(rules)),))
-        yield pd.DataFrame(rows, columns=["event", "verdict", "request", "reset"])
 
     out = _stepped(events, F.struct("*"), order, step, "event string, verdict string, request boolean, reset boolean")
     return out.select(F.from_json("event", events.schema).alias("e"), "verdict", "request", "reset").select("e.*", "verdict", "request", "reset")
@@ -61,13 +72,15 @@ def books(events: DataFrame, order: str = "ord") -> DataFrame:
 
     def step(market: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         book = Book(**json.loads(state.get[0])) if state.exists else Book()
-        rows = []
-        for text in _in_order(batches):
-            e = json.loads(text)
-            book.step(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in ("asks", "bids")))
-            rows.append((text, *(json.dumps([{"price": p, "quantity": q, "source_id": i} for p, q, i in side]) for side in book.sides())))
+
+        def rows() -> Iterator[tuple]:
+            for text in _in_order(batches):
+                e = json.loads(text)
+                book.step(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in ("asks", "bids")))
+                yield text, *(json.dumps([{"price": p, "quantity": q, "source_id": i} for p, q, i in side]) for side in book.sides())
+
+        yield from _frames(rows(), ["event", "asks", "bids"])
         state.update((json.dumps(asdict(book)),))
-        yield pd.DataFrame(rows, columns=["event", "asks", "bids"])
 
     fields = {"exchange_id": "int", "pair_id": "int", "ord": "bigint", "type": "string", "simulation": "int", "id": "string", "event_time": "bigint", "sequence_id": "bigint"}
     event = F.struct(*(F.col(order if c == "ord" else c).cast(t).alias(c) for c, t in fields.items()), plain("asks"), plain("bids"))
@@ -84,14 +97,16 @@ def unioned(exchange_books: DataFrame) -> DataFrame:
 
     def step(view: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         union = Union(**json.loads(state.get[0])) if state.exists else Union()
-        rows = []
-        for text in _in_order(batches):
-            e = json.loads(text)
-            union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
-            time, levels = union.view(view[1])
-            rows.append((*view, e["ord"], e["snapshot_id"], time, json.dumps(levels)))
+
+        def rows() -> Iterator[tuple]:
+            for text in _in_order(batches):
+                e = json.loads(text)
+                union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
+                time, levels = union.view(view[1])
+                yield *view, e["ord"], e["snapshot_id"], time, json.dumps(levels)
+
+        yield from _frames(rows(), ["pair_id", "side", "ord", "snapshot_id", "event_time", "levels"])
         state.update((json.dumps(asdict(union)),))
-        yield pd.DataFrame(rows, columns=["pair_id", "side", "ord", "snapshot_id", "event_time", "levels"])
 
     event = F.struct("exchange_id", "ord", "snapshot_id", "event_time", "levels")
     out = _stepped(exchange_books, event, "ord", step, "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])

@@ -47,6 +47,19 @@ def test_books(spark, tmp_path):
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
 
 
+def test_landed_rows_stream_in_bounded_parts(spark, tmp_path):
+    """Rows that lie in no order are stepped through in order, a bounded number at once."""
+    events = feed.events(spark, SF).cache()
+    n = events.count()
+    stream = io.in_order(events.repartition(5), f"{tmp_path}/in", "ord", n // 6)
+    query = io.to_files(market.verdicts(stream), f"{tmp_path}/out", f"{tmp_path}/state")
+    query.awaitTermination()
+    assert max(p["numInputRows"] for p in query.recentProgress) <= n // 6
+    got = spark.read.parquet(f"{tmp_path}/out").select("ord", "exchange_id", "pair_id", "verdict")
+    want = validate.verdicts(events).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 @pytest.mark.parametrize(
     ("steps", "want"),
     [
