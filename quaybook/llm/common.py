@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -33,27 +34,40 @@ def small_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session has none (tests on one machine) a folder is made.
+    Only a session on one machine that has none (tests) gets a folder there; on a
+    cluster such a folder would not be shared, and that is an error.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quaybook-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it: cuts lineage, survives lost executors.
-
-    The shuffles behind it are of no more use; a collection on the driver makes Spark's
-    cleaner remove their files now rather than at some later time.
-    """
+    """Write df to the shared folder and read it: cuts lineage, survives lost executors. drop() deletes it."""
     path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.shared_folder = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that table() made, when what follows from them is written.
+
+    The shuffles behind them are of no more use either: once the driver has forgotten
+    their plans, Spark's cleaner removes their files.
+    """
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.shared_folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for df in tables[:1]:
+        df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def sparing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:

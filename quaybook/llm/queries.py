@@ -47,7 +47,7 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near-duplicates."""
-    return classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_rows", "n_links")
+    return classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_rows")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
