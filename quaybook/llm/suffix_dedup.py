@@ -7,14 +7,15 @@ with the least hash is its anchor, and equal windows have equal anchors at the s
 place. A segment is the bytes under the windows that share an anchor.
 
 * An anchor met once has no repeated window: most segments end here, as 40-byte rows.
-* Segments that are equal, by a 128-bit hash, repeat whole.
-* Segments of the same anchor that differ (at the edges of a repeated passage) are
-  compared exactly: a block of them gets a suffix array, and longest-previous-factor
-  arrays made from the previous and next smaller positions in suffix order tell which
-  windows have an earlier match, or with positions reversed a later one.
+* The different segments of an anchor meet in a block: one place of each, and a second
+  one where it has several. The block gets a suffix array; from it the previous and
+  next smaller positions in suffix order give longest-previous-factor arrays (and, with
+  larger positions, longest later factors), which tell the windows that stand elsewhere.
 * An anchor with very many different segments (a common passage in many settings) is
-  cut into single windows first, which are again equal or not by hash, so no task gets
-  a group that grows with the input.
+  split by content: its windows become segments of their own, each is one kind however
+  many settings it has, and they meet in blocks in the same way.
+
+Texts that are equal as a whole are found by their 128-bit hash and cut up once.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaybook.llm.common import blocks, mix, rolling, runs, table, texts, tidily
+from quaybook.llm.common import blocks, drop, mix, rolling, runs, table, texts, tidily
 
 LENGTH = 400
 #: Bytes of the words that compete to be an anchor: a longer one makes chance matches rarer, a shorter one segments fewer.
 WORD = 128
-#: Different segments of one anchor that a block compares; an anchor with more is cut into windows.
+#: Different segments of one anchor that a block compares; an anchor with more is split into windows.
 GROUP = 2000
 #: Bytes of segments in one suffix array.
 SUFFIX_BYTES = 300_000
@@ -43,28 +44,34 @@ PIECE = 4_000_000
 BASE = 0x9E3779B97F4A7C15
 
 
-def _smaller(values: np.ndarray, after: bool = False) -> np.ndarray:
-    """For each position, the nearest before (after) it with a smaller value; -1 (n) if there is none. Values differ."""
+def _smaller(values: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each position the nearest before it with a smaller value (-1: none), and what all between have in common.
+
+    common[i] is what i - 1 and i have in common; values differ.
+    """
     n = len(values)
-    if after:
-        return n - 1 - _smaller(values[::-1])[::-1]
-    found = np.arange(n) - 1
+    found, least = np.arange(n) - 1, common.copy()
+    least[:1] = 0
     open_ = np.flatnonzero((found >= 0) & (values[np.maximum(found, 0)] > values))
     for _ in range(64):
         if not len(open_):
-            return found
+            return found, least
         # all between j = found[i] and i is larger than values[i], and all between found[j] and j larger than values[j]
-        jump = found[found[open_]]
-        found[open_] = jump
+        before = found[open_]
+        least[open_] = np.minimum(least[open_], least[before])
+        found[open_] = jump = found[before]
         open_ = open_[(jump >= 0) & (values[np.maximum(jump, 0)] > values[open_])]
     stack: list[int] = []  # long chains: one after another
-    listed, out = values.tolist(), found.tolist()
+    listed, shared, out, low = values.tolist(), common.tolist(), found.tolist(), least.tolist()
+    reach = [0] * n
     for i, v in enumerate(listed):
+        now = shared[i] if i else 0
         while stack and listed[stack[-1]] > v:
-            stack.pop()
+            now = min(now, reach[stack.pop()])
         out[i] = stack[-1] if stack else -1
+        low[i] = reach[i] = now if stack else 0
         stack.append(i)
-    return np.array(out)
+    return np.array(out, np.int64), np.array(low, np.int64)
 
 
 class Suffixes:
@@ -109,16 +116,6 @@ class Suffixes:
         rank[order] = np.cumsum(np.append(True, ordered[1:] != ordered[:-1])[: len(key)])
         return order, rank
 
-    def neighbours(self, later: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
-        """(positions in suffix order, [previous, next] smaller position of each, -1 if none); `later`: larger positions."""
-        at = np.lexsort((-np.arange(self.n), self.rank)) if later else self.order
-        value = -at if later else at
-        out = []
-        for side in (False, True):
-            found = _smaller(value, side)
-            out.append(np.where((found >= 0) & (found < self.n), at[np.clip(found, 0, max(0, self.n - 1))], -1) if self.n else found)
-        return at, out
-
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many bytes the suffixes at a and at b share, up to depth; by ever smaller steps."""
         out = np.zeros(len(a), np.int64)
@@ -129,25 +126,21 @@ class Suffixes:
         return np.minimum(out, np.minimum(self.left[a], self.left[b]))
 
     def longest_factor(self, later: bool = False) -> np.ndarray:
-        """For each position the longest match that begins at an earlier (later) one, up to depth."""
-        best = np.zeros(self.n, np.int64)
-        at, sides = self.neighbours(later)
-        for other in sides:
-            has = other >= 0
-            best[at[has]] = np.maximum(best[at[has]], self.common(at[has], other[has]))
-        return best
-
-    def has_factor(self, later: bool = False) -> np.ndarray:
-        """longest_factor() == depth.
-
-        Suffixes that agree to `depth` stand together, by position: the previous smaller
-        position of each but the first is its neighbour's, and no next one is smaller.
-        So the neighbour decides, and no shorter match needs to be measured.
+        """For each position the longest match that begins at an earlier (later) one, up to depth.
+
+        It is with the previous or the next smaller (larger) position in suffix order,
+        and as long as what all suffixes from there have in common.
         """
-        out = np.zeros(self.n, bool)
-        same = self.rank[self.order[1:]] == self.rank[self.order[:-1]]
-        out[self.order[:-1] if later else self.order[1:]] = same
-        return out & (self.left >= self.depth)
+        at = self.order
+        shared = np.zeros(self.n + 1, np.int64)
+        shared[1 : self.n] = self.common(at[:-1], at[1:])
+        value = -at if later else at
+        out = np.zeros(self.n, np.int64)
+        for side in (slice(None), slice(None, None, -1)):
+            common = shared[:-1] if side.step is None else shared[1:][::-1]
+            smaller, least = _smaller(value[side], common)
+            out[at[side]] = np.maximum(out[at[side]], np.where(smaller >= 0, least, 0))
+        return np.minimum(out, self.left)
 
 
 def _minima(key: np.ndarray, width: int) -> np.ndarray:
@@ -236,9 +229,15 @@ def segments(docs: DataFrame, length: int, word: int) -> DataFrame:
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(anchor, k1, k2, first, place, data): the bytes of the segments `wanted` (k1, k2, anchor, span)."""
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_set(F.struct("anchor", "span")).alias("rows"))
-    joined = docs.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "rows")
+    """(anchor, body, first, place, data, k1, k2): the bytes of the segments `wanted` (k1, k2, least, anchor, body, span).
+
+    docs: (k1, k2, key, text). The least key is a part of the join's key, so the copies of a text don't meet.
+    """
+    lists = table(wanted.groupBy("k1", "k2", "least").agg(F.collect_set(F.struct("anchor", "body", "span")).alias("rows")), "wanted")
+    one = docs.groupBy("k1", "k2", "key").agg(F.first("text").alias("text"))
+    same = (one["k1"] == lists["k1"]) & (one["k2"] == lists["k2"]) & one["key"].eqNullSafe(lists["least"])
+    joined = one.join(lists.hint("merge"), same).select(one["k1"], one["k2"], "text", "rows")
+    names = ["anchor", "body", "first", "place", "data", "k1", "k2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,9 +248,10 @@ def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     first, n = np.divmod(span[at : at + 2000], _PACK)
                     first, place = np.divmod(first, _PACK)
                     cut_out = [data[a : a + m + length - 1] for a, m in zip(first.tolist(), n.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([flat.field("anchor").slice(at, 2000), pa.array([k1.as_py()] * len(first)), pa.array([k2.as_py()] * len(first)), pa.array(first), pa.array(place), pa.array(cut_out, pa.binary())], ["anchor", "k1", "k2", "first", "place", "data"])
+                    of = (pa.array(np.full(len(first), k.as_py(), np.int64)) for k in (k1, k2))
+                    yield pa.RecordBatch.from_arrays([flat.field("anchor").slice(at, 2000), flat.field("body").slice(at, 2000), pa.array(first), pa.array(place), pa.array(cut_out, pa.binary()), *of], names)
 
-    return joined.mapInArrow(tidily(run), "anchor long, k1 long, k2 long, first long, place long, data binary")
+    return joined.mapInArrow(tidily(run), "anchor long, body long, first long, place long, data binary, k1 long, k2 long")
 
 
 def may_match(group: list[tuple[int, bytes]], length: int, word: int) -> list[bool]:
@@ -267,105 +267,153 @@ def may_match(group: list[tuple[int, bytes]], length: int, word: int) -> list[bo
     return [seen[0][a] > 1 or seen[1][b] > 1 for a, b in zip(left, right, strict=True)]
 
 
-def repeated_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(body, window) of all windows of `bodies` that occur at another place in them: those with an earlier or a later match."""
+def repeated_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(body, window, whether it has an earlier match) of all windows of `bodies` that occur at another place in them."""
     sizes = np.array([len(s) for s in bodies], np.int64)
     ends = np.repeat(np.cumsum(sizes), sizes)
     suffixes = Suffixes(np.frombuffer(b"".join(bodies), np.uint8), ends, length)
-    at = np.flatnonzero(suffixes.has_factor() | suffixes.has_factor(later=True))
-    return np.repeat(np.arange(len(bodies)), sizes)[at], runs(sizes)[at]
+    earlier = suffixes.longest_factor() >= length
+    at = np.flatnonzero(earlier | (suffixes.longest_factor(later=True) >= length))
+    return np.repeat(np.arange(len(bodies)), sizes)[at], runs(sizes)[at], earlier[at]
 
 
 def _compare(bodies: DataFrame, length: int, word: int) -> DataFrame:
-    """(k1, k2, begin, end): spans under windows of `bodies` that occur in another body of the anchor.
+    """(anchor, body, begin, end, earlier): runs of windows of `bodies` that occur at another place of the anchor.
 
-    Windows with different anchors differ, so a block may hold whole groups of many anchors.
+    They are counted from the body's first window. Rows with `earlier` are of windows met
+    before, in the order of the places; the others are of all. Windows with different
+    anchors differ, so a block may hold whole groups of many anchors.
     """
+    names = ["anchor", "body", "begin", "end", "earlier"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        group: dict[bytes, tuple] = {}  # a body stands once, if several places or rows have it
-        anchor = None
+        held: list[tuple[int, int, bytes]] = []  # an anchor's places follow each other, in order
+        group: list[tuple[int, int, bytes, int]] = []
+        now = None
 
         def close() -> int:
-            rows = list(group.values())
-            if len(rows) > 1:
-                held.extend(r for r, may in zip(rows, may_match([r[3:] for r in rows], length, word), strict=True) if may)
+            if len(group) > 1:
+                again = Counter(r[1] for r in group)
+                may = may_match([(r[3], r[2]) for r in group], length, word)
+                held.extend(r[:3] for r, m in zip(group, may, strict=True) if m or again[r[1]] > 1)
             group.clear()
-            return sum(len(r[4]) for r in held)
+            return sum(len(r[2]) for r in held)
 
         def done() -> pa.RecordBatch:
-            which, window = repeated_windows([r[4] for r in held], length)
-            begin = np.array([r[2] for r in held], np.int64)[which] + window
-            new = np.ones(len(which), bool)
-            new[1:] = (which[1:] != which[:-1]) | (window[1:] != window[:-1] + 1)
-            last = np.append(np.flatnonzero(new)[1:], len(which)) - 1 if len(which) else np.empty(0, np.int64)
-            owner = which[new].tolist()
-            held_by = [held[i] for i in owner]
+            which, window, before = repeated_windows([r[2] for r in held], length)
+            met: dict[tuple[int, int], int] = {}
+            first = np.array([met.setdefault(r[:2], i) == i for i, r in enumerate(held)])
+            parts = []
+            for earlier in (False, True):
+                use = first[which] & (before | (not earlier))
+                w, at = which[use], window[use]
+                new = np.ones(len(w), bool)
+                new[1:] = (w[1:] != w[:-1]) | (at[1:] != at[:-1] + 1)
+                last = np.append(np.flatnonzero(new)[1:], len(w)) - 1 if len(w) else np.empty(0, np.int64)
+                owner = w[new].tolist()
+                parts.append(([held[i][0] for i in owner], [held[i][1] for i in owner], at[new].tolist(), (at[last] + 1).tolist(), [earlier] * len(owner)))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in held_by], pa.int64()), pa.array([r[1] for r in held_by], pa.int64()), pa.array(begin[new]), pa.array(begin[last] + length)], ["k1", "k2", "begin", "end"])
+            kinds = (*[pa.int64()] * 4, pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array(x + y, kind) for x, y, kind in zip(*parts, kinds, strict=True)], names)
 
         for batch in batches:
-            for of, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "first", "place", "data")), strict=True):
-                if of != anchor:
-                    anchor = of
+            for anchor, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "body", "data", "place")), strict=True):
+                if anchor != now:
+                    now = anchor
                     if group and close() > SUFFIX_BYTES:
                         yield done()
-                group.setdefault(row[4], tuple(row))
+                group.append((anchor, *row))
         if close():
             yield done()
 
-    dealt = bodies.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(tidily(run), "k1 long, k2 long, begin long, end long")
+    dealt = bodies.repartition("anchor").sortWithinPartitions("anchor", "k1", "k2", "first")
+    return dealt.mapInArrow(tidily(run), "anchor long, body long, begin long, end long, earlier boolean")
 
 
 def _windows(bodies: DataFrame, length: int) -> DataFrame:
-    """(k1, k2, begin, end) of the windows of `bodies` that occur twice, each by 128 bits of its hash."""
+    """(k1, k2, anchor, body, span, old_anchor, old_body, at): each window of `bodies` as a segment of its own, by 128 bits of its hash."""
+    names = ["k1", "k2", "anchor", "body", "span", "old_anchor", "old_body", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k1, k2, first, data in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "first", "data")), strict=True):
+            for k1, k2, anchor, body, first, data in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "anchor", "body", "first", "data")), strict=True):
                 n = len(data) - length + 1
                 hashed = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([k1] * n), pa.array([k2] * n), pa.array(hashed[::2]), pa.array(hashed[1::2]), pa.array(np.arange(n) + first)], ["k1", "k2", "a", "b", "begin"])
+                at = np.arange(n)
+                of = [pa.array(np.full(n, x, np.int64)) for x in (k1, k2, anchor, body)]
+                yield pa.RecordBatch.from_arrays([*of[:2], pa.array(hashed[::2]), pa.array(hashed[1::2]), pa.array((at + first) * _PACK * _PACK + 1), *of[2:], pa.array(at)], names)
 
-    each = bodies.mapInArrow(tidily(run), "k1 long, k2 long, a long, b long, begin long").distinct()
-    twice = each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
-    return each.join(twice, ["a", "b"]).select("k1", "k2", "begin", (F.col("begin") + length).alias("end"))
+    return bodies.mapInArrow(tidily(run), ", ".join(f"{x} long" for x in names))
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, word: int = WORD, group: int = GROUP) -> DataFrame:
-    """(k1, k2, spans): for each text with repeated strings the byte spans [begin, end) under them, not merged."""
-    bodies = _keyed(docs.select(text), text).select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    long_enough = bodies.where(F.octet_length("text") >= length)
-    cut_up = table(segments(long_enough, length, word), "segments")
-    same = cut_up.groupBy("anchor", "body").agg(F.count("*").alias("n"), F.min("k1").alias("one"))
+def _kinds(cut_up: DataFrame) -> DataFrame:
+    """(anchor, body, n, lo, hi, kinds) of segments (k1, k2, anchor, body, span) whose anchor is met again; lo and hi are the body's first and last place."""
+    place = F.struct("k1", "k2", "span")
+    same = cut_up.groupBy("anchor", "body").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"))
     anchors = same.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("n").alias("most")).where("kinds > 1 OR most > 1").select("anchor", "kinds")
-    live = same.join(anchors, "anchor").where("n > 1 OR kinds > 1")
-    rows = table(cut_up.join(live, ["anchor", "body"]).where("n > 1 OR kinds > 1").select("k1", "k2", "anchor", "span", "n", "kinds", "one"), "repeats")
+    return same.join(anchors.hint("merge"), "anchor")
+
+
+def _places(kinds: DataFrame, texts_: DataFrame) -> DataFrame:
+    """(k1, k2, least, anchor, body, span): up to two places of each body."""
+    both = kinds.select("anchor", "body", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("at"))
+    return both.select("anchor", "body", "at.*").join(texts_.select("k1", "k2", "least").hint("merge"), ["k1", "k2"])
+
+
+def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, word: int = WORD, group: int = GROUP, keep_first: bool = False) -> DataFrame:
+    """(k1, k2, least, copies, spans) of texts that stand in several rows or have repeated strings.
+
+    spans: the bytes [begin, end) under strings that begin elsewhere, not merged; with
+    keep_first only under strings that have an earlier match. least: the text's least key.
+    """
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    bodies = _keyed(named, "text").select("key", F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") >= length)
+    known = table(bodies.groupBy("k1", "k2").agg(F.min("key").alias("least"), F.count("*").alias("copies")), "texts")
+    cut_up = table(segments(bodies.select("k1", "k2", "text"), length, word).distinct(), "segments")
+    all_kinds = table(_kinds(cut_up), "kinds")
+    wide = F.col("kinds") > group
+    live = all_kinds.where(~wide).select("anchor", "body", "lo")
+    # where the segments of a text are that may be repeated, and the first place of each
+    rows = table(cut_up.join(all_kinds.select("anchor", "body", "lo", "n", "kinds").hint("merge"), ["anchor", "body"]).where("n > 1 OR kinds > 1").select("k1", "k2", "anchor", "body", "span", (F.struct("k1", "k2", "span") == F.col("lo")).alias("is_lo")), "repeats")
+    drop(cut_up)
+    split = table(_windows(_bodies(bodies, _places(all_kinds.where(wide), known), length), length), "windows")
+    again = table(_kinds(split.select("k1", "k2", "anchor", "body", "span").distinct()).where("n > 1"), "kinds")
+    met = table(_compare(_bodies(bodies, _places(all_kinds.where(~wide), known).unionByName(_places(again, known)), length), length, word), "matches")
+    # a window that repeats tells of its body; it is met earlier unless the body's first place is the window's first place
+    found = split.join(again.select("anchor", "body", "lo").hint("merge"), ["anchor", "body"]).join(met.where("NOT earlier").select("anchor", "body").hint("merge"), ["anchor", "body"])
+    found = found.groupBy("old_anchor", "old_body", "at").agg(F.min(F.struct("k1", "k2", "span", (F.struct("k1", "k2", "span") == F.col("lo")).alias("is_lo"))).alias("least"))
+    met_before = F.explode(F.when(F.col("least.is_lo"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
+    found = found.select(F.col("old_anchor").alias("anchor"), F.col("old_body").alias("body"), F.col("at").alias("begin"), (F.col("at") + 1).alias("end"), met_before.alias("earlier"))
+    ranges = met.join(live.hint("merge"), ["anchor", "body"], "left_semi").unionByName(found)
+    use = (F.col("earlier") == F.col("is_lo")) if keep_first else ~F.col("earlier")
     first = F.shiftright("span", 24)  # twice _PACK
-    whole = rows.where("n > 1").select("k1", "k2", first.alias("begin"), (first + F.col("span") % _PACK + (length - 1)).alias("end"))
-    # one text for each kind of segment; a kind met once is itself, others are known to repeat and only stand for comparison
-    wanted = rows.where("kinds > 1 AND k1 = one")
-    few = _compare(_bodies(long_enough, wanted.where(F.col("kinds") <= group), length), length, word)
-    many = _windows(_bodies(long_enough, wanted.where(F.col("kinds") > group), length), length)
-    spans = whole.unionByName(few).unionByName(many).distinct()
+    spans = rows.join(ranges.hint("merge"), ["anchor", "body"]).where(use).select("k1", "k2", (first + F.col("begin")).alias("begin"), (first + F.col("end") + (length - 1)).alias("end"))
+    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     # written, so that the shuffles behind it are gone before the texts are shuffled again
-    return table(spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
+    out = table(known.join(spans.hint("merge"), ["k1", "k2"], "left").where("copies > 1 OR spans IS NOT NULL"), "spans")
+    drop(known, all_kinds, rows, split, again, met)
+    return out
 
 
-def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, word: int = WORD, group: int = GROUP) -> DataFrame:
+def dedup_substrings(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, word: int = WORD, group: int = GROUP, keep_first: bool = False) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, kept, spans): texts without the bytes under repeated strings.
 
     Every byte of a `length`-byte string that begins anywhere else, in any text, goes; the
     input decides, not what is left. kept is the rest as bytes, spans the maximal runs
     removed. Texts under `length` bytes, null and empty ones lose nothing. Every row counts:
-    of equal texts of enough bytes nothing is left. Rows with null keys are treated alike;
+    of equal texts of enough bytes nothing is left. With keep_first the first of equal
+    strings stays, in an order of texts by hash and of places; of equal texts the row with
+    the least key does (each of several such rows). Rows with null keys are treated alike;
     other columns are not read.
     """
-    found = repeated_spans(docs, text, length, word, group)
+    found = repeated_spans(docs, text, key, length, word, group, keep_first).withColumnsRenamed({"least": "_least", "copies": "_copies"})
     keyed = _keyed(docs.select(key, text), text)
-    joined = keyed.join(found, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left").select(key, F.col(text).alias("_text"), "spans")
+    whole = F.col("_copies") > 1
+    if keep_first:
+        whole &= ~F.col(key).eqNullSafe(F.col("_least"))
+    whole_span = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.octet_length(F.col(text)).cast("long").alias("end")))
+    spans = F.when(whole, whole_span).otherwise(F.col("spans")).alias("spans")
+    joined = keyed.join(found.hint("merge"), (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left").select(key, F.col(text).alias("_text"), spans)
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<begin:bigint,end:bigint>>"
     span_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))

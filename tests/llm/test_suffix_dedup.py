@@ -62,13 +62,16 @@ def test_suffixes_match_brute_force():
             for later in (False, True):
                 want = [max([0, *(lcp(i, j) for j in (range(i + 1, len(text)) if later else range(i)))]) for i in range(len(text))]
                 assert s.longest_factor(later).tolist() == want
-                assert s.has_factor(later).tolist() == [w == depth for w in want]
 
 
 def test_nearest_smaller():
-    for values in ([], [1, 2, 3, 0], list(range(500)) + [-1], list(range(500, 0, -1))):
-        got = sd._smaller(np.array(values, np.int64))
-        assert got.tolist() == [max([-1, *(j for j in range(i) if values[j] < v)]) for i, v in enumerate(values)]
+    rng = random.Random(3)
+    for values in ([], [1, 2, 3, 0], list(range(500)) + [-1], list(range(500, 0, -1)), rng.sample(range(300), 300)):
+        common = [0, *(rng.randrange(9) for _ in values[1:])][: len(values)]
+        got, least = sd._smaller(np.array(values, np.int64), np.array(common, np.int64))
+        want = [max([-1, *(j for j in range(i) if values[j] < v)]) for i, v in enumerate(values)]
+        assert got.tolist() == want
+        assert [m for m, j in zip(least.tolist(), want, strict=True) if j >= 0] == [min(common[j + 1 : i + 1]) for i, j in enumerate(want) if j >= 0]
 
 
 @pytest.mark.parametrize(("length", "word", "group"), [(40, 20, 2000), (40, 11, 3), (64, 32, 0)])
@@ -80,6 +83,42 @@ def test_matches_brute_force(spark, length, word, group):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
 
 
+@pytest.mark.parametrize("group", [2000, 0])
+def test_keep_first(spark, group):
+    """Of each repeated string at most one place stays, only repeated strings go, and a passage stays in one text."""
+    length = 40
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdef") for _ in range(70))
+    texts = [*sample(rng, 50, length), *("".join(rng.choice("ghijkl") for _ in range(90)) + f"{i}{passage}{i}" + "".join(rng.choice("mnopqr") for _ in range(90)) for i in range(3))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept_first = {r.doc_id: r for r in sd.dedup_substrings(df, length=length, word=20, group=group, keep_first=True).collect()}
+    everything = {r.doc_id: r for r in sd.dedup_substrings(df, length=length, word=20, group=group).collect()}
+    left = Counter()
+    for i, t in enumerate(texts):
+        d = (t or "").encode()
+        gone = np.zeros((2, len(d)), bool)
+        for flags, row in zip(gone, (kept_first[i], everything[i]), strict=True):
+            for x in row.spans:
+                flags[x.begin : x.end] = True
+        assert not (gone[0] & ~gone[1]).any()
+        for at in range(len(d) - length + 1):
+            left[d[at : at + length]] += not gone[0, at : at + length].all()
+    assert max(left.values()) == 1
+    assert sorted(kept_first[i].n_removed for i in range(len(texts) - 3, len(texts))) == [0, len(passage), len(passage)]
+
+
+def test_query_against_brute_force(spark):
+    """The registered query over a whole table, by plain windows."""
+    from quaybook.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {r.doc_id: w for r, w in zip(rows, brute([r.text for r in rows], 400), strict=True)}
+    got = queries.op3_suffix_dedup(spark, sf).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    assert all(r.n_removed or r.text == (s.text or "") for r in got for s in rows if s.doc_id == r.doc_id)
+
+
 def test_long_text_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(sd, "PIECE", 100)
     rng = random.Random(4)
