@@ -32,7 +32,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes under strings of 400 bytes that begin elsewhere, too."""
     found = dedup_substrings(documents(spark, sf_dir))
     # a run may begin or end inside a character: what is left of it reads as replacement characters in `text`
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.decode("kept", "UTF-8").alias("text"), "spans")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"), "spans")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

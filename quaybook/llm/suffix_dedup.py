@@ -35,8 +35,8 @@ from quaybook.llm.common import blocks, drop, mix, rolling, runs, table, texts,
 LENGTH = 400
 #: Bytes of the words that compete to be an anchor: a longer one makes chance matches rarer, a shorter one segments fewer.
 WORD = 128
-#: Different segments of one anchor that a block compares; an anchor with more is split into windows.
-GROUP = 2000
+#: Different segments of one anchor that a block compares, some 1.4 MB with a second place of each; an anchor with more is split into windows.
+GROUP = 1000
 #: Bytes of segments in one suffix array.
 SUFFIX_BYTES = 300_000
 #: Windows of a long text that are cut at once.
@@ -44,34 +44,37 @@ PIECE = 4_000_000
 BASE = 0x9E3779B97F4A7C15
 
 
-def _smaller(values: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each position the nearest before it with a smaller value (-1: none), and what all between have in common.
+def _minima_table(values: np.ndarray) -> list[np.ndarray]:
+    """At level k the least of the 2**k values from each position on."""
+    table_ = [values.astype(np.int32)]
+    while (width := 1 << len(table_)) <= len(values):
+        last = table_[-1]
+        table_.append(np.minimum(last[: len(values) - width + 1], last[width // 2 : width // 2 + len(values) - width + 1]))
+    return table_
 
-    common[i] is what i - 1 and i have in common; values differ.
-    """
+
+def _smaller(table_: list[np.ndarray], after: bool = False) -> np.ndarray:
+    """For each position the nearest before (after) it with a smaller value, by steps of halving width; -1 (n) if there is none."""
+    values = table_[0]
     n = len(values)
-    found, least = np.arange(n) - 1, common.copy()
-    least[:1] = 0
-    open_ = np.flatnonzero((found >= 0) & (values[np.maximum(found, 0)] > values))
-    for _ in range(64):
-        if not len(open_):
-            return found, least
-        # all between j = found[i] and i is larger than values[i], and all between found[j] and j larger than values[j]
-        before = found[open_]
-        least[open_] = np.minimum(least[open_], least[before])
-        found[open_] = jump = found[before]
-        open_ = open_[(jump >= 0) & (values[np.maximum(jump, 0)] > values[open_])]
-    stack: list[int] = []  # long chains: one after another
-    listed, shared, out, low = values.tolist(), common.tolist(), found.tolist(), least.tolist()
-    reach = [0] * n
-    for i, v in enumerate(listed):
-        now = shared[i] if i else 0
-        while stack and listed[stack[-1]] > v:
-            now = min(now, reach[stack.pop()])
-        out[i] = stack[-1] if stack else -1
-        low[i] = reach[i] = now if stack else 0
-        stack.append(i)
-    return np.array(out, np.int64), np.array(low, np.int64)
+    at = np.arange(1, n + 1) if after else np.arange(n)
+    for k in range(len(table_) - 1, -1, -1):
+        least, width = table_[k], 1 << k
+        begin = at if after else at - width
+        fits = (begin >= 0) & (begin < len(least))
+        skip = fits & (least[np.where(fits, begin, 0)] > values)
+        at = np.where(skip, at + (width if after else -width), at)
+    return at if after else at - 1
+
+
+def _least(table_: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The least value of each range [begin, end), none of them empty."""
+    out = np.empty(len(begin), np.int32)
+    level = np.frexp((end - begin).astype(np.float64))[1] - 1
+    for k in np.unique(level).tolist():
+        of = level == k
+        out[of] = np.minimum(table_[k][begin[of]], table_[k][end[of] - (1 << k)])
+    return out
 
 
 class Suffixes:
@@ -125,8 +128,8 @@ class Suffixes:
             out[fits & (rank[i] == rank[j])] += size
         return np.minimum(out, np.minimum(self.left[a], self.left[b]))
 
-    def longest_factor(self, later: bool = False) -> np.ndarray:
-        """For each position the longest match that begins at an earlier (later) one, up to depth.
+    def longest_factors(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each position the longest match that begins at an earlier one, and at a later one, up to depth.
 
         It is with the previous or the next smaller (larger) position in suffix order,
         and as long as what all suffixes from there have in common.
@@ -134,13 +137,17 @@ class Suffixes:
         at = self.order
         shared = np.zeros(self.n + 1, np.int64)
         shared[1 : self.n] = self.common(at[:-1], at[1:])
-        value = -at if later else at
-        out = np.zeros(self.n, np.int64)
-        for side in (slice(None), slice(None, None, -1)):
-            common = shared[:-1] if side.step is None else shared[1:][::-1]
-            smaller, least = _smaller(value[side], common)
-            out[at[side]] = np.maximum(out[at[side]], np.where(smaller >= 0, least, 0))
-        return np.minimum(out, self.left)
+        shared_table = _minima_table(shared)
+        found = []
+        for value in (at, -at):
+            best, table_ = np.zeros(self.n, np.int64), _minima_table(value)
+            for after in (False, True):
+                other = _smaller(table_, after)
+                has = np.flatnonzero((other >= 0) & (other < self.n))
+                a, b = np.minimum(has, other[has]), np.maximum(has, other[has])
+                best[at[has]] = np.maximum(best[at[has]], _least(shared_table, a + 1, b + 1))
+            found.append(np.minimum(best, self.left))
+        return found[0], found[1]
 
 
 def _minima(key: np.ndarray, width: int) -> np.ndarray:
@@ -272,8 +279,9 @@ def repeated_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.n
     sizes = np.array([len(s) for s in bodies], np.int64)
     ends = np.repeat(np.cumsum(sizes), sizes)
     suffixes = Suffixes(np.frombuffer(b"".join(bodies), np.uint8), ends, length)
-    earlier = suffixes.longest_factor() >= length
-    at = np.flatnonzero(earlier | (suffixes.longest_factor(later=True) >= length))
+    before, after = suffixes.longest_factors()
+    earlier = before >= length
+    at = np.flatnonzero(earlier | (after >= length))
     return np.repeat(np.arange(len(bodies)), sizes)[at], runs(sizes)[at], earlier[at]
 
 

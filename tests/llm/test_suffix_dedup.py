@@ -61,17 +61,19 @@ def test_suffixes_match_brute_force():
 
             for later in (False, True):
                 want = [max([0, *(lcp(i, j) for j in (range(i + 1, len(text)) if later else range(i)))]) for i in range(len(text))]
-                assert s.longest_factor(later).tolist() == want
+                assert s.longest_factors()[later].tolist() == want
 
 
 def test_nearest_smaller():
     rng = random.Random(3)
-    for values in ([], [1, 2, 3, 0], list(range(500)) + [-1], list(range(500, 0, -1)), rng.sample(range(300), 300)):
-        common = [0, *(rng.randrange(9) for _ in values[1:])][: len(values)]
-        got, least = sd._smaller(np.array(values, np.int64), np.array(common, np.int64))
-        want = [max([-1, *(j for j in range(i) if values[j] < v)]) for i, v in enumerate(values)]
-        assert got.tolist() == want
-        assert [m for m, j in zip(least.tolist(), want, strict=True) if j >= 0] == [min(common[j + 1 : i + 1]) for i, j in enumerate(want) if j >= 0]
+    for values in ([], [1, 2, 3, 0], [*range(500), -1], list(range(500, 0, -1)), rng.sample(range(300), 300)):
+        table = sd._minima_table(np.array(values, np.int64))
+        n = len(values)
+        assert sd._smaller(table).tolist() == [max([-1, *(j for j in range(i) if values[j] < v)]) for i, v in enumerate(values)]
+        assert sd._smaller(table, after=True).tolist() == [min([n, *(j for j in range(i + 1, n) if values[j] < v)]) for i, v in enumerate(values)]
+        ends = [sorted(rng.sample(range(n + 1), 2)) for _ in range(50)] if n else []
+        if ends:
+            assert sd._least(table, *np.array(ends).T).tolist() == [min(values[a:b]) for a, b in ends]
 
 
 @pytest.mark.parametrize(("length", "word", "group"), [(40, 20, 2000), (40, 11, 3), (64, 32, 0)])
