@@ -54,27 +54,37 @@ def _minima_table(values: np.ndarray) -> list[np.ndarray]:
 
 
 def _smaller(table_: list[np.ndarray], after: bool = False) -> np.ndarray:
-    """For each position the nearest before (after) it with a smaller value, by steps of halving width; -1 (n) if there is none."""
+    """For each position the nearest before (after) it with a smaller value; -1 (n) if there is none.
+
+    Steps of doubling width as long as all is larger, then of halving width: most positions need one or two.
+    """
     values = table_[0]
     n = len(values)
     at = np.arange(1, n + 1) if after else np.arange(n)
-    for k in range(len(table_) - 1, -1, -1):
+
+    def step(k: int, which: np.ndarray) -> np.ndarray:
+        """Move those of `which` that may by 2**k; returns them."""
         least, width = table_[k], 1 << k
-        begin = at if after else at - width
-        fits = (begin >= 0) & (begin < len(least))
-        skip = fits & (least[np.where(fits, begin, 0)] > values)
-        at = np.where(skip, at + (width if after else -width), at)
+        begin = at[which] if after else at[which] - width
+        inside = (begin >= 0) & (begin < len(least))
+        which, begin = which[inside], begin[inside]
+        which = which[least[begin] > values[which]]
+        at[which] += width if after else -width
+        return which
+
+    moved = [np.arange(n)]
+    while len(moved[-1]) and len(moved) <= len(table_):
+        moved.append(step(len(moved) - 1, moved[-1]))
+    for k in range(len(moved) - 2, -1, -1):
+        step(k, moved[k])
     return at if after else at - 1
 
 
 def _least(table_: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The least value of each range [begin, end), none of them empty."""
-    out = np.empty(len(begin), np.int32)
+    flat, offset = np.concatenate(table_), np.cumsum([0, *map(len, table_)])
     level = np.frexp((end - begin).astype(np.float64))[1] - 1
-    for k in np.unique(level).tolist():
-        of = level == k
-        out[of] = np.minimum(table_[k][begin[of]], table_[k][end[of] - (1 << k)])
-    return out
+    return np.minimum(flat[offset[level] + begin], flat[offset[level] + end - (1 << level)])
 
 
 class Suffixes:
