@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,6 @@ from quaybook.operators.book import sort_key
 from quaybook.operators.intervals import alive, running
 
 VIEW = ["pair_id", "side"]
-_SUM = "decimal(37,18)"
-
 
 def unioned(exchange_books: DataFrame) -> DataFrame:
     """After each exchange's book the union of all exchanges' latest levels, never summed.
@@ -30,24 +30,44 @@ def unioned(exchange_books: DataFrame) -> DataFrame:
     joined = alive(moments, held, VIEW, "n").groupBy(*VIEW, "ord", "snapshot_id").agg(F.max("book_time").alias("event_time"), F.flatten(F.collect_list("levels")).alias("all"))
 
     def key(x: Column) -> Column:
-        return F.struct(sort_key(F.col("side"), x["price"]).alias("k"), (-exact.number(x["quantity"])).alias("q"), x["exchange_id"].alias("e"), x.alias("level"))
+        return F.struct(sort_key(F.col("side"), x["price"]).alias("k"), exact.order_key(x["quantity"], falling=True).alias("q"), x["exchange_id"].alias("e"), x.alias("level"))
 
     levels = F.transform(F.sort_array(F.transform("all", key)), lambda x: x["level"])
     return joined.select(*VIEW, "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", levels.alias("levels"))
 
 
+def grouped(levels: Column, same: Callable[[Column, Column], Column], one: Callable[[Column], Column]) -> Column:
+    """one(group) for each run of neighbours that are the `same`, in one pass over an array."""
+
+    def cut(of: Column) -> Column:
+        n = F.size(of)
+        begins = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | ~same(F.get(of, i - 2), F.get(of, i - 1)))
+        return exact.let(begins, lambda b: F.zip_with(b, F.concat(F.slice(b, F.lit(2), F.size(b)), F.array(n + 1)), lambda x, y: one(F.slice(of, x, y - x))))
+
+    # a sequence from 1 to 0 would run backwards
+    return exact.let(levels, lambda of: F.when(F.size(of) > 0, cut(of)))
+
+
 def merged(aggregated: DataFrame) -> DataFrame:
     """Levels summed by price within live and within simulated liquidity; who gave to each, in order.
 
-    Null levels become an empty array. The levels of one record are compared within it.
+    Null levels become an empty array. The levels of one record are sorted and summed within it.
     """
-    plain = F.transform(F.coalesce("levels", F.array().cast("array<struct<exchange_id:int,simulation:int,source_id:string,price:string,quantity:string>>")), lambda x: F.struct(exact.canonical(x["price"]).alias("p"), x["simulation"].alias("s"), x.alias("x")))
-    keys = F.array_distinct(F.transform("_plain", lambda x: F.struct(F.when(F.col("side") == "bids", -exact.number(x["p"])).otherwise(exact.number(x["p"])).alias("k"), x["s"].alias("s"), x["p"].alias("p"))))
+    gave = F.coalesce("levels", F.array().cast("array<struct<exchange_id:int,simulation:int,source_id:string,price:string,quantity:string>>"))
+
+    def plain(x: Column, i: Column) -> Column:
+        def keyed(price: Column) -> Column:
+            return F.struct(sort_key(F.col("side"), price).alias("k"), x["simulation"].alias("s"), i.alias("i"), price.alias("p"), exact.canonical(x["quantity"]).alias("q"), x["exchange_id"].alias("e"), x["source_id"].alias("source"))
+
+        return exact.let(exact.canonical(x["price"]), keyed)
+
+    def one(group: Column) -> Column:
+        def each(field: str) -> Column:
+            return F.transform(group, lambda x: x[field])
 
-    def one(key: Column) -> Column:
-        same = F.filter("_plain", lambda x: (x["p"] == key["p"]) & (x["s"] == key["s"]))
-        total = F.aggregate(same, F.lit(0).cast(_SUM), lambda a, x: (a + exact.number(x["x"]["quantity"])).cast(_SUM))
-        return F.struct(key["s"].alias("simulation"), F.transform(same, lambda x: x["x"]["exchange_id"]).alias("exchange_ids"), F.transform(same, lambda x: x["x"]["source_id"]).alias("source_ids"), key["p"].alias("price"), exact.canonical(total.cast("string")).alias("quantity"))
+        first = group[0]
+        return F.struct(first["s"].alias("simulation"), each("e").alias("exchange_ids"), each("source").alias("source_ids"), first["p"].alias("price"), exact.total(each("q")).alias("quantity"))
 
-    out = aggregated.withColumn("_plain", plain).withColumn("_levels", F.transform(F.sort_array(keys), one))
-    return out.select("pair_id", "side", "ord", minted("merge", F.col("id")).alias("id"), F.col("id").alias("source_id"), "event_time", F.col("_levels").alias("levels"))
+    none = F.array().cast("array<struct<simulation:int,exchange_ids:array<int>,source_ids:array<string>,price:string,quantity:string>>")
+    levels = F.coalesce(grouped(F.sort_array(F.transform(gave, plain)), lambda x, y: (x["p"] == y["p"]) & x["s"].eqNullSafe(y["s"]), one), none)
+    return aggregated.select("pair_id", "side", "ord", minted("merge", F.col("id")).alias("id"), F.col("id").alias("source_id"), "event_time", levels.alias("levels"))

@@ -38,8 +38,8 @@ def level_intervals(sides: DataFrame) -> DataFrame:
 
 
 def sort_key(side: Column, price: Column) -> Column:
-    """Asks by rising, bids by falling price."""
-    return F.when(side == "asks", exact.number(price)).otherwise(-exact.number(price))
+    """Asks by rising, bids by falling price; prices are canonical."""
+    return exact.order_key(price, side != "asks")
 
 
 def _collect(joined: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from quaybook.functions import exact
 from quaybook.functions.ids import restamped
+from quaybook.operators.aggregate import grouped
 
 SIDES = ("asks", "bids")
-_SUM = "decimal(37,18)"
 
 
 def _valid(side: str) -> Column:
@@ -36,28 +36,31 @@ def rebased(events: DataFrame, factors: DataFrame) -> DataFrame:
     return new.withColumns({"id": F.when(kept, F.col("id")).otherwise(F.col("_id")), "source_ids": F.when(kept, F.col("source_ids")).otherwise(F.col("_parents"))}).drop("_id", "_parents")
 
 
-def truncated(side: str) -> Column:
-    """Levels with truncated prices, and their quantities as numbers to add."""
-    return F.transform(side, lambda x: F.struct(exact.cut(x["price"], F.col("price_precision")).alias("price"), exact.number(x["quantity"]).cast(_SUM).alias("q"), x["quantity"].alias("quantity")))
+def merged_levels(side: str) -> Column:
+    """A side's levels with truncated prices, those of one price as one: quantities are summed first and truncated once.
 
+    They stand where the first of them stood. A side is sorted and summed within the record.
+    """
 
-def merged_levels(levels: str) -> Column:
-    """truncated() levels, those of one price as one: summed first and truncated once.
+    def level(x: Column) -> Column:
+        return F.struct(exact.cut(x["price"], F.col("price_precision")).alias("price"), exact.cut(x["quantity"], F.col("quantity_precision")).alias("quantity"))
 
-    They stand where the first of them stood. Levels of one side are few, so they are
-    compared within the record.
-    """
-    def one(price: Column) -> Column:
-        same = F.filter(levels, lambda x: x["price"] == price)
-        total = F.aggregate(same, F.lit(0).cast(_SUM), lambda a, x: (a + x["q"]).cast(_SUM)).cast("string")
-        quantity = F.when(F.size(same) == 1, same[0]["quantity"]).otherwise(total)
-        return F.struct(price.alias("price"), exact.cut(quantity, F.col("quantity_precision")).alias("quantity"))
+    def plain(x: Column, i: Column) -> Column:
+        return F.struct(exact.cut(x["price"], F.col("price_precision")).alias("p"), i.alias("i"), x["quantity"].alias("q"))
+
+    def one(group: Column) -> Column:
+        quantities = F.transform(group, lambda x: exact.canonical(x["q"]))
+        quantity = F.when(F.size(group) == 1, group[0]["q"]).otherwise(exact.total(quantities))
+        return F.struct(group[0]["i"].alias("i"), group[0]["p"].alias("price"), exact.let(quantity, lambda q: exact.cut(q, F.col("quantity_precision"))).alias("quantity"))
 
-    return F.transform(F.array_distinct(F.transform(levels, lambda x: x["price"])), one)
+    levels = grouped(F.sort_array(F.transform(side, plain)), lambda x, y: x["p"].eqNullSafe(y["p"]), one)
+    found = F.transform(F.sort_array(levels), lambda x: F.struct(x["price"].alias("price"), x["quantity"].alias("quantity")))
+    # most sides have no two levels of one price
+    return exact.let(F.transform(side, level), lambda each: F.when(F.size(F.array_distinct(each["price"])) == F.size(each), each).otherwise(found))
 
 
 def precise(events: DataFrame, precisions: DataFrame) -> DataFrame:
     """events with levels truncated to their pair's precisions; a pair without a row only merges equal prices."""
-    joined = events.join(precisions, "pair_id", "left").withColumns({f"_{s}": truncated(s) for s in SIDES})
-    out = joined.withColumns({s: merged_levels(f"_{s}") for s in SIDES})
+    joined = events.join(precisions, "pair_id", "left")
+    out = joined.withColumns({s: merged_levels(s) for s in SIDES})
     return restamped(out.select(*events.columns), "precision", F.col("id"))

@@ -41,7 +41,7 @@ def named(books: DataFrame, catalog: DataFrame, exchanges: DataFrame) -> DataFra
 def top(snapshots: DataFrame) -> DataFrame:
     """Best prices, exact spread (null if a side is empty), levels of each side."""
     ask, bid = F.get("asks", 0)["price"], F.get("bids", 0)["price"]
-    spread = exact.canonical((exact.number(ask).cast("decimal(37,18)") - exact.number(bid).cast("decimal(37,18)")).cast("string"))
+    spread = F.when(ask.isNotNull() & bid.isNotNull(), exact.total(F.array(ask, exact.negated(bid))))
     return snapshots.select("exchange_id", "pair_id", "ord", ask.alias("best_ask"), bid.alias("best_bid"), spread.alias("spread"), F.size("asks").cast("long").alias("n_asks"), F.size("bids").cast("long").alias("n_bids"))
 
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quaybook.functions import exact
 
 RAW_TOPIC = "^ex([0-9]+)-raw$"
 EVENT = "struct<market:string,type:string,sequence_id:bigint,sequence_jump:bigint,event_time:bigint,asks:array<struct<price:string,quantity:string>>,bids:array<struct<price:string,quantity:string>>>"
@@ -46,17 +47,16 @@ def _string_levels(of: str, path: str) -> tuple[str, str]:
 
 
 def _number_levels(of: str, path: str, price: str = "$[0]", quantity: str = "$[1]") -> tuple[str, str]:
-    """The same of JSON numbers; they become plain decimal strings."""
+    """The same of JSON numbers, as their text: parsed() makes it canonical. JSON numbers are exact up to 38 digits."""
     side = _at(of, path, "array<variant>")
+    return (
+        f"transform({side}, x -> named_struct('price', {_at('x', price)}, 'quantity', {_at('x', quantity)}))",
+        f"coalesce(forall({side}, x -> {_number('x', price)} AND {_number('x', quantity)}), NOT {_is(of, path, 'ARRAY')})",
+    )
 
-    def plain(at: str) -> str:
-        text = f"cast({_at('x', at, 'decimal(38,18)')} AS string)"
-        return f"regexp_replace(regexp_replace({text}, '(\\\\.[0-9]*?)0+$', '$1'), '\\\\.$', '')"
-
-    def fits(at: str) -> str:
-        return f"({_kind('x', at)} RLIKE '^(BIGINT|DECIMAL|DOUBLE)' AND {_at('x', at, 'decimal(38,18)')} IS NOT NULL)"
 
-    return f"transform({side}, x -> named_struct('price', {plain(price)}, 'quantity', {plain(quantity)}))", f"coalesce(forall({side}, x -> {fits(price)} AND {fits(quantity)}), NOT {_is(of, path, 'ARRAY')})"
+def _number(of: str, path: str) -> str:
+    return f"{_kind(of, path)} RLIKE '^(BIGINT|DECIMAL|DOUBLE)'"
 
 
 def _event(market: str, kind: str, sequence: str, jump: int, time: str, asks: tuple[str, str] | None, bids: tuple[str, str] | None) -> str:
@@ -70,7 +70,7 @@ def _event(market: str, kind: str, sequence: str, jump: int, time: str, asks: tu
 
 def _cases(*cases: tuple[str, str]) -> str:
     """The array of the first case that holds; null if its event can't be read."""
-    whens = " ".join(f"WHEN {test} THEN (CASE WHEN {event} IS NOT NULL THEN array({event}) END)" for test, event in cases)
+    whens = " ".join(f"WHEN {test} THEN transform(array(array({event})), a -> CASE WHEN a[0] IS NOT NULL THEN a END)[0]" for test, event in cases)
     return f"CASE {whens} ELSE CAST(array() AS array<{EVENT}>) END"
 
 
@@ -128,7 +128,7 @@ def exchange_4() -> str:
 def _many(test: str, fits: str, event: str) -> str:
     """An event for each element d of data; one that doesn't fit drops the frame without a word, one that can't be read with one."""
     data = _at("v", "$.data", "array<variant>")
-    return f"CASE WHEN {test} AND forall({data}, d -> {fits}) THEN (CASE WHEN forall({data}, d -> {event} IS NOT NULL) THEN transform({data}, d -> {event}) END) ELSE CAST(array() AS array<{EVENT}>) END"
+    return f"CASE WHEN {test} AND forall({data}, d -> {fits}) THEN transform(array(transform({data}, d -> {event})), a -> CASE WHEN forall(a, e -> e IS NOT NULL) THEN a END)[0] ELSE CAST(array() AS array<{EVENT}>) END"
 
 
 def exchange_5() -> str:
@@ -150,6 +150,17 @@ def exchange_8() -> str:
     return _many(test, f"({_is('d', '$.asks', 'ARRAY')} OR {_is('d', '$.bids', 'ARRAY')}) AND {_is('d', '$.ts', 'STRING')}", event)
 
 
+#: Exchanges whose levels are JSON numbers: their text is made canonical; that of others stays as written.
+JSON_NUMBERS = (3, 4)
+
+
+def _canonical_levels(events: Column) -> Column:
+    def side(levels: Column) -> Column:
+        return F.transform(levels, lambda x: F.struct(exact.canonical(x["price"]).alias("price"), exact.canonical(x["quantity"]).alias("quantity")))
+
+    return F.transform(events, lambda e: e.withField("asks", side(e["asks"])).withField("bids", side(e["bids"])))
+
+
 #: exchange id -> its parser; add to it to read another exchange.
 PARSERS: dict[int, Callable[[], str]] = {1: exchange_1, 2: exchange_2, 3: exchange_3, 4: exchange_4, 5: exchange_5, 6: exchange_6, 8: exchange_8}
 
@@ -163,7 +174,9 @@ def parsed(frames: DataFrame, parsers: dict[int, Callable[[], str]] | None = Non
     parsers = PARSERS if parsers is None else parsers
     cases = " ".join(f"WHEN {e} THEN {sql()}" for e, sql in parsers.items())
     carrier = "CASE WHEN exchange_id = 3 THEN try_variant_get(v, '$[2]', 'variant') ELSE v END"
-    out = frames.withColumn("v", F.try_parse_json("value")).withColumns({"events": F.expr(f"CASE exchange_id {cases} END"), "tags": F.expr(carrier)})
+    numbers = F.col("exchange_id").isin(*JSON_NUMBERS)
+    events = exact.let(F.expr(f"CASE exchange_id {cases} END"), lambda e: F.when(numbers, _canonical_levels(e)).otherwise(e))
+    out = frames.withColumn("v", F.try_parse_json("value")).withColumns({"events": events, "tags": F.expr(carrier)})
     known = F.col("exchange_id").isin(*parsers)
     return out.withColumns({
         "simulation": F.expr("coalesce(try_variant_get(tags, '$.simulation', 'int'), 0)"),
