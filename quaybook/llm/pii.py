@@ -122,6 +122,18 @@ def spelled_digits(tape: Tape) -> Tape:
     return tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
 
 
+def _before_dot(text: str, at: int) -> int:
+    """Where a hidden dot that ends at `at` can begin: before spaces, brackets, a word or a full stop, brackets and spaces."""
+    for fits in (_beside_dot, str.isalpha, _beside_dot):
+        while at and (fits(text[at - 1]) or (fits is str.isalpha and text[at - 1] == ".")):
+            at -= 1
+    return at
+
+
+def _beside_dot(c: str) -> bool:
+    return c.isspace() or c in "[](){}<>"
+
+
 def signs(tape: Tape) -> Tape:
     """Disguised @ and full stops of addresses and of four numbers."""
     changes = []
@@ -130,7 +142,7 @@ def signs(tape: Tape) -> Tape:
         while True:  # hidden dots in the local part: first [dot] last [at] ...
             while local and tape.text[local - 1] in _LOCAL:
                 local -= 1
-            hidden = next((x for x in _IN_LOCAL.finditer(tape.text, max(0, local - 12), local + 1) if x.end() == local), None)
+            hidden = next((x for x in _IN_LOCAL.finditer(tape.text, _before_dot(tape.text, local), local + 1) if x.end() == local), None)
             if hidden is None or not hidden.start() or (changes and changes[-1][1] > hidden.start()):
                 break
             changes.append((hidden.start(), hidden.end(), "."))

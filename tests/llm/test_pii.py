@@ -97,3 +97,10 @@ def test_rows(spark):
     assert sorted((r.doc_id or 0, r.n_email, r.n_added) for r in got) == [(0, 0, 0), (1, 1, 0), (1, 1, 0), (2, 0, 0), (3, 0, 5000)]
     assert {r.base_sha256 for r in got if r.doc_id == 1} == {hashlib.sha256(written([(2, "email", 8)]).encode()).hexdigest()}
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_dots_far_from_their_words():
+    """Spaces of any number may stand around a hidden dot in the local part."""
+    text = "first [             dot             ] last [at] example [dot] com"
+    found = find_disguised(text, find(text))
+    assert [(text[a:b], kind) for a, kind, b in found] == [(text, "email")]
