@@ -6,6 +6,9 @@ more than the stage that runs.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,33 +23,49 @@ from quaybook.llm.near_dedup import keep_one
 MIN_SCORE = 0.3
 
 
+def _beside(docs: DataFrame, made: tuple[str, ...], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """operator(docs) for one that makes columns of the names `made`: columns of docs with these names come back as they were."""
+    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c in made}
+    return operator(docs.withColumnsRenamed(aside)).drop(*made).withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; a missing label is filled in."""
+    """Documents in a language that the labelled ones teach; a missing label is filled in.
+
+    Null, empty and letterless texts go, as no language is found in them; repeated rows are
+    judged alike. Without any labelled row every document goes; an empty table stays empty.
+    """
     small_batches(spark)
-    found = langid.identify(docs, langid.fit(docs)).where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+    def judged(named: DataFrame) -> DataFrame:
+        found = langid.identify(named, langid.fit(named)).where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
+        return found.withColumn("lang", F.coalesce("lang", "lang_pred"))
+
+    return _beside(docs, ("lang_pred", "score"), judged)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines; n_chars counts what is left."""
-    out = dedup_lines(docs)
+    """Documents without their source's boilerplate lines; n_chars counts what is left.
+
+    A null text stays null, an emptied one is empty; no row goes, repeated ones count as pages each.
+    """
     changed = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", changed).select(*docs.columns)
+    return _beside(docs, ("n_lines", "n_dropped"), lambda named: dedup_lines(named).withColumn("n_chars", changed))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: null and empty texts are one class, and so are repeated rows."""
     small_batches(spark)
     return keep_one(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix: files and rows stand by position."""
-    return mix_sources(docs).repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    """All documents, in the order of the mix: files and rows stand by position. Null sources are one source; no row goes."""
+    return _beside(docs, ("block", "slot", "position"), lambda named: mix_sources(named).repartitionByRange("position").sortWithinPartitions("position"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's token ids, with digests of them and of the text that they decode to."""
+    """Each document's token ids, with digests of them and of the text that they decode to; a null text is an empty one."""
     small_batches(spark)
     path = tokenizer_path("byte_bpe_50k.json")
     return bpe.digests(bpe.encode_texts(docs, path), path, with_ids=True)
