@@ -229,11 +229,13 @@ def test_seek_one_record(spark):
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clashing = ("score", "lang_pred", "n_lines", "block", "position", "class_id", "k1")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in clashing})
     before = docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = near_dedup.table(stage(spark, docs, SF), re.sub(r"\W", "-", name))
         assert out.columns == docs.columns
+        assert out.where(" OR ".join(f"{c} <> concat('{c}', doc_id)" for c in clashing)).isEmpty()
         n = out.count()
         assert n <= before
         if name in ("line dedup", "mixing"):
