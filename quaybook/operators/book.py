@@ -51,7 +51,7 @@ def _collect(joined: DataFrame, keys: list[str]) -> DataFrame:
 def books(events: DataFrame, final_only: bool = False) -> DataFrame:
     """A snapshot after every event, or with final_only after each market's last one.
 
-    Both sides are never null. Events of a market have distinct `ord`. The levels of a book
+    Both sides are never null; stamps in `timings` pass through. Events of a market have distinct `ord`. The levels of a book
     are collected last; until then rows are narrow.
     """
     sides = _sides(events)
@@ -67,8 +67,9 @@ def books(events: DataFrame, final_only: bool = False) -> DataFrame:
 
     # max of arrays isn't hashed: there are two rows a group, one of them null
     both = levels.groupBy(*MARKET, "ord").agg(of("asks"), of("bids"))
-    head = events.select(*MARKET, "ord", "simulation", F.col("id").alias("trigger_id"), "event_time", F.col("sequence_id").alias("last_sequence_id"), minted("book", F.col("id")).alias("id"))
-    return head.join(both, [*MARKET, "ord"]).select(*MARKET, "ord", "simulation", "id", "trigger_id", "event_time", "last_sequence_id", "asks", "bids")
+    timings = ["timings"] if "timings" in events.columns else []
+    head = events.select(*MARKET, "ord", "simulation", F.col("id").alias("trigger_id"), "event_time", F.col("sequence_id").alias("last_sequence_id"), minted("book", F.col("id")).alias("id"), *timings)
+    return head.join(both, [*MARKET, "ord"]).select(*MARKET, "ord", "simulation", "id", "trigger_id", "event_time", "last_sequence_id", "asks", "bids", *timings)
 
 
 def split(snapshots: DataFrame, keep_source: bool = False) -> DataFrame:

@@ -65,13 +65,14 @@ def episodes(polls: DataFrame, removed: DataFrame | None = None) -> DataFrame:
     """(topic, since, recovered, duration) from polls (topic, now, stale): gaps and islands.
 
     An episode lasts from the first stale poll to the next healthy one; recovered and
-    duration are null while it lasts. A topic in `removed` (topic, at) closes then.
+    duration are null while it lasts. A topic in `removed` (topic, at) closes then; an
+    episode that begins after that isn't touched.
     """
     by_topic = Window.partitionBy("topic").orderBy("now")
     marked = polls.withColumn("was", F.lag("stale", 1, 0).over(by_topic)).where("stale <> was")
     turns = marked.withColumn("recovered", F.lead("now").over(by_topic)).where("stale = 1").select("topic", F.col("now").alias("since"), "recovered")
     if removed is not None:
-        turns = turns.join(removed, "topic", "left").withColumn("recovered", F.coalesce("recovered", "at")).drop("at")
+        turns = turns.join(removed, "topic", "left").withColumn("recovered", F.coalesce("recovered", F.when(F.col("at") >= F.col("since"), F.col("at")))).drop("at")
     return turns.withColumn("duration", F.col("recovered") - F.col("since"))
 
 
@@ -80,6 +81,41 @@ def open_episodes(history: DataFrame) -> DataFrame:
     return history.where("recovered IS NULL").groupBy("topic").agg(F.max("since").alias("since"))
 
 
+def resumed(polls: DataFrame, history: DataFrame, removed: DataFrame | None = None) -> DataFrame:
+    """episodes() of polls after a restart: open episodes of the history go on from where they began."""
+    begun = open_episodes(history).select("topic", F.col("since").alias("now"), F.lit(1).alias("stale"))
+    return episodes(polls.select("topic", "now", "stale").unionByName(begun), removed)
+
+
+def recorded(history: DataFrame, turns: DataFrame) -> DataFrame:
+    """The history (topic, since, recovered, duration) after an upsert of turns: a row for each topic and beginning.
+
+    An end that is known stays; so turns that are recorded again, after a lost run, change nothing.
+    """
+    both = history.select(*turns.columns).unionByName(turns)
+    return both.groupBy("topic", "since").agg(F.min("recovered").alias("recovered"), F.min("duration").alias("duration"))
+
+
+def metrics(polls: DataFrame, turns: DataFrame) -> DataFrame:
+    """A row for each topic: the last poll's gauges, those of its episodes, and two counters.
+
+    polls: (topic, now, stale, threshold, last_ts), turns: their episodes(). stale_seconds
+    gives an interval between two polls to the state that it began in. 0 stands for
+    none, -1 for seconds since a record where there was none. Times are in milliseconds.
+    """
+    before = Window.partitionBy("topic").orderBy("now")
+    spent = polls.withColumn("spent", F.when(F.lag("stale").over(before) == 1, F.col("now") - F.lag("now").over(before)))
+    last = spent.groupBy("topic").agg(F.max_by(F.struct("now", "stale", "threshold", "last_ts"), "now").alias("poll"), F.coalesce(F.sum("spent") / 1000, F.lit(0.0)).alias("stale_seconds")).select("topic", "poll.*", "stale_seconds")
+    ended = turns.groupBy("topic").agg(
+        F.count("*").alias("episodes"), F.max(F.when(F.col("recovered").isNull(), F.col("since"))).alias("stale_since"), F.max("recovered").alias("last_recovery"),
+        (F.max_by("duration", "recovered") / 1000).alias("last_stale_seconds"),
+    )
+    out = last.join(ended, "topic", "left")
+    seconds = F.when(F.col("last_ts") > 0, (F.col("now") - F.col("last_ts")) / 1000).otherwise(-1.0)
+    gauges = [F.coalesce(c, F.lit(0)).alias(c) for c in ("stale_since", "last_recovery")]
+    return out.select("topic", seconds.alias("seconds_since"), "stale", "threshold", "last_ts", *gauges, F.coalesce("last_stale_seconds", F.lit(0.0)).alias("last_stale_seconds"), F.coalesce("episodes", F.lit(0)).alias("episodes"), "stale_seconds")
+
+
 def subscriptions(rows: DataFrame, reverse: bool = False) -> DataFrame:
     """(exchange, market, action) to send; `disable` and incomplete rows are left out, reverse swaps the actions."""
     complete = rows.where("trim(exchange) <> '' AND trim(market) <> '' AND trim(action) <> ''").select(*(F.trim(c).alias(c) for c in ("exchange", "market", "action"))).where("action <> 'disable'")

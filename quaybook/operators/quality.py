@@ -1,11 +1,33 @@
-"""Checks of lineage: each returns the rows that break a rule."""
+"""Checks: of lineage, each returns the rows that break a rule; of streams, and of what they must hold."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaybook.functions.ids import UUID
+from quaybook.operators.intervals import running
+
+
+def differences(got: DataFrame, want: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
+    """(keys, n, got, want): places where two ordered streams differ in `fields`; null where one has no record. None: they are equal."""
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        return running(df.select(*keys, order, *fields), keys, order, {"n": F.lit(1)}).select(*keys, "n", F.struct(*fields).alias(name))
+
+    return placed(got, "got").join(placed(want, "want"), [*keys, "n"], "full").where(~F.col("got").eqNullSafe(F.col("want")))
+
+
+def expected_union(snapshots: DataFrame) -> DataFrame:
+    """What the union of one exchange must show: its last book, each level with its exchange and simulation, in the same order."""
+    rest = [c for c in snapshots.columns if c not in ("exchange_id", "pair_id")]
+    last = snapshots.groupBy("exchange_id", "pair_id").agg(F.max_by(F.struct(*rest), "ord").alias("b")).select("exchange_id", "pair_id", "b.*")
+
+    def side(name: str) -> Column:
+        levels = F.transform(name, lambda x: F.struct(F.col("exchange_id").alias("exchange_id"), F.col("simulation").alias("simulation"), x["price"].alias("price"), x["quantity"].alias("quantity")))
+        return F.struct(F.lit(name).alias("side"), levels.alias("levels"))
+
+    return last.select("exchange_id", "pair_id", F.explode(F.array(side("asks"), side("bids"))).alias("s")).select("exchange_id", "pair_id", "s.*")
 
 
 def bad_ids(records: DataFrame, column: str = "id") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from quaybook.functions.ids import minted, pair_key, restamped
+from quaybook.functions.times import Clock, stamped
 from quaybook.operators.steps import ACCEPTED, Sequence
 
 MARKET = ["exchange_id", "pair_id"]
@@ -37,8 +38,11 @@ def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
     return events.repartition(*MARKET).sortWithinPartitions(*MARKET, order).mapInArrow(run, schema)
 
 
-def accepted(judged: DataFrame) -> DataFrame:
-    """What goes on: accepted events, restamped, and after a gap a reset with the gap as its parent."""
+def accepted(judged: DataFrame, clock: Clock | None = None) -> DataFrame:
+    """What goes on: accepted events, restamped, and after a gap a reset with the gap as its parent.
+
+    With a clock they are stamped; a reset has the stamps of this stage alone.
+    """
     tags = F.when(F.col("verdict") == ACCEPTED, "event").when(F.col("reset"), "reset")
     rows = judged.withColumn("tag", tags).where("tag IS NOT NULL")
     is_reset = F.col("tag") == "reset"
@@ -47,19 +51,28 @@ def accepted(judged: DataFrame) -> DataFrame:
         "type": F.when(is_reset, "reset").otherwise(F.col("type")), "sequence_id": F.when(~is_reset, F.col("sequence_id")), "sequence_jump": F.when(is_reset, 0).otherwise(F.col("sequence_jump")).cast("long"),
         "asks": F.when(is_reset, F.lit(None).cast(side)).otherwise(F.col("asks")), "bids": F.when(is_reset, F.lit(None).cast(side)).otherwise(F.col("bids")),
     })
+    if clock:
+        rows = stamped(rows, "type_validate", clock, fresh=is_reset)
     return restamped(rows, "validate", F.col("tag"), F.col("id")).drop("tag", "verdict", "request", "reset")
 
 
-def dead_letters(rows: DataFrame, reason: str = "verdict", stage: str = "validate") -> DataFrame:
-    """Envelopes of rejected events: the event as it came, under an id of the envelope's own."""
+def dead_letters(rows: DataFrame, reason: str = "verdict", stage: str = "validate", clock: Clock | None = None) -> DataFrame:
+    """Envelopes of rejected events: the event as it came, under an id of the envelope's own.
+
+    With a clock the envelope has rejected_at, and the event the stamp of coming in, none of going out.
+    """
+    timed = {"validate": "type_validate"}.get(stage, stage)
+    if clock:
+        rows = stamped(rows, timed, clock, ("in",))
     names = [c for c in rows.columns if c not in ("verdict", "request", "reset", reason)]
     return rows.select(
         F.struct(*names).alias("event"), minted(stage, "rejected", F.col("id")).alias("id"), F.array("id").alias("source_ids"), F.col(reason).alias("reject_reason"), "exchange_id", "pair_id", "ord",
+        *([clock(timed, "out").cast("long").alias("rejected_at")] if clock else []),
     )
 
 
-def rejected(judged: DataFrame) -> DataFrame:
-    return dead_letters(judged.where(F.col("verdict") != ACCEPTED))
+def rejected(judged: DataFrame, clock: Clock | None = None) -> DataFrame:
+    return dead_letters(judged.where(F.col("verdict") != ACCEPTED), clock=clock)
 
 
 def controls(judged: DataFrame) -> DataFrame:

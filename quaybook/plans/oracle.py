@@ -197,6 +197,23 @@ ORACLE_SQL: dict[str, str] = {
     "market_catalog": f"WITH {MARKETS}, coins(id, name) AS (VALUES (1, 'BTC'), (2, 'USDT'), (3, 'IRT'), (4, 'ETH')) SELECT m.id AS pair_id, b.name AS base, q.name AS quote FROM markets m JOIN coins b ON b.id = m.base_id JOIN coins q ON q.id = m.quote_id",
 }
 
+ORACLE_SQL["episode_history"] = f"""SELECT topic, since, coalesce(recovered, CASE WHEN topic LIKE 'ex3-%' THEN 1000000000000 END) AS recovered, coalesce(duration, CASE WHEN topic LIKE 'ex3-%' THEN 1000000000000 - since END) AS duration
+    FROM ({ORACLE_SQL["staleness_episodes"]})"""
+ORACLE_SQL["staleness_metrics"] = f"""WITH {FEED}, {_RECORDS}, polled AS (SELECT topic, ord, CASE WHEN event_time % 3 = 0 THEN 1 ELSE 0 END AS stale, lag(ord) OVER t AS before, lag(event_time % 3 = 0) OVER t AS was FROM records WINDOW t AS (PARTITION BY topic ORDER BY ord)),
+    last AS (SELECT topic, max(ord) AS o, arg_max(stale, ord)::INT AS stale, sum(CASE WHEN was THEN ord - before ELSE 0 END) / 1000.0 AS spent FROM polled GROUP BY topic),
+    ended AS (SELECT topic, count(*) AS n, max(since) FILTER (recovered IS NULL) AS since, max(recovered) AS recovered, arg_max(duration, recovered) / 1000.0 AS took FROM ({ORACLE_SQL["staleness_episodes"]}) GROUP BY topic)
+    SELECT topic, CASE WHEN o % 2 = 0 AND o > 500 THEN 0.5 ELSE -1.0 END::DOUBLE AS seconds_since, stale, 60 AS threshold, CASE WHEN o % 2 = 0 THEN o - 500 ELSE 0 END::BIGINT AS last_ts, coalesce(since, 0)::BIGINT AS stale_since, coalesce(recovered, 0)::BIGINT AS last_recovery,
+           coalesce(took, 0)::DOUBLE AS last_stale_seconds, coalesce(n, 0)::BIGINT AS episodes, spent::DOUBLE AS stale_seconds FROM last LEFT JOIN ended USING (topic)"""
+ORACLE_SQL["watch_list_modes"] = f"""WITH {WATCHED} SELECT 'db' AS mode, topic, threshold::INT AS threshold FROM derived
+    UNION ALL SELECT 'config', topic, threshold::INT FROM (VALUES ('ex1-raw', 30), ('p1-asks', 99)) m(topic, threshold) UNION ALL SELECT 'both', topic, threshold FROM watched UNION ALL SELECT 'else', topic, threshold FROM watched"""
+ORACLE_SQL["stage_timings"] = VERDICTS + """SELECT exchange_id, pair_id, ord, CASE WHEN type = 'reset' THEN 'reset' ELSE 'event' END AS kind, CASE WHEN type <> 'reset' THEN event_time END AS pair_extract_in, CASE WHEN type <> 'reset' THEN event_time + 5 END AS pair_extract_out,
+    event_time + 10 AS type_validate_in, event_time + 15 AS type_validate_out, NULL::BIGINT AS rebase_in, NULL::BIGINT AS rebase_out, NULL::BIGINT AS rejected_at FROM kept
+    UNION ALL SELECT exchange_id, pair_id, ord, 'rejected', event_time, event_time + 5, ord * 1000, NULL, NULL, NULL, ord * 1000 + 1 FROM judged WHERE verdict <> 'accepted'"""
+ORACLE_SQL["rfc3339_times"] = f"WITH {FEED} SELECT ord, strftime(make_timestamp(1000 * CASE WHEN ord % 2 = 0 THEN event_time + ord % 1000 ELSE -ord * 86399999 END), '%Y-%m-%dT%H:%M:%SZ') AS at FROM feed"
+ORACLE_SQL["stream_differences"] = f"""WITH {FEED}, want AS (SELECT exchange_id, pair_id, id, row_number() OVER (PARTITION BY exchange_id, pair_id ORDER BY ord) AS n FROM feed),
+    got AS (SELECT exchange_id, pair_id, CASE WHEN ord % 97 = 0 THEN id || 'x' ELSE id END AS id, row_number() OVER (PARTITION BY exchange_id, pair_id ORDER BY ord) AS n FROM feed WHERE NOT (exchange_id = 3 AND ord % 101 = 0))
+    SELECT exchange_id, pair_id, n, g.id AS got, w.id AS want FROM got g FULL JOIN want w USING (exchange_id, pair_id, n) WHERE g.id IS DISTINCT FROM w.id"""
+ORACLE_SQL["expected_union"] = f"SELECT exchange_id, pair_id, side, levels FROM ({ORACLE_SQL['split_sides']}) QUALIFY row_number() OVER (PARTITION BY exchange_id, pair_id, side ORDER BY ord DESC) = 1"
 ORACLE_SQL["stream_validate"] = ORACLE_SQL["validate_verdicts"]
 ORACLE_SQL["stream_books"] = ORACLE_SQL["book_events"]
 ORACLE_SQL["stream_union"] = ORACLE_SQL["aggregate_union"]

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from quaybook.functions.times import Clock, now, stamped
 from quaybook.operators import aggregate, book, extract, scale, validate
 from quaybook.sources.io import landed
 
@@ -27,20 +28,22 @@ class Views:
     merged: DataFrame
 
 
-def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False) -> Views:
+def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False, clock: Clock = now) -> Views:
+    """Every record carries the stamps of the stages that it has passed."""
     judged = landed(validate.verdicts(events), "judged")
-    validated = validate.accepted(judged)
+    validated = validate.accepted(judged, clock)
     based = scale.rebased(validated, factors)
-    ready = landed(scale.precise(based.where("reject IS NULL").drop("reject"), precisions), "ready")
-    snapshots = landed(book.books(ready, final_only), "snapshots")
+    scaled = stamped(based.where("reject IS NULL").drop("reject"), "rebase", clock)
+    ready = landed(stamped(scale.precise(scaled, precisions), "precision", clock), "ready")
+    snapshots = landed(stamped(book.books(ready, final_only), "book_build", clock), "snapshots")
     union = landed(aggregate.unioned(book.split(snapshots)), "union")
-    late = validate.dead_letters(based.where("reject IS NOT NULL"), "reject", "rebase").drop("event")
-    rejected = validate.rejected(judged).drop("event").unionByName(late)
+    late = validate.dead_letters(based.where("reject IS NOT NULL"), "reject", "rebase", clock)
+    rejected = validate.rejected(judged, clock).drop("event").unionByName(late.drop("event"))
     return Views(validated, rejected, validate.controls(judged), snapshots, union, aggregate.merged(union))
 
 
-def from_frames(frames: DataFrame, pair_lookup: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False) -> Views:
+def from_frames(frames: DataFrame, pair_lookup: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False, clock: Clock = now) -> Views:
     events = extract.events(extract.extracted(frames, pair_lookup))
     # two events of one frame keep their order
-    ordered = events.withColumn("ord", events.ord * 64 + events.pos).drop("pos")
-    return from_events(ordered, factors, precisions, final_only)
+    ordered = stamped(events.withColumn("ord", events.ord * 64 + events.pos).drop("pos"), "pair_extract", clock)
+    return from_events(ordered, factors, precisions, final_only, clock)

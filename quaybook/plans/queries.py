@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaybook.functions import exact
+from quaybook.functions import exact, times
+from quaybook.functions.times import stamped
 from quaybook.operators import aggregate, book, extract, monitor, quality, scale, serve, validate
 from quaybook.plans import pipeline
 from quaybook.schema import STAGES
@@ -19,6 +20,8 @@ from quaybook.streaming import market as streaming
 
 MARKET = ["exchange_id", "pair_id"]
 NOW = 1_706_000_000_000
+#: In places of the feed: where the history's second run begins, and when topics are dropped.
+HISTORY_CUT, HISTORY_END = 700, 10**12
 
 
 def written(levels: str | Column, *fields: str) -> Column:
@@ -184,9 +187,12 @@ def topic_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.topic_plan(reference.provisioned(feed.exchange_markets(spark), feed.markets(spark), feed.exchanges(spark)))
 
 
+def _manual(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("ex1-raw", 30), ("p1-asks", 99)], "topic string, threshold int")
+
+
 def _watched(spark: SparkSession) -> DataFrame:
-    manual = spark.createDataFrame([("ex1-raw", 30), ("p1-asks", 99)], "topic string, threshold int")
-    return monitor.watch_list(reference.subscribed(feed.exchange_markets(spark), feed.markets(spark)), manual)
+    return monitor.watch_list(reference.subscribed(feed.exchange_markets(spark), feed.markets(spark)), _manual(spark))
 
 
 def watch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +222,68 @@ def staleness_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.episodes(_polls(spark, sf_dir))
 
 
+def episode_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history table after two runs, the second recorded twice and with the topics of exchange 3 dropped at its end."""
+    polls, cut = _polls(spark, sf_dir), F.col("now") < HISTORY_CUT
+    gone = polls.where("topic LIKE 'ex3-%'").select("topic", F.lit(HISTORY_END).alias("at")).distinct()
+    first = monitor.episodes(polls.where(cut))
+    history = io.landed(monitor.recorded(first.limit(0), first), "history")
+    turns = monitor.resumed(polls.where(~cut), history, gone)
+    return monitor.recorded(monitor.recorded(history, turns), turns)
+
+
+def staleness_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    polls = _polls(spark, sf_dir)
+    timed = polls.withColumns({"threshold": F.lit(60), "last_ts": F.when(F.col("now") % 2 == 0, F.col("now") - 500).otherwise(F.lit(0))})
+    return monitor.metrics(timed, monitor.episodes(polls))
+
+
+def watch_list_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watch list by each of its modes; an unknown one counts as both, and without manual entries db and both are alike."""
+    some = reference.subscribed(feed.exchange_markets(spark), feed.markets(spark))
+    out = None
+    for mode in ("db", "config", "both", "else"):
+        one = monitor.watch_list(some, _manual(spark), mode).select(F.lit(mode).alias("mode"), "topic", "threshold")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _clock(stage: str, way: str) -> Column:
+    return F.col("event_time") + 10 * STAGES.index(stage) + (5 if way == "out" else 0)
+
+
+def stage_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamps after the sequence rules: of accepted events, resets and dead letters."""
+    judged = validate.verdicts(stamped(feed.events(spark, sf_dir), "pair_extract", _clock))
+
+    def flat(rows: DataFrame, kind: str | Column, timings: str, at: Column) -> DataFrame:
+        return rows.select(*MARKET, "ord", (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"), *(F.col(f"{timings}.{s}_{way}") for s in STAGES[:3] for way in ("in", "out")), at.alias("rejected_at"))
+
+    kept = validate.accepted(judged, _clock)
+    late = validate.rejected(judged, _late)
+    return flat(kept, F.when(F.col("type") == "reset", "reset").otherwise("event"), "timings", F.lit(None).cast("long")).unionByName(flat(late, "rejected", "event.timings", F.col("rejected_at")))
+
+
+def _late(stage: str, way: str) -> Column:
+    return F.col("ord") * 1000 + (1 if way == "out" else 0)
+
+
+def rfc3339_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("ord") % 2 == 0, F.col("event_time") + F.col("ord") % 1000).otherwise(-F.col("ord") * 86_399_999)
+    return feed.events(spark, sf_dir).select("ord", times.rfc3339(moved).alias("at"))
+
+
+def stream_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a feed differs from itself with some ids changed and some records of exchange 3 gone."""
+    want = feed.events(spark, sf_dir).select(*MARKET, "ord", "id")
+    got = want.where("NOT (exchange_id = 3 AND ord % 101 = 0)").withColumn("id", F.when(F.col("ord") % 97 == 0, F.concat(F.col("id"), F.lit("x"))).otherwise(F.col("id")))
+    return quality.differences(got, want, MARKET, "ord", ["id"]).select(*MARKET, "n", F.col("got.id").alias("got"), F.col("want.id").alias("want"))
+
+
+def expected_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.expected_union(_books(spark, sf_dir, final_only=True)).select(*MARKET, "side", written("levels", "exchange_id", "simulation", "price", "quantity").alias("levels"))
+
+
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     action = F.element_at(F.array(F.lit("subscribe"), F.lit("unsubscribe"), F.lit("disable"), F.lit(" "), F.lit("other")), (F.col("n_nationkey") % 5 + 1).cast("int"))
@@ -262,7 +330,7 @@ QUERIES = {
         for f in (
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
             book_events, book_final, book_lineage_check, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
-            topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, subscriptions, market_catalog, full_chain,
+            topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, full_chain,
             stream_validate, stream_books, stream_union, stream_episodes,
         )
     },

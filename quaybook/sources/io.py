@@ -26,10 +26,12 @@ AGGREGATED_PATTERN = "^p[0-9]+-(asks|bids)$"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; only where it is unset a local folder."""
+    """spark.checkpoint.dir, which driver and executors share; only a session on one machine that has none gets a local folder."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if spark.sparkContext.getCheckpointDir() is None:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quaybook-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")

@@ -57,6 +57,21 @@ def provisioned(exchange_markets: DataFrame, markets: DataFrame, exchanges: Data
     return exchange_markets.join(markets.select(F.col("id").alias("market_id")), "market_id").join(names, "exchange_id").select("exchange_id", F.col("market_id").alias("pair_id"), "exchange")
 
 
+def threshold_file(spark: SparkSession, path: str) -> DataFrame:
+    """(topic, threshold) from the `topics:` block of a YAML file: one `name: seconds` a line, comments and other lines left out."""
+    body = spark.read.text(path, wholetext=True)
+    block = F.regexp_extract("value", r"(?m)^topics:[ \t]*(?:#.*)?\r?\n((?:(?:[ \t]+.*|[ \t]*#.*|[ \t]*)(?:\r?\n|\z))*)", 1)
+    entry = r"^[ \t]+[\"']?([^\s:#\"']+)[\"']?[ \t]*:[ \t]*([0-9]+)[ \t]*(?:#.*)?\r?$"
+    lines = body.select(F.explode(F.split(block, "\n")).alias("line")).where(F.col("line").rlike(entry))
+    return lines.select(F.regexp_extract("line", entry, 1).alias("topic"), F.regexp_extract("line", entry, 2).cast("int").alias("threshold"))
+
+
+def subscription_file(spark: SparkSession, path: str) -> DataFrame:
+    """(exchange, market, action) from a CSV file with a header; what is missing is empty, for monitor.subscriptions() to leave out."""
+    rows = spark.read.csv(path, schema="exchange string, market string, action string", header=True, mode="PERMISSIVE")
+    return rows.fillna("")
+
+
 def jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A table of the reference database; filters and columns are pushed down."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
