@@ -12,7 +12,7 @@ from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 from quaybook.llm.near_dedup import classes
 from quaybook.llm.pii import find_pii
-from quaybook.llm.repetition import repetition
+from quaybook.llm.repetition import DUP_LINE_CHARS, DUP_LINE_SHARE, DUP_NGRAM, TOP_NGRAM, repetition
 from quaybook.llm.suffix_dedup import dedup_substrings
 
 
@@ -141,8 +141,34 @@ SELECT p.page_id, p.n::BIGINT AS payload_bytes,
 FROM p JOIN first f USING (d) JOIN bits USING (d)
 """
 
+_LENGTHS = range(2, max(DUP_NGRAM) + 1)
+_GRAMS = " UNION ALL ".join(f"SELECT d, i, {n} AS n, {" || ' ' || ".join(f'w{j}' for j in range(n))} AS g FROM seq WHERE w{n - 1} IS NOT NULL" for n in _LENGTHS)
+_LEADS = ", ".join(f"lead(word, {j}) OVER t AS w{j}" for j in range(max(_LENGTHS)))
+_TOPS = "".join(f", coalesce(max(top) FILTER (n = {n}), 0) / greatest(1, any_value(word_chars)) AS top_{n}gram_chars" for n in TOP_NGRAM)
+_DUPS = "".join(f", coalesce(sum(c) FILTER (n = {n}), 0) / greatest(1, any_value(word_chars)) AS dup_{n}gram_chars" for n in DUP_NGRAM)
+_BOUNDS = {"dup_line_share": DUP_LINE_SHARE, "dup_line_chars": DUP_LINE_CHARS} | {f"top_{n}gram_chars": x for n, x in TOP_NGRAM.items()} | {f"dup_{n}gram_chars": x for n, x in DUP_NGRAM.items()}
+
+#: Spells out every window of words, where the operator hashes them.
+OP5_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS text FROM documents),
+told AS (SELECT d, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+sizes AS (SELECT d, doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                 len(lines)::BIGINT AS n_lines, len(list_distinct(lines))::BIGINT AS n_first, length(array_to_string(lines, ''))::BIGINT AS line_chars, length(array_to_string(list_distinct(lines), ''))::BIGINT AS first_chars FROM told),
+spread AS (SELECT d, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM told),
+seq AS (SELECT d, i, length(word) AS c, {_LEADS} FROM spread WINDOW t AS (PARTITION BY d ORDER BY i)),
+grams AS ({_GRAMS}),
+twice AS (SELECT d, n, g, count(*) * length(replace(g, ' ', '')) AS top FROM grams GROUP BY d, n, g HAVING count(*) > 1),
+tops AS (SELECT s.d{_TOPS} FROM sizes s LEFT JOIN twice t ON t.d = s.d GROUP BY s.d),
+under AS (SELECT DISTINCT d, n, i + unnest(range(n)) AS i FROM grams SEMI JOIN twice USING (d, n, g)),
+dups AS (SELECT s.d, count(q.c) FILTER (n = 3)::BIGINT AS n_repeat_words{_DUPS} FROM sizes s LEFT JOIN under u ON u.d = s.d LEFT JOIN seq q ON q.d = u.d AND q.i = u.i GROUP BY s.d),
+shares AS (SELECT * EXCLUDE (d, n_lines, n_first, line_chars, first_chars), n_lines - n_first AS n_dup_lines, (n_lines - n_first) / greatest(1, n_lines) AS dup_line_share, (line_chars - first_chars) / greatest(1, line_chars) AS dup_line_chars,
+                  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM sizes JOIN tops USING (d) JOIN dups USING (d))
+SELECT *, NOT base_failed AND {" AND ".join(f"{c} <= {x}::DOUBLE" for c, x in _BOUNDS.items())} AS kept FROM shares
+"""
+
 ORACLE_SQL = {
     "op4_warc": OP4_SQL,
+    "op5_repetition": OP5_SQL,
     "op9_pfair_mix": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
