@@ -10,13 +10,19 @@ one period is folded over an array, and each document finds its slot by arithmet
 
 from __future__ import annotations
 
+import json
+from fractions import Fraction
+from math import gcd, lcm
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaybook.llm.common import sparing
 
-#: About how many slots a period has: weights are rounded to this resolution.
+#: About how many slots a period has where no weights are given: a source's share is its square root, rounded to these.
 PERIOD = 512
+#: Given weights are exact if their period has at most so many slots, and slots times sources are at most CELLS.
+MAX_PERIOD, CELLS = 8192, 1 << 22
 #: Documents in a block.
 BLOCK = 8
 #: A source's documents are ranked in 16**3 parts, by the start of the id's md5.
@@ -45,25 +51,45 @@ def _edf(k: Column, period: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0).cast("bigint"), period - 1), start, place, lambda state: state["picks"])
 
 
+def whole_weights(weights: dict[str | None, float]) -> tuple[dict[str | None, int], int]:
+    """The weights as whole numbers in the same proportions, and what 1 has become: 0.25 and 0.5 are 1 and 2, and 1 is 4."""
+    exact = {name: Fraction(str(w)) for name, w in weights.items()}
+    unit = lcm(*(w.denominator for w in exact.values()))
+    numbers = {name: int(w * unit) for name, w in exact.items()}
+    common = gcd(unit, *numbers.values())
+    return {name: n // common for name, n in numbers.items()}, unit // common
+
+
 def schedule(counts: DataFrame, weights: dict[str | None, float] | None = None, period: int = PERIOD) -> DataFrame:
     """A row for each source of (source, n), with its slots in a period.
 
     Columns: source, k (its blocks a period), period, totals and shares (n and k of
     all sources), turns (for each of its k blocks the slot, and before: the blocks
-    that each source has in earlier slots). Without weights a source's is the square
-    root of its size. A source that `weights` leaves out gets 1. Every source gets a
-    slot. All rows together hold period slots, so they are small whatever the input.
+    that each source has in earlier slots).
+
+    Given weights are decimals; a source that `weights` leaves out gets 1. The period is
+    their sum as whole numbers in lowest terms, and the shares are exact. Where that has
+    too many slots (MAX_PERIOD, CELLS), they are rounded to as many slots as there may
+    be, two a source at least. Without weights a source's target is the square root of
+    its size, rounded to `period` slots, or 16 a source if that is more and there may be
+    as many. Every source gets a slot, also one of weight 0, as no row may go.
     """
     if weights is None:
         raw = F.sqrt(F.col("n"))
     else:
-        raw = F.lit(1.0)
-        for name, w in weights.items():
-            raw = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(raw)
+        numbers, other = whole_weights(weights)
+        named = {"" if name is None else f"={name}": w for name, w in numbers.items()}
+        found = F.from_json(F.lit(json.dumps(named)), "map<string,double>")  # one literal, however many
+        raw = F.coalesce(F.try_element_at(found, F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), F.lit(float(other)))
     one = counts.agg(F.sort_array(F.collect_list(F.struct(F.col("source"), F.col("n"), raw.alias("w")))).alias("all"))
-    one = one.where(F.size("all") > 0).where(F.assert_true(F.size("all") <= MAX_SOURCES, F.lit("too many sources to mix")).isNull())
+    n = F.size("all")
+    one = one.where(n > 0).where(F.assert_true(n <= MAX_SOURCES, F.lit("too many sources to mix")).isNull())
     total = F.aggregate(F.col("all"), F.lit(0.0), lambda a, x: a + x["w"])
-    one = one.withColumn("total", total).withColumn("shares", F.transform("all", lambda x: F.greatest(F.lit(1).cast("bigint"), F.round(F.lit(period) * x["w"] / F.col("total")).cast("bigint"))))
+    most = F.greatest(2 * n, F.least(F.lit(MAX_PERIOD), F.floor(F.lit(CELLS) / n)))
+    # scaled by 1, given weights stay whole numbers
+    slots = F.least(F.greatest(F.lit(period), 16 * n), most) if weights is None else F.when(F.col("total") <= most, F.col("total")).otherwise(most)
+    one = one.withColumn("total", total).withColumn("slots", slots.cast("double"))
+    one = one.withColumn("shares", F.transform("all", lambda x: F.greatest(F.lit(1).cast("bigint"), F.round(F.col("slots") * x["w"] / F.nullif("total", F.lit(0.0))).cast("bigint"))))
     one = one.withColumn("period", F.aggregate("shares", F.lit(0).cast("bigint"), lambda a, x: a + x))
     rows = one.select("all", "shares", "period", F.posexplode(_edf(F.col("shares"), F.col("period"))).alias("slot", "pick"))
     rows = rows.select(F.get("all", F.col("pick.i"))["source"].alias("source"), F.get("shares", F.col("pick.i")).alias("k"), "period", F.transform("all", lambda x: x["n"]).alias("totals"), "shares", F.struct(F.col("slot").cast("bigint").alias("slot"), F.col("pick.before").alias("before")).alias("turn"))
@@ -93,7 +119,7 @@ def mix_sources(docs: DataFrame, source: str = "source", key: str = "doc_id", we
     ranked = dealt.withColumn("_rank", F.row_number().over(within) - 1)
     ranked = ranked.join(offsets, (F.col("_source") == F.col("_s")) & (F.col("_part") == F.col("_p")))
     ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_offset"))
-    # at most PERIOD + MAX_SOURCES slots in all: refused above when there are more sources
+    # at most MAX_PERIOD slots (about 2 * MAX_SOURCES), and MAX_SOURCES sources: refused above when there are more
     slots = slots.select(*[F.col(c).alias(f"_slot_{c}") for c in slots.columns])
     out = ranked.join(F.broadcast(slots), F.col("_source") == F.col("_slot_source"))
     out = out.withColumn("block", F.floor(F.col("_rank") / block).cast("bigint"))

@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quaybook.llm import bpe, media, near_dedup, queries, warc
+from quaybook.llm import bpe, media, mixing, near_dedup, queries, warc
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import mix_sources
 
@@ -202,6 +202,32 @@ def test_pfair_lag(spark):
         assert all(abs(had[s] - weights[s] * (t + 1) / 9) < 1 for s in weights)
 
 
+@pytest.mark.parametrize(("weights", "period"), [({"s0": 430, **{f"s{i}": 1 for i in range(1, 1001)}}, 1430), ({"s0": 0.999, "s1": 0.001}, 1000), ({"s0": 0.2, "s1": 0.7, None: 0.1}, 10), ({"s0": 2.5}, 7)])
+def test_pfair_lag_of_exact_weights(spark, weights, period):
+    """Against the weights as given, also for many small sources and small shares: two periods of blocks of one document."""
+    shares = {**weights, "s9": 1} if weights == {"s0": 2.5} else weights
+    total = sum(Fraction(str(w)) for w in shares.values())
+    rows = [s for s, w in shares.items() for _ in range(int(2 * period * Fraction(str(w)) / total))]
+    got = mix_sources(spark.createDataFrame(list(enumerate(rows)), "doc_id long, source string"), weights=weights, block=1).select("source", "slot", "position").collect()
+    assert sorted(r.slot for r in got) == list(range(2 * period))
+    assert all(r.slot == r.position for r in got)
+    order = {s: i for i, s in enumerate(shares)}
+    want = np.array([float(Fraction(str(w)) / total) for w in shares.values()])
+    had = np.zeros(len(want))
+    for row in sorted(got, key=lambda r: r.slot):
+        had[order[row.source]] += 1
+        assert np.abs(had - want * (row.slot + 1)).max() < 1
+
+
+def test_pfair_of_finer_weights(spark):
+    """Weights without a short period are rounded to MAX_PERIOD slots."""
+    rows = [(i, "ab"[i % 2]) for i in range(40)]
+    out = mixing.schedule(spark.createDataFrame(rows, "n long, source string").groupBy("source").agg(F.count("*").alias("n")), {"a": 0.1234567891, "b": 3.3})
+    shares = {r.source: r.k for r in out.collect()}
+    assert abs(shares["a"] / sum(shares.values()) - 0.1234567891 / 3.4234567891) <= 1 / mixing.MAX_PERIOD
+    assert sum(shares.values()) in range(mixing.MAX_PERIOD - 1, mixing.MAX_PERIOD + 2)
+
+
 def test_lines(spark):
     r = random.Random(7)
     rows = [(i, f"h{i % 3}", "\n".join([f"menu {i % 3}", *(f"line {r.randrange(40)}" for _ in range(5)), f"own {i}", "", "Menu"])) for i in range(90)]
