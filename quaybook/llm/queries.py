@@ -11,6 +11,7 @@ from quaybook.llm.common import documents, small_batches, table
 from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 from quaybook.llm.near_dedup import classes
+from quaybook.llm.packing import pack_examples
 from quaybook.llm.pii import find_pii
 from quaybook.llm.repetition import DUP_LINE_CHARS, DUP_LINE_SHARE, DUP_NGRAM, TOP_NGRAM, repetition
 from quaybook.llm.suffix_dedup import dedup_substrings
@@ -73,6 +74,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir).select("doc_id", "source", "text")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 4096 tokens."""
+    return pack_examples(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+
+
 LINE_DEDUP_SQL = """
 WITH lines AS (SELECT source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS line FROM {docs}),
 pages AS (SELECT source, count(*) AS pages FROM {docs} GROUP BY source),
@@ -127,6 +133,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_line_dedup": op10_line_dedup,
+    "op11_vector_packing": op11_vector_packing,
 }
 
 #: SHA-1 in base32: the digest's hex digits, padded to 40 bits, five bits at a time.
