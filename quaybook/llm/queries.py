@@ -13,6 +13,7 @@ from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 from quaybook.llm.near_dedup import classes
 from quaybook.llm.packing import pack_examples
 from quaybook.llm.pii import find_pii
+from quaybook.llm.prefix_trie import prefix_trie, rebuilt, turn_lists
 from quaybook.llm.repetition import DUP_LINE_CHARS, DUP_LINE_SHARE, DUP_NGRAM, TOP_NGRAM, repetition
 from quaybook.llm.suffix_dedup import dedup_substrings
 
@@ -79,6 +80,12 @@ def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_examples(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    nodes = prefix_trie(rebuilt(turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 LINE_DEDUP_SQL = """
 WITH lines AS (SELECT source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS line FROM {docs}),
 pages AS (SELECT source, count(*) AS pages FROM {docs} GROUP BY source),
@@ -134,6 +141,7 @@ QUERIES = {
     "op9_pfair_mix": op9_pfair_mix,
     "op10_line_dedup": op10_line_dedup,
     "op11_vector_packing": op11_vector_packing,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 #: SHA-1 in base32: the digest's hex digits, padded to 40 bits, five bits at a time.
@@ -173,9 +181,28 @@ shares AS (SELECT * EXCLUDE (d, n_lines, n_first, line_chars, first_chars), n_li
 SELECT *, NOT base_failed AND {" AND ".join(f"{c} <= {x}::DOUBLE" for c, x in _BOUNDS.items())} AS kept FROM shares
 """
 
+#: Spells out all beginnings. The digest only orders turns of one number; crc32 goes bit by bit.
+OP12_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, sha256(strlen(r)::VARCHAR || ':' || r || x)) AS turns FROM t GROUP BY conv_id),
+crc AS (SELECT conv_id, xor(list_reduce(list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT),
+               lambda c, b: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END, xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT) % 9 AS h FROM own),
+seqs AS (SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:h], o.turns[h + 1:]) AS seq FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+steps AS (SELECT conv_id, unnest(range(len(seq) + 1)) AS d, seq FROM seqs),
+nodes AS (SELECT seq[1:d] AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(len(seq) = d) AS leaf,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = d), '')) AS ends_sha256 FROM steps GROUP BY seq[1:d], d),
+worth AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(path[depth].x) END AS saves FROM nodes),
+above AS (SELECT unnest(range(depth + 1)) AS d, path, leaf, saves FROM worth),
+trees AS (SELECT path[1:d] AS path, sum(leaf::BIGINT) AS n_leaves, sum(saves) AS saved_tokens FROM above GROUP BY path[1:d]),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY path[1:depth - 1])
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM worth n JOIN trees t ON t.path = n.path LEFT JOIN kids k ON k.path = n.path LEFT JOIN worth p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""
+
 ORACLE_SQL = {
     "op4_warc": OP4_SQL,
     "op5_repetition": OP5_SQL,
     "op9_pfair_mix": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
