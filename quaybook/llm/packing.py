@@ -13,10 +13,12 @@ shuffled, and a task that runs again makes whole sequences again.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,23 @@ END_ID = 2
 #: Tokens, segments and loss-bearing tokens that a sequence may have.
 LIMITS = (4096, 256, 4096)
 #: Examples, and tokens, that wait in a task's pool.
-POOL_ITEMS, POOL_TOKENS = 2048, 1 << 21
-#: Strings between blanks that a worker remembers before it starts anew, and their bytes.
-KEPT, KEPT_BYTES = 300_000, 32_000_000
+POOL_ITEMS, POOL_TOKENS = 1024, 1 << 20
+#: Words that a worker remembers before it starts anew, and their bytes.
+KEPT, KEPT_BYTES = 1_000_000, 32_000_000
+#: Bytes of texts of ASCII and U+00C0 to U+00FF, but for control characters that aren't blanks.
+PLAIN = bytes([9, 10, 11, 12, 13, *range(32, 127), *range(0x80, 0xC0), 0xC3])
+#: What the tokenizer's file cuts plain lower-case text into (fixed, as the file has it).
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 
 class Words:
-    """A tokenizer of the tokenizers library that never joins what ASCII blanks part, and the strings met so far."""
+    """A word tokenizer of the tokenizers library, and the words met so far.
+
+    For files that lower-case, drop blanks, cut at PARTS and mark the last token of each part
+    with </w>, as word_bpe_49k.json does. Texts of PLAIN bytes are cut into parts here, and the parts that
+    are new go to the library together, as one text. Other texts are cut at ASCII blanks (each is a blank
+    to the tokenizer, too, and none joins its neighbours) and go to the library as they are.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,33 +58,72 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.slots: dict[str | bytes, int] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[bytes, int] = {}
+        self.slots.clear()
         self.bytes = 0
-        self.store, self.at = np.empty(0, np.int32), np.zeros(1, np.int64)
-
-    def _learn(self, new: list[bytes]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+        self.ids = Lists()
+
+    def _learn(self, new: list[str] | list[bytes]) -> None:
+        if isinstance(new[0], str):
+            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(new):
+                raise ValueError("the tokenizer doesn't mark the ends of words")
+            sizes = np.diff(ends, prepend=0)
+        else:
+            made = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+            ids, sizes = np.concatenate(made), np.array([len(x) for x in made])
         self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new)), strict=True))
+        self.ids.extend(ids, sizes)
         self.bytes += sum(map(len, new))
-        self.at = np.append(self.at, self.at[-1] + np.cumsum([len(x) for x in made]))
-        self.store = np.append(self.store, np.concatenate([np.array(x, np.int32) for x in made]))
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, how many of them each text has)."""
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
         if len(self.slots) > KEPT or self.bytes > KEPT_BYTES:
             self.forget()
-        split = [t.split() for t in texts]  # at ASCII blanks: each is a blank to the tokenizer, too, and none joins its neighbours
-        words = [w for part in split for w in part]
-        if new := list(dict.fromkeys(words).keys() - self.slots.keys()):
-            self._learn(sorted(new))
-        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        begin, size = self.at[slot], self.at[slot + 1] - self.at[slot]
-        ids = self.store[np.repeat(begin, size) + runs(size)]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum([len(part) for part in split], dtype=np.int64)])]
-        return ids, np.diff(ends)
+        plain = [not t.translate(None, PLAIN) and not any(s in t for s in self.special) for t in texts]
+        out: list[np.ndarray | None] = [None] * len(texts)
+        for kind, cut in ((True, lambda t: PARTS.findall(t.decode().lower())), (False, bytes.split)):
+            rows = [i for i, p in enumerate(plain) if p is kind]
+            split = [cut(texts[i]) for i in rows]
+            words = list(chain.from_iterable(split))
+            at = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+            if len(unknown := np.flatnonzero(at < 0)):
+                new = [words[i] for i in unknown.tolist()]
+                self._learn(list(dict.fromkeys(new)))
+                at[unknown] = np.fromiter(map(self.slots.__getitem__, new), np.int64, len(new))
+            ids, size = self.ids.take(at)
+            ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, split)])].tolist()
+            for i, a, b in zip(rows, ends, ends[1:], strict=False):
+                out[i] = ids[a:b]
+        return out
+
+
+class Lists:
+    """Lists of ids, one after another in arrays that grow."""
+
+    def __init__(self) -> None:
+        self.n = self.end = 0
+        self.ids, self.begin, self.size = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
+
+    def extend(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        for name, more in (("ids", self.end + len(ids)), ("begin", self.n + len(sizes)), ("size", self.n + len(sizes))):
+            if more > len(x := getattr(self, name)):
+                setattr(self, name, np.concatenate([x, np.empty(max(more, 2 * len(x)) - len(x), x.dtype)]))
+        self.ids[self.end : self.end + len(ids)] = ids
+        self.begin[self.n : self.n + len(sizes)] = self.end + np.cumsum(sizes) - sizes
+        self.size[self.n : self.n + len(sizes)] = sizes
+        self.n, self.end = self.n + len(sizes), self.end + len(ids)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of these lists, how many each has)."""
+        size = self.size[at].astype(np.int64)
+        return self.ids[np.repeat(self.begin[at], size) + runs(size)], size
 
 
 @cache
@@ -104,7 +155,7 @@ class Pool:
     def __init__(self, limits: tuple[int, int, int], cut: bool) -> None:
         self.limits, self.cut = np.array(limits, np.int64), cut
         self.items: list[Example | None] = []
-        self.need = np.zeros((0, 3), np.int64)
+        self.need = np.zeros((3, 0), np.int64)  # none of a segment for what is placed
         self.free = np.zeros(0, np.int64)  # ids before the loss begins
         self.waiting = self.tokens = 0
         self.done: list[list[Piece]] = []
@@ -118,9 +169,9 @@ class Pool:
                 x.start += n
         alive = [i for i, x in enumerate(self.items) if x is not None]
         self.items = [self.items[i] for i in alive] + new
-        self.need = np.concatenate([self.need[alive], np.array([x.need() for x in new], np.int64).reshape(-1, 3)])
+        self.need = np.concatenate([self.need[:, alive], np.array([x.need() for x in new], np.int64).reshape(-1, 3).T], axis=1)
         self.free = np.concatenate([self.free[alive], np.array([x.prompt - x.start for x in new], np.int64)])
-        self.waiting, self.tokens = len(self.items), int(self.need[:, 0].sum())
+        self.waiting, self.tokens = len(self.items), int(self.need[0].sum())
 
     def _prefix(self, n, free, left):  # noqa: ANN001, ANN202 - of numbers or of arrays
         """The longest beginning that fits what is left."""
@@ -129,15 +180,16 @@ class Pool:
     def fill(self) -> None:
         """Make one sequence."""
         left, pieces = self.limits.copy(), []
+        tokens, segments, loss = self.need
         while self.waiting and left[0] and left[1]:
-            product = (self.need * left / self.limits**2).sum(axis=1)
-            fits = (self.need <= left).all(axis=1)
-            fits &= self.need[:, 1] > 0
-            if fits.any():
-                i = int(np.where(fits, product, -1).argmax())
-                n = int(self.need[i, 0])
+            worth = left / self.limits**2
+            product = tokens * worth[0] + segments * worth[1] + loss * worth[2]
+            fits = np.where((tokens <= left[0]) & (loss <= left[2]), product, 0)
+            i = int(fits.argmax())
+            if fits[i] > 0:
+                n = int(tokens[i])
             elif self.cut:
-                prefix = np.where(self.need[:, 1] > 0, self._prefix(self.need[:, 0], self.free, left), 0)
+                prefix = self._prefix(tokens, self.free, left)
                 i = int(np.where(prefix > 0, product, -1).argmax())
                 n = int(prefix[i])
                 if not n:
@@ -146,12 +198,12 @@ class Pool:
                 break
             x = self.items[i]
             pieces.append((x, x.start, n))
-            before = self.need[i].copy()
+            before = self.need[:, i].copy()
             x.start += n
             rest = np.array(x.need(), np.int64) if x.start < len(x.ids) else np.zeros(3, np.int64)
             left -= before - rest
             left[1] -= rest[1]  # the piece is a segment, and its rest will be one
-            self.need[i], self.free[i] = rest, x.prompt - x.start
+            self.need[:, i], self.free[i] = rest, x.prompt - x.start
             self.tokens -= n
             if not rest[1]:
                 self.items[i] = None
@@ -227,11 +279,10 @@ def pack_examples(examples: DataFrame, path: str, text: str = "text", key: str =
             kind = batch.column(key).type
             parts = []
             for c in [*([prompt] if prompt else []), text]:
-                ids, n = words.encode([x or b"" for x in batch.column(c).cast(pa.large_binary()).to_pylist()])
-                parts.append((ids, n, np.cumsum(n) - n))
+                parts.append(words.encode([x or b"" for x in batch.column(c).cast(pa.large_binary()).to_pylist()]))
             new = []
             for i, k in enumerate(batch.column(key).to_pylist()):
-                own = [ids[at[i] : at[i] + n[i]] for ids, n, at in parts]
+                own = [ids[i] for ids in parts]
                 new.append(Example(k, np.concatenate([*own, [END_ID]]).astype(np.int32), len(own[0]) if prompt else 0))
             for a in range(0, len(new), POOL_ITEMS):
                 pool.add(new[a : a + POOL_ITEMS])
