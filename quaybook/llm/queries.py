@@ -12,6 +12,7 @@ from quaybook.llm.line_dedup import dedup_lines
 from quaybook.llm.mixing import BLOCK, PERIOD, mix_sources
 from quaybook.llm.near_dedup import classes
 from quaybook.llm.packing import pack_examples
+from quaybook.llm.phrases import phrases
 from quaybook.llm.pii import find_pii
 from quaybook.llm.prefix_trie import prefix_trie, rebuilt, turn_lists
 from quaybook.llm.repetition import DUP_LINE_CHARS, DUP_LINE_SHARE, DUP_NGRAM, TOP_NGRAM, repetition
@@ -86,6 +87,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's first 2000 phrases."""
+    return phrases(documents(spark, sf_dir))
+
+
 LINE_DEDUP_SQL = """
 WITH lines AS (SELECT source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS line FROM {docs}),
 pages AS (SELECT source, count(*) AS pages FROM {docs} GROUP BY source),
@@ -142,6 +148,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_vector_packing": op11_vector_packing,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_phrases": op13_phrases,
 }
 
 #: SHA-1 in base32: the digest's hex digits, padded to 40 bits, five bits at a time.
@@ -199,10 +206,36 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_
 FROM worth n JOIN trees t ON t.path = n.path LEFT JOIN kids k ON k.path = n.path LEFT JOIN worth p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
 """
 
+#: Counts all windows of words, as strings.
+OP13_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+seq AS (SELECT p, lang, unnest(words) AS w1, generate_subscripts(words, 1) AS i FROM split),
+windows AS (SELECT *, lead(w1, 1) OVER t AS w2, lead(w1, 2) OVER t AS w3, lead(w1, 3) OVER t AS w4 FROM seq WINDOW t AS (PARTITION BY p ORDER BY i)),
+totals AS (SELECT lang, count(*) AS n FROM seq GROUP BY lang),
+grams AS (SELECT lang, [w1] AS g, count(*) AS f FROM windows GROUP BY lang, w1
+          UNION ALL SELECT lang, [w1, w2], count(*) FROM windows WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+          UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM windows WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3
+          UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM windows WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4),
+often AS (SELECT * FROM grams WHERE f >= 30),
+candidates AS (SELECT lang, g, f AS a FROM often WHERE len(g) > 1),
+inside AS (SELECT lang, g, a, unnest(range(2, len(g))) AS m FROM candidates),
+shorter AS (SELECT lang, g, a, m, unnest(range(1, len(g) - m + 2)) AS i FROM inside),
+longer AS (SELECT lang, g[i:i + m - 1] AS g, max(a) AS most FROM shorter GROUP BY lang, g[i:i + m - 1]),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g WHERE o.most IS NULL OR 100 * o.most < 80 * c.a),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM kept),
+scored AS (SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f)::HUGEINT)::BIGINT AS score
+           FROM cuts c JOIN often x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN often y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n, score
+FROM worst w JOIN totals t ON t.lang = w.lang QUALIFY rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op4_warc": OP4_SQL,
     "op5_repetition": OP5_SQL,
     "op9_pfair_mix": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
     "op12_prefix_trie": OP12_SQL,
+    "op13_phrases": OP13_SQL,
 }
