@@ -16,13 +16,13 @@ PART = 1 << 16
 CHUNK = 64
 
 
-def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], part: int = PART) -> DataFrame:
-    """df with inclusive running sums by `order` for each key."""
+def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], part: int = PART, then: tuple[str, ...] = ()) -> DataFrame:
+    """df with inclusive running sums by `order` for each key; rows of equal order stand by the columns `then`."""
     flagged = df.withColumn("_part", F.floor(F.col(order) / part)).withColumns({f"_{n}": c.cast("long") for n, c in sums.items()})
     parts = flagged.groupBy(*keys, "_part").agg(*(F.sum(f"_{n}").alias(f"_s_{n}") for n in sums))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(*keys, "_part", *(F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums))
-    within = Window.partitionBy(*keys, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*keys, "_part").orderBy(order, *then).rowsBetween(Window.unboundedPreceding, 0)
     out = flagged.withColumns({f"_r_{n}": F.sum(f"_{n}").over(within) for n in sums}).join(offsets, [*keys, "_part"])
     return out.select(*df.columns, *((F.col(f"_r_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums))
 

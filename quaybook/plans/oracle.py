@@ -25,11 +25,11 @@ feed AS (
 FRAMES = """
 framed AS (
     SELECT *, CASE WHEN ord % 53 = 0 THEN NULL WHEN ord % 59 = 0 THEN 7 ELSE exchange_id END AS here, ord % 47 = 0 AS broken, ord % 31 = 0 AND ord % 47 <> 0 AS ack,
-           CASE WHEN ord % 41 = 0 THEN 'UNKNOWN' ELSE 'M' || pair_id END AS market, CASE WHEN ord % 37 <> 0 THEN 'f-' || ord END AS parent,
-           ord % 43 = 0 AND (exchange_id IN (1, 2, 4, 5) OR (exchange_id IN (6, 8) AND false)) AS bad
+           CASE WHEN ord % 71 = 0 AND exchange_id IN (5, 8) THEN '12345' WHEN ord % 41 = 0 THEN 'UNKNOWN' ELSE 'M' || pair_id END AS market, CASE WHEN ord % 37 <> 0 THEN 'f-' || ord END AS parent,
+           (ord % 43 = 0 AND exchange_id IN (1, 2, 4, 5)) OR ((ord % 61 = 0 OR ord % 67 = 0) AND exchange_id IN (6, 8)) AS bad
     FROM feed),
 heard AS (SELECT * FROM framed WHERE here IS NOT NULL),
-told AS (SELECT *, unnest(range(CASE WHEN exchange_id = 5 AND ord % 5 = 0 THEN 2 ELSE 1 END)) AS pos FROM heard WHERE here = exchange_id AND NOT broken AND NOT ack AND NOT bad
+told AS (SELECT *, unnest(range(CASE WHEN exchange_id = 5 AND ord % 601 = 0 THEN 70 WHEN exchange_id = 5 AND ord % 5 = 0 THEN 2 ELSE 1 END)) AS pos FROM heard WHERE here = exchange_id AND NOT broken AND NOT ack AND NOT bad
          AND NOT (exchange_id IN (6, 8) AND asks IS NULL AND bids IS NULL))
 """
 
@@ -59,7 +59,7 @@ def _parse(e: int) -> str:
     if e == 4:
         kind, jump, asks, bids = "'snapshot'", "0", f"coalesce({_numbers('asks')}, '')", f"coalesce({_numbers('bids')}, '')"
     if e == 5:
-        kind, jump = "'snapshot'", "0"
+        kind, jump, sequence = "'snapshot'", "0", "coalesce(seq, ord) + CASE WHEN ord % 601 = 0 THEN pos ELSE 0 END"
     if e == 8:
         sequence, jump = "event_time", "300"
     return f"""WITH {FEED}, {FRAMES} SELECT ord AS "offset", pos::BIGINT AS pos, market, {kind} AS type, simulation, parent, ({sequence})::BIGINT AS sequence_id, ({jump})::BIGINT AS sequence_jump, event_time, {asks} AS asks, {bids} AS bids FROM told WHERE exchange_id = {e}"""
@@ -145,11 +145,11 @@ watched AS (SELECT topic, CASE topic WHEN 'p1-asks' THEN 99 ELSE threshold END::
 ORACLE_SQL: dict[str, str] = {
     "scan_topic_ids": f"WITH {FEED}, {FRAMES} SELECT here::INT AS exchange_id, count(*) AS n FROM heard GROUP BY 1",
     **{f"parse_ex{e}": _parse(e) for e in (1, 2, 3, 4, 5, 6, 8)},
-    "extract_pairs": f"WITH {FEED}, {FRAMES} SELECT exchange_id, pair_id, ord, pos::BIGINT AS pos, {_uuid("'extract|' || exchange_id || '|' || ord || '|' || pos")} AS id, parent FROM told WHERE parent IS NOT NULL AND market <> 'UNKNOWN'",
+    "extract_pairs": f"WITH {FEED}, {FRAMES} SELECT exchange_id, pair_id, ord, pos::BIGINT AS pos, {_uuid("'extract|' || exchange_id || '|' || ord || '|' || pos")} AS id, parent FROM told WHERE parent IS NOT NULL AND market LIKE 'M%'",
     "drop_counters": f"""WITH {FEED}, {FRAMES}, outcomes AS (
         SELECT here AS exchange_id, 'no_parser' AS outcome FROM heard WHERE here = 7
         UNION ALL SELECT here, 'unparseable' FROM heard WHERE here <> 7 AND (broken OR (bad AND NOT ack))
-        UNION ALL SELECT exchange_id, CASE WHEN parent IS NULL THEN 'no_id' ELSE 'unknown_market' END FROM told WHERE parent IS NULL OR market = 'UNKNOWN')
+        UNION ALL SELECT exchange_id, CASE WHEN parent IS NULL THEN 'no_id' ELSE 'unknown_market' END FROM told WHERE parent IS NULL OR market NOT LIKE 'M%')
         SELECT exchange_id::INT AS exchange_id, outcome, count(*) AS n FROM outcomes GROUP BY ALL""",
     "canonical_decimals": f"SELECT l_orderkey, l_linenumber::BIGINT AS line, CASE WHEN l_orderkey % 5 = 0 THEN '0' ELSE {_canon('CASE WHEN l_linenumber % 2 = 0 THEN -(l_extendedprice::DECIMAL(18,2)) ELSE l_extendedprice::DECIMAL(18,2) END')} END AS canonical FROM lineitem",
     "rebase_levels": f"""WITH {LEVELS}, powers(k, f) AS (VALUES (0, 1.000000), (-1, 0.100000), (-2, 0.010000), (-6, 0.000001), (3, 1000.000000), (2, 100.000000), (6, 1000000.000000), (-3, 0.001000))

@@ -10,9 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quaybook.functions.times import Clock, now, stamped
 from quaybook.operators import aggregate, book, extract, scale, validate
+from quaybook.operators.intervals import running
 from quaybook.sources.io import landed
 
 
@@ -42,8 +44,12 @@ def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, fi
     return Views(validated, rejected, validate.controls(judged), snapshots, union, aggregate.merged(union))
 
 
+def numbered(events: DataFrame) -> DataFrame:
+    """Events of (ord, pos) with a new ord: their number among the events of the exchange. A frame may have any number of them."""
+    return running(events, ["exchange_id"], "ord", {"n": F.lit(1)}, then=("pos",)).withColumn("ord", F.col("n")).drop("pos", "n")
+
+
 def from_frames(frames: DataFrame, pair_lookup: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False, clock: Clock = now) -> Views:
     events = extract.events(extract.extracted(frames, pair_lookup))
-    # two events of one frame keep their order
-    ordered = stamped(events.withColumn("ord", events.ord * 64 + events.pos).drop("pos"), "pair_extract", clock)
+    ordered = stamped(numbered(events), "pair_extract", clock)
     return from_events(ordered, factors, precisions, final_only, clock)

@@ -15,6 +15,8 @@ from quaybook.sources.io import landed
 EXCHANGES = (1, 2, 3, 4, 5, 6, 8)
 PAIRS = (1, 2, 3, 4, 5)
 DAY = 86_400_000
+#: Events of the feed's longest frames.
+MANY = 70
 
 
 def _level(price: Column, quantity: Column) -> Column:
@@ -66,10 +68,11 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         "NASKS": F.when(n % 43 == 0, F.lit("[[1]]")).otherwise(_json(F.col("asks"), False)), "NBIDS": _json(F.col("bids"), False),
         "ONE": F.concat(F.lit("["), F.concat_ws(",", F.transform(F.coalesce(F.when(n % 2 == 0, F.col("asks")).otherwise(F.col("bids")), F.array().cast("array<struct<price:string,quantity:string>>")), lambda x: F.concat(F.lit('{"price":'), x["price"], F.lit(',"quantity":'), x["quantity"], F.lit("}")))), F.lit("]")),
         "SIDE": F.when(n % 2 == 0, F.lit("sellDepth")).otherwise(F.lit("buyDepth")),
-        "A6": F.when(F.col("asks").isNotNull(), F.concat(F.lit('"a":'), _json(F.col("asks"), True), F.lit(","))).otherwise(F.lit("")),
-        "B6": F.when(F.col("bids").isNotNull(), F.concat(F.lit('"b":'), _json(F.col("bids"), True), F.lit(","))).otherwise(F.lit("")),
-        "A8": F.when(F.col("asks").isNotNull(), F.concat(F.lit('"asks":'), _json(F.col("asks"), True), F.lit(","))).otherwise(F.lit("")),
-        "B8": F.when(F.col("bids").isNotNull(), F.concat(F.lit('"bids":'), _json(F.col("bids"), True), F.lit(","))).otherwise(F.lit("")),
+        "ID": F.when(n % 71 == 0, F.lit("12345")).otherwise(F.concat(F.lit('"'), F.when(n % 41 == 0, F.lit("UNKNOWN")).otherwise(F.concat(F.lit("M"), F.col("pair_id").cast("string"))), F.lit('"'))),
+        "A6": F.when(n % 61 == 0, F.lit('"a":null,')).when(F.col("asks").isNotNull(), F.concat(F.lit('"a":'), _json(F.col("asks"), True), F.lit(","))).otherwise(F.lit("")),
+        "B6": F.when(n % 67 == 0, F.lit('"b":{},')).when(F.col("bids").isNotNull(), F.concat(F.lit('"b":'), _json(F.col("bids"), True), F.lit(","))).otherwise(F.lit("")),
+        "A8": F.when(n % 61 == 0, F.lit('"asks":null,')).when(F.col("asks").isNotNull(), F.concat(F.lit('"asks":'), _json(F.col("asks"), True), F.lit(","))).otherwise(F.lit("")),
+        "B8": F.when(n % 67 == 0, F.lit('"bids":"none",')).when(F.col("bids").isNotNull(), F.concat(F.lit('"bids":'), _json(F.col("bids"), True), F.lit(","))).otherwise(F.lit("")),
         "TYPE6": F.when(F.col("type") == "snapshot", F.lit("snapshot")).otherwise(F.lit("delta")), "TYPE": F.col("type"),
         "TWICE": F.when(n % 5 == 0, F.lit("+")).otherwise(F.lit("")),
     }
@@ -79,14 +82,15 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(*parts)
 
     data5 = '{"asks":~ASKS~,"bids":~BIDS~,"ts":"~TIME~","seq":~SEQ~}'
+    many = F.concat_ws(",", F.transform(F.sequence(F.lit(0), F.lit(MANY - 1)), lambda i: F.concat(made('{"asks":~ASKS~,"bids":~BIDS~,"ts":"~TIME~","seq":'), (F.coalesce("sequence_id", n) + i).cast("string"), F.lit("}"))))
     bodies = {
         1: F.when(F.col("type") == "snapshot", made('{"action":"snapshot","pair":"~MARKET~","lastUpdate":~TIME~,"asks":~ASKS~,"bids":~BIDS~,~TAGS~}')).otherwise(made('{"push":{"channel":"public:orderbook-~MARKET~","pub":{"offset":~SEQ~,"data":{"asks":~ASKS~,"bids":~BIDS~,"lastUpdate":~TIME~}}},~TAGS~}')),
         2: F.when(F.col("type") == "snapshot", made('{"action":"snapshot","pair":"~MARKET~","event_time":~TIME~,"asks":~ASKS~,"bids":~BIDS~,~TAGS~}')).otherwise(made('{"push":{"channel":"orderbook:~MARKET~","pub":{"offset":~SEQ~,"data":{"asks":~ASKS~,"bids":~BIDS~,"event_time":"~ISO~"}}},~TAGS~}')),
         3: made('["~MARKET~@~SIDE~",~ONE~,{~TAGS~}]'),
         4: made('{"push":{"channel":"orderbook:~MARKET~","pub":{"offset":~SEQ~,"data":{"sells":~NASKS~,"buys":~NBIDS~}}},~TAGS~}'),
-        5: F.when(n % 5 == 0, made('{"action":"snapshot","arg":{"instId":"~MARKET~"},"data":[' + data5 + "," + data5 + "],~TAGS~}")).otherwise(made('{"action":"snapshot","arg":{"instId":"~MARKET~"},"data":[' + data5 + "],~TAGS~}")),
+        5: F.when(n % 601 == 0, F.concat(made('{"action":"snapshot","arg":{"instId":~ID~},"data":['), many, made("],~TAGS~}"))).when(n % 5 == 0, made('{"action":"snapshot","arg":{"instId":~ID~},"data":[' + data5 + "," + data5 + "],~TAGS~}")).otherwise(made('{"action":"snapshot","arg":{"instId":~ID~},"data":[' + data5 + "],~TAGS~}")),
         6: made('{"topic":"book","type":"~TYPE6~","data":{"s":"~MARKET~",~A6~~B6~"u":~SEQ~},"cts":~TIME~,~TAGS~}'),
-        8: made('{"arg":{"instId":"~MARKET~"},"action":"~TYPE~","data":[{~A8~~B8~"ts":"~TIME~"}],~TAGS~}'),
+        8: made('{"arg":{"instId":~ID~},"action":"~TYPE~","data":[{~A8~~B8~"ts":"~TIME~"}],~TAGS~}'),
     }
     body = F.lit(None).cast("string")
     for exchange, value in bodies.items():

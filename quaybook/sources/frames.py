@@ -37,12 +37,28 @@ def _is(of: str, path: str, kind: str) -> str:
     return f"{_kind(of, path)} LIKE '{kind}%'"
 
 
+def _has(of: str, path: str) -> str:
+    """Whether the key is there, be its value null."""
+    return f"{_kind(of, path)} <> ''"
+
+
+def _text(of: str, path: str) -> str:
+    """The text of a string, number or boolean; empty for arrays and objects, null where there is nothing."""
+    kind = _kind(of, path)
+    return f"CASE WHEN {kind} IN ('', 'VOID') THEN NULL WHEN {kind} RLIKE '^(ARRAY|OBJECT)' THEN '' ELSE {_at(of, path)} END"
+
+
+def _readable(of: str, path: str, side: str, level: str) -> str:
+    """Whether a side is missing, or an array of levels x that fit; a side that is there but no array can't be read."""
+    return f"CASE WHEN {_has(of, path)} THEN coalesce(forall({side}, x -> {level}), false) ELSE true END"
+
+
 def _string_levels(of: str, path: str) -> tuple[str, str]:
     """(levels, whether they can be read) of [["price", "quantity", ...], ...]; null where the side is missing."""
     side = _at(of, path, "array<variant>")
     return (
         f"transform({side}, x -> named_struct('price', {_at('x', '$[0]')}, 'quantity', {_at('x', '$[1]')}))",
-        f"coalesce(forall({side}, x -> {_is('x', '$[0]', 'STRING')} AND {_is('x', '$[1]', 'STRING')}), NOT {_is(of, path, 'ARRAY')})",
+        _readable(of, path, side, f"{_is('x', '$[0]', 'STRING')} AND {_is('x', '$[1]', 'STRING')}"),
     )
 
 
@@ -51,7 +67,7 @@ def _number_levels(of: str, path: str, price: str = "$[0]", quantity: str = "$[1
     side = _at(of, path, "array<variant>")
     return (
         f"transform({side}, x -> named_struct('price', {_at('x', price)}, 'quantity', {_at('x', quantity)}))",
-        f"coalesce(forall({side}, x -> {_number('x', price)} AND {_number('x', quantity)}), NOT {_is(of, path, 'ARRAY')})",
+        _readable(of, path, side, f"{_number('x', price)} AND {_number('x', quantity)}"),
     )
 
 
@@ -126,28 +142,31 @@ def exchange_4() -> str:
 
 
 def _many(test: str, fits: str, event: str) -> str:
-    """An event for each element d of data; one that doesn't fit drops the frame without a word, one that can't be read with one."""
+    """An event for each element d of data. The first that doesn't fit drops the frame without a word, the first that can't be read with one; the earlier of the two decides."""
     data = _at("v", "$.data", "array<variant>")
-    return f"CASE WHEN {test} AND forall({data}, d -> {fits}) THEN transform(array(transform({data}, d -> {event})), a -> CASE WHEN forall(a, e -> e IS NOT NULL) THEN a END)[0] ELSE CAST(array() AS array<{EVENT}>) END"
+    none = f"CAST(array() AS array<{EVENT}>)"
+    told = f"transform({data}, d -> named_struct('fits', {fits}, 'e', {event}))"
+    first = "get(filter(a, x -> NOT x.fits OR x.e IS NULL), 0)"
+    return f"CASE WHEN {test} THEN transform(array({told}), a -> CASE WHEN {first} IS NULL THEN transform(a, x -> x.e) WHEN {first}.fits THEN NULL ELSE {none} END)[0] ELSE {none} END"
 
 
 def exchange_5() -> str:
-    event = _event(_at("v", "$.arg.instId"), "'snapshot'", _at("d", "$.seq", "bigint"), 0, f"try_cast({_at('d', '$.ts')} AS bigint)", _string_levels("d", "$.asks"), _string_levels("d", "$.bids"))
-    test = f"{_at('v', '$.action')} = 'snapshot' AND {_is('v', '$.arg.instId', 'STRING')} AND {_is('v', '$.data', 'ARRAY')}"
+    event = _event(_text("v", "$.arg.instId"), "'snapshot'", _at("d", "$.seq", "bigint"), 0, f"try_cast({_at('d', '$.ts')} AS bigint)", _string_levels("d", "$.asks"), _string_levels("d", "$.bids"))
+    test = f"{_at('v', '$.action')} = 'snapshot' AND {_text('v', '$.arg.instId')} IS NOT NULL AND {_is('v', '$.data', 'ARRAY')}"
     return _many(test, f"{_is('d', '$.asks', 'ARRAY')} AND {_is('d', '$.bids', 'ARRAY')} AND {_is('d', '$.ts', 'STRING')} AND {_is('d', '$.seq', 'BIGINT')}", event)
 
 
 def exchange_6() -> str:
-    test = f"{_at('v', '$.type')} IN ('snapshot', 'delta') AND {_is('v', '$.data.s', 'STRING')} AND {_is('v', '$.data.u', 'BIGINT')} AND {_is('v', '$.cts', 'BIGINT')} AND ({_is('v', '$.data.a', 'ARRAY')} OR {_is('v', '$.data.b', 'ARRAY')})"
+    test = f"{_at('v', '$.type')} IN ('snapshot', 'delta') AND {_text('v', '$.data.s')} IS NOT NULL AND {_is('v', '$.data.u', 'BIGINT')} AND {_is('v', '$.cts', 'BIGINT')} AND ({_has('v', '$.data.a')} OR {_has('v', '$.data.b')})"
     kind = f"CASE WHEN {_at('v', '$.type')} = 'snapshot' THEN 'snapshot' ELSE 'update' END"
-    return _cases((test, _event(_at("v", "$.data.s"), kind, _at("v", "$.data.u", "bigint"), 1, _at("v", "$.cts", "bigint"), _string_levels("v", "$.data.a"), _string_levels("v", "$.data.b"))))
+    return _cases((test, _event(_text("v", "$.data.s"), kind, _at("v", "$.data.u", "bigint"), 1, _at("v", "$.cts", "bigint"), _string_levels("v", "$.data.a"), _string_levels("v", "$.data.b"))))
 
 
 def exchange_8() -> str:
     time = f"try_cast({_at('d', '$.ts')} AS bigint)"
-    event = _event(_at("v", "$.arg.instId"), _at("v", "$.action"), time, 300, time, _string_levels("d", "$.asks"), _string_levels("d", "$.bids"))
-    test = f"{_at('v', '$.action')} IN ('snapshot', 'update') AND {_is('v', '$.arg.instId', 'STRING')} AND {_is('v', '$.data', 'ARRAY')}"
-    return _many(test, f"({_is('d', '$.asks', 'ARRAY')} OR {_is('d', '$.bids', 'ARRAY')}) AND {_is('d', '$.ts', 'STRING')}", event)
+    event = _event(_text("v", "$.arg.instId"), _at("v", "$.action"), time, 300, time, _string_levels("d", "$.asks"), _string_levels("d", "$.bids"))
+    test = f"{_at('v', '$.action')} IN ('snapshot', 'update') AND {_text('v', '$.arg.instId')} IS NOT NULL AND {_is('v', '$.data', 'ARRAY')}"
+    return _many(test, f"({_has('d', '$.asks')} OR {_has('d', '$.bids')}) AND {_is('d', '$.ts', 'STRING')}", event)
 
 
 #: Exchanges whose levels are JSON numbers: their text is made canonical; that of others stays as written.
