@@ -5,7 +5,7 @@ Batch and streaming run the same functions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field
 from decimal import Decimal
 
 ACCEPTED = "accepted"
@@ -55,6 +55,57 @@ class Sequence:
         request, self.requested, self.awaiting = not self.requested, True, True
         return "sequence_gap", request, True
 
+    @classmethod
+    def guessed(cls, kind: str, sequence: int | None, jump: int | None, time: int | None) -> Sequence:
+        """What a part of a market's order most likely finds, by its first event: a sequence that this goes on with."""
+        return cls() if sequence is None or kind == "snapshot" else cls(last=sequence - (jump or 0), last_time=time)
+
+    def passing(self, top: int | None, top_snapshot: int | None, top_free: int | None, least_jump: int | None) -> Sequence | None:
+        """What comes out of a part that accepts nothing from this state; None if it may accept something.
+
+        Of the part: the largest sequence number, that of snapshots, the latest time of events without number,
+        and the least jump of updates, None where there are none.
+        """
+        updates = least_jump is not None
+        if top_free is not None and (self.last_time is None or top_free >= self.last_time):
+            return None
+        if self.last is None:
+            if top_snapshot is not None or (updates and self.baseline_pending):
+                return None
+            return Sequence(requested=self.requested or updates) if not self.baseline_pending else self
+        if self.baseline_pending and updates:
+            return None
+        if updates and least_jump <= 0 and not self.awaiting:  # the last number again may be the next
+            return None
+        highest = top_snapshot if self.awaiting or self.baseline_pending else top
+        return self if highest is None or highest <= self.last else None
+
+
+@dataclass
+class Part:
+    """A walk through a part of a market's order, and what there could move a state."""
+
+    state: Sequence
+    entry: tuple = ()
+    top: int | None = None
+    top_snapshot: int | None = None
+    top_free: int | None = None
+    least_jump: int | None = None
+
+    def __post_init__(self) -> None:
+        self.entry = astuple(self.state)
+
+    def step(self, kind: str, sequence: int | None, jump: int, time: int) -> None:
+        if sequence is None:
+            self.top_free = time if self.top_free is None else max(self.top_free, time)
+        else:
+            self.top = sequence if self.top is None else max(self.top, sequence)
+            if kind == "snapshot":
+                self.top_snapshot = sequence if self.top_snapshot is None else max(self.top_snapshot, sequence)
+            else:
+                self.least_jump = jump or 0 if self.least_jump is None else min(self.least_jump, jump or 0)
+        self.state.step(kind, sequence, jump, time)
+
 
 @dataclass
 class Book:

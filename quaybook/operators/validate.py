@@ -1,12 +1,16 @@
 """Sequence rules: one tagged row for each output of an event.
 
-A market's events go through the rules in order: they are sorted within partitions and
-streamed, so a task holds a few numbers for its market, never the market's history.
+A market's order is cut into parts, and no task goes through more than one at a time. What a part
+leaves behind depends on what it finds: so each is first walked from a guess, the parts'
+entries are chained, and those that were walked from another entry than theirs are walked again.
+Most parts leave the same behind whatever they find, as an accepted event settles the state; and where nothing in a
+part can move a state, its summary tells so without a walk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import astuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,27 +19,140 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from quaybook.functions.ids import minted, pair_key, restamped
 from quaybook.functions.times import Clock, stamped
-from quaybook.operators.steps import ACCEPTED, Sequence
+from quaybook.operators.steps import ACCEPTED, Part, Sequence
+from quaybook.sources.io import landed
 
 MARKET = ["exchange_id", "pair_id"]
-
-
-def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
-    """events with verdict (accepted, or the reason against it), request and reset."""
+#: Width of a part, in units of the order column.
+PART = 1 << 20
+_EVENT = ("type", "sequence_id", "sequence_jump", "event_time")
+_STATE = pa.struct([("last", pa.int64()), ("awaiting", pa.bool_()), ("baseline_pending", pa.bool_()), ("last_time", pa.int64()), ("requested", pa.bool_())])
+_STATE_SQL = "struct<last:bigint,awaiting:boolean,baseline_pending:boolean,last_time:bigint,requested:boolean>"
+_WALKED = [("part", pa.int64()), ("entry", _STATE), ("exit", _STATE), ("top", pa.int64()), ("top_snapshot", pa.int64()), ("top_free", pa.int64()), ("least_jump", pa.int64())]
+_WALKED_SQL = f"part bigint, entry {_STATE_SQL}, exit {_STATE_SQL}, top bigint, top_snapshot bigint, top_free bigint, least_jump bigint"
+
+
+def _parted(events: DataFrame, entries: DataFrame | None = None) -> DataFrame:
+    """Events of (…, _part) by market, part and order; with the entries of their parts if there are any."""
+    if entries is not None:
+        known = entries.select(*(F.col(c).alias(f"_{c}") for c in (*MARKET, "part")), F.col("entry").alias("_entry"))
+        on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in MARKET]
+        events = events.withColumn("_here", F.col("_part")).drop("_part").join(known, [*on, F.col("_here") == F.col("_part")]).drop("_here", *(f"_{c}" for c in MARKET))
+    return events.repartition(*MARKET, "_part").sortWithinPartitions(*MARKET, "_part", "_order")
+
+
+def _walks(batches: Iterator[pa.RecordBatch], keys: list[pa.Field]) -> Iterator[pa.RecordBatch]:
+    """A row for each part: what it was entered with, what it leaves, and what could move a state."""
+    names = [f.name for f in keys] + [n for n, _ in _WALKED]
+    types = [f.type for f in keys] + [t for _, t in _WALKED]
+    here, part = None, None
+
+    def out() -> pa.RecordBatch:
+        row = (*here, dict(zip(_STATE.names, part.entry, strict=True)), dict(zip(_STATE.names, astuple(part.state), strict=True)), part.top, part.top_snapshot, part.top_free, part.least_jump)
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
+
+    for batch in batches:
+        entries = batch.column("_entry").to_pylist() if "_entry" in batch.schema.names else [None] * batch.num_rows
+        for exchange, pair, at, entry, *event in zip(*(batch.column(c).to_pylist() for c in (*MARKET, "_part")), entries, *(batch.column(c).to_pylist() for c in _EVENT), strict=True):
+            if (exchange, pair, at) != here:
+                if here is not None:
+                    yield out()
+                here = (exchange, pair, at)
+                part = Part(Sequence(**entry) if entry else Sequence.guessed(*event))
+            part.step(*event)
+    if here is not None:
+        yield out()
+
+
+def _chained(batches: Iterator[pa.RecordBatch], keys: list[pa.Field]) -> Iterator[pa.RecordBatch]:
+    """(market, part, entry, known): of sorted walks, each part's entry, and whether it was walked from there or can't move it."""
+    names, types = [*(f.name for f in keys), "part", "entry", "known"], [*(f.type for f in keys), pa.int64(), _STATE, pa.bool_()]
+    here, state, rows = None, Sequence(), []
+
+    def through(walks: list[dict]) -> tuple:
+        nonlocal state
+        entry = dict(zip(_STATE.names, astuple(state), strict=True))
+        exits = [w["exit"] for w in walks if w["entry"] == entry]
+        if exits:
+            state = Sequence(**exits[0])
+        elif passed := state.passing(*(walks[0][c] for c in ("top", "top_snapshot", "top_free", "least_jump"))):
+            state = passed
+        else:
+            state = Sequence(**walks[-1]["exit"])  # most likely
+            return (*here, entry, False)
+        return (*here, entry, True)
+
+    def emitted() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+        rows.clear()
+        return made
+
+    walks: list[dict] = []
+    for batch in batches:
+        for walk in batch.to_pylist():
+            key = (walk["exchange_id"], walk["pair_id"], walk["part"])
+            if key != here:
+                if walks:
+                    rows.append(through(walks))
+                if here is None or key[:2] != here[:2]:
+                    state = Sequence()
+                here, walks = key, []
+            walks.append(walk)
+        if len(rows) > 10_000:
+            yield emitted()
+    if walks:
+        rows.append(through(walks))
+    if rows:
+        yield emitted()
+
+
+def entries(events: DataFrame) -> DataFrame:
+    """(market, part, entry): the state in which the rules come to each part of events (…, _part, _order).
+
+    Each round walks, side by side, the parts whose entry isn't settled. The first of a market
+    always is after it, so the rounds end; only where every part leaves something else
+    behind for another entry are they as many as parts.
+    """
+    slim = landed(events.select(*MARKET, "_part", "_order", *_EVENT), "order")
+    arrow = [pa.field(f.name, pa.int64() if f.dataType.simpleString() == "bigint" else pa.int32()) for f in slim.select(*MARKET).schema]
+    keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.select(*MARKET).schema)
+
+    def walked(rows: DataFrame, number: int) -> DataFrame:
+        found = rows.mapInArrow(lambda b: _walks(b, arrow), f"{keys}, {_WALKED_SQL}").withColumn("number", F.lit(number))
+        return landed(found, "walks")
+
+    walks, number = walked(_parted(slim), 0), 0
+    while True:
+        chained = landed(walks.repartition(*MARKET).sortWithinPartitions(*MARKET, "part", "number").mapInArrow(lambda b: _chained(b, arrow), f"{keys}, part bigint, entry {_STATE_SQL}, known boolean"), "chained")
+        again = chained.where("NOT known")
+        if again.isEmpty():
+            return chained.drop("known")
+        number += 1
+        walks = walks.unionByName(walked(_parted(slim, again), number))
+
+
+def verdicts(events: DataFrame, order: str = "ord", part: int = PART) -> DataFrame:
+    """events with verdict (accepted, or the reason against it), request and reset. `order` numbers a market's events, each once."""
     schema = StructType([*events.schema.fields, StructField("verdict", StringType()), StructField("request", BooleanType()), StructField("reset", BooleanType())])
+    names = events.columns
+    first, last = events.agg(F.min(order), F.max(order)).first()
+    parted = events.withColumns({"_order": F.col(order), "_part": F.floor(F.col(order) / part).cast("long")})
+    many = first is not None and first // part != last // part
+    ready = _parted(parted, entries(parted) if many else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        market, state = None, Sequence()
+        here, state = None, Sequence()
         for batch in batches:
             out = []
-            for exchange, pair, *event in zip(*(batch.column(c).to_pylist() for c in (*MARKET, "type", "sequence_id", "sequence_jump", "event_time")), strict=True):
-                if (exchange, pair) != market:
-                    market, state = (exchange, pair), Sequence()
+            came = batch.column("_entry").to_pylist() if many else [None] * batch.num_rows
+            for exchange, pair, at, entry, *event in zip(*(batch.column(c).to_pylist() for c in (*MARKET, "_part")), came, *(batch.column(c).to_pylist() for c in _EVENT), strict=True):
+                if (exchange, pair, at) != here:
+                    here, state = (exchange, pair, at), Sequence(**entry) if entry else Sequence()
                 out.append(state.step(*event))
             verdict, request, reset = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(verdict, pa.string()), pa.array(request, pa.bool_()), pa.array(reset, pa.bool_())], names=[*batch.schema.names, "verdict", "request", "reset"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(verdict, pa.string()), pa.array(request, pa.bool_()), pa.array(reset, pa.bool_())], names=[*names, "verdict", "request", "reset"])
 
-    return events.repartition(*MARKET).sortWithinPartitions(*MARKET, order).mapInArrow(run, schema)
+    return ready.mapInArrow(run, schema)
 
 
 def accepted(judged: DataFrame, clock: Clock | None = None) -> DataFrame:

@@ -51,5 +51,5 @@ def numbered(events: DataFrame) -> DataFrame:
 
 def from_frames(frames: DataFrame, pair_lookup: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False, clock: Clock = now) -> Views:
     events = extract.events(extract.extracted(frames, pair_lookup))
-    ordered = stamped(numbered(events), "pair_extract", clock)
+    ordered = landed(stamped(numbered(events), "pair_extract", clock), "events")
     return from_events(ordered, factors, precisions, final_only, clock)
