@@ -218,3 +218,7 @@ ORACLE_SQL["stream_validate"] = ORACLE_SQL["validate_verdicts"]
 ORACLE_SQL["stream_books"] = ORACLE_SQL["book_events"]
 ORACLE_SQL["stream_union"] = ORACLE_SQL["aggregate_union"]
 ORACLE_SQL["stream_episodes"] = f"SELECT * FROM ({ORACLE_SQL['staleness_episodes']}) WHERE recovered IS NOT NULL"
+ORACLE_SQL["stream_chain"] = ORACLE_SQL["aggregate_union"]
+ORACLE_SQL["stream_fan_out"] = VERDICTS + f"""SELECT 'ex' || exchange_id || '-p' || pair_id || '-type-validated-raw-flink' AS topic, exchange_id || '|' || pair_id AS key, ord, id, CASE WHEN type = 'reset' THEN 'reset' ELSE 'event' END AS kind, NULL::VARCHAR AS reason FROM kept
+    UNION ALL SELECT 'ex' || exchange_id || '-p' || pair_id || '-rejected-flink', exchange_id || '|' || pair_id, ord, {_uuid("'validate|rejected|' || id")}, 'rejected', verdict FROM judged WHERE verdict <> 'accepted'
+    UNION ALL SELECT 'control-plane', exchange_id || '|' || pair_id, ord, {_uuid("'validate|control|' || id")}, 'control', NULL FROM judged WHERE request"""

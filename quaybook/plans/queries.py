@@ -6,6 +6,8 @@ says nothing about it, so that they compare with an SQL engine's.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ from quaybook.functions.times import stamped
 from quaybook.operators import aggregate, book, extract, monitor, quality, scale, serve, validate
 from quaybook.plans import pipeline
 from quaybook.schema import STAGES
-from quaybook.sources import feed, io, reference
+from quaybook.sources import feed, io, reference, topic_log
 from quaybook.sources.frames import PARSERS, from_topics, parsed
 from quaybook.streaming import market as streaming
+from quaybook.streaming import sinks
 
 MARKET = ["exchange_id", "pair_id"]
 NOW = 1_706_000_000_000
@@ -301,25 +304,48 @@ def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.latest(views.merged).select("pair_id", "side", F.size("levels").cast("long").alias("n"), "event_time")
 
 
+#: A market's events are of one topic; what a union steps through is of one, too.
+def _topic(kind: str, *columns: str) -> Column:
+    return F.concat_ws("-", F.lit(kind), *columns)
+
+
 def stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """validate_verdicts by Structured Streaming, to files and back."""
-    return io.streamed(feed.events(spark, sf_dir), streaming.verdicts, "stream-verdicts").select(*MARKET, "ord", "verdict", "request", "reset")
+    """validate_verdicts by Structured Streaming, from a log of topics to files and back."""
+    return io.streamed(feed.events(spark, sf_dir), streaming.verdicts, "stream-verdicts", _topic("market", *MARKET)).select(*MARKET, "ord", "verdict", "request", "reset")
 
 
 def stream_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """book_events by Structured Streaming, to files and back."""
-    return _flat_books(io.streamed(validate.accepted(_judged(spark, sf_dir)), streaming.books, "stream-books"))
+    """book_events by Structured Streaming, from a log of topics to files and back."""
+    return _flat_books(io.streamed(validate.accepted(_judged(spark, sf_dir)), streaming.books, "stream-books", _topic("market", *MARKET)))
+
+
+def _flat_union(unioned: DataFrame) -> DataFrame:
+    return unioned.select("pair_id", "side", "ord", "event_time", written("levels", "exchange_id", "simulation", "price", "quantity").alias("levels"))
 
 
 def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """aggregate_union by Structured Streaming, to files and back."""
-    out = io.streamed(book.split(_books(spark, sf_dir)), streaming.unioned, "stream-union")
-    return out.select("pair_id", "side", "ord", "event_time", written("levels", "exchange_id", "simulation", "price", "quantity").alias("levels"))
+    """aggregate_union by Structured Streaming, from a log of topics to files and back."""
+    return _flat_union(io.streamed(book.split(_books(spark, sf_dir)), streaming.unioned, "stream-union", _topic("view", "pair_id", "side")))
+
+
+def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """aggregate_union from raw events by one streaming query: sequence rules, books and unions behind one another."""
+    return _flat_union(io.streamed(feed.events(spark, sf_dir), streaming.chained, "stream-chain", _topic("pair", "pair_id")))
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts as a stream, sent to the topics of their markets, dead letters and requests; what these topics then hold."""
+    folder = f"{io.shared_dir(spark)}/streamed/fan-out-{uuid.uuid4().hex}"
+    events = feed.events(spark, sf_dir).withColumns({"topic": _topic("market", *MARKET), "partition": F.lit(0), "offset": F.col("ord")})
+    topic_log.append(events, f"{folder}/in", "all")
+    stream = topic_log.stream(spark, f"{folder}/in", events.schema, f"{folder}/state")
+    io.until_read(sinks.to_topics(streaming.verdicts(stream.drop("topic", "partition", "offset")), f"{folder}/out", f"{folder}/state"))
+    return topic_log.read(spark, f"{folder}/out", sinks.RECORD).select("topic", "key", "ord", "id", "kind", F.get_json_object("value", "$.reject_reason").alias("reason"))
 
 
 def stream_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ended episodes of staleness_episodes by Structured Streaming, to files and back."""
-    return io.streamed(_polls(spark, sf_dir), streaming.episodes, "stream-episodes", "now")
+    """The ended episodes of staleness_episodes by Structured Streaming, from a log of topics to files and back."""
+    return io.streamed(_polls(spark, sf_dir), streaming.episodes, "stream-episodes", F.col("topic"), "now")
 
 
 QUERIES = {
@@ -331,7 +357,7 @@ QUERIES = {
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
             book_events, book_final, book_lineage_check, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
             topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, full_chain,
-            stream_validate, stream_books, stream_union, stream_episodes,
+            stream_validate, stream_books, stream_union, stream_chain, stream_fan_out, stream_episodes,
         )
     },
 }

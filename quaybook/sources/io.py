@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 import struct
 import tempfile
-import time
 import uuid
 from collections.abc import Callable
 
@@ -18,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quaybook.schema import FRAME
+from quaybook.sources import topic_log
 
 RAW_PATTERN = "ex[0-9]+-raw"
-#: Rows of a micro-batch when landed rows are streamed; all of them may be of one key.
+#: Records of each topic in a micro-batch; all of them may be of one key.
 TRIGGER_ROWS = 20_000
 AGGREGATED_PATTERN = "^p[0-9]+-(asks|bids)$"
 
@@ -44,39 +44,29 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_order(df: DataFrame, path: str, order: str, rows: int = TRIGGER_ROWS) -> DataFrame:
-    """A stream of df's rows by `order`: each micro-batch is one file of at most `rows` rows.
+def streamed(df: DataFrame, transform: Callable[[DataFrame], DataFrame], name: str, topic: Column, order: str = "ord", rows: int = TRIGGER_ROWS) -> DataFrame:
+    """df as a log of topics by `order`, read as a stream of bounded micro-batches through `transform`, and its output read again.
 
-    The files source goes by modification time, so the files are given times in the
-    order of their names, which is that of the ranges.
+    What is stepped through together has to be of one topic: topics are read side by side, each by its own offsets.
     """
     spark = df.sparkSession
-    df.repartitionByRange(order).sortWithinPartitions(order).write.option("maxRecordsPerFile", rows).parquet(path)
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda f: _written_at(f.getName()))
-    newest = int(time.time()) - 1
-    for i, f in enumerate(files):
-        fs.setTimes(f, (newest - len(files) + i) * 1000, -1)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("maxFileAge", "36500d").parquet(path)
-
-
-def _written_at(name: str) -> tuple[int, int]:
-    """(task, number of its file) from the name of a file that Spark wrote."""
-    task, number = re.match(r"part-(\d+)-.*-c(\d+)", name).groups()
-    return int(task), int(number)
-
-
-def streamed(df: DataFrame, transform: Callable[[DataFrame], DataFrame], name: str, order: str = "ord") -> DataFrame:
-    """df landed by `order`, read as a stream of bounded micro-batches through `transform`, and its output read again."""
-    spark = df.sparkSession
     folder = f"{shared_dir(spark)}/streamed/{name}-{uuid.uuid4().hex}"
-    out = transform(in_order(df, f"{folder}/in", order))
-    to_files(out, f"{folder}/out", f"{folder}/state").awaitTermination()
+    records = df.withColumns({"topic": topic, "partition": F.lit(0), "offset": F.col(order).cast("long")})
+    topic_log.append(records, f"{folder}/log", "all", min(rows, topic_log.SEGMENT_ROWS))
+    stream = topic_log.stream(spark, f"{folder}/log", records.schema, f"{folder}/state", rows=rows)
+    out = transform(stream.select(*df.columns))
+    until_read(to_files(out, f"{folder}/out", f"{folder}/state", available_now=False))
     return spark.read.schema(out.schema).parquet(f"{folder}/out")
 
 
+def until_read(query: StreamingQuery) -> None:
+    """Wait until a query has read what is there, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append a stream to Parquet, each row once; with available_now what is there is done and the query ends."""
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")

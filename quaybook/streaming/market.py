@@ -1,66 +1,158 @@
-"""The stateful operators on streams: sequence rules, books, unions and staleness, with state in Spark's state store.
+"""The stateful operators on streams: sequence rules, books, unions and staleness, with state in RocksDB.
 
 Stateless operators (parsing, rebasing, precision) take streams as they are. Here a
-micro-batch's events of a key are put in order, then stepped through as in batch; the
-state of a key is what the step functions remember, written as JSON. Events travel
-through Python as JSON as well, so that large numbers and nulls stay what they are.
+micro-batch's events of a key are put in order, then stepped through as in batch. State is
+typed: a value for what the rules and the monitor remember, a map for books and unions, of which a
+micro-batch writes only the levels, or the exchanges, that it has changed. Events travel through
+Python as JSON, so that large numbers and nulls stay what they are.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
-from dataclasses import asdict
+from collections.abc import Iterator
+from dataclasses import astuple
 from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quaybook.functions import exact
 from quaybook.functions.ids import minted
+from quaybook.operators import book, validate
 from quaybook.operators.steps import Book, Sequence, Staleness, Union
 from quaybook.schema import EXCHANGE_BOOK, OWNED_LEVEL
 
 MARKET = ["exchange_id", "pair_id"]
 #: Rows that go back to Spark at once: each may hold a whole book.
 FRAME_ROWS = 200
-Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _in_order(batches: Iterator[pd.DataFrame]) -> list[str]:
-    """A key's events of this micro-batch, as JSON; the trigger's limits bound them."""
-    rows = [r for pdf in batches for r in zip(pdf["ord"].tolist(), pdf["event"].tolist(), strict=True)]
-    return [event for _, event in sorted(rows, key=lambda r: r[0])]
+class _Steps(StatefulProcessor):
+    """A key's events of a micro-batch in order, between reading its state and writing what has changed."""
 
+    columns: list[str]
 
-def _frames(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
-    """The rows in frames of at most FRAME_ROWS, each made when the one before has gone."""
-    while part := list(islice(rows, FRAME_ROWS)):
-        yield pd.DataFrame(part, columns=columns)
+    def load(self) -> None:
+        raise NotImplementedError
 
+    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
+        """What comes of an event."""
+        raise NotImplementedError
 
-def _stepped(events: DataFrame, event: Column, order: str, step: Step, schema: str, keys: list[str] = MARKET) -> DataFrame:
-    packed = events.select(*keys, F.col(order).alias("ord"), F.to_json(event).alias("event"))
-    return packed.groupBy(*keys).applyInPandasWithState(step, schema, "state string", "append", GroupStateTimeout.NoTimeout)
+    def save(self) -> None:
+        raise NotImplementedError
 
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        events = sorted(((o, e) for pdf in rows for o, e in zip(pdf["ord"].tolist(), pdf["event"].tolist(), strict=True)), key=lambda x: x[0])  # the trigger's limits bound them
+        self.load()
+        made = (row for _, text in events for row in self.rows(key, text))
+        while part := list(islice(made, FRAME_ROWS)):
+            yield pd.DataFrame(part, columns=self.columns)
+        self.save()
 
-def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
-    """operators.validate.verdicts() on a stream."""
+    def close(self) -> None:
+        pass
+
+
+class _Verdicts(_Steps):
+    columns = ["event", "verdict", "request", "reset"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("rules", "last long, awaiting boolean, baseline_pending boolean, last_time long, requested boolean")
+
+    def load(self) -> None:
+        self.rules = Sequence(*self.known.get()) if self.known.exists() else Sequence()
+
+    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
+        e = json.loads(text)
+        yield text, *self.rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
+
+    def save(self) -> None:
+        self.known.update(astuple(self.rules))
+
+
+class _Books(_Steps):
+    columns = ["event", "asks", "bids"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.levels = handle.getMapState("levels", "side string, price string", "quantity string, event string")
+
+    def load(self) -> None:
+        self.book = Book()
+        for (side, price), level in self.levels.iterator():
+            getattr(self.book, side)[price] = list(level)
+        self.before = {s: dict(getattr(self.book, s)) for s in ("asks", "bids")}
+
+    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
+        e = json.loads(text)
+        self.book.step(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in ("asks", "bids")))
+        yield text, *(json.dumps([{"price": p, "quantity": q, "source_id": i} for p, q, i in side]) for side in self.book.sides())
+
+    def save(self) -> None:
+        for side, before in self.before.items():
+            now = getattr(self.book, side)
+            for price in before.keys() - now.keys():
+                self.levels.removeKey((side, price))
+            for price, level in now.items():
+                if before.get(price) != level:
+                    self.levels.updateValue((side, price), tuple(level))
+
+
+class _Unions(_Steps):
+    columns = ["pair_id", "side", "ord", "snapshot_id", "event_time", "levels"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getMapState("held", "exchange string", "time long, levels string")
+
+    def load(self) -> None:
+        self.union = Union({exchange: {"time": time, "levels": json.loads(levels)} for (exchange,), (time, levels) in self.held.iterator()})
+        self.stepped: set[str] = set()
+
+    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
+        e = json.loads(text)
+        self.stepped.add(str(e["exchange_id"]))
+        self.union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
+        time, levels = self.union.view(key[1])
+        yield *key, e["ord"], e["snapshot_id"], time, json.dumps(levels)
 
-    def step(market: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rules = Sequence(**json.loads(state.get[0])) if state.exists else Sequence()
+    def save(self) -> None:
+        for exchange in self.stepped:
+            now = self.union.held[exchange]
+            self.held.updateValue((exchange,), (now["time"], json.dumps(now["levels"])))
 
-        def rows() -> Iterator[tuple]:
-            for text in _in_order(batches):
-                e = json.loads(text)
-                yield text, *rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
 
-        yield from _frames(rows(), ["event", "verdict", "request", "reset"])
-        state.update((json.dumps(asdict(rules)),))
+class _Episodes(_Steps):
+    columns = ["topic", "since", "recovered", "duration"]
 
-    out = _stepped(events, F.struct("*"), order, step, "event string, verdict string, request boolean, reset boolean")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("seen", "since long, last_eval long, episodes long, stale_time long")
+
+    def load(self) -> None:
+        self.seen = Staleness(*self.known.get()) if self.known.exists() else Staleness()
+
+    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
+        e = json.loads(text)
+        if (episode := self.seen.step(bool(e["stale"]), e["now"])) is not None:
+            yield *key, *episode
+
+    def save(self) -> None:
+        self.known.update(astuple(self.seen))
+
+
+def _stepped(events: DataFrame, event: Column, order: str, steps: _Steps, schema: str, keys: list[str] = MARKET) -> DataFrame:
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+    packed = events.select(*keys, F.col(order).alias("ord"), F.to_json(event).alias("event"))
+    return packed.groupBy(*keys).transformWithStateInPandas(steps, schema, "append", "none")
+
+
+def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
+    """operators.validate.verdicts() on a stream."""
+
+    out = _stepped(events, F.struct("*"), order, _Verdicts(), "event string, verdict string, request boolean, reset boolean")
     return out.select(F.from_json("event", events.schema).alias("e"), "verdict", "request", "reset").select("e.*", "verdict", "request", "reset")
 
 
@@ -70,21 +162,9 @@ def books(events: DataFrame, order: str = "ord") -> DataFrame:
     def plain(side: str) -> Column:
         return F.transform(side, lambda x: F.struct(exact.canonical(x["price"]).alias("p"), exact.canonical(x["quantity"]).alias("q"))).alias(side)
 
-    def step(market: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        book = Book(**json.loads(state.get[0])) if state.exists else Book()
-
-        def rows() -> Iterator[tuple]:
-            for text in _in_order(batches):
-                e = json.loads(text)
-                book.step(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in ("asks", "bids")))
-                yield text, *(json.dumps([{"price": p, "quantity": q, "source_id": i} for p, q, i in side]) for side in book.sides())
-
-        yield from _frames(rows(), ["event", "asks", "bids"])
-        state.update((json.dumps(asdict(book)),))
-
     fields = {"exchange_id": "int", "pair_id": "int", "ord": "bigint", "type": "string", "simulation": "int", "id": "string", "event_time": "bigint", "sequence_id": "bigint"}
     event = F.struct(*(F.col(order if c == "ord" else c).cast(t).alias(c) for c, t in fields.items()), plain("asks"), plain("bids"))
-    out = _stepped(events, event, order, step, "event string, asks string, bids string")
+    out = _stepped(events, event, order, _Books(), "event string, asks string, bids string")
     levels = f"array<{OWNED_LEVEL}>"
     read = out.select(F.from_json("event", ", ".join(f"{c} {t}" for c, t in fields.items())).alias("e"), F.from_json("asks", levels).alias("asks"), F.from_json("bids", levels).alias("bids"))
     return read.select(
@@ -95,21 +175,8 @@ def books(events: DataFrame, order: str = "ord") -> DataFrame:
 def unioned(exchange_books: DataFrame) -> DataFrame:
     """operators.aggregate.unioned() on a stream of operators.book.split(); merged() needs no state and takes its output."""
 
-    def step(view: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        union = Union(**json.loads(state.get[0])) if state.exists else Union()
-
-        def rows() -> Iterator[tuple]:
-            for text in _in_order(batches):
-                e = json.loads(text)
-                union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
-                time, levels = union.view(view[1])
-                yield *view, e["ord"], e["snapshot_id"], time, json.dumps(levels)
-
-        yield from _frames(rows(), ["pair_id", "side", "ord", "snapshot_id", "event_time", "levels"])
-        state.update((json.dumps(asdict(union)),))
-
     event = F.struct("exchange_id", "ord", "snapshot_id", "event_time", "levels")
-    out = _stepped(exchange_books, event, "ord", step, "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])
+    out = _stepped(exchange_books, event, "ord", _Unions(), "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])
     levels = F.from_json("levels", f"array<{EXCHANGE_BOOK}>").alias("levels")
     return out.select("pair_id", "side", "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", levels)
 
@@ -117,14 +184,14 @@ def unioned(exchange_books: DataFrame) -> DataFrame:
 def episodes(polls: DataFrame) -> DataFrame:
     """Stale episodes of (topic, now, stale), as they end; one that is still open is in the state alone."""
 
-    def step(topic: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = Staleness(**json.loads(state.get[0])) if state.exists else Staleness()
-        closed = []
-        for text in _in_order(batches):
-            e = json.loads(text)
-            if (episode := seen.step(bool(e["stale"]), e["now"])) is not None:
-                closed.append((*topic, *episode))
-        state.update((json.dumps(asdict(seen)),))
-        yield pd.DataFrame(closed, columns=["topic", "since", "recovered", "duration"])
-
-    return _stepped(polls, F.struct("now", "stale"), "now", step, "topic string, since long, recovered long, duration long", ["topic"])
+    return _stepped(polls, F.struct("now", "stale"), "now", _Episodes(), "topic string, since long, recovered long, duration long", ["topic"])
+
+
+def chained(events: DataFrame, order: str = "ord") -> DataFrame:
+    """Sequence rules, books and unions in one query: three stateful steps, one behind another in each micro-batch.
+
+    What a step gives of a micro-batch reaches the next one in the same, so a pair's records stay in
+    order as long as micro-batches take its events by order, of all exchanges alike: read them from
+    one topic for each pair.
+    """
+    return unioned(book.split(books(validate.accepted(verdicts(events, order)), order)))

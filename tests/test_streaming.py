@@ -1,63 +1,152 @@
-"""Streams in several micro-batches give what batch gives: state is carried from one to the next."""
-
-import time
+"""Streams in several micro-batches give what batch gives: state is carried from one to the next, and over restarts."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from quaybook.operators import book, validate
+from quaybook.operators import aggregate, book, validate
 from quaybook.operators.steps import Book, Sequence
-from quaybook.sources import feed, io
-from quaybook.streaming import market
+from quaybook.sources import feed, io, topic_log
+from quaybook.streaming import market, sinks
 
 SF = "/root/testdata/sf0.001"
 
 
-def in_batches(spark, df, folder, parts=3):
-    """A stream that gets df in `parts` micro-batches, by ord."""
+@pytest.fixture(scope="module")
+def events(spark):
+    return feed.events(spark, SF).cache()
+
+
+def logged(df, path, topic, parts=1, rows=60):
+    """df as a log: appended in `parts`, by ord, in segments of `rows`; and a way to stream it."""
+    records = df.withColumns({"topic": topic, "partition": F.lit(0), "offset": F.col("ord")})
     low, high = df.agg(F.min("ord"), F.max("ord")).first()
     step = (high - low) // parts + 1
     for i in range(parts):
-        df.where(F.col("ord").between(low + i * step, low + (i + 1) * step - 1)).coalesce(1).write.mode("append").parquet(folder)
-        time.sleep(1.1)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        assert topic_log.append(records.where(F.col("ord").between(low + i * step, low + (i + 1) * step - 1)), path, f"part{i}", rows)
+    return lambda checkpoint: topic_log.stream(df.sparkSession, path, records.schema, checkpoint, rows=rows).drop("topic", "partition", "offset")
+
 
+def ran(stream, tmp, batches=3):
+    query = io.to_files(stream, f"{tmp}/out", f"{tmp}/state", available_now=False)
+    io.until_read(query)
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) >= batches
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{tmp}/out")
 
-def ran(spark, stream, tmp):
-    query = io.to_files(stream, f"{tmp}/out", f"{tmp}/state")
-    query.awaitTermination()
-    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) >= 3
-    return spark.read.schema(stream.schema).parquet(f"{tmp}/out")
 
+def same(got, want):
+    columns = sorted(got.columns)
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
 
-def test_verdicts(spark, tmp_path):
-    events = feed.events(spark, SF).cache()
-    got = ran(spark, market.verdicts(in_batches(spark, events, f"{tmp_path}/in")), tmp_path)
+
+def test_verdicts(spark, tmp_path, events):
+    stream = logged(events, f"{tmp_path}/log", F.lit("all"))
+    got = ran(market.verdicts(stream(f"{tmp_path}/state")), tmp_path)
     want = validate.verdicts(events)
     assert want.columns == got.columns
-    key = lambda r: (r.exchange_id, r.pair_id, r.ord)
-    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
-
-
-def test_books(spark, tmp_path):
-    events = validate.accepted(validate.verdicts(feed.events(spark, SF))).cache()
-    got = ran(spark, market.books(in_batches(spark, events, f"{tmp_path}/in")), tmp_path)
-    want = book.books(events).select(*got.columns)
-    key = lambda r: (r.exchange_id, r.pair_id, r.ord)
-    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
-
-
-def test_landed_rows_stream_in_bounded_parts(spark, tmp_path):
-    """Rows that lie in no order are stepped through in order, a bounded number at once."""
-    events = feed.events(spark, SF).cache()
-    n = events.count()
-    stream = io.in_order(events.repartition(5), f"{tmp_path}/in", "ord", n // 6)
-    query = io.to_files(market.verdicts(stream), f"{tmp_path}/out", f"{tmp_path}/state")
-    query.awaitTermination()
-    assert max(p["numInputRows"] for p in query.recentProgress) <= n // 6
-    got = spark.read.parquet(f"{tmp_path}/out").select("ord", "exchange_id", "pair_id", "verdict")
-    want = validate.verdicts(events).select(*got.columns)
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    same(got, want)
+
+
+def test_a_restarted_query_goes_on_where_it_was(spark, tmp_path, events):
+    """The log grows between runs; what has been read isn't read again."""
+    records = events.withColumns({"topic": F.lit("all"), "partition": F.lit(0), "offset": F.col("ord")})
+    cuts = [0, 300, 301, 650, 1 << 40]
+    for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        topic_log.append(records.where(F.col("ord").between(low, high - 1)), f"{tmp_path}/log", f"part{i}", 70)
+        stream = topic_log.stream(spark, f"{tmp_path}/log", records.schema, f"{tmp_path}/state", rows=70).drop("topic", "partition", "offset")
+        io.until_read(io.to_files(market.verdicts(stream), f"{tmp_path}/out", f"{tmp_path}/state", available_now=False))
+    want = validate.verdicts(events)
+    same(spark.read.schema(want.schema).parquet(f"{tmp_path}/out"), want)
+
+
+def test_books(spark, tmp_path, events):
+    kept = validate.accepted(validate.verdicts(events)).cache()
+    got = ran(market.books(logged(kept, f"{tmp_path}/log", F.lit("all"))(f"{tmp_path}/state")), tmp_path)
+    same(got, book.books(kept).select(*got.columns))
+
+
+@pytest.mark.parametrize("rows", [130, 250])
+def test_chain(spark, tmp_path, events, rows):
+    """Three stateful steps in one query, for different cuts into micro-batches."""
+    stream = logged(events, f"{tmp_path}/log", F.concat(F.lit("p"), "pair_id"), rows=rows // 5)
+    got = ran(market.chained(stream(f"{tmp_path}/state")), tmp_path)
+    want = aggregate.unioned(book.split(book.books(validate.accepted(validate.verdicts(events)))))
+    same(got.select("pair_id", "side", "ord", "event_time", "levels"), want.select("pair_id", "side", "ord", "event_time", "levels"))
+
+
+def test_state_written_follows_changed_levels(spark, tmp_path):
+    """A book of 3000 levels; then one level changes in each micro-batch: what is written doesn't grow with the book."""
+    def event(i, kind, prices):
+        levels = [(str(p), "1") for p in prices]
+        return (1, 1, i, kind, 0, f"e{i}", ["s"], i, 1, i, levels, None)
+
+    rows = [event(1, "snapshot", range(1, 3001)), *(event(i, "update", [i]) for i in range(2, 8))]
+    schema = events_schema(spark)
+    stream = logged(spark.createDataFrame(rows, schema), f"{tmp_path}/log", F.lit("all"), rows=1)
+    query = io.to_files(market.books(stream(f"{tmp_path}/state")), f"{tmp_path}/out", f"{tmp_path}/state", available_now=False)
+    io.until_read(query)
+    puts = [p["stateOperators"][0]["customMetrics"]["rocksdbPutCount"] for p in query.recentProgress if p["numInputRows"]]
+    assert puts[0] >= 3000
+    assert len(puts) == 7
+    assert max(puts[1:]) < 50
+
+
+def events_schema(spark):
+    return feed.events(spark, SF).schema
+
+
+def test_a_replayed_batch_leaves_each_record_once(spark, tmp_path, events):
+    """The job dies between two sinks, and again; what the topics hold in the end is what one run gives."""
+    stream = logged(events, f"{tmp_path}/log", F.lit("all"), rows=300)
+    failures = {1, 3}
+    calls = []
+
+    def failing(judged):
+        calls.append(1)
+        if len(calls) in failures:
+            raise RuntimeError("lost")
+        return sinks.rejected(judged)
+
+    known = {"validated": sinks.validated, "rejected": failing, "controls": sinks.controls}
+    for _ in range(3):
+        query = sinks.to_topics(market.verdicts(stream(f"{tmp_path}/state")), f"{tmp_path}/out", f"{tmp_path}/state", known)
+        try:
+            io.until_read(query)
+        except Exception as e:  # noqa: BLE001
+            assert "lost" in str(e)
+    got = topic_log.read(spark, f"{tmp_path}/out", sinks.RECORD)
+    judged = validate.verdicts(events)
+    want = None
+    for sink in sinks.SINKS.values():
+        rows = sink(judged).select("topic", "ord", "id", "kind")
+        want = rows if want is None else want.unionByName(rows)
+    same(got.select("topic", "ord", "id", "kind"), want)
+    assert len(calls) >= 5
+    assert got.count() == got.select("topic", "partition", "offset").distinct().count()
+    by_topic = got.groupBy("topic").agg(F.sort_array(F.collect_list(F.struct("offset", "ord"))).alias("r")).select(F.transform("r", lambda x: x["ord"]).alias("o"))
+    assert by_topic.where(F.col("o") != F.sort_array("o")).isEmpty()
+
+
+def test_topics_by_name_and_start(spark, tmp_path):
+    rows = spark.range(90).select(F.concat(F.lit("t"), (F.col("id") % 3).cast("string")).alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    path = f"{tmp_path}/log"
+    assert topic_log.append(rows, path, "a", 10)
+    assert not topic_log.append(rows, path, "a", 10)
+
+    def seen(checkpoint, **options):
+        out = []
+        query = topic_log.stream(spark, path, rows.schema, f"{tmp_path}/{checkpoint}", **options).writeStream.foreachBatch(lambda df, _: out.append([tuple(r) for r in df.collect()])).option("checkpointLocation", f"{tmp_path}/{checkpoint}").start()
+        io.until_read(query)
+        return [b for b in out if b]
+
+    assert sorted(r for b in seen("one", pattern="t1") for r in b) == [("t1", 0, i) for i in range(1, 90, 3)]
+    batches = seen("two", pattern="t[02]", rows=10)
+    assert max(len(b) for b in batches) <= 20
+    assert len(batches) == 3
+    assert seen("three", starting="latest") == []
+    topic_log.append(rows.withColumn("offset", F.col("offset") + 100), path, "b", 10)
+    assert sum(map(len, seen("one", pattern="t1"))) == 30
+    assert topic_log.read(spark, path, rows.schema).count() == 180
+    assert topic_log.read(spark, f"{tmp_path}/none", rows.schema).isEmpty()
 
 
 @pytest.mark.parametrize(
