@@ -1,7 +1,7 @@
 """Line dedup by site-relative frequency.
 
 Pages are grouped by host. A line is boilerplate on a host when the pages that
-contain it are more than `ratio` of the host's pages; it goes from all of them.
+contain it are more than `ratio` of the host's pages, and `least` at least; it goes from all of them.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from quaybook.llm.common import sparing, table
 
 #: Up to so many boilerplate lines (about 40 bytes each) are sent to all executors.
 BROADCAST_LINES = 50_000
+#: Pages that a boilerplate line is on, at least: what two pages share may be a copy.
+LEAST = 3
 
 
 def _lines(text: Column) -> Column:
@@ -24,32 +26,33 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 20) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.1, least: int = LEAST) -> DataFrame:
     """(host, lines): the keys of each host's boilerplate lines.
 
     A host with p pages of l lines each has fewer than l / ratio of them.
     Lines of spaces only never count. Both counts are summed before the shuffle,
     so a host with most of the pages is no hot spot.
     """
-    pages = docs.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    pages = docs.groupBy(F.col(host).alias("of")).agg(F.count("*").alias("pages"))
     kept = F.filter(F.array_distinct(_lines(F.col(text))), lambda x: F.trim(x) != "")
     lines = docs.select(F.col(host).alias("host"), F.explode(F.transform(kept, _key)).alias("line"))
     counted = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
-    frequent = counted.where(F.col("n") > ratio * min_pages).join(pages.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
+    frequent = counted.where(F.col("n") >= least).join(pages, F.col("host").eqNullSafe(F.col("of")))
     return frequent.where(F.col("n") > ratio * F.col("pages")).groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
 @sparing
-def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 20) -> DataFrame:
+def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.1, least: int = LEAST) -> DataFrame:
     """docs with `text` rid of its host's boilerplate, and columns n_lines, n_dropped.
 
     Each row is a page, repeated rows too. Rows with a null host are a host of
     their own. A null text stays null with 0 lines; a text whose lines all go is
-    empty; empty lines stay. Hosts under `min_pages` pages are left alone. Other
+    empty; empty lines stay. A line has to be on `least` pages of its host, however
+    few these are. Other
     columns pass through; columns named n_lines or n_dropped are replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    found = table(boilerplate(docs, host, text, ratio, min_pages).select(F.col("host").alias("_of"), F.col("lines").alias("_lines")), "boilerplate")
+    found = table(boilerplate(docs, host, text, ratio, least).select(F.col("host").alias("_of"), F.col("lines").alias("_lines")), "boilerplate")
     n = found.agg(F.sum(F.size("_lines"))).first()[0] or 0
     same = F.col(host).eqNullSafe(F.col("_of"))
     if n <= BROADCAST_LINES:

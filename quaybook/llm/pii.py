@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,12 +52,15 @@ def _glyphs() -> dict[int, str]:
 
 _GLYPHS = _glyphs()
 _GLYPH = re.compile("[" + "".join(map(chr, _GLYPHS)) + "]")
+_GLYPH_CHARACTERS = set(map(chr, _GLYPHS))
 _DIGIT_OF = {w: str(d) for words in DIGIT_WORDS for d, w in enumerate(words.split())}
 _ONE_WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 #: What may stand between the digits of a number, before or after the transducers.
 _BETWEEN = r"[\s,().-]"
-#: Where spelled_digits() can bring an identifier to light: a digit word next to a digit or to another one, "plus" before a digit.
-_SPELLED = re.compile(rf"(?i)\b(?:{_ONE_WORD}\b{_BETWEEN}*(?:[0-9]|\b{_ONE_WORD}\b)|plus[\s,-]{{1,3}}[0-9])|[0-9]{_BETWEEN}+{_ONE_WORD}\b")
+#: Where spelled_digits() can bring an identifier to light: a digit word next to a digit or to another one, "plus" before a digit. For folded text: without (?i) most words fail at their first letter.
+_SPELLED = re.compile(rf"\b(?:{_ONE_WORD}\b{_BETWEEN}*(?:[0-9]|\b{_ONE_WORD}\b)|plus[\s,-]{{1,3}}[0-9])|[0-9]{_BETWEEN}+{_ONE_WORD}\b")
+#: The words of which _SPELLED needs one, each whole.
+_SPELLING, _WORD = {*_DIGIT_OF, "plus"}, re.compile(r"\w+")
 #: Signs that (?i) takes for letters of digit words, though lower() doesn't give these.
 _FOLD = str.maketrans("ſİıK", "siik")
 #: A digit word that isn't ASCII can also complete the domain after an @.
@@ -222,12 +226,15 @@ def find(text: str) -> list[Span]:
 
 def may_be_disguised(text: str) -> bool:
     """Whether the transducers can bring anything to light; true for more texts than those, never for fewer."""
-    if not text.isascii() and (_GLYPH.search(text) is not None or ("@" in text and _NON_ASCII_WORD.search(text) is not None)):
+    if not text.isascii() and (not _GLYPH_CHARACTERS.isdisjoint(text) or ("@" in text and _NON_ASCII_WORD.search(text) is not None)):
         return True
     lower = text.lower()
     if any(h in lower for h in _HINTS) and _SIGN.search(text) is not None:
         return True
-    return ("@" in text and _SPACED_AT.search(text) is not None) or _SPELLED.search(text) is not None
+    if "@" in text and _SPACED_AT.search(text) is not None:
+        return True
+    folded = lower if text.isascii() else text.translate(_FOLD).lower()
+    return not _SPELLING.isdisjoint(_WORD.findall(folded)) and _SPELLED.search(folded) is not None
 
 
 def find_disguised(text: str, base: list[Span], gated: bool = True) -> list[Span]:
@@ -239,11 +246,13 @@ def find_disguised(text: str, base: list[Span], gated: bool = True) -> list[Span
         return []
     tape = spelled_digits(plain_glyphs(Tape(text)))
     tape = signs(tape)
-    taken = {kind: [(a, b) for a, k, b in base if k == kind] for kind in KINDS}
+    taken = {kind: ([a for a, k, _ in base if k == kind], [b for _, k, b in base if k == kind]) for kind in KINDS}
     found = []
     for a, kind, b in find(tape.text):
         begin, end = tape.begin[a], tape.end[b - 1]
-        if all(end <= x or begin >= y for x, y in taken[kind]):
+        starts, ends = taken[kind]  # those of a kind don't overlap, so both rise
+        before = bisect_left(starts, end)
+        if not before or ends[before - 1] <= begin:
             found.append((begin, kind, end))
     return found
 

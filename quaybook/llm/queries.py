@@ -97,7 +97,7 @@ WITH lines AS (SELECT source, unnest(list_distinct(list_filter(string_split(text
 pages AS (SELECT source, count(*) AS pages FROM {docs} GROUP BY source),
 counted AS (SELECT source, line, count(*) AS n FROM lines GROUP BY source, line),
 bad AS (SELECT c.source, list(c.line) AS bad FROM counted c JOIN pages p ON c.source IS NOT DISTINCT FROM p.source
-        WHERE p.pages >= 20 AND c.n > 0.1 * p.pages GROUP BY c.source),
+        WHERE c.n >= 3 AND c.n > 0.1 * p.pages GROUP BY c.source),
 split AS (SELECT d.*, string_split(d.text, chr(10)) AS all_lines,
                  list_filter(string_split(d.text, chr(10)), lambda x: trim(x) = '' OR NOT list_contains(coalesce(b.bad, []::VARCHAR[]), x)) AS kept
           FROM {docs} d LEFT JOIN bad b ON d.source IS NOT DISTINCT FROM b.source)

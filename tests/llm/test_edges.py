@@ -150,7 +150,7 @@ def test_pii(docs, none):
 
 
 def test_lines(docs, none):
-    out = dedup_lines(docs, min_pages=2, ratio=0.5)
+    out = dedup_lines(docs, least=2, ratio=0.5)
     rows = out.collect()
     assert len(rows) == len(ROWS)
     passed(out, {"n_lines", "n_dropped"})
