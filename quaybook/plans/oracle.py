@@ -8,6 +8,15 @@ def _uuid(text: str) -> str:
     return f"regexp_replace(md5({text}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
 
 
+def _venues(name: str, *more: int) -> str:
+    """The exchanges of the events, and more."""
+    return f"(SELECT DISTINCT CASE WHEN 1 + user_id % 7 = 7 THEN 8 ELSE 1 + user_id % 7 END::INT AS {name} FROM events" + "".join(f" UNION SELECT {x}" for x in more) + ")"
+
+
+def _pairs(name: str, *more: int) -> str:
+    return f"(SELECT DISTINCT (1 + (user_id // 7) % 5)::INT AS {name} FROM events" + "".join(f" UNION SELECT {x}" for x in more) + ")"
+
+
 FEED = f"""
 feed0 AS (
     SELECT event_id AS ord, CASE WHEN 1 + user_id % 7 = 7 THEN 8 ELSE 1 + user_id % 7 END::INT AS exchange_id, (1 + (user_id // 7) % 5)::INT AS pair_id, event_type,
@@ -70,12 +79,12 @@ lines AS (SELECT l_orderkey AS ord, l_linenumber AS n, l_partkey AS p, l_suppkey
 heads AS (SELECT ord, (1 + arg_min(s, (n, price::VARCHAR, quantity::VARCHAR)) % 8)::INT AS exchange_id, (1 + arg_min(p, (n, price::VARCHAR, quantity::VARCHAR)) % 6)::INT AS pair_id FROM lines GROUP BY ord),
 levels AS (SELECT l.ord, h.exchange_id, h.pair_id, CASE WHEN odd = 1 THEN 'asks' ELSE 'bids' END AS side, (row_number() OVER (PARTITION BY l.ord, odd ORDER BY n, price::VARCHAR, quantity::VARCHAR) - 1)::BIGINT AS pos, price, quantity, {_uuid("'order|' || l.ord")} AS id
            FROM lines l JOIN heads h USING (ord)),
-factors AS (SELECT e AS exchange_id, p AS pair_id, [0, -1, -2, -6, 3][1 + (e + p) % 5] AS a, [0, 0, 2, 6, -3][1 + (e + p) % 5] AS b FROM (SELECT unnest([1, 2, 3, 4, 5, 6, 8, 9]) AS e), (SELECT unnest([1, 2, 3, 4, 5]) AS p))
+factors AS (SELECT e AS exchange_id, p AS pair_id, [0, -1, -2, -6, 3][1 + (e + p) % 5] AS a, [0, 0, 2, 6, -3][1 + (e + p) % 5] AS b FROM {_venues('e', 9)}, {_pairs('p')})
 """
 
-MARKETS = "markets(id, base_id, quote_id, pp, qp) AS (VALUES (1, 1, 2, 1, 2), (2, 1, 3, 0, 0), (3, 2, 3, 2, 1), (4, 3, 1, NULL, 1), (6, 4, 2, 1, NULL))"
-EXCHANGES = "venues(id, name) AS (SELECT x, 'exchange-' || x FROM (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 9]) AS x))"
-LISTED = "listed AS (SELECT e AS exchange_id, p AS pair_id, CASE WHEN (e + p) % 3 <> 0 THEN 'subscribe' ELSE 'unsubscribe' END AS status, CASE WHEN p % 2 = 0 THEN 30 + p END AS threshold FROM (SELECT unnest([1, 2, 3, 4, 5, 6, 8, 9]) AS e), (SELECT unnest([1, 2, 3, 4, 5, 6]) AS p))"
+MARKETS = f"markets AS (SELECT * FROM (VALUES (1, 1, 2, 1, 2), (2, 1, 3, 0, 0), (3, 2, 3, 2, 1), (4, 3, 1, NULL, 1), (6, 4, 2, 1, NULL)) v(id, base_id, quote_id, pp, qp) WHERE id IN (SELECT p FROM {_pairs('p', 6)}))"
+EXCHANGES = f"venues(id, name) AS (SELECT x, 'exchange-' || x FROM {_venues('x', 7, 9)} WHERE x <> 8)"
+LISTED = f"listed AS (SELECT e AS exchange_id, p AS pair_id, CASE WHEN (e + p) % 3 <> 0 THEN 'subscribe' ELSE 'unsubscribe' END AS status, CASE WHEN p % 2 = 0 THEN 30 + p END AS threshold FROM {_venues('e', 9)}, {_pairs('p', 6)})"
 
 
 def _cut(v: str, places: str) -> str:

@@ -58,7 +58,7 @@ def parse(exchange: int):  # noqa: ANN201
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.extracted(feed.frames(spark, sf_dir), reference.pair_lookup(feed.exchange_markets(spark)))
+    return extract.extracted(feed.frames(spark, sf_dir), reference.pair_lookup(feed.exchange_markets(spark, sf_dir)))
 
 
 def extract_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def canonical_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _based(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scale.rebased(feed.levels(spark, sf_dir), reference.rebase_lookup(feed.exchange_markets(spark)))
+    return scale.rebased(feed.levels(spark, sf_dir), reference.rebase_lookup(feed.exchange_markets(spark, sf_dir)))
 
 
 def _level_rows(events: DataFrame) -> DataFrame:
@@ -95,11 +95,11 @@ def rebase_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def precision_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level_rows(scale.precise(feed.levels(spark, sf_dir), reference.precision_lookup(feed.markets(spark))))
+    return _level_rows(scale.precise(feed.levels(spark, sf_dir), reference.precision_lookup(feed.markets(spark, sf_dir))))
 
 
 def null_vs_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scale.precise(scale.rebased(feed.levels(spark, sf_dir), reference.rebase_lookup(feed.exchange_markets(spark))).drop("reject"), reference.precision_lookup(feed.markets(spark)))
+    out = scale.precise(scale.rebased(feed.levels(spark, sf_dir), reference.rebase_lookup(feed.exchange_markets(spark, sf_dir))).drop("reject"), reference.precision_lookup(feed.markets(spark, sf_dir)))
     return out.select(F.col("asks").isNull().alias("no_asks"), F.col("bids").isNull().alias("no_bids"), (F.size("asks") == 0).alias("empty_asks")).groupBy("no_asks", "no_bids", "empty_asks").agg(F.count("*").alias("n"))
 
 
@@ -158,8 +158,8 @@ def merge_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = serve.latest(book.split(_books(spark, sf_dir, final_only=True), keep_source=True))
-    catalog = reference.market_catalog(feed.markets(spark), feed.currencies(spark))
-    return serve.named(last, catalog, feed.exchanges(spark))
+    catalog = reference.market_catalog(feed.markets(spark, sf_dir), feed.currencies(spark))
+    return serve.named(last, catalog, feed.exchanges(spark, sf_dir))
 
 
 def book_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,24 +187,24 @@ def latency_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.topic_plan(reference.provisioned(feed.exchange_markets(spark), feed.markets(spark), feed.exchanges(spark)))
+    return monitor.topic_plan(reference.provisioned(feed.exchange_markets(spark, sf_dir), feed.markets(spark, sf_dir), feed.exchanges(spark, sf_dir)))
 
 
 def _manual(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("ex1-raw", 30), ("p1-asks", 99)], "topic string, threshold int")
 
 
-def _watched(spark: SparkSession) -> DataFrame:
-    return monitor.watch_list(reference.subscribed(feed.exchange_markets(spark), feed.markets(spark)), _manual(spark))
+def _watched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.watch_list(reference.subscribed(feed.exchange_markets(spark, sf_dir), feed.markets(spark, sf_dir)), _manual(spark))
 
 
 def watch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _watched(spark)
+    return _watched(spark, sf_dir)
 
 
 def watch_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fewer = reference.subscribed(feed.exchange_markets(spark).where("exchange_id <> 3"), feed.markets(spark))
-    return monitor.dropped(_watched(spark), monitor.watch_list(fewer)).select("topic")
+    fewer = reference.subscribed(feed.exchange_markets(spark, sf_dir).where("exchange_id <> 3"), feed.markets(spark, sf_dir))
+    return monitor.dropped(_watched(spark, sf_dir), monitor.watch_list(fewer)).select("topic")
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +214,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staleness_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.staleness(_watched(spark), monitor.last_seen(_records(spark, sf_dir)), NOW)
+    return monitor.staleness(_watched(spark, sf_dir), monitor.last_seen(_records(spark, sf_dir)), NOW)
 
 
 def _polls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +243,7 @@ def staleness_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def watch_list_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watch list by each of its modes; an unknown one counts as both, and without manual entries db and both are alike."""
-    some = reference.subscribed(feed.exchange_markets(spark), feed.markets(spark))
+    some = reference.subscribed(feed.exchange_markets(spark, sf_dir), feed.markets(spark, sf_dir))
     out = None
     for mode in ("db", "config", "both", "else"):
         one = monitor.watch_list(some, _manual(spark), mode).select(F.lit(mode).alias("mode"), "topic", "threshold")
@@ -294,13 +294,13 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def market_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reference.market_catalog(feed.markets(spark), feed.currencies(spark))
+    return reference.market_catalog(feed.markets(spark, sf_dir), feed.currencies(spark))
 
 
 def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames to merged views, through every stage: the size of each pair's last view."""
-    markets = feed.exchange_markets(spark)
-    views = pipeline.from_frames(feed.frames(spark, sf_dir), reference.pair_lookup(markets), reference.rebase_lookup(markets), reference.precision_lookup(feed.markets(spark)))
+    markets = feed.exchange_markets(spark, sf_dir)
+    views = pipeline.from_frames(feed.frames(spark, sf_dir), reference.pair_lookup(markets), reference.rebase_lookup(markets), reference.precision_lookup(feed.markets(spark, sf_dir)))
     return serve.latest(views.merged).select("pair_id", "side", F.size("levels").cast("long").alias("n"), "event_time")
 
 

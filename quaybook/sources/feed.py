@@ -6,14 +6,13 @@ books, deletions and prices that differ in trailing zeros all occur in it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaybook.functions.ids import minted
+from quaybook.operators.intervals import running
 from quaybook.sources.io import landed
 
-EXCHANGES = (1, 2, 3, 4, 5, 6, 8)
-PAIRS = (1, 2, 3, 4, 5)
 DAY = 86_400_000
 #: Events of the feed's longest frames.
 MANY = 70
@@ -23,19 +22,22 @@ def _level(price: Column, quantity: Column) -> Column:
     return F.struct(price.cast("string").alias("price"), quantity.cast("string").alias("quantity"))
 
 
+def _laned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's rows with the market that each stands for."""
+    lane = 1 + F.col("user_id") % 7
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return e.withColumns({"exchange_id": F.when(lane == 7, 8).otherwise(lane).cast("int"), "pair_id": (1 + F.floor(F.col("user_id") / 7) % 5).cast("int")})
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events in the shape of job 1's output, with ord as their order in a market."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    lane = 1 + F.col("user_id") % 7
-    e = e.withColumns({
-        "exchange_id": F.when(lane == 7, 8).otherwise(lane).cast("int"),
-        "pair_id": (1 + F.floor(F.col("user_id") / 7) % 5).cast("int"),
+    e = _laned(spark, sf_dir).withColumns({
         "gap": ((F.col("event_type") == "error") & (F.col("event_id") % 4 == 0)).cast("long"),
         "p": F.col("value").cast("decimal(18,2)").cast("decimal(18,1)"),
         "k": F.get_json_object("props", "$.k").cast("int"),
     })
-    lane = Window.partitionBy("exchange_id", "pair_id").orderBy("event_id")
-    sequence = 1000 + F.row_number().over(lane) + F.sum("gap").over(lane) - F.when(F.col("event_id") % 23 == 0, 5).otherwise(0)
+    e = running(e, ["exchange_id", "pair_id"], "event_id", {"number": F.lit(1), "gaps": F.col("gap")})
+    sequence = 1000 + F.col("number") + F.col("gaps") - F.when(F.col("event_id") % 23 == 0, 5).otherwise(0)
     signup = F.col("event_type") == "signup"
     again = F.when(F.col("event_id") % 11 == 0, F.concat(F.col("p").cast("string"), F.lit("00"))).otherwise((F.col("p") + F.lit(1.5).cast("decimal(3,1)")).cast("string"))
     asks = F.array(_level(F.concat(F.col("p").cast("string"), F.lit("0")), F.col("k")), _level(again, F.concat(F.col("k").cast("string"), F.lit(".25"))))
@@ -118,25 +120,34 @@ def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def exchange_markets(spark: SparkSession) -> DataFrame:
-    """Every exchange's markets, with exponents; exchange 7 has none, and pair 6 no rebase row."""
-    rows = []
-    for e in (*EXCHANGES, 9):
-        for p in (*PAIRS, 6):
-            price, volume = {0: (0, 0), 1: (-1, 0), 2: (-2, 2), 3: (-6, 6), 4: (3, -3)}[(e + p) % 5]
-            rows.append((10 * e + p, e, f"M{p}", p, "subscribe" if (e + p) % 3 else "unsubscribe", price if p < 6 else None, volume if p < 6 else None, None if p % 2 else 30 + p))
-    return spark.createDataFrame(rows, "id int, exchange_id int, market string, market_id int, status string, price_amount_rebase int, volume_amount_rebase int, staleness_threshold_seconds int")
+def _seen(spark: SparkSession, sf_dir: str, exchanges: tuple[int, ...] = (), pairs: tuple[int, ...] = ()) -> DataFrame:
+    """One row: the exchanges and the pairs of the events, and some more."""
+    return _laned(spark, sf_dir).agg(*(F.array_union(F.collect_set(c), F.array(*map(F.lit, more)).cast("array<int>")).alias(c) for c, more in (("exchange_id", exchanges), ("pair_id", pairs))))
+
+
+def exchange_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every exchange's markets, with exponents; exchange 9 sends no events, and pair 6 has no rebase row."""
+    listed = _seen(spark, sf_dir, (9,), (6,)).select(F.explode("exchange_id").alias("exchange_id"), "pair_id").select("exchange_id", F.explode("pair_id").alias("p"))
+    of = (F.col("exchange_id") + F.col("p")) % 5 + 1
+    price, volume = (F.when(F.col("p") < 6, F.element_at(F.array(*map(F.lit, powers)), of)) for powers in ((0, -1, -2, -6, 3), (0, 0, 2, 6, -3)))
+    return listed.select(
+        (10 * F.col("exchange_id") + F.col("p")).alias("id"), "exchange_id", F.concat(F.lit("M"), F.col("p").cast("string")).alias("market"), F.col("p").alias("market_id"), F.when((F.col("exchange_id") + F.col("p")) % 3 == 0, "unsubscribe").otherwise("subscribe").alias("status"),
+        price.alias("price_amount_rebase"), volume.alias("volume_amount_rebase"), F.when(F.col("p") % 2 == 0, 30 + F.col("p")).alias("staleness_threshold_seconds"),
+    )
 
 
-def markets(spark: SparkSession) -> DataFrame:
-    """Pairs with precisions: 4 has none for prices, 5 no row at all."""
+def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' pairs with precisions, and pair 6: 4 has none for prices, 5 no row at all."""
     rows = [(1, 1, 2, 1, 2), (2, 1, 3, 0, 0), (3, 2, 3, 2, 1), (4, 3, 1, None, 1), (6, 4, 2, 1, None)]
-    return spark.createDataFrame(rows, "id int, base_id int, quote_id int, price_precision int, quantity_precision int")
+    known = spark.createDataFrame(rows, "id int, base_id int, quote_id int, price_precision int, quantity_precision int")
+    return known.join(_seen(spark, sf_dir, (), (6,)).select(F.explode("pair_id").alias("id")), "id", "left_semi")
 
 
 def currencies(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(1, "BTC"), (2, "USDT"), (3, "IRT"), (4, "ETH")], "id int, name string")
 
 
-def exchanges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(e, f"exchange-{e}", f"Exchange {e}") for e in (1, 2, 3, 4, 5, 6, 7, 9)], "id int, name string, label string")
+def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' exchanges but for 8, with names; and 7 and 9, which send no events."""
+    ids = _seen(spark, sf_dir, (7, 9)).select(F.explode("exchange_id").alias("id")).where("id <> 8")
+    return ids.select("id", F.format_string("exchange-%d", "id").alias("name"), F.format_string("Exchange %d", "id").alias("label"))
