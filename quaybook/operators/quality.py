@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quaybook.functions.ids import UUID
 from quaybook.operators.intervals import running
+from quaybook.sources.io import landed
 
 
 def differences(got: DataFrame, want: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
@@ -52,6 +53,37 @@ def unknown_sources(aggregated: DataFrame, snapshots: DataFrame) -> DataFrame:
     return levels.join(snapshots.select(F.col("id").alias("source")), "source", "left_anti")
 
 
+def superseded_sources(latest: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Levels of the latest cross-exchange views that name another snapshot than the last one of their exchange."""
+    last = snapshots.groupBy("pair_id", "exchange_id").agg(F.max_by("id", "ord").alias("last"))
+    levels = latest.select("pair_id", "side", F.explode("levels").alias("l")).select("pair_id", "side", "l.exchange_id", "l.price", F.col("l.source_id").alias("source"))
+    return levels.join(last, ["pair_id", "exchange_id"], "left").where(~F.col("source").eqNullSafe(F.col("last")))
+
+
+def parents(records: DataFrame) -> DataFrame:
+    """(child, parent): whom records (id, source_ids) come from."""
+    return records.select(F.col("id").alias("child"), F.explode("source_ids").alias("parent"))
+
+
+def walk(starts: DataFrame, edges: DataFrame, most: int = 64) -> DataFrame:
+    """(id, origin, hops) of starts (id): each origin that is reached, a record without parents, and over how many at least.
+
+    edges: (child, parent) of all stages. Each round takes all paths one hop further and is written, so the plan doesn't grow
+    with the way. Two paths that meet go on as one. A way of more than `most` hops is an error: lineage has no circles.
+    """
+    known = landed(edges.select("child", "parent").distinct(), "edges")
+    front = starts.select("id", F.col("id").alias("at")).distinct()
+    ended = None
+    for hops in range(most + 1):
+        step = landed(front.join(known, F.col("at") == F.col("child"), "left").select("id", "at", "parent"), "walk")
+        over = step.where("parent IS NULL").select("id", F.col("at").alias("origin"), F.lit(hops).alias("hops"))
+        ended = over if ended is None else ended.unionByName(over)
+        front = step.where("parent IS NOT NULL").select("id", F.col("parent").alias("at")).distinct()
+        if front.isEmpty():
+            return ended.groupBy("id", "origin").agg(F.min("hops").alias("hops"))
+    raise ValueError(f"lineage goes on for more than {most} hops")
+
+
 def bad_controls(controls: DataFrame) -> DataFrame:
     """Commands without their market's key, or without exactly one parent that isn't themselves."""
     key = F.concat_ws("|", F.col("exchange_id").cast("string"), F.col("pair_id").cast("string"))

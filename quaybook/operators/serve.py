@@ -23,19 +23,18 @@ def selected(books: DataFrame, pair_id: int, exchange_id: int = 0) -> DataFrame:
 def named(books: DataFrame, catalog: DataFrame, exchanges: DataFrame) -> DataFrame:
     """books with base and quote, and the exchange's name on the book and on each level.
 
-    A pair that the catalog lacks is p<id> / ?, an exchange "unknown". The exchanges are
-    few (a row for each venue), so their names become a literal in the plan.
+    A pair that the catalog lacks is p<id> / ?, an exchange "unknown". The exchanges' names, a row
+    for each venue, come as one map from a subquery.
     """
-    pairs = [x for row in exchanges.select("id", "name").collect() for x in (F.lit(row["id"]), F.lit(row["name"]))]
-    names = F.create_map(*pairs)
+    names = exchanges.agg(F.map_from_entries(F.collect_list(F.struct("id", "name")))).scalar()
 
     def name(of: Column) -> Column:
-        return F.coalesce(F.try_element_at(names, of), F.lit("unknown"))
+        return F.coalesce(F.try_element_at(F.col("_names"), of), F.lit("unknown"))
 
-    out = books.join(catalog, "pair_id", "left")
+    out = books.join(catalog, "pair_id", "left").withColumn("_names", names)
     level = F.transform("levels", lambda x: F.struct(x["exchange_id"].alias("exchange_id"), name(x["exchange_id"]).alias("exchange"), x["source_id"].alias("source_id"), x["price"].alias("price"), x["quantity"].alias("quantity")))
     exchange = F.when(F.col("exchange_id") == 0, "aggregated").otherwise(name(F.col("exchange_id")))
-    return out.withColumns({"base": F.coalesce("base", F.concat(F.lit("p"), F.col("pair_id").cast("string"))), "quote": F.coalesce("quote", F.lit("?")), "exchange": exchange, "levels": level})
+    return out.withColumns({"base": F.coalesce("base", F.concat(F.lit("p"), F.col("pair_id").cast("string"))), "quote": F.coalesce("quote", F.lit("?")), "exchange": exchange, "levels": level}).drop("_names")
 
 
 def top(snapshots: DataFrame) -> DataFrame:

@@ -188,8 +188,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l.pair_id, l.exchange_id, s.side, coalesce(x.name, 'p' || l.pair_id) AS base, coalesce(y.name, '?') AS quote, coalesce(v.name, 'unknown') AS exchange,
                coalesce((SELECT string_agg(coalesce(v.name, 'unknown') || '@' || {_canon('a.price')} || '@' || {_canon('a.quantity')}, ',' ORDER BY {_KEYED.replace('price', 'a.price').replace('side', 'a.side')}) FROM alive a WHERE a.exchange_id = l.exchange_id AND a.pair_id = l.pair_id AND a.ord = l.ord AND a.side = s.side), '') AS levels
         FROM last l CROSS JOIN (VALUES ('asks'), ('bids')) s(side) LEFT JOIN markets m ON m.id = l.pair_id LEFT JOIN coins x ON x.id = m.base_id LEFT JOIN coins y ON y.id = m.quote_id LEFT JOIN venues v ON v.id = l.exchange_id""",
-    "latency_deltas": f"""WITH {FEED}, d AS (SELECT ord, 5 + ord % 3 AS w, ord % 7 AS lag FROM feed)
-        SELECT ord, lag, w AS in_pair_extract, w AS in_type_validate, w AS in_rebase, w AS in_precision, w AS in_book_build, 10 - w AS to_type_validate, 10 - w AS to_rebase, 10 - w AS to_precision, 10 - w AS to_book_build, 40 + lag + w AS total FROM d""",
+    "latency_deltas": VERDICTS + """, d AS (SELECT ord, 5 + ord % 3 AS w, ord % 7 AS lag, type <> 'reset' AS whole FROM kept)
+        SELECT ord, CASE WHEN whole THEN lag END AS lag, CASE WHEN whole THEN w END AS in_pair_extract, w AS in_type_validate, w AS in_rebase, w AS in_precision, w AS in_book_build,
+               CASE WHEN whole THEN 10 - w END AS to_type_validate, 10 - w AS to_rebase, 10 - w AS to_precision, 10 - w AS to_book_build, 40 + lag + w AS total FROM d""",
     "topic_plan": f"""WITH {MARKETS}, {EXCHANGES}, {LISTED}, pairs AS (SELECT DISTINCT l.exchange_id, l.pair_id FROM listed l JOIN markets m ON m.id = l.pair_id JOIN venues v ON v.id = l.exchange_id)
         SELECT 'ex' || exchange_id || '-p' || pair_id || '-' || stage AS topic, 3600000::BIGINT AS retention_ms FROM pairs, {_STAGES}
         UNION ALL SELECT 'ex' || exchange_id || '-p' || pair_id || '-rejected-flink', 604800000 FROM pairs
@@ -231,3 +232,13 @@ ORACLE_SQL["stream_chain"] = ORACLE_SQL["aggregate_union"]
 ORACLE_SQL["stream_fan_out"] = VERDICTS + f"""SELECT 'ex' || exchange_id || '-p' || pair_id || '-type-validated-raw-flink' AS topic, exchange_id || '|' || pair_id AS key, ord, id, CASE WHEN type = 'reset' THEN 'reset' ELSE 'event' END AS kind, NULL::VARCHAR AS reason FROM kept
     UNION ALL SELECT 'ex' || exchange_id || '-p' || pair_id || '-rejected-flink', exchange_id || '|' || pair_id, ord, {_uuid("'validate|rejected|' || id")}, 'rejected', verdict FROM judged WHERE verdict <> 'accepted'
     UNION ALL SELECT 'control-plane', exchange_id || '|' || pair_id, ord, {_uuid("'validate|control|' || id")}, 'control', NULL FROM judged WHERE request"""
+
+_LAST = "final AS (SELECT p.*, s.from_ord FROM placed p JOIN stood s USING (pair_id, side, ord, exchange_id) WHERE p.ord = (SELECT max(ord) FROM views v WHERE v.pair_id = p.pair_id AND v.side = p.side))"
+ORACLE_SQL["lineage_walk"] = UNION + f", {_LAST} SELECT pair_id, side, exchange_id, {_canon('price')} AS price, 'f-' || from_ord AS origin, 3::BIGINT AS hops FROM final"
+ORACLE_SQL["lineage_breaks"] = UNION + f", {_LAST} SELECT pair_id, side, exchange_id, {_canon('price')} AS price, 2::BIGINT AS hops FROM final WHERE from_ord % 3 = 0"
+ORACLE_SQL["lineage_faults"] = BOOKS + """SELECT 'bad_ids' AS rule, count(*) AS n FROM books WHERE ord % 11 = 0
+    UNION ALL SELECT 'bad_triggers', count(*) FROM books WHERE ord % 19 = 0
+    UNION ALL SELECT 'foreign_levels', count(*) FROM books b WHERE ord % 17 = 0 AND EXISTS (FROM alive a WHERE a.exchange_id = b.exchange_id AND a.pair_id = b.pair_id AND a.ord = b.ord AND a.side = 'asks')
+    UNION ALL SELECT 'bad_controls', count(*) FROM judged WHERE request AND ord % 3 = 0"""
+ORACLE_SQL["superseded"] = BOOKS + f""", latest AS (SELECT pair_id, exchange_id, max(ord) FILTER (ord % 2 = 0) AS even, max(ord) AS last FROM books GROUP BY ALL)
+    SELECT a.pair_id, a.side, a.exchange_id, {_canon('a.price')} AS price FROM latest l JOIN alive a ON a.exchange_id = l.exchange_id AND a.pair_id = l.pair_id AND a.ord = l.even WHERE l.even <> l.last"""

@@ -178,12 +178,69 @@ def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.selected(serve.latest(book.split(_books(spark, sf_dir, final_only=True))), 2, 3).select("pair_id", "exchange_id", "side", "ord", F.size("levels").cast("long").alias("n"))
 
 
+def _staged(stage: str, way: str) -> Column:
+    """A clock for the whole chain: ten milliseconds from stage to stage, five to seven in each."""
+    late = F.col("event_time") + 10 * STAGES.index(stage) + F.col("ord") % 7
+    return late + 5 + F.col("ord") % 3 if way == "out" else late
+
+
 def latency_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stamps = {}
-    for i, s in enumerate(STAGES):
-        stamps[f"{s}_in"] = F.col("event_time") + 10 * i + F.col("ord") % 7
-        stamps[f"{s}_out"] = F.col("event_time") + 10 * i + 5 + F.col("ord") % 7 + F.col("ord") % 3
-    return serve.latencies(feed.events(spark, sf_dir).select("ord", "event_time").withColumns(stamps))
+    """From the stamps that snapshots bring along from all stages; a reset has none of the first."""
+    markets = feed.exchange_markets(spark, sf_dir)
+    came = stamped(feed.events(spark, sf_dir), "pair_extract", _staged)
+    views = pipeline.from_events(came, reference.rebase_lookup(markets), reference.precision_lookup(feed.markets(spark, sf_dir)), clock=_staged)
+    timed = views.snapshots.select(*MARKET, "ord", "event_time", "timings.*")
+    return serve.latencies(timed)
+
+
+def _lineage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The levels of the last unions, each with the snapshot that it names, and who comes from whom up to there."""
+    events = feed.events(spark, sf_dir)
+    judged = io.landed(validate.verdicts(events), "judged")
+    snapshots = io.landed(book.books(validate.accepted(judged)), "snapshots")
+    edges = quality.parents(events).unionByName(quality.parents(validate.accepted(judged)))
+    edges = edges.unionByName(snapshots.select(F.col("id").alias("child"), F.col("trigger_id").alias("parent")))
+    last = serve.latest(aggregate.unioned(book.split(snapshots)))
+    levels = last.select("pair_id", "side", F.explode("levels").alias("l")).select("pair_id", "side", "l.exchange_id", "l.price", F.col("l.source_id").alias("id"))
+    return levels, edges
+
+
+def lineage_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From each level of the last unions to the frame that it comes from, over snapshot, accepted and raw event."""
+    levels, edges = _lineage(spark, sf_dir)
+    found = quality.walk(levels.select("id"), edges)
+    return levels.join(found, "id").select("pair_id", "side", "exchange_id", "price", "origin", F.col("hops").cast("long").alias("hops"))
+
+
+def lineage_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels of the last unions whose way to a frame breaks off, where the raw events of every third place have lost their parents."""
+    levels, edges = _lineage(spark, sf_dir)
+    lost = edges.where(F.startswith("parent", F.lit("f-")) & (F.substring("parent", 3, 20).cast("long") % 3 == 0))
+    found = quality.walk(levels.select("id"), edges.join(lost, ["child", "parent"], "left_anti"))
+    return levels.join(found.where(~F.startswith("origin", F.lit("f-"))), "id").select("pair_id", "side", "exchange_id", "price", F.col("hops").cast("long").alias("hops"))
+
+
+def lineage_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lineage rules find where ids, triggers, owners of levels and keys of requests have been spoilt."""
+    judged = io.landed(_judged(spark, sf_dir), "judged")
+    at = F.col("ord")
+    gone = F.transform("asks", lambda x, i: F.when((at % 17 == 0) & (i == 0), x.withField("source_id", F.lit("gone"))).otherwise(x))
+    books = io.landed(book.books(validate.accepted(judged)), "books").withColumns({"id": F.when(at % 11 == 0, F.concat(F.lit("bad-"), at.cast("string"))).otherwise(F.col("id")), "asks": gone})
+    twice = books.unionByName(books.where(at % 19 == 0))
+    controls = validate.controls(judged).withColumn("key", F.when(at % 3 == 0, F.lit("elsewhere")).otherwise(F.col("key")))
+    found = {"bad_ids": quality.bad_ids(books), "bad_triggers": quality.bad_ids(twice, "trigger_id"), "foreign_levels": quality.foreign_levels(books), "bad_controls": quality.bad_controls(controls)}
+    out = None
+    for name, bad in found.items():
+        row = bad.agg(F.count("*").alias("n")).select(F.lit(name).alias("rule"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels of the last unions of the events at even places that name no last snapshot, when all snapshots count."""
+    books = io.landed(_books(spark, sf_dir), "books")
+    last = serve.latest(aggregate.unioned(book.split(books.where("ord % 2 = 0"))))
+    return quality.superseded_sources(last, books).select("pair_id", "side", "exchange_id", "price")
 
 
 def topic_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +412,7 @@ QUERIES = {
         f.__name__: f
         for f in (
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
-            book_events, book_final, book_lineage_check, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
+            book_events, book_final, book_lineage_check, lineage_walk, lineage_breaks, lineage_faults, superseded, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
             topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, full_chain,
             stream_validate, stream_books, stream_union, stream_chain, stream_fan_out, stream_episodes,
         )
