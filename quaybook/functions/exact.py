@@ -20,12 +20,19 @@ CANONICAL = r"^(0|-?([1-9][0-9]*(\.[0-9]*[1-9])?|0\.[0-9]*[1-9]))$"
 MAX_EXPONENT = 9999
 #: Digits that are added at once.
 GROUP = 15
+#: Characters of numbers that DECIMAL(38, 18) holds whatever they are.
+SHORT, _WIDE = 19, "decimal(38,18)"
 #: One digit less than the widest, whose sums would lose a place.
 _SUM = "decimal(37,18)"
 
 
+def _short(v: Column) -> Column:
+    """Whether v has at most SHORT characters, and none but digits, sign and point: a number's cast is then exact."""
+    return (F.length(v) <= SHORT) & (F.translate(v, "0123456789+-.", "") == "")
+
+
 def is_decimal(v: Column) -> Column:
-    return v.rlike(NUMERIC) | v.rlike(SCIENTIFIC)
+    return F.when(_short(v), v.try_cast(_WIDE).isNotNull()).otherwise(v.rlike(NUMERIC) | v.rlike(SCIENTIFIC))
 
 
 def number(v: Column) -> Column:
@@ -68,8 +75,8 @@ def _tidy(text: Column) -> Column:
 
 
 def canonical(v: Column) -> Column:
-    """Any zero is "0"; otherwise plain, without trailing zeros, leading zeros or a plus."""
-    return F.when(v.rlike(CANONICAL), v).otherwise(_tidy(_plain(v)))
+    """Any zero is "0"; otherwise plain, without trailing zeros, leading zeros or a plus. Patterns are for what is long or has an exponent."""
+    return F.when(_short(v), _trimmed(v.try_cast(_WIDE))).when(v.rlike(CANONICAL), v).otherwise(_tidy(_plain(v)))
 
 
 def _trimmed(v: Column) -> Column:
@@ -79,7 +86,27 @@ def _trimmed(v: Column) -> Column:
 
 def shift(v: Column, k: Column) -> Column:
     """v * 10**k, exactly and canonical; k may be negative or null (0)."""
-    return _tidy(_moved(_plain(v), F.coalesce(k, F.lit(0)).cast("int")))
+    return let(canonical(v), lambda c: let(F.coalesce(k, F.lit(0)).cast("int"), lambda n: _shifted(c, n)))
+
+
+def _shifted(c: Column, k: Column) -> Column:
+    """A canonical number with its point k places further right, by pieces of its text."""
+    size = F.ltrim(c, F.lit("-"))
+    whole = F.substring_index(size, ".", 1)
+    part = F.when(F.contains(size, F.lit(".")), F.substring_index(size, ".", -1)).otherwise(F.lit(""))
+    # digits on both sides of the new point, and how many of them are before it
+    digits = F.concat(F.lpad(whole, F.greatest(F.length(whole), -k), F.lit("0")), F.rpad(part, F.greatest(F.length(part), k), F.lit("0")))
+    before = F.greatest(F.length(whole), -k) + k
+
+    def text(x: Column) -> Column:
+        def pieces(w: Column, p: Column) -> Column:
+            head = F.when(w == "", "0").otherwise(w)
+            return F.when(p == "", head).otherwise(F.concat(head, F.lit("."), p))
+
+        return let(F.ltrim(F.substr(x["d"], F.lit(1), x["n"]), F.lit("0")), lambda w: let(F.rtrim(F.substr(x["d"], x["n"] + 1), F.lit("0")), lambda p: pieces(w, p)))
+
+    moved = let(F.struct(digits.alias("d"), before.alias("n")), text)
+    return F.when(k == 0, c).otherwise(let(moved, lambda m: F.when(F.startswith(c, F.lit("-")) & (m != "0"), F.concat(F.lit("-"), m)).otherwise(m)))
 
 
 def order_key(v: Column, falling: Column | bool = False) -> Column:
@@ -160,8 +187,13 @@ def _long_total(values: Column) -> Column:
 
 def cut(v: Column, places: Column) -> Column:
     """v towards zero to so many decimal places, canonical; null places leave its value."""
-    n = F.coalesce(places.cast("string"), F.lit(""))
-    return _tidy(F.regexp_replace(_plain(v), F.concat(F.lit("([.][0-9]{0,"), n, F.lit("})[0-9]*$")), F.lit("$1")))
+
+    def cut_off(c: Column) -> Column:
+        point = F.instr(c, ".")
+        kept = F.rtrim(F.rtrim(F.substr(c, F.lit(1), point + places), F.lit("0")), F.lit("."))
+        return F.when(places.isNull() | (point == 0), c).otherwise(let(kept, lambda x: F.when(x == "-0", "0").otherwise(x)))
+
+    return let(canonical(v), cut_off)
 
 
 def places(v: Column) -> Column:

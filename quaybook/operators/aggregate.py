@@ -21,18 +21,18 @@ def unioned(exchange_books: DataFrame) -> DataFrame:
     latest of the books that hold. Levels stand by price, equal ones by falling quantity,
     then exchange.
     """
+    def key(x: Column) -> Column:
+        return F.struct(sort_key(F.col("side"), x["price"]).alias("k"), exact.order_key(x["quantity"], falling=True).alias("q"), x["exchange_id"].alias("e"), x.alias("level"))
+
     placed = running(exchange_books, VIEW, "ord", {"n": F.lit(1)})
     ends = placed.groupBy(*VIEW).agg((F.max("n") + 1).alias("end"))
     turn = Window.partitionBy(*VIEW, "exchange_id").orderBy("n")
     held = placed.withColumn("next", F.lead("n").over(turn)).join(ends, VIEW)
-    held = held.select(*VIEW, F.col("n").alias("begin"), F.coalesce("next", "end").alias("until"), F.col("event_time").alias("book_time"), "levels")
+    # a level gets its place in the order once, not at each moment that its book lasts
+    held = held.select(*VIEW, F.col("n").alias("begin"), F.coalesce("next", "end").alias("until"), F.col("event_time").alias("book_time"), F.transform("levels", key).alias("keyed"))
     moments = placed.select(*VIEW, "ord", "n", "snapshot_id")
-    joined = alive(moments, held, VIEW, "n").groupBy(*VIEW, "ord", "snapshot_id").agg(F.max("book_time").alias("event_time"), F.flatten(F.collect_list("levels")).alias("all"))
-
-    def key(x: Column) -> Column:
-        return F.struct(sort_key(F.col("side"), x["price"]).alias("k"), exact.order_key(x["quantity"], falling=True).alias("q"), x["exchange_id"].alias("e"), x.alias("level"))
-
-    levels = F.transform(F.sort_array(F.transform("all", key)), lambda x: x["level"])
+    joined = alive(moments, held, VIEW, "n").groupBy(*VIEW, "ord", "snapshot_id").agg(F.max("book_time").alias("event_time"), F.flatten(F.collect_list("keyed")).alias("all"))
+    levels = F.transform(F.sort_array("all"), lambda x: x["level"])
     return joined.select(*VIEW, "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", levels.alias("levels"))
 
 

@@ -56,9 +56,11 @@ def books(events: DataFrame, final_only: bool = False) -> DataFrame:
     """
     sides = _sides(events)
     moments = sides.select(*SIDED, "ord", "n")
-    if final_only:
-        moments = moments.join(moments.groupBy(*SIDED).agg(F.max("n").alias("n")), [*SIDED, "n"])
-    joined = alive(moments, level_intervals(sides), SIDED, "n")
+    if final_only:  # what lasts until after the last moment, by equality
+        last = moments.groupBy(*SIDED).agg(F.max_by(F.struct("ord", "n"), "n").alias("m")).select(*SIDED, "m.ord", (F.col("m.n") + 1).alias("until"))
+        joined = last.join(level_intervals(sides), [*SIDED, "until"], "left")
+    else:
+        joined = alive(moments, level_intervals(sides), SIDED, "n")
     levels = _collect(joined, [*SIDED, "ord"])
     none = F.array().cast("array<struct<price:string,quantity:string,source_id:string>>")
 

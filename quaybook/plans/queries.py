@@ -45,7 +45,7 @@ def _unioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_topic_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_topics(feed.frames(spark, sf_dir)).groupBy("exchange_id").agg(F.count("*").alias("n"))
+    return from_topics(feed.topics(spark, sf_dir)).groupBy("exchange_id").agg(F.count("*").alias("n"))
 
 
 def parse(exchange: int):  # noqa: ANN201

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quaybook.functions.ids import minted
 from quaybook.operators.intervals import running
-from quaybook.sources.io import landed
+from quaybook.sources.io import landed, shared_dir
 
 DAY = 86_400_000
 #: Events of the feed's longest frames.
@@ -57,8 +57,29 @@ def _json(side: Column, quoted: bool) -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", levels), F.lit("]"))
 
 
+def _topic() -> Column:
+    n = F.col("ord")
+    return F.when(n % 53 == 0, F.lit("elsewhere-raw")).when(n % 59 == 0, F.lit("ex7-raw")).otherwise(F.format_string("ex%d-raw", F.col("exchange_id")))
+
+
+def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames' topics alone."""
+    return _laned(spark, sf_dir).select(F.col("event_id").alias("ord"), "exchange_id").select(_topic().alias("topic"))
+
+
+#: Where frames lie, by session, its shared folder and the table that they are of.
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as the frames that its exchanges would send, among acknowledgements and damage; they lie in files, as a topic's would."""
+    """The feed as the frames that its exchanges would send, among acknowledgements and damage; they lie in files, as a topic's would, from their first use in a session on."""
+    key = (spark.sparkContext.applicationId, shared_dir(spark), sf_dir)
+    if key not in _FRAMES:
+        _FRAMES[key] = landed(_made_up(spark, sf_dir), "frames")
+    return _FRAMES[key]
+
+
+def _made_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
     n = F.col("ord")
     text = {
@@ -98,9 +119,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     for exchange, value in bodies.items():
         body = F.when(F.col("exchange_id") == exchange, value).otherwise(body)
     value = F.when(n % 47 == 0, F.lit("{broken")).when(n % 31 == 0, F.lit('{"id":1,"result":{}}')).otherwise(body)
-    topic = F.when(n % 53 == 0, F.lit("elsewhere-raw")).when(n % 59 == 0, F.lit("ex7-raw")).otherwise(F.format_string("ex%d-raw", F.col("exchange_id")))
-    made_up = e.select(topic.alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), value.alias("value"), F.col("event_time").alias("processing_time"))
-    return landed(made_up, "frames")
+    return e.select(_topic().alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), value.alias("value"), F.col("event_time").alias("processing_time"))
 
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
