@@ -242,3 +242,10 @@ ORACLE_SQL["lineage_faults"] = BOOKS + """SELECT 'bad_ids' AS rule, count(*) AS
     UNION ALL SELECT 'bad_controls', count(*) FROM judged WHERE request AND ord % 3 = 0"""
 ORACLE_SQL["superseded"] = BOOKS + f""", latest AS (SELECT pair_id, exchange_id, max(ord) FILTER (ord % 2 = 0) AS even, max(ord) AS last FROM books GROUP BY ALL)
     SELECT a.pair_id, a.side, a.exchange_id, {_canon('a.price')} AS price FROM latest l JOIN alive a ON a.exchange_id = l.exchange_id AND a.pair_id = l.pair_id AND a.ord = l.even WHERE l.even <> l.last"""
+ORACLE_SQL["stream_rebase"] = ORACLE_SQL["rebase_levels"]
+ORACLE_SQL["stream_live_view"] = UNION + """, shown AS (
+        SELECT b.pair_id, b.exchange_id, s.side, b.ord, b.event_time, (SELECT count(*) FROM alive a WHERE a.exchange_id = b.exchange_id AND a.pair_id = b.pair_id AND a.ord = b.ord AND a.side = s.side) AS n FROM books b, (VALUES ('asks'), ('bids')) s(side)
+        UNION ALL SELECT v.pair_id, 0, v.side, v.ord, v.event_time, (SELECT count(*) FROM placed p WHERE p.pair_id = v.pair_id AND p.side = v.side AND p.ord = v.ord) FROM views v)
+    SELECT * FROM shown QUALIFY row_number() OVER (PARTITION BY pair_id, exchange_id, side ORDER BY ord DESC) = 1"""
+ORACLE_SQL["stream_silences"] = f"""WITH {FEED}, {_RECORDS}, gaps AS (SELECT topic, ord * 1000 AS ts, lead(ord) OVER (PARTITION BY topic ORDER BY ord) * 1000 AS next, max(ord) OVER () * 1000 AS now FROM records)
+    SELECT topic, ts + 60001 AS since, next AS recovered, next - ts - 60001 AS duration FROM gaps WHERE coalesce(next, now) - ts > 60000"""

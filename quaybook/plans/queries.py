@@ -19,7 +19,7 @@ from quaybook.schema import STAGES
 from quaybook.sources import feed, io, reference, topic_log
 from quaybook.sources.frames import PARSERS, from_topics, parsed
 from quaybook.streaming import market as streaming
-from quaybook.streaming import sinks
+from quaybook.streaming import live, sinks
 
 MARKET = ["exchange_id", "pair_id"]
 NOW = 1_706_000_000_000
@@ -400,6 +400,45 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic_log.read(spark, f"{folder}/out", sinks.RECORD).select("topic", "key", "ord", "id", "kind", F.get_json_object("value", "$.reject_reason").alias("reason"))
 
 
+def _log_of(rows: DataFrame, name: str, topic: Column, order: str, batch_rows: int) -> tuple[DataFrame, str]:
+    """rows as a stream from a log of topics, and the folder for what is made of it."""
+    spark = rows.sparkSession
+    folder = f"{io.shared_dir(spark)}/streamed/{name}-{uuid.uuid4().hex}"
+    records = rows.withColumns({"topic": topic, "partition": F.lit(0), "offset": F.col(order).cast("long")})
+    topic_log.append(records, f"{folder}/in", "all", batch_rows)
+    return topic_log.stream(spark, f"{folder}/in", records.schema, f"{folder}/state", rows=batch_rows), folder
+
+
+def stream_live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest books of exchanges and unions, read from the state of the query that keeps them."""
+    split = book.split(_books(spark, sf_dir))
+    both = split.select("pair_id", "exchange_id", "side", "ord", "event_time", "levels").unionByName(aggregate.unioned(split).select("pair_id", F.lit(0).alias("exchange_id"), "side", "ord", "event_time", "levels"))
+    stream, folder = _log_of(both, "live", _topic("view", "pair_id", "exchange_id", "side"), "ord", io.TRIGGER_ROWS)
+    messages = serve.messages(live.newest(stream))
+    io.until_read(messages.writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{folder}/state").start())
+    return live.held(spark, f"{folder}/state").select("pair_id", "exchange_id", "side", "ord", "event_time", F.size("levels").cast("long").alias("n"))
+
+
+def stream_silences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silent markets by event-time timers, from records that come at a second a place; no polls."""
+    records = _records(spark, sf_dir).select("topic", (F.col("offset") * 1000).alias("timestamp"), F.lit(60_000).alias("threshold"))
+    stream, folder = _log_of(records.withColumn("market", F.col("topic")), "silences", F.lit("all"), "timestamp", 4000)
+    out = live.silences(stream.drop("topic").withColumnRenamed("market", "topic"))
+    io.until_read(out.writeStream.foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")).outputMode("update").option("checkpointLocation", f"{folder}/state").start())
+    turns = spark.read.schema(out.schema).parquet(f"{folder}/out")
+    return monitor.recorded(turns.limit(0), turns)
+
+
+def stream_rebase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rebase_levels on a stream whose factors are loaded anew for every micro-batch."""
+    levels = feed.levels(spark, sf_dir)
+    stream, folder = _log_of(levels, "rebase", F.lit("all"), "ord", io.TRIGGER_ROWS)
+    factors = reference.Refreshing(lambda: reference.rebase_lookup(feed.exchange_markets(spark, sf_dir)))
+    io.until_read(live.with_fresh(stream.select(*levels.columns), factors, scale.rebased, f"{folder}/out", f"{folder}/state", every=0))
+    based = spark.read.schema(scale.rebased(levels, factors.current).schema).parquet(f"{folder}/out")
+    return _level_rows(based.where("reject IS NULL"))
+
+
 def stream_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ended episodes of staleness_episodes by Structured Streaming, from a log of topics to files and back."""
     return io.streamed(_polls(spark, sf_dir), streaming.episodes, "stream-episodes", F.col("topic"), "now")
@@ -414,7 +453,7 @@ QUERIES = {
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
             book_events, book_final, book_lineage_check, lineage_walk, lineage_breaks, lineage_faults, superseded, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
             topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, full_chain,
-            stream_validate, stream_books, stream_union, stream_chain, stream_fan_out, stream_episodes,
+            stream_validate, stream_books, stream_union, stream_chain, stream_fan_out, stream_live_view, stream_silences, stream_rebase, stream_episodes,
         )
     },
 }

@@ -15,7 +15,7 @@ from dataclasses import astuple
 from itertools import islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -143,8 +143,13 @@ class _Episodes(_Steps):
         self.known.update(astuple(self.seen))
 
 
+def on_rocks(spark: SparkSession) -> None:
+    """Typed state and timers need RocksDB as the store of this session's next queries."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+
+
 def _stepped(events: DataFrame, event: Column, order: str, steps: _Steps, schema: str, keys: list[str] = MARKET) -> DataFrame:
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+    on_rocks(events.sparkSession)
     packed = events.select(*keys, F.col(order).alias("ord"), F.to_json(event).alias("event"))
     return packed.groupBy(*keys).transformWithStateInPandas(steps, schema, "append", "none")
 
