@@ -91,34 +91,41 @@ def _cut(v: str, places: str) -> str:
     return f"CASE WHEN {places} IS NULL THEN ({v})::DECIMAL(38,6) ELSE (trunc(({v})::DECIMAL(38,6) * power(10, {places})::BIGINT) / power(10, {places})::BIGINT)::DECIMAL(38,6) END"
 
 
-VERDICTS = f"""
-WITH RECURSIVE {FEED},
+def _rules(prefix: str, feed: str = "feed", jump: str = "1") -> str:
+    """The sequence rules over a table that the CTEs before give."""
+    return f"""
+WITH RECURSIVE {prefix},
 run AS (
     SELECT exchange_id, pair_id, 0::BIGINT AS n, NULL::BIGINT AS ord, NULL::BIGINT AS last, false AS awaiting, false AS pending, NULL::BIGINT AS last_time, false AS requested, NULL::VARCHAR AS verdict, false AS request, false AS reset
-    FROM (SELECT DISTINCT exchange_id, pair_id FROM feed)
+    FROM (SELECT DISTINCT exchange_id, pair_id FROM {feed})
     UNION ALL
     SELECT f.exchange_id, f.pair_id, f.n, f.ord,
            CASE WHEN v IN ('snap', 'adopt', 'next') THEN f.seq ELSE r.last END, CASE WHEN v IN ('free', 'snap') THEN false WHEN v = 'sequence_gap' THEN true ELSE r.awaiting END,
            CASE WHEN v = 'free' THEN true WHEN v = 'adopt' THEN false ELSE r.pending END, CASE WHEN v IN ('free', 'snap', 'adopt', 'next') THEN f.event_time ELSE r.last_time END,
            CASE WHEN v IN ('free', 'snap', 'adopt') THEN false WHEN v IN ('no_baseline', 'sequence_gap') THEN true ELSE r.requested END,
            CASE WHEN v IN ('free', 'snap', 'adopt', 'next') THEN 'accepted' ELSE v END, v IN ('no_baseline', 'sequence_gap') AND NOT r.requested, v = 'sequence_gap'
-    FROM run r JOIN feed f ON f.exchange_id = r.exchange_id AND f.pair_id = r.pair_id AND f.n = r.n + 1,
+    FROM run r JOIN {feed} f ON f.exchange_id = r.exchange_id AND f.pair_id = r.pair_id AND f.n = r.n + 1,
     LATERAL (SELECT CASE WHEN f.seq IS NULL THEN CASE WHEN f.event_time < r.last_time THEN 'out_of_order' ELSE 'free' END
                          WHEN f.type = 'snapshot' THEN CASE WHEN f.seq <= r.last THEN 'stale_or_duplicate' ELSE 'snap' END
                          WHEN r.pending THEN 'adopt' WHEN r.last IS NULL THEN 'no_baseline' WHEN r.awaiting THEN 'awaiting_snapshot'
-                         WHEN f.seq = r.last + 1 THEN 'next' WHEN f.seq <= r.last THEN 'stale_or_duplicate' ELSE 'sequence_gap' END AS v) x),
-judged AS (SELECT f.*, r.verdict, r.request, r.reset FROM run r JOIN feed f ON f.exchange_id = r.exchange_id AND f.pair_id = r.pair_id AND f.n = r.n),
+                         WHEN f.seq = r.last + {jump} THEN 'next' WHEN f.seq <= r.last THEN 'stale_or_duplicate' ELSE 'sequence_gap' END AS v) x),
+judged AS (SELECT f.*, r.verdict, r.request, r.reset FROM run r JOIN {feed} f ON f.exchange_id = r.exchange_id AND f.pair_id = r.pair_id AND f.n = r.n),
 kept AS (
     SELECT exchange_id, pair_id, ord, CASE WHEN reset THEN 'reset' ELSE type END AS type, simulation, {_uuid("'validate|' || CASE WHEN reset THEN 'reset' ELSE 'event' END || '|' || id")} AS id, id AS parent,
            CASE WHEN NOT reset THEN seq END AS seq, event_time, CASE WHEN NOT reset THEN asks END AS asks, CASE WHEN NOT reset THEN bids END AS bids
     FROM judged WHERE verdict = 'accepted' OR reset)
 """
 
+
+VERDICTS = _rules(FEED)
+
 _KEYED = "CASE WHEN side = 'asks' THEN price ELSE -price END"
-BOOKS = VERDICTS + f""",
-sides AS (SELECT exchange_id, pair_id, ord, id, type, 'asks' AS side, asks AS levels FROM kept UNION ALL SELECT exchange_id, pair_id, ord, id, type, 'bids', bids FROM kept),
+def _books(kept: str = "kept", number: str = "DECIMAL(18,4)") -> str:
+    """Books of events whose sides stand in `kept`, after _rules()."""
+    return f""",
+sides AS (SELECT exchange_id, pair_id, ord, id, type, 'asks' AS side, asks AS levels FROM {kept} UNION ALL SELECT exchange_id, pair_id, ord, id, type, 'bids', bids FROM {kept}),
 epochs AS (SELECT *, sum(CASE WHEN type = 'reset' OR (type = 'snapshot' AND levels IS NOT NULL) THEN 1 ELSE 0 END) OVER (PARTITION BY exchange_id, pair_id, side ORDER BY ord) AS epoch FROM sides),
-sets AS (SELECT exchange_id, pair_id, side, epoch, ord, id, x.pos, CAST(levels[x.pos].price AS DECIMAL(18,4)) AS price, CAST(levels[x.pos].quantity AS DECIMAL(18,4)) AS quantity FROM epochs, LATERAL (SELECT unnest(range(1, len(levels) + 1)) AS pos) x),
+sets AS (SELECT exchange_id, pair_id, side, epoch, ord, id, x.pos, CAST(levels[x.pos].price AS {number}) AS price, CAST(levels[x.pos].quantity AS {number}) AS quantity FROM epochs, LATERAL (SELECT unnest(range(1, len(levels) + 1)) AS pos) x),
 held AS (
     SELECT e.exchange_id, e.pair_id, e.side, e.ord, s.price, arg_max({{'q': s.quantity, 'id': s.id}}, (s.ord, s.pos)) AS v
     FROM epochs e JOIN sets s ON s.exchange_id = e.exchange_id AND s.pair_id = e.pair_id AND s.side = e.side AND s.epoch = e.epoch AND s.ord <= e.ord GROUP BY ALL),
@@ -129,13 +136,16 @@ books AS (
 """
 
 
+BOOKS = VERDICTS + _books()
+
+
 def _side_text(side: str) -> str:
     return f"coalesce((SELECT string_agg({_canon('a.price')} || '@' || {_canon('a.quantity')} || '@' || a.source_id, ',' ORDER BY {_KEYED.replace('price', 'a.price').replace('side', 'a.side')}) FROM alive a WHERE a.exchange_id = b.exchange_id AND a.pair_id = b.pair_id AND a.ord = b.ord AND a.side = '{side}'), '')"
 
 
 FLAT_BOOK = f"SELECT exchange_id, pair_id, ord, id, trigger_id, event_time, seq AS last_sequence_id, {_side_text('asks')} AS asks, {_side_text('bids')} AS bids FROM books b"
 
-UNION = BOOKS + f""",
+_UNIONED = """,
 moments AS (SELECT pair_id, side, ord, exchange_id, simulation, event_time FROM books, (VALUES ('asks'), ('bids')) s(side)),
 standing AS (
     SELECT m.pair_id, m.side, m.ord, b.exchange_id, max(b.ord) AS from_ord FROM moments m JOIN moments b ON b.pair_id = m.pair_id AND b.side = m.side AND b.ord <= m.ord GROUP BY ALL),
@@ -143,6 +153,7 @@ stood AS (SELECT s.*, b.simulation, b.event_time FROM standing s JOIN moments b
 views AS (SELECT pair_id, side, ord, max(event_time) AS event_time FROM stood GROUP BY ALL),
 placed AS (SELECT s.pair_id, s.side, s.ord, s.exchange_id, s.simulation, a.price, a.quantity FROM stood s JOIN alive a ON a.exchange_id = s.exchange_id AND a.pair_id = s.pair_id AND a.side = s.side AND a.ord = s.from_ord)
 """
+UNION = BOOKS + _UNIONED
 
 _RECORDS = "records AS (SELECT 'ex' || exchange_id || '-p' || pair_id || '-raw-flink' AS topic, ord, event_time FROM feed)"
 _STAGES = "(SELECT unnest(['raw-flink', 'type-validated-raw-flink', 'rebased-flink', 'applied-precision-flink', 'orderbook-snapshot-flink']) AS stage)"
@@ -249,3 +260,28 @@ ORACLE_SQL["stream_live_view"] = UNION + """, shown AS (
     SELECT * FROM shown QUALIFY row_number() OVER (PARTITION BY pair_id, exchange_id, side ORDER BY ord DESC) = 1"""
 ORACLE_SQL["stream_silences"] = f"""WITH {FEED}, {_RECORDS}, gaps AS (SELECT topic, ord * 1000 AS ts, lead(ord) OVER (PARTITION BY topic ORDER BY ord) * 1000 AS next, max(ord) OVER () * 1000 AS now FROM records)
     SELECT topic, ts + 60001 AS since, next AS recovered, next - ts - 60001 AS duration FROM gaps WHERE coalesce(next, now) - ts > 60000"""
+
+#: The extracted events of all exchanges as their parsers tell them, numbered; then with rebased and truncated levels.
+_CHAIN = f"""{FEED}, {FRAMES},
+spoken AS (
+    SELECT exchange_id, pair_id, ord AS place, pos, simulation, event_time, CASE WHEN exchange_id IN (3, 4, 5) THEN 'snapshot' ELSE type END AS type,
+           CASE WHEN exchange_id IN (1, 2) AND type = 'snapshot' OR exchange_id = 3 THEN NULL WHEN exchange_id = 8 THEN event_time ELSE coalesce(seq, ord) + CASE WHEN exchange_id = 5 AND ord % 601 = 0 THEN pos ELSE 0 END END AS seq,
+           CASE WHEN exchange_id = 8 THEN 300 WHEN exchange_id = 6 OR exchange_id IN (1, 2) AND type = 'update' THEN 1 ELSE 0 END AS jump,
+           CASE WHEN exchange_id IN (1, 2, 4, 5) OR exchange_id = 3 AND ord % 2 = 0 THEN coalesce(asks, []) WHEN exchange_id <> 3 THEN asks END AS asks,
+           CASE WHEN exchange_id IN (1, 2, 4, 5) OR exchange_id = 3 AND ord % 2 = 1 THEN coalesce(bids, []) WHEN exchange_id <> 3 THEN bids END AS bids
+    FROM told WHERE parent IS NOT NULL AND market LIKE 'M%'),
+chain AS (SELECT exchange_id, pair_id, row_number() OVER (ORDER BY place, exchange_id, pos) AS ord, type, simulation, place || '-' || exchange_id || '-' || pos AS id, seq, jump, event_time, asks, bids,
+                 row_number() OVER (PARTITION BY exchange_id, pair_id ORDER BY place, pos) AS n FROM spoken)"""
+_SCALED = f""", {MARKETS}, tens(k, f) AS (SELECT k, CASE WHEN k < 0 THEN 1::DECIMAL(38,12) / (10 ** -k)::BIGINT ELSE (10 ** k)::BIGINT END::DECIMAL(20,6) FROM (SELECT unnest(range(-6, 7)) AS k)),
+given AS (SELECT exchange_id, pair_id, ord, 'asks' AS side, asks AS levels FROM kept WHERE asks IS NOT NULL UNION ALL SELECT exchange_id, pair_id, ord, 'bids', bids FROM kept WHERE bids IS NOT NULL),
+spread AS (SELECT exchange_id, pair_id, ord, side, unnest(range(1, len(levels) + 1)) AS i, levels FROM given),
+based AS (SELECT s.exchange_id, s.pair_id, s.ord, s.side, s.i, levels[i].price::DECIMAL(16,4) * x.f AS price, levels[i].quantity::DECIMAL(16,4) * y.f AS quantity, m.pp, m.qp
+          FROM spread s JOIN tens x ON x.k = [0, -1, -2, -6, 3][1 + (s.exchange_id + s.pair_id) % 5] JOIN tens y ON y.k = [0, 0, 2, 6, -3][1 + (s.exchange_id + s.pair_id) % 5] LEFT JOIN markets m ON m.id = s.pair_id),
+truncated AS (SELECT *, CASE WHEN pp IS NULL THEN price ELSE trunc(price * power(10, pp)::BIGINT) / power(10, pp)::BIGINT END::DECIMAL(38,10) AS cut FROM based),
+gathered AS (SELECT exchange_id, pair_id, ord, side, cut, min(i) AS i, sum(quantity) AS q, any_value(qp) AS qp FROM truncated GROUP BY ALL),
+lists AS (SELECT exchange_id, pair_id, ord, side, list({{'price': cut, 'quantity': CASE WHEN qp IS NULL THEN q ELSE trunc(q * power(10, qp)::BIGINT) / power(10, qp)::BIGINT END::DECIMAL(38,10)}} ORDER BY i) AS levels FROM gathered GROUP BY ALL),
+scaled AS (SELECT k.* REPLACE (CASE WHEN k.asks IS NOT NULL THEN coalesce(a.levels, []) END AS asks, CASE WHEN k.bids IS NOT NULL THEN coalesce(b.levels, []) END AS bids) FROM kept k
+           LEFT JOIN lists a ON a.exchange_id = k.exchange_id AND a.pair_id = k.pair_id AND a.ord = k.ord AND a.side = 'asks' LEFT JOIN lists b ON b.exchange_id = k.exchange_id AND b.pair_id = k.pair_id AND b.ord = k.ord AND b.side = 'bids')"""
+ORACLE_SQL["full_chain"] = _rules(_CHAIN, "chain", "f.jump") + _SCALED + _books("scaled", "DECIMAL(38,10)") + _UNIONED + """
+    SELECT v.pair_id, v.side, (SELECT count(*) FROM (SELECT DISTINCT simulation, price FROM placed p WHERE p.pair_id = v.pair_id AND p.side = v.side AND p.ord = v.ord)) AS n, v.event_time
+    FROM views v WHERE v.ord = (SELECT max(ord) FROM views w WHERE w.pair_id = v.pair_id AND w.side = v.side)"""

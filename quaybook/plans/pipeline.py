@@ -45,8 +45,11 @@ def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, fi
 
 
 def numbered(events: DataFrame) -> DataFrame:
-    """Events of (ord, pos) with a new ord: their number among the events of the exchange. A frame may have any number of them."""
-    return running(events, ["exchange_id"], "ord", {"n": F.lit(1)}, then=("pos",)).withColumn("ord", F.col("n")).drop("pos", "n")
+    """Events of (ord, pos) with a new ord: their number among all events, by offset, exchange and place in the frame, which may hold any number.
+
+    No two have the same, so books of one pair have an order across exchanges.
+    """
+    return running(events, [], "ord", {"n": F.lit(1)}, then=("exchange_id", "pos")).withColumn("ord", F.col("n")).drop("pos", "n")
 
 
 def from_frames(frames: DataFrame, pair_lookup: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False, clock: Clock = now) -> Views:
