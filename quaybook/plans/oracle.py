@@ -285,3 +285,13 @@ scaled AS (SELECT k.* REPLACE (CASE WHEN k.asks IS NOT NULL THEN coalesce(a.leve
 ORACLE_SQL["full_chain"] = _rules(_CHAIN, "chain", "f.jump") + _SCALED + _books("scaled", "DECIMAL(38,10)") + _UNIONED + """
     SELECT v.pair_id, v.side, (SELECT count(*) FROM (SELECT DISTINCT simulation, price FROM placed p WHERE p.pair_id = v.pair_id AND p.side = v.side AND p.ord = v.ord)) AS n, v.event_time
     FROM views v WHERE v.ord = (SELECT max(ord) FROM views w WHERE w.pair_id = v.pair_id AND w.side = v.side)"""
+
+_FINAL = "final AS (SELECT b.* FROM books b WHERE ord = (SELECT max(ord) FROM books c WHERE c.exchange_id = b.exchange_id AND c.pair_id = b.pair_id))"
+ORACLE_SQL["display_books"] = BOOKS + f""", {_FINAL}, told AS (SELECT f.exchange_id, f.pair_id, f.ord, a.side, a.price, {_canon('a.price')} AS p, {_canon('a.quantity')} AS q FROM final f JOIN alive a USING (exchange_id, pair_id, ord)),
+    most AS (SELECT exchange_id, pair_id, max(CASE WHEN contains(p, '.') THEN length(p) - strpos(p, '.') ELSE 0 END) AS n FROM told GROUP BY ALL),
+    padded AS (SELECT t.*, CASE WHEN n = 0 THEN p WHEN contains(p, '.') THEN p || repeat('0', n - length(p) + strpos(p, '.')) ELSE p || '.' || repeat('0', n) END || '@' || q AS shown FROM told t JOIN most USING (exchange_id, pair_id))
+    SELECT f.exchange_id, f.pair_id, f.ord, coalesce((SELECT string_agg(shown, ',' ORDER BY price DESC) FROM padded p WHERE p.exchange_id = f.exchange_id AND p.pair_id = f.pair_id AND side = 'asks'), '') AS asks,
+           coalesce((SELECT string_agg(shown, ',' ORDER BY price DESC) FROM padded p WHERE p.exchange_id = f.exchange_id AND p.pair_id = f.pair_id AND side = 'bids'), '') AS bids FROM final f"""
+ORACLE_SQL["view_messages"] = BOOKS + f""", {_FINAL}, best AS (SELECT exchange_id, pair_id, ord, side, arg_min(price, {_KEYED}) AS price, arg_min(quantity, {_KEYED}) AS quantity FROM alive GROUP BY ALL)
+    SELECT f.pair_id, f.exchange_id, 'select' AS type, s.side AS view_side, {_canon('b.price')} AS best, {_canon('b.quantity')} AS best_quantity, f.event_time::VARCHAR AS at
+    FROM final f CROSS JOIN (VALUES ('asks'), ('bids')) s(side) LEFT JOIN best b ON b.exchange_id = f.exchange_id AND b.pair_id = f.pair_id AND b.ord = f.ord AND b.side = s.side"""

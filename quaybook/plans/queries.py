@@ -170,6 +170,19 @@ def top_of_book_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.top(_books(spark, sf_dir))
 
 
+def display_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last books as displays write them: asks from the highest, all prices of a book with as many places."""
+    shown = serve.display(_books(spark, sf_dir, final_only=True))
+    return shown.select(*MARKET, "ord", written("asks").alias("asks"), written("bids").alias("bids"))
+
+
+def view_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that clients get when they select: what stands in them, read back from their text."""
+    told = serve.messages(serve.latest(book.split(_books(spark, sf_dir, final_only=True))), "select")
+    fields = {"type": "$.type", "view_side": "$.side", "best": "$.levels[0].price", "best_quantity": "$.levels[0].quantity", "at": "$.event_time"}
+    return told.select("pair_id", "exchange_id", *(F.get_json_object("value", path).alias(name) for name, path in fields.items()))
+
+
 def latest_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.latest(_unioned(spark, sf_dir)).select("pair_id", "exchange_id", "side", "ord", F.size("levels").cast("long").alias("n"))
 
@@ -451,7 +464,7 @@ QUERIES = {
         f.__name__: f
         for f in (
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
-            book_events, book_final, book_lineage_check, lineage_walk, lineage_breaks, lineage_faults, superseded, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, latest_book, selection, latency_deltas,
+            book_events, book_final, book_lineage_check, lineage_walk, lineage_breaks, lineage_faults, superseded, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, display_books, view_messages, latest_book, selection, latency_deltas,
             topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, full_chain,
             stream_validate, stream_books, stream_union, stream_chain, stream_fan_out, stream_live_view, stream_silences, stream_rebase, stream_episodes,
         )
