@@ -178,7 +178,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))).select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("size"))
-    sample = labelled.join(sizes, "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < sample_docs / F.col("size") * (1 << 20))
+    # a row for each language: fewer than the model has of each, which comes to the driver
+    sample = labelled.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < sample_docs / F.col("size") * (1 << 20))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):

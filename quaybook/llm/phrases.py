@@ -16,6 +16,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ BROADCAST_WORDS, BROADCAST_BYTES = 1_000_000, 32_000_000
 #: The set of frequent grams has 2**BITS bits (16 MB), however many there are.
 BITS = 27
 #: Different words, and grams, that a task counts before it passes them on.
-WORDS_COUNTED, GRAMS_COUNTED = 400_000, 2_000_000
+WORDS_COUNTED, GRAMS_COUNTED = 300_000, 1_000_000
 #: About how many ids a row of encoded text has.
 ROW_IDS = 1 << 14
 #: The language of texts without one.
@@ -102,12 +103,14 @@ def _lists(rows: list[np.ndarray]) -> pa.RecordBatch:
 def _encoded_by_broadcast(said: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(ids): rows of encoded text, each task with all frequent words."""
     found = vocabulary.select("lang", "word", "id").toArrow()
-    sent = said.sparkSession.sparkContext.broadcast(tuple(found.column(c).to_pylist() for c in ("lang", "word", "id")))
+    at = pa.compute.sort_indices(found.column("lang"))
+    langs, words, ids = (found.column(c).take(at).to_pylist() for c in ("lang", "word", "id"))
+    starts = [i for i in range(len(langs)) if not i or langs[i] != langs[i - 1]]
+    packed = [(langs[i], "\n".join(words[i:j]).encode(), np.array(ids[i:j], np.int32)) for i, j in zip(starts, [*starts[1:], len(langs)], strict=False)]  # no word has a line end
+    sent = said.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: dict[str, dict[bytes, int]] = {}
-        for lang, word, i in zip(*sent.value, strict=True):
-            ids.setdefault(lang, {})[word.encode()] = i
+        ids = {lang: dict(zip(words.split(b"\n"), of.tolist(), strict=True)) for lang, words, of in sent.value}
         for lang, words in _by_language(batches):
             if rows := list(_rows(np.fromiter(map(ids.get(lang, {}).get, words, repeat(0)), np.int32, len(words)))):
                 yield _lists(rows)
