@@ -64,11 +64,11 @@ def read(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*whole)
 
 
-def _listed(path: str) -> list[pafs.FileInfo]:
-    """The appends that are whole."""
+def _listed(path: str, known: set[str]) -> list[pafs.FileInfo]:
+    """The appends that are whole, but for those known."""
     fs, root = _storage(path)
-    found = fs.get_file_info(pafs.FileSelector(f"{root}/index", allow_not_found=True))
-    return [x for x in found if fs.get_file_info(f"{x.path}/_SUCCESS").type != pafs.FileType.NotFound]
+    found = [x for x in fs.get_file_info(pafs.FileSelector(f"{root}/index", allow_not_found=True)) if x.path not in known]
+    return [x for x, done in zip(found, fs.get_file_info([f"{x.path}/_SUCCESS" for x in found]), strict=True) if done.type != pafs.FileType.NotFound]
 
 
 class Segment(InputPartition):
@@ -98,12 +98,11 @@ class LogReader(DataSourceStreamReader):
         self.at: dict[str, int] | None = None
 
     def _refresh(self) -> None:
-        for x in _listed(self.path):
-            if x.path not in self.seen:
-                self.seen.add(x.path)
-                for row in pq.read_table(x.path, filesystem=_storage(self.path)[0]).to_pylist():
-                    if self.pattern.fullmatch(row["topic"]):
-                        self.known.setdefault(f"{row['topic']}/{row['partition']}", []).append((row["first"], row["last"], row["n"], row["file"]))
+        for x in _listed(self.path, self.seen):
+            self.seen.add(x.path)
+            for row in pq.read_table(x.path, filesystem=_storage(self.path)[0]).to_pylist():
+                if self.pattern.fullmatch(row["topic"]):
+                    self.known.setdefault(f"{row['topic']}/{row['partition']}", []).append((row["first"], row["last"], row["n"], row["file"]))
         for segments in self.known.values():
             segments.sort()
 
