@@ -295,3 +295,4 @@ ORACLE_SQL["display_books"] = BOOKS + f""", {_FINAL}, told AS (SELECT f.exchange
 ORACLE_SQL["view_messages"] = BOOKS + f""", {_FINAL}, best AS (SELECT exchange_id, pair_id, ord, side, arg_min(price, {_KEYED}) AS price, arg_min(quantity, {_KEYED}) AS quantity FROM alive GROUP BY ALL)
     SELECT f.pair_id, f.exchange_id, 'select' AS type, s.side AS view_side, {_canon('b.price')} AS best, {_canon('b.quantity')} AS best_quantity, f.event_time::VARCHAR AS at
     FROM final f CROSS JOIN (VALUES ('asks'), ('bids')) s(side) LEFT JOIN best b ON b.exchange_id = f.exchange_id AND b.pair_id = f.pair_id AND b.ord = f.ord AND b.side = s.side"""
+ORACLE_SQL["avro_events"] = f"""WITH {FEED} SELECT CASE WHEN ord % 2 = 0 THEN 1 ELSE 2 END AS schema_id, exchange_id, pair_id, ord, type, CASE WHEN ord % 2 = 0 THEN 7 ELSE simulation END AS simulation, id, seq AS sequence_id, event_time, {_written('asks')} AS asks, {_written('bids')} AS bids FROM feed"""

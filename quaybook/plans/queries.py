@@ -6,6 +6,7 @@ says nothing about it, so that they compare with an SQL engine's.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from quaybook.functions.times import stamped
 from quaybook.operators import aggregate, book, extract, monitor, quality, scale, serve, validate
 from quaybook.plans import pipeline
 from quaybook.schema import STAGES
-from quaybook.sources import feed, io, reference, topic_log
+from quaybook.sources import avro, feed, io, reference, topic_log
 from quaybook.sources.frames import PARSERS, from_topics, parsed
 from quaybook.streaming import market as streaming
 from quaybook.streaming import live, sinks
@@ -367,6 +368,18 @@ def market_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference.market_catalog(feed.markets(spark, sf_dir), feed.currencies(spark))
 
 
+def avro_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as framed Avro and back: those at even places by an older writer that knows no simulation, all read by one schema, whose default for it is 7."""
+    events = feed.events(spark, sf_dir)
+    older, newer = events.drop("simulation"), events
+    schemas = {i: avro.schema_of(t.schema, "event") for i, t in ((1, older), (2, newer))}
+    reader = json.loads(schemas[2])
+    next(f for f in reader["fields"] if f["name"] == "simulation").update(type="int", default=7)
+    sent = older.where("ord % 2 = 0").select(avro.framed(F.struct("*"), 1, schemas[1]).alias("value")).unionByName(newer.where("ord % 2 = 1").select(avro.framed(F.struct("*"), 2, schemas[2]).alias("value")))
+    back = avro.unframed(sent, avro.Registry(schemas.__getitem__), json.dumps(reader)).select("schema_id", "record.*")
+    return back.select("schema_id", *MARKET, "ord", "type", "simulation", "id", "sequence_id", "event_time", written("asks").alias("asks"), written("bids").alias("bids"))
+
+
 def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames to merged views, through every stage: the size of each pair's last view."""
     markets = feed.exchange_markets(spark, sf_dir)
@@ -465,7 +478,7 @@ QUERIES = {
         for f in (
             extract_pairs, drop_counters, canonical_decimals, rebase_levels, rebase_missing, precision_merge, null_vs_empty, validate_verdicts, validate_rejects, validate_controls, validate_resets,
             book_events, book_final, book_lineage_check, lineage_walk, lineage_breaks, lineage_faults, superseded, split_sides, aggregate_union, merge_prices, book_enriched, top_of_book_spread, display_books, view_messages, latest_book, selection, latency_deltas,
-            topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, full_chain,
+            topic_plan, watch_list, watch_removed, staleness_now, staleness_episodes, episode_history, staleness_metrics, watch_list_modes, stage_timings, rfc3339_times, stream_differences, expected_union, subscriptions, market_catalog, avro_events, full_chain,
             stream_validate, stream_books, stream_union, stream_chain, stream_fan_out, stream_live_view, stream_silences, stream_rebase, stream_episodes,
         )
     },
