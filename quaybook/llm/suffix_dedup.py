@@ -90,8 +90,11 @@ def _least(table_: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -> np.n
 class Suffixes:
     """The suffixes of a byte array in order, told apart by their first `depth` bytes, then by position."""
 
-    def __init__(self, data: np.ndarray, ends: np.ndarray, depth: int) -> None:
-        """ends: where the string that each position belongs to ends; suffixes end there, too."""
+    def __init__(self, data: np.ndarray, ends: np.ndarray, depth: int, whole: bool = False) -> None:
+        """ends: where the string that each position belongs to ends; suffixes end there, too.
+
+        With `whole` only suffixes of at least `depth` bytes stand in order: who asks for matches of that length needs no others.
+        """
         n = len(data)
         self.depth, self.n = depth, n
         self.left = left = ends - np.arange(n)
@@ -119,7 +122,11 @@ class Suffixes:
             size += step
             self.levels.append((size, rank))
         self.rank = rank
-        self.order = np.argsort(rank, kind="stable")
+        if whole:
+            long = np.flatnonzero(left >= depth)
+            self.order = long[np.argsort(rank[long], kind="stable")]
+        else:
+            self.order = np.argsort(rank, kind="stable")
 
     @staticmethod
     def _dense(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,19 +148,21 @@ class Suffixes:
     def longest_factors(self) -> tuple[np.ndarray, np.ndarray]:
         """For each position the longest match that begins at an earlier one, and at a later one, up to depth.
 
-        It is with the previous or the next smaller (larger) position in suffix order,
+        Where only whole suffixes stand in order, matches with shorter ones don't count. It is with the previous or the next smaller (larger) position in suffix order,
         and as long as what all suffixes from there have in common.
         """
-        at = self.order
-        shared = np.zeros(self.n + 1, np.int64)
-        shared[1 : self.n] = self.common(at[:-1], at[1:])
+        at, m = self.order, len(self.order)
+        if not m:
+            return np.zeros(self.n, np.int64), np.zeros(self.n, np.int64)
+        shared = np.zeros(m + 1, np.int64)
+        shared[1:m] = self.common(at[:-1], at[1:])
         shared_table = _minima_table(shared)
         found = []
         for value in (at, -at):
             best, table_ = np.zeros(self.n, np.int64), _minima_table(value)
             for after in (False, True):
                 other = _smaller(table_, after)
-                has = np.flatnonzero((other >= 0) & (other < self.n))
+                has = np.flatnonzero((other >= 0) & (other < m))
                 a, b = np.minimum(has, other[has]), np.maximum(has, other[has])
                 best[at[has]] = np.maximum(best[at[has]], _least(shared_table, a + 1, b + 1))
             found.append(np.minimum(best, self.left))
@@ -288,7 +297,7 @@ def repeated_windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.n
     """(body, window, whether it has an earlier match) of all windows of `bodies` that occur at another place in them."""
     sizes = np.array([len(s) for s in bodies], np.int64)
     ends = np.repeat(np.cumsum(sizes), sizes)
-    suffixes = Suffixes(np.frombuffer(b"".join(bodies), np.uint8), ends, length)
+    suffixes = Suffixes(np.frombuffer(b"".join(bodies), np.uint8), ends, length, whole=True)
     before, after = suffixes.longest_factors()
     earlier = before >= length
     at = np.flatnonzero(earlier | (after >= length))
