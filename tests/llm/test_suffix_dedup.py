@@ -62,6 +62,8 @@ def test_suffixes_match_brute_force():
             for later in (False, True):
                 want = [max([0, *(lcp(i, j) for j in (range(i + 1, len(text)) if later else range(i)))]) for i in range(len(text))]
                 assert s.longest_factors()[later].tolist() == want
+                only = sd.Suffixes(np.frombuffer(text.encode(), np.uint8), ends, depth, whole=True)  # matches of full length, and no others
+                assert (only.longest_factors()[later] >= depth).tolist() == [w >= depth for w in want]
 
 
 def test_nearest_smaller():
