@@ -17,11 +17,11 @@ def read(spark, exchange, *bodies):
     return [(r.outcome, r.events) for r in parsed(from_topics(spark.createDataFrame(rows, SCHEMA))).orderBy("offset").collect()]
 
 
-def okx(*data, market="M1"):
+def frame_8(*data, market="M1"):
     return {"arg": {"instId": market}, "action": "update", "data": list(data), "id": "a"}
 
 
-def bybit(data, cts=5):
+def frame_6(data, cts=5):
     return {"type": "delta", "data": {"s": "M1", "u": 7, **data}, "cts": cts, "id": "a"}
 
 
@@ -31,27 +31,27 @@ LEVELS = [["1.0", "2"]]
 @pytest.mark.parametrize("side", [None, 5, "x", {}, True, [["1"]], [[1, 2]], ["12"], [None]])
 def test_sides_that_are_no_levels(spark, side):
     """A side that is there but no array of pairs makes the frame unreadable, beside a good one or alone."""
-    assert read(spark, 6, bybit({"a": side, "b": LEVELS}), bybit({"b": side})) == [("unparseable", None)] * 2
-    assert read(spark, 8, okx({"asks": side, "bids": LEVELS, "ts": "9"}), okx({"asks": side, "ts": "9"})) == [("unparseable", None)] * 2
+    assert read(spark, 6, frame_6({"a": side, "b": LEVELS}), frame_6({"b": side})) == [("unparseable", None)] * 2
+    assert read(spark, 8, frame_8({"asks": side, "bids": LEVELS, "ts": "9"}), frame_8({"asks": side, "ts": "9"})) == [("unparseable", None)] * 2
 
 
 def test_missing_and_empty_sides(spark):
-    ((_, one), (_, both)) = read(spark, 6, bybit({"b": LEVELS}), bybit({"a": [], "b": []}))
+    ((_, one), (_, both)) = read(spark, 6, frame_6({"b": LEVELS}), frame_6({"a": [], "b": []}))
     assert one[0].asks is None
     assert [tuple(x) for x in one[0].bids] == [("1.0", "2")]
     assert (both[0].asks, both[0].bids) == ([], [])
-    assert read(spark, 6, bybit({})) == [("ok", [])]
-    assert read(spark, 8, okx({"ts": "9"}), okx({"asks": LEVELS, "ts": 9})) == [("ok", [])] * 2
+    assert read(spark, 6, frame_6({})) == [("ok", [])]
+    assert read(spark, 8, frame_8({"ts": "9"}), frame_8({"asks": LEVELS, "ts": 9})) == [("ok", [])] * 2
 
 
 def test_the_first_odd_element_decides(spark):
     fine, unread, unfit = {"asks": LEVELS, "ts": "9"}, {"asks": None, "ts": "9"}, {"ts": "9"}
-    got = read(spark, 8, okx(fine, unread, unfit), okx(fine, unfit, unread), okx(fine, fine), okx(), okx({"asks": LEVELS, "ts": "late"}))
+    got = read(spark, 8, frame_8(fine, unread, unfit), frame_8(fine, unfit, unread), frame_8(fine, fine), frame_8(), frame_8({"asks": LEVELS, "ts": "late"}))
     assert [(outcome, events and len(events)) for outcome, events in got] == [("unparseable", None), ("ok", []), ("ok", 2), ("ok", []), ("unparseable", None)]
 
 
 def test_markets_that_are_no_text(spark):
-    got = read(spark, 8, *(okx({"asks": LEVELS, "ts": "9"}, market=m) for m in (77, 1.5, True, [1], None)))
+    got = read(spark, 8, *(frame_8({"asks": LEVELS, "ts": "9"}, market=m) for m in (77, 1.5, True, [1], None)))
     assert [[e.market for e in events] for _, events in got] == [["77"], ["1.5"], ["true"], [""], []]
 
 
