@@ -15,9 +15,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_record_is_stamped(spark):
     """A snapshot has the stamps of all stages that it passed; one after a reset lacks the first; a dead letter has its moment."""
-    markets = feed.exchange_markets(spark)
+    markets = feed.exchange_markets(spark, SF)
     events = times.stamped(feed.events(spark, SF), "pair_extract")
-    views = pipeline.from_events(events, reference.rebase_lookup(markets), reference.precision_lookup(feed.markets(spark)))
+    views = pipeline.from_events(events, reference.rebase_lookup(markets), reference.precision_lookup(feed.markets(spark, SF)))
     names = [f"{s}_{way}" for s in STAGES for way in ("in", "out")]
     rows = views.snapshots.select("timings.*").collect()
     assert {r[n] is not None for r in rows for n in names[2:]} == {True}
