@@ -51,6 +51,13 @@ def test_rfc3339(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_rfc3339_years_of_other_lengths(spark):
+    """Before year 0 and after 9999 as SQL's strftime writes them, to the ends of what it knows."""
+    moments = {-62_167_219_200_001: "-1-12-31T23:59:59Z", -65_000_000_000_000: "-90-03-27T04:26:40Z", -62_167_219_200_000: "0000-01-01T00:00:00Z", -518_000_000_000_000: "-14445-03-27T15:06:40Z", 400_000_000_000_000: "14645-06-30T15:06:40Z", -3_000_000_000_000_000: "-93097-10-14T18:40:00Z"}
+    df = spark.createDataFrame([(m,) for m in moments], "m long")
+    assert {r.m: r.t for r in df.select("m", times.rfc3339(F.col("m")).alias("t")).collect()} == moments
+
+
 def polls(spark, text):
     return spark.createDataFrame([(t, n, int(s)) for t, states in text.items() for n, s in enumerate(states) if s in "01"], "topic string, now long, stale int")
 
