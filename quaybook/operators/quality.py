@@ -71,14 +71,15 @@ def walk(starts: DataFrame, edges: DataFrame, most: int = 64) -> DataFrame:
     edges: (child, parent) of all stages. Each round takes all paths one hop further and is written, so the plan doesn't grow
     with the way. Two paths that meet go on as one. A way of more than `most` hops is an error: lineage has no circles.
     """
-    known = landed(edges.select("child", "parent").distinct(), "edges")
+    known = landed(edges.select("child", "parent").where("parent IS NOT NULL"), "edges")
     front = starts.select("id", F.col("id").alias("at")).distinct()
     ended = None
     for hops in range(most + 1):
-        step = landed(front.join(known, F.col("at") == F.col("child"), "left").select("id", "at", "parent"), "walk")
-        over = step.where("parent IS NULL").select("id", F.col("at").alias("origin"), F.lit(hops).alias("hops"))
+        # an inner join, so that a small front goes to the edges and these aren't shuffled
+        step = landed(known.join(front, F.col("child") == F.col("at")).select("id", "at", "parent"), "walk")
+        over = front.join(step, ["id", "at"], "left_anti").select("id", F.col("at").alias("origin"), F.lit(hops).alias("hops"))
         ended = over if ended is None else ended.unionByName(over)
-        front = step.where("parent IS NOT NULL").select("id", F.col("parent").alias("at")).distinct()
+        front = landed(step.select("id", F.col("parent").alias("at")).distinct(), "front")
         if front.isEmpty():
             return ended.groupBy("id", "origin").agg(F.min("hops").alias("hops"))
     raise ValueError(f"lineage goes on for more than {most} hops")

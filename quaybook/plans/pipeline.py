@@ -7,7 +7,9 @@ one step.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,16 @@ class Views:
     rejected: DataFrame
     controls: DataFrame
     snapshots: DataFrame
-    unioned: DataFrame
-    merged: DataFrame
+    union: Callable[[], DataFrame]
+
+    @cached_property
+    def unioned(self) -> DataFrame:
+        """Planned at its first use: unions write steps of their own, which who reads snapshots alone doesn't need."""
+        return self.union()
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        return aggregate.merged(self.unioned)
 
 
 def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, final_only: bool = False, clock: Clock = now) -> Views:
@@ -37,11 +47,14 @@ def from_events(events: DataFrame, factors: DataFrame, precisions: DataFrame, fi
     based = scale.rebased(validated, factors)
     scaled = stamped(based.where("reject IS NULL").drop("reject"), "rebase", clock)
     ready = landed(stamped(scale.precise(scaled, precisions), "precision", clock), "ready")
-    snapshots = landed(stamped(book.books(ready, final_only), "book_build", clock), "snapshots")
-    union = landed(aggregate.unioned(book.split(snapshots)), "union")
+    snapshots = stamped(book.books(ready, final_only), "book_build", clock)
+
+    def union() -> DataFrame:
+        return aggregate.unioned(book.split(snapshots)) if final_only else aggregate.unions(ready)
+
     late = validate.dead_letters(based.where("reject IS NOT NULL"), "reject", "rebase", clock)
     rejected = validate.rejected(judged, clock).drop("event").unionByName(late.drop("event"))
-    return Views(validated, rejected, validate.controls(judged), snapshots, union, aggregate.merged(union))
+    return Views(validated, rejected, validate.controls(judged), snapshots, union)
 
 
 def numbered(events: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ import random
 
 from quaybook.operators import aggregate, book, serve
 from quaybook.operators.steps import Book
+from quaybook.plans import queries
 from quaybook.schema import RAW_EVENT
 
+SF = "/root/testdata/sf0.001"
 SIDES = ("asks", "bids")
 
 
@@ -57,3 +59,21 @@ def test_last_union_needs_the_last_books_alone(spark):
     want = {(r.pair_id, r.side): r for r in serve.latest(aggregate.unions(df)).collect()}
     got = {(r.pair_id, r.side): r for r in serve.latest(aggregate.unioned(book.split(book.books(df, final_only=True)))).collect()}
     assert got == want
+
+
+def test_last_views_make_last_books_alone(spark, monkeypatch):
+    """What shows the last unions doesn't make a book for each moment, nor do stamps make unions."""
+    real = book.books
+
+    def last_only(df, final_only=False):
+        assert final_only
+        return real(df, final_only)
+
+    def none(*_):
+        raise AssertionError("unions of all moments")
+
+    monkeypatch.setattr(aggregate, "unions", none)
+    assert queries.latency_deltas(spark, SF).columns[0] == "ord"
+    monkeypatch.setattr(book, "books", last_only)
+    for query in (queries.latest_book, queries.lineage_walk, queries.superseded, queries.full_chain):
+        assert query(spark, SF).columns
