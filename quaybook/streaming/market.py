@@ -117,7 +117,7 @@ class _Unions(_Steps):
         self.stepped.add(str(e["exchange_id"]))
         self.union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
         time, levels = self.union.view(key[1])
-        yield *key, e["ord"], e["snapshot_id"], time, json.dumps(levels)
+        yield *key, e["ord"], e["snapshot_id"], time, levels
 
     def save(self) -> None:
         for exchange in self.stepped:

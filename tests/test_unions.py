@@ -1,9 +1,12 @@
 """Books and unions put together from intervals, against stepping through the events."""
 
+import json
 import random
 
+import pytest
+
 from quaybook.operators import aggregate, book, serve
-from quaybook.operators.steps import Book
+from quaybook.operators.steps import Book, Union
 from quaybook.plans import queries
 from quaybook.schema import RAW_EVENT
 
@@ -77,3 +80,36 @@ def test_last_views_make_last_books_alone(spark, monkeypatch):
     monkeypatch.setattr(book, "books", last_only)
     for query in (queries.latest_book, queries.lineage_walk, queries.superseded, queries.full_chain):
         assert query(spark, SF).columns
+
+
+def test_a_view_orders_each_book_once():
+    """A book's levels get their place and text when it comes, and a changed book new ones; ties stand by quantity, then exchange."""
+    def level(exchange, price, quantity):
+        return {"exchange_id": exchange, "simulation": 0, "source_id": "s", "price": price, "quantity": quantity}
+
+    union = Union()
+    union.step("2", 5, [level(2, "10", "1"), level(2, "9", "2")])
+    union.step("1", 4, [level(1, "9", "2"), level(1, "9", "3"), level(1, "100", "1")])
+    time, text = union.view("asks")
+    assert (time, [(x["exchange_id"], x["price"], x["quantity"]) for x in json.loads(text)]) == (5, [(1, "9", "3"), (1, "9", "2"), (2, "9", "2"), (2, "10", "1"), (1, "100", "1")])
+    assert [x["price"] for x in json.loads(union.view("bids")[1])] == ["100", "10", "9", "9", "9"]
+    held = {k: id(v) for k, v in union._placed.items()}
+    union.step("2", 9, [])
+    time, text = union.view("asks")
+    assert (time, [x["exchange_id"] for x in json.loads(text)]) == (9, [1, 1, 1])
+    assert id(union._placed["1", 1]) == held["1", 1]
+
+
+def test_narrow_records_come_in_large_batches(spark, monkeypatch):
+    """A micro-batch costs seconds whatever it holds, so narrow records don't come a few thousand at a time."""
+    seen = []
+
+    def log(*args):
+        seen.append(args[-1])
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "_log_of", log)
+    for query in (queries.stream_silences, queries.stream_rebase):
+        with pytest.raises(InterruptedError):
+            query(spark, SF)
+    assert min(seen) >= 100_000
