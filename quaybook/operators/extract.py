@@ -9,6 +9,15 @@ from quaybook.functions.ids import minted
 from quaybook.sources.frames import from_topics, parsed
 
 
+def each_event(read: DataFrame) -> DataFrame:
+    """A row for each of a frame's events, as (pos, e).
+
+    Of an inner explode Spark infers a filter, puts it below the parsers and reads each frame five times; of an outer one it doesn't.
+    """
+    rest = [c for c in read.columns if c != "events"]
+    return read.select(*rest, F.posexplode_outer("events").alias("pos", "e")).where("pos IS NOT NULL")
+
+
 def extracted(frames: DataFrame, pair_lookup: DataFrame) -> DataFrame:
     """A row for each event of a frame, with outcome: ok or why it is dropped.
 
@@ -18,7 +27,7 @@ def extracted(frames: DataFrame, pair_lookup: DataFrame) -> DataFrame:
     read = parsed(from_topics(frames))
     bad = F.col("outcome") != "ok"
     events = read.withColumn("events", F.when(bad, F.array(F.lit(None).cast("struct<market:string,type:string,sequence_id:bigint,sequence_jump:bigint,event_time:bigint,asks:array<struct<price:string,quantity:string>>,bids:array<struct<price:string,quantity:string>>>"))).otherwise(F.col("events")))
-    rows = events.select("exchange_id", F.col("offset").alias("ord"), "simulation", "parent", "outcome", F.posexplode("events").alias("pos", "e")).select("*", "e.*").drop("e")
+    rows = each_event(events.select("exchange_id", F.col("offset").alias("ord"), "simulation", "parent", "outcome", "events")).select("*", "e.*").drop("e")
     rows = rows.join(pair_lookup, ["exchange_id", "market"], "left")
     outcome = F.when(F.col("outcome") != "ok", F.col("outcome")).when(F.col("parent").isNull(), "no_id").when(F.col("pair_id").isNull(), "unknown_market").otherwise("ok")
     return rows.withColumn("outcome", outcome)
