@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quaybook.operators import aggregate, book, serve
 from quaybook.operators.steps import Book, Union
@@ -57,6 +58,23 @@ def test_unions_from_events(spark):
     assert len(want) == 1000
 
 
+def test_moments_go_through_their_side_alone(spark):
+    df, _ = events(spark, n=60)
+    for out in (book.books(df), aggregate.unions(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "held_asks" in plan and "held_bids" in plan
+
+
+def test_merges_from_events(spark):
+    """As merged unions, also where a book says of no liquidity whether it is simulated."""
+    df, _ = events(spark, seed=4)
+    df = df.withColumn("simulation", F.when(F.col("ord") % 15 != 0, F.col("simulation")))
+    want = aggregate.merged(aggregate.unions(df)).collect()
+    got = aggregate.merges(df)
+    assert {(r.pair_id, r.side, r.ord): r for r in got.select(*want[0].__fields__).collect()} == {(r.pair_id, r.side, r.ord): r for r in want}
+    assert any(len(x.exchange_ids) > 1 for r in want for x in r.levels) and any(x.simulation is None for r in want for x in r.levels)
+
+
 def test_last_union_needs_the_last_books_alone(spark):
     df, _ = events(spark, seed=3)
     want = {(r.pair_id, r.side): r for r in serve.latest(aggregate.unions(df)).collect()}
