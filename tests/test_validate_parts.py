@@ -63,6 +63,18 @@ def test_no_task_has_more_than_a_part(spark):
     assert validate.verdicts(df.where("false"), part=100).isEmpty()
 
 
+def test_few_events_are_one_part_however_far_apart(spark, monkeypatch):
+    """Parts are counted in a market's own events: of orders that others take up most of, nothing is walked twice."""
+    rng = random.Random(5)
+    events = market("calm", 120, rng)
+    df = spark.createDataFrame([(1, 1, i << 18, *e, "x") for i, e in enumerate(events)], SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(validate, "entries", lambda _: pytest.fail("walked twice"))
+        got = {r.ord: (r.verdict, r.request, r.reset) for r in validate.verdicts(df).collect()}
+    assert got == {i << 18: v for i, v in enumerate(in_one_go(events))}
+    assert got == {r.ord: (r.verdict, r.request, r.reset) for r in validate.verdicts(df, part=50).collect()}
+
+
 def test_feed_in_parts(spark):
     events = feed.events(spark, "/root/testdata/sf0.001")
     columns = ["exchange_id", "pair_id", "ord", "verdict", "request", "reset"]
