@@ -37,16 +37,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def append(records: DataFrame, path: str, name: str, rows: int = SEGMENT_ROWS) -> bool:
+def _cut(records: DataFrame, like: DataFrame, rows: int) -> DataFrame:
+    """records with _b: runs of offsets, of about `rows` records of a partition each, as densely as offsets stand in `like`; a run is in one task."""
+    dense = like.groupBy("topic", "partition").agg(F.min("offset").alias("_low"), F.ceil((F.max("offset") - F.min("offset") + 1) / F.count("*") * rows).cast("long").alias("_width"))
+    dense = dense.select(F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "_low", "_width")
+    held = records.join(F.broadcast(dense), [F.col("topic") == F.col("_topic"), F.col("partition") == F.col("_partition")], "left")  # a row for each partition, as the index has
+    run = F.floor((F.col("offset") - F.coalesce("_low", F.lit(0))) / F.coalesce("_width", F.lit(rows))).cast("long")
+    return held.select(*records.columns, run.alias("_b")).repartition("topic", "partition", "_b")
+
+
+def append(records: DataFrame, path: str, name: str, rows: int = SEGMENT_ROWS, like: DataFrame | None = None, together: bool = False) -> bool:
     """Add records (topic, partition, offset, ...) to the log; False if an append of this name is there already.
 
-    Offsets are given, each once in its partition, and rise from one append to the next.
+    Offsets are given, each once in its partition, and rise from one append to the next. Records are reckoned once to be written;
+    how dense their offsets are is asked of `like`, if they are costly: (topic, partition, offset) of the same partitions, about as many.
+    With `together` each partition's records are in one task already, as after a window over them.
     """
     spark = records.sparkSession
     if _exists(spark, f"{path}/index/{name}/_SUCCESS"):
         return False
-    placed = records.withColumns({"_t": F.col("topic"), "_p": F.col("partition")}).repartitionByRange("topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
-    placed.write.mode("overwrite").option("maxRecordsPerFile", rows).partitionBy("_t", "_p").parquet(f"{path}/segments/{name}")
+    runs = records.withColumn("_b", F.lit(0)) if together else _cut(records, records if like is None else like, rows)
+    placed = runs.withColumns({"_t": F.col("topic"), "_p": F.col("partition")}).sortWithinPartitions("_t", "_p", "_b", "offset")
+    placed.write.mode("overwrite").option("maxRecordsPerFile", rows).partitionBy("_t", "_p", "_b").parquet(f"{path}/segments/{name}")
     written = spark.read.schema(records.schema).parquet(f"{path}/segments/{name}")
     index = written.groupBy(F.col("_metadata.file_path").alias("file"), "topic", "partition").agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.count("*").alias("n"))
     index.write.mode("overwrite").parquet(f"{path}/index/{name}")

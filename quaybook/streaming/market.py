@@ -4,7 +4,8 @@ Stateless operators (parsing, rebasing, precision) take streams as they are. Her
 micro-batch's events of a key are put in order, then stepped through as in batch. State is
 typed: a value for what the rules and the monitor remember, a map for books and unions, of which a
 micro-batch writes only the levels, or the exchanges, that it has changed. Events travel through
-Python as JSON, so that large numbers and nulls stay what they are.
+Python as JSON, so that large numbers and nulls stay what they are, and in blocks of neighbours, a line for each:
+what a row costs on its way to a state and back, a block costs once.
 """
 
 from __future__ import annotations
@@ -13,8 +14,12 @@ import json
 from collections.abc import Iterator
 from dataclasses import astuple
 from itertools import islice
+from operator import itemgetter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,6 +33,8 @@ from quaybook.schema import EXCHANGE_BOOK, OWNED_LEVEL
 MARKET = ["exchange_id", "pair_id"]
 #: Rows that go back to Spark at once: each may hold a whole book.
 FRAME_ROWS = 200
+#: Events of a block and, about, its characters; and characters of blocks that go back to Spark at once.
+BLOCK_ROWS, BLOCK_CHARS, FRAME_CHARS = 200, 1 << 20, 1 << 22
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -39,27 +46,54 @@ class _Steps(StatefulProcessor):
     def load(self) -> None:
         raise NotImplementedError
 
-    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
-        """What comes of an event."""
+    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
+        """What comes of an event, of which `brief` is what is read here."""
         raise NotImplementedError
 
     def save(self) -> None:
         raise NotImplementedError
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        events = sorted(((o, e) for pdf in rows for o, e in zip(pdf["ord"].tolist(), pdf["event"].tolist(), strict=True)), key=lambda x: x[0])  # the trigger's limits bound them
-        self.load()
-        made = (row for _, text in events for row in self.rows(key, text))
+    def framed(self, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         while part := list(islice(made, FRAME_ROWS)):
             yield pd.DataFrame(part, columns=self.columns)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        events = []  # the trigger's limits bound them
+        for pdf in rows:
+            for ords, texts, briefs in zip(*(pdf[c].tolist() for c in ("ord", "event", "brief")), strict=True):
+                events.extend(zip(map(int, ords.split("\n")), texts.split("\n"), briefs.split("\n"), strict=True))
+        events.sort(key=itemgetter(0))
+        self.load()
+        yield from self.framed(row for _, text, brief in events for row in self.rows(key, text, brief))
         self.save()
 
     def close(self) -> None:
         pass
 
 
-class _Verdicts(_Steps):
-    columns = ["event", "verdict", "request", "reset"]
+class _BlockSteps(_Steps):
+    """What comes of events goes back in blocks, too: each column is text without line breaks, a line for each row."""
+
+    def framed(self, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        blocks, part, size, chars = [], [], 0, 0
+        for row in made:
+            part.append(row)
+            size += sum(map(len, row))
+            if len(part) >= BLOCK_ROWS or size >= BLOCK_CHARS:
+                blocks.append(tuple(map("\n".join, zip(*part, strict=True))))
+                chars += size
+                part, size = [], 0
+            if chars >= FRAME_CHARS:
+                yield pd.DataFrame(blocks, columns=self.columns)
+                blocks, chars = [], 0
+        if part:
+            blocks.append(tuple(map("\n".join, zip(*part, strict=True))))
+        if blocks:
+            yield pd.DataFrame(blocks, columns=self.columns)
+
+
+class _Verdicts(_BlockSteps):
+    columns = ["event", "told"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.known = handle.getValueState("rules", "last long, awaiting boolean, baseline_pending boolean, last_time long, requested boolean")
@@ -67,15 +101,16 @@ class _Verdicts(_Steps):
     def load(self) -> None:
         self.rules = Sequence(*self.known.get()) if self.known.exists() else Sequence()
 
-    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
-        e = json.loads(text)
-        yield text, *self.rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
+    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
+        e = json.loads(brief)
+        verdict, request, reset = self.rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
+        yield event, f"{request:d}{reset:d}{verdict}"
 
     def save(self) -> None:
         self.known.update(astuple(self.rules))
 
 
-class _Books(_Steps):
+class _Books(_BlockSteps):
     columns = ["event", "asks", "bids"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -87,10 +122,10 @@ class _Books(_Steps):
             getattr(self.book, side)[price] = list(level)
         self.before = {s: dict(getattr(self.book, s)) for s in ("asks", "bids")}
 
-    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
-        e = json.loads(text)
+    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
+        e = json.loads(brief)
         self.book.step(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in ("asks", "bids")))
-        yield text, *(json.dumps([{"price": p, "quantity": q, "source_id": i} for p, q, i in side]) for side in self.book.sides())
+        yield event, *self.book.texts()
 
     def save(self) -> None:
         for side, before in self.before.items():
@@ -112,8 +147,8 @@ class _Unions(_Steps):
         self.union = Union({exchange: {"time": time, "levels": json.loads(levels)} for (exchange,), (time, levels) in self.held.iterator()})
         self.stepped: set[str] = set()
 
-    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
-        e = json.loads(text)
+    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
+        e = json.loads(brief)
         self.stepped.add(str(e["exchange_id"]))
         self.union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
         time, levels = self.union.view(key[1])
@@ -134,8 +169,8 @@ class _Episodes(_Steps):
     def load(self) -> None:
         self.seen = Staleness(*self.known.get()) if self.known.exists() else Staleness()
 
-    def rows(self, key: tuple, text: str) -> Iterator[tuple]:
-        e = json.loads(text)
+    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
+        e = json.loads(brief)
         if (episode := self.seen.step(bool(e["stale"]), e["now"])) is not None:
             yield *key, *episode
 
@@ -148,17 +183,46 @@ def on_rocks(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
 
 
-def _stepped(events: DataFrame, event: Column, order: str, steps: _Steps, schema: str, keys: list[str] = MARKET) -> DataFrame:
+def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Neighbours of a key as one row, each of the other columns as text with a line for each of them."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        cut = np.zeros(n, bool)
+        cut[::BLOCK_ROWS] = True
+        for k in keys:
+            of = batch.column(k)
+            cut[1:] |= pc.fill_null(pc.not_equal(of.slice(1), of.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+        lines = {c: batch.column(c).cast(pa.string()) for c in ("ord", "event", "brief")}
+        size = np.cumsum(sum(pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in lines.values())) // BLOCK_CHARS
+        cut[1:] |= size[1:] != size[:-1]
+        starts = np.flatnonzero(cut)
+        ends = pa.array(np.append(starts, n), pa.int32())
+        joined = [pc.binary_join(pa.ListArray.from_arrays(ends, x), "\n") for x in lines.values()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(starts)) for k in keys), *joined], [*keys, *lines])
+
+
+def _stepped(events: DataFrame, brief: Column, order: str, steps: _Steps, schema: str, keys: list[str] = MARKET, event: Column | None = None) -> DataFrame:
+    """events through steps, which read `brief`; `event` goes with it as it is."""
     on_rocks(events.sparkSession)
-    packed = events.select(*keys, F.col(order).alias("ord"), F.to_json(event).alias("event"))
-    return packed.groupBy(*keys).transformWithStateInPandas(steps, schema, "append", "none")
+    packed = events.select(*keys, F.col(order).cast("long").alias("ord"), F.lit("").alias("event") if event is None else F.to_json(event).alias("event"), F.to_json(brief).alias("brief"))
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema if f.name in keys)
+    blocks = packed.mapInArrow(lambda b: _blocks(b, keys), f"{types}, ord string, event string, brief string")
+    return blocks.groupBy(*keys).transformWithStateInPandas(steps, schema, "append", "none")
+
+
+def _unblocked(out: DataFrame) -> DataFrame:
+    """A row for each line of out's columns."""
+    return out.select(*(F.split(c, "\n").alias(c) for c in out.columns)).select(F.inline(F.arrays_zip(*out.columns)))
 
 
 def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
     """operators.validate.verdicts() on a stream."""
 
-    out = _stepped(events, F.struct("*"), order, _Verdicts(), "event string, verdict string, request boolean, reset boolean")
-    return out.select(F.from_json("event", events.schema).alias("e"), "verdict", "request", "reset").select("e.*", "verdict", "request", "reset")
+    out = _unblocked(_stepped(events, F.struct("type", "sequence_id", "sequence_jump", "event_time"), order, _Verdicts(), "event string, told string", event=F.struct("*")))
+    told = [F.substring("told", 3, 1 << 20).alias("verdict"), *((F.substring("told", i, 1) == "1").alias(c) for i, c in ((1, "request"), (2, "reset")))]
+    return out.select(F.from_json("event", events.schema).alias("e"), *told).select("e.*", "verdict", "request", "reset")
 
 
 def books(events: DataFrame, order: str = "ord") -> DataFrame:
@@ -167,9 +231,9 @@ def books(events: DataFrame, order: str = "ord") -> DataFrame:
     def plain(side: str) -> Column:
         return F.transform(side, lambda x: F.struct(exact.canonical(x["price"]).alias("p"), exact.canonical(x["quantity"]).alias("q"))).alias(side)
 
-    fields = {"exchange_id": "int", "pair_id": "int", "ord": "bigint", "type": "string", "simulation": "int", "id": "string", "event_time": "bigint", "sequence_id": "bigint"}
-    event = F.struct(*(F.col(order if c == "ord" else c).cast(t).alias(c) for c, t in fields.items()), plain("asks"), plain("bids"))
-    out = _stepped(events, event, order, _Books(), "event string, asks string, bids string")
+    fields = {"exchange_id": "int", "pair_id": "int", "ord": "bigint", "simulation": "int", "id": "string", "event_time": "bigint", "sequence_id": "bigint"}
+    event = F.struct(*(F.col(order if c == "ord" else c).cast(t).alias(c) for c, t in fields.items()))
+    out = _unblocked(_stepped(events, F.struct("type", "id", plain("asks"), plain("bids")), order, _Books(), "event string, asks string, bids string", event=event))
     levels = f"array<{OWNED_LEVEL}>"
     read = out.select(F.from_json("event", ", ".join(f"{c} {t}" for c, t in fields.items())).alias("e"), F.from_json("asks", levels).alias("asks"), F.from_json("bids", levels).alias("bids"))
     return read.select(
@@ -180,8 +244,8 @@ def books(events: DataFrame, order: str = "ord") -> DataFrame:
 def unioned(exchange_books: DataFrame) -> DataFrame:
     """operators.aggregate.unioned() on a stream of operators.book.split(); merged() needs no state and takes its output."""
 
-    event = F.struct("exchange_id", "ord", "snapshot_id", "event_time", "levels")
-    out = _stepped(exchange_books, event, "ord", _Unions(), "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])
+    brief = F.struct("exchange_id", "ord", "snapshot_id", "event_time", "levels")
+    out = _stepped(exchange_books, brief, "ord", _Unions(), "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])
     levels = F.from_json("levels", f"array<{EXCHANGE_BOOK}>").alias("levels")
     return out.select("pair_id", "side", "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", levels)
 

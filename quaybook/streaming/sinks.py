@@ -53,7 +53,8 @@ def records(rows: DataFrame, batch: int) -> DataFrame:
     """rows (topic, kind, ...) as records of the log: offsets rise with the micro-batch, in it with `ord`."""
     place = F.row_number().over(Window.partitionBy("topic").orderBy("ord", "exchange_id", "pair_id", "kind", "id")) - 1  # of one micro-batch, which is bounded
     value = F.to_json(F.struct(*(c for c in rows.columns if c not in ("topic", "kind", "ord"))))
-    return rows.select("topic", F.lit(0).alias("partition"), (F.lit(batch << OFFSET_BITS) + place).cast("long").alias("offset"), pair_key(F.col("exchange_id"), F.col("pair_id")).alias("key"), "ord", "id", "kind", value.alias("value"))
+    told = rows.select("topic", "exchange_id", "pair_id", "ord", "id", "kind", value.alias("value"))
+    return told.select("topic", F.lit(0).alias("partition"), (F.lit(batch << OFFSET_BITS) + place).cast("long").alias("offset"), pair_key(F.col("exchange_id"), F.col("pair_id")).alias("key"), "ord", "id", "kind", "value")
 
 
 def to_topics(judged: DataFrame, path: str, checkpoint: str, sinks: dict[str, Sink] | None = None) -> StreamingQuery:
@@ -64,7 +65,7 @@ def to_topics(judged: DataFrame, path: str, checkpoint: str, sinks: dict[str, Si
         rows.persist()
         try:
             for name, sink in known.items():
-                topic_log.append(records(sink(rows), batch), path, f"{name}-{batch:012d}")
+                topic_log.append(records(sink(rows), batch), path, f"{name}-{batch:012d}", together=True)
         finally:
             rows.unpersist()
 

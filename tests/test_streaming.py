@@ -1,5 +1,8 @@
 """Streams in several micro-batches give what batch gives: state is carried from one to the next, and over restarts."""
 
+import json
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +179,44 @@ def test_book_steps():
     assert held.sides() == ([("10", "5", "a")], [])
     held.step("reset", "d", None, None)
     assert held.sides() == ([], [])
+
+
+def test_texts_of_books():
+    """As sides() has them, also after a level has changed, gone and come again."""
+    held = Book()
+    for step in (("snapshot", 'a"', [("2", "1"), ("10", "5")], [("1", "1"), ("1.5", "2")]), ("update", "b", [("2", "0"), ("10", "6")], [("1.5", "2")]), ("update", "c", [("2", "3")], None), ("snapshot", "d", None, [("7", "7")])):
+        held.step(*step)
+        assert [[tuple(x.values()) for x in json.loads(t)] for t in held.texts()] == list(held.sides())
+
+
+def test_neighbours_travel_as_blocks():
+    """A row for each run of a key, of no more than BLOCK_ROWS events and about BLOCK_CHARS characters; nothing is lost or turned round."""
+    keys = [1] * 450 + [2, None, None, 1] + [3] * 5
+    big = ["x" * 700_000 if k == 3 else f"e{i}" for i, k in enumerate(keys)]
+    batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(range(len(keys))), pa.array([""] * len(keys)), pa.array(big)], ["k", "ord", "event", "brief"])
+    (out,) = market._blocks(iter([batch.slice(0, 0), batch]), ["k"])
+    rows = out.to_pylist()
+    assert [r["k"] for r in rows[:7]] == [1, 1, 1, 2, None, None, 1]
+    assert len(rows) < 12
+    assert max(len(r["ord"].split("\n")) for r in rows) == market.BLOCK_ROWS
+    assert [int(o) for r in rows for o in r["ord"].split("\n")] == list(range(len(keys)))
+    assert [b for r in rows for b in r["brief"].split("\n")] == big
+    assert all(len(r["event"].split("\n")) == len(r["ord"].split("\n")) for r in rows)
+
+
+def test_what_is_appended_is_reckoned_once(spark, tmp_path):
+    """Records that are costly aren't computed again to deal them out; segments stay apart and of about so many records."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    plain = spark.range(0, 3000, 3).select(F.concat(F.lit("t"), (F.col("id") % 2).cast("string")).alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    topic_log.append(plain.mapInArrow(counted, plain.schema), f"{tmp_path}/log", "a", 50, plain)
+    assert seen.value == 1000
+    assert topic_log.read(spark, f"{tmp_path}/log", plain.schema).count() == 1000
+    index = spark.read.parquet(f"{tmp_path}/log/index/a").orderBy("topic", "first").collect()
+    assert max(r["n"] for r in index) <= 50 and len(index) <= 40
+    assert all(x["topic"] != y["topic"] or x["last"] < y["first"] for x, y in zip(index, index[1:], strict=False))
