@@ -6,11 +6,13 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from quaybook.schema import EXCHANGE_BOOK
+from quaybook.sources import io
 from quaybook.sources.reference import Refreshing
 from quaybook.streaming.market import on_rocks
 
@@ -35,13 +37,29 @@ def _told(rows: DataFrame) -> DataFrame:
     return rows.withColumn("levels", F.from_json("levels", f"array<{EXCHANGE_BOOK}>"))
 
 
+def _lasting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of what a task reads of a micro-batch the newest book of each view: no other can be that of the micro-batch."""
+    found: dict[tuple, tuple[int, pa.RecordBatch]] = {}
+    for batch in batches:
+        here: dict[tuple, tuple[int, int]] = {}
+        for i, (o, *key) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ord", *VIEW)), strict=True)):
+            key = tuple(key)
+            if key not in here or here[key][0] < o:
+                here[key] = (o, i)
+        for key, (o, i) in here.items():
+            if key not in found or found[key][0] < o:
+                found[key] = (o, batch.take(pa.array([i])))  # a copy: the batch can go
+    yield from (row for _, row in found.values())
+
+
 def newest(books: DataFrame) -> DataFrame:
     """A stream of books (pair_id, exchange_id, side, ord, event_time, levels; exchange 0 is the union of all): of each micro-batch the newest one of each view, for serve.messages().
 
-    The state holds the newest book of each view; held() reads it.
+    The state holds the newest book of each view; held() reads it. All books are read, but only a task's newest of each view go on to the state.
     """
     on_rocks(books.sparkSession)
-    packed = books.select(*VIEW, "ord", "event_time", F.to_json("levels").alias("levels"))
+    read = books.select(*VIEW, "ord", "event_time", "levels")
+    packed = read.mapInArrow(_lasting, read.schema).withColumn("levels", F.to_json("levels"))
     return _told(packed.groupBy(*VIEW).transformWithStateInPandas(_Newest(), "pair_id int, exchange_id int, side string, ord long, event_time long, levels string", "update", "none"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quaybook.functions.ids import pair_key, stage_topic
 from quaybook.operators import validate
 from quaybook.schema import CONTROL_TOPIC, REJECTED_TOPIC
-from quaybook.sources import topic_log
+from quaybook.sources import io, topic_log
 
 MARKET = ["exchange_id", "pair_id"]
 #: A record of a topic: what it is keyed by, where it stood in its market, and all of it as JSON.
@@ -69,4 +69,5 @@ def to_topics(judged: DataFrame, path: str, checkpoint: str, sinks: dict[str, Si
         finally:
             rows.unpersist()
 
-    return judged.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).start()
+    with io.few_states(judged.sparkSession):
+        return judged.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).start()

@@ -1,10 +1,12 @@
 """The live view as of a micro-batch, silences by timers, and lookups that change, fail or are empty while a stream runs."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quaybook.operators import book, monitor, serve, validate
 from quaybook.operators.quality import superseded_sources, walk
+from quaybook.plans import queries
 from quaybook.sources import feed, io, topic_log
 from quaybook.sources.reference import Refreshing
 from quaybook.streaming import live
@@ -41,6 +43,44 @@ def test_view_as_of_a_batch(spark, tmp_path):
     assert max(told) <= chosen.count()
 
 
+def test_a_task_sends_only_its_newest_books_to_the_state():
+    """Whatever the batches and the order in them; the books that go on are copies."""
+    rows = [(1, 0, "asks", o, o * 10, [{"price": str(o)}]) for o in (3, 9, 4)] + [(1, 2, "bids", o, None, []) for o in (7, 6)]
+    table = pa.table({c: [r[i] for r in rows] for i, c in enumerate((*live.VIEW, "ord", "event_time", "levels"))})
+    batches = table.to_batches(max_chunksize=2)
+    assert len(batches) == 3
+    got = [r for b in live._lasting(iter(batches)) for r in b.to_pylist()]
+    assert [(r["exchange_id"], r["ord"], r["event_time"], r["levels"]) for r in got] == [(0, 9, 90, [{"price": "9"}]), (2, 7, None, [])]
+    assert list(live._lasting(iter([]))) == []
+
+
+def test_state_partitions_follow_the_cores(spark, tmp_path):
+    """Not the session's shuffle partitions, which are as before when the stream has started."""
+    books = spark.range(50).select((F.col("id") % 3).cast("int").alias("pair_id"), F.lit(1).alias("exchange_id"), F.lit("asks").alias("side"), F.col("id").alias("ord"), F.col("id").alias("event_time"), F.expr("array()").cast("array<struct<exchange_id:int,simulation:int,source_id:string,price:string,quantity:string>>").alias("levels"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        with io.few_states(spark):
+            query = live.newest(streamed(books, tmp_path, "ord", 20)).writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{tmp_path}/state").start()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        io.until_read(query)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress if p["numInputRows"]} == {2 * spark.sparkContext.defaultParallelism}
+    assert sorted((r.pair_id, r.ord) for r in live.held(spark, f"{tmp_path}/state").collect()) == [(0, 48), (1, 49), (2, 47)]
+
+
+def test_several_tasks_read_a_micro_batch(spark):
+    """A log of one topic: its segments stay small whatever a micro-batch may hold."""
+    rows = spark.range(50_000).select("id")
+    stream, folder = queries._log_of(rows, "few", F.lit("all"), "id", io.PASSING_ROWS)
+    index = spark.read.parquet(f"{folder}/in/index/all")
+    assert index.agg(F.max("n")).first()[0] <= topic_log.SEGMENT_ROWS
+    query = stream.writeStream.format("noop").option("checkpointLocation", f"{folder}/state").start()
+    io.until_read(query)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [50_000]
+
+
 def test_silences(spark, tmp_path):
     """a falls silent twice and comes back once; b never; c is heard once, long before the end."""
     heard = [("a", 0), ("a", 100), ("a", 1000), ("b", 50), ("c", 60), *(("b", t) for t in range(100, 3000, 90))]
