@@ -122,4 +122,5 @@ def with_fresh(stream: DataFrame, lookup: Refreshing, use: Callable[[DataFrame,
             loaded = time.monotonic()
         use(rows, lookup.current).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+    with io.few_states(stream.sparkSession):
+        return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
