@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -76,18 +77,21 @@ class _Silence(StatefulProcessor):
         self.seen = handle.getValueState("seen", "last long, threshold long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        times = sorted((t, limit) for pdf in rows for t, limit in zip(pdf["timestamp"].tolist(), pdf["threshold"].tolist(), strict=True))
-        last, threshold = self.seen.get() if self.seen.exists() else (None, None)
-        ended = []
-        for now, limit in times:
-            if last is not None and now - last > threshold:
-                ended.append((*key, last + threshold + 1, now, now - last - threshold - 1))
-            last, threshold = now, limit
+        parts = [pdf[["timestamp", "threshold"]].to_numpy(np.int64) for pdf in rows]
+        if self.seen.exists():
+            parts.insert(0, np.array([self.seen.get()], np.int64))
+        heard = np.concatenate(parts)
+        first = 1 if self.seen.exists() else 0  # what was known stands before all that comes
+        heard[first:] = heard[first:][np.lexsort((heard[first:, 1], heard[first:, 0]))]
+        before, now = heard[:-1], heard[1:, 0]
+        since = before[:, 0] + before[:, 1] + 1
+        ended = pd.DataFrame({"topic": key[0], "since": since, "recovered": now, "duration": now - since})[since <= now]
+        last, threshold = heard[-1].tolist()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(last + threshold + 1)
         self.seen.update((last, threshold))
-        yield pd.DataFrame(ended, columns=["topic", "since", "recovered", "duration"])
+        yield ended
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         yield pd.DataFrame([(*key, expiredTimerInfo.getExpiryTimeInMs())], columns=["topic", "since"]).assign(recovered=pd.array([None], "Int64"), duration=pd.array([None], "Int64"))

@@ -1,5 +1,7 @@
 """The live view as of a micro-batch, silences by timers, and lookups that change, fail or are empty while a stream runs."""
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +83,55 @@ def test_several_tasks_read_a_micro_batch(spark):
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [50_000]
 
 
+class Known:
+    """A value state and timers in memory."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def listTimers(self):  # noqa: N802
+        return iter(self.timers)
+
+    def deleteTimer(self, t):  # noqa: N802
+        self.timers.remove(t)
+
+    def registerTimer(self, t):  # noqa: N802
+        self.timers.append(t)
+
+
+def test_silences_of_many_records():
+    """Half a million records of one topic, in frames and out of order: what ends is as one by one."""
+    at = np.cumsum(np.random.default_rng(1).integers(0, 300, 500_000))
+    frame = pd.DataFrame({"timestamp": at, "threshold": np.where(at % 2 == 0, 250, 100)})
+    known = Known()
+    steps = live._Silence()
+    steps.init(known)
+    got = []
+    for part in (frame.iloc[:200_000], frame.iloc[200_000:]):
+        mixed = part.sample(frac=1, random_state=2)
+        got += [tuple(r) for out in steps.handleInputRows(("t",), iter([mixed.iloc[i::7] for i in range(7)]), None) for r in out.itertuples(index=False)]
+    want, last = [], None
+    for t, limit in sorted(zip(frame["timestamp"].tolist(), frame["threshold"].tolist(), strict=True)):
+        if last is not None and t - sum(last) > 0:
+            want.append(("t", sum(last) + 1, t, t - sum(last) - 1))
+        last = (t, limit)
+    assert got == want
+    assert known.value == last and known.timers == [sum(last) + 1]
+    assert steps.seen.get() == last
+
+
 def test_silences(spark, tmp_path):
     """a falls silent twice and comes back once; b never; c is heard once, long before the end."""
     heard = [("a", 0), ("a", 100), ("a", 1000), ("b", 50), ("c", 60), *(("b", t) for t in range(100, 3000, 90))]
