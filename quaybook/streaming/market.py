@@ -35,6 +35,8 @@ MARKET = ["exchange_id", "pair_id"]
 FRAME_ROWS = 200
 #: Events of a block and, about, its characters; and characters of blocks that go back to Spark at once.
 BLOCK_ROWS, BLOCK_CHARS, FRAME_CHARS = 200, 1 << 20, 1 << 22
+#: Views that go back to Spark together, with each of their levels once.
+VIEW_ROWS = 64
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -53,6 +55,9 @@ class _Steps(StatefulProcessor):
     def save(self) -> None:
         raise NotImplementedError
 
+    def made(self, key: tuple, events: list[tuple[int, str, str]]) -> Iterator[pd.DataFrame]:
+        return self.framed(row for _, text, brief in events for row in self.rows(key, text, brief))
+
     def framed(self, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         while part := list(islice(made, FRAME_ROWS)):
             yield pd.DataFrame(part, columns=self.columns)
@@ -64,7 +69,7 @@ class _Steps(StatefulProcessor):
                 events.extend(zip(map(int, ords.split("\n")), texts.split("\n"), briefs.split("\n"), strict=True))
         events.sort(key=itemgetter(0))
         self.load()
-        yield from self.framed(row for _, text, brief in events for row in self.rows(key, text, brief))
+        yield from self.made(key, events)
         self.save()
 
     def close(self) -> None:
@@ -138,7 +143,9 @@ class _Books(_BlockSteps):
 
 
 class _Unions(_Steps):
-    columns = ["pair_id", "side", "ord", "snapshot_id", "event_time", "levels"]
+    """Views go back some together: their levels once, in order, and of each view how many of the places in `at` are its own."""
+
+    columns = ["pair_id", "side", "ord", "snapshot_id", "event_time", "levels", "at", "begin", "size"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getMapState("held", "exchange string", "time long, levels string")
@@ -147,12 +154,21 @@ class _Unions(_Steps):
         self.union = Union({exchange: {"time": time, "levels": json.loads(levels)} for (exchange,), (time, levels) in self.held.iterator()})
         self.stepped: set[str] = set()
 
-    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
-        e = json.loads(brief)
-        self.stepped.add(str(e["exchange_id"]))
-        self.union.step(str(e["exchange_id"]), e["event_time"], e["levels"])
-        time, levels = self.union.view(key[1])
-        yield *key, e["ord"], e["snapshot_id"], time, levels
+    def made(self, key: tuple, events: list[tuple[int, str, str]]) -> Iterator[pd.DataFrame]:
+        blocks, chars = [], 0
+        for i in range(0, len(events), VIEW_ROWS):
+            books = [json.loads(brief) for _, _, brief in events[i : i + VIEW_ROWS]]
+            self.stepped.update(str(e["exchange_id"]) for e in books)
+            known, views = self.union.views(key[1], [(str(e["exchange_id"]), e["event_time"], e["levels"]) for e in books])
+            size = np.array([len(at) for _, at in views], np.int32)
+            levels = json.dumps(known)
+            blocks.append((*key, [e["ord"] for e in books], [e["snapshot_id"] for e in books], [time for time, _ in views], levels, np.concatenate([at for _, at in views]), np.cumsum(size, dtype=np.int32) - size, size))
+            chars += len(levels)
+            if chars >= FRAME_CHARS:
+                yield pd.DataFrame(blocks, columns=self.columns)
+                blocks, chars = [], 0
+        if blocks:
+            yield pd.DataFrame(blocks, columns=self.columns)
 
     def save(self) -> None:
         for exchange in self.stepped:
@@ -245,9 +261,19 @@ def unioned(exchange_books: DataFrame) -> DataFrame:
     """operators.aggregate.unioned() on a stream of operators.book.split(); merged() needs no state and takes its output."""
 
     brief = F.struct("exchange_id", "ord", "snapshot_id", "event_time", "levels")
-    out = _stepped(exchange_books, brief, "ord", _Unions(), "pair_id int, side string, ord long, snapshot_id string, event_time long, levels string", ["pair_id", "side"])
-    levels = F.from_json("levels", f"array<{EXCHANGE_BOOK}>").alias("levels")
-    return out.select("pair_id", "side", "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", levels)
+    schema = "pair_id int, side string, ord array<long>, snapshot_id array<string>, event_time array<long>, levels string, at array<int>, begin array<int>, size array<int>"
+    out = _stepped(exchange_books, brief, "ord", _Unions(), schema, ["pair_id", "side"])
+
+    def views(known: Column) -> Column:
+        def view(x: Column) -> Column:
+            return F.struct(x["ord"].alias("ord"), x["snapshot_id"].alias("snapshot_id"), x["event_time"].alias("event_time"), F.transform(F.slice("at", x["begin"] + 1, x["size"]), lambda i: F.get(known, i)).alias("levels"))
+
+        return F.transform(F.arrays_zip("ord", "snapshot_id", "event_time", "begin", "size"), view)
+
+    # few pairs, few tasks: what is costly, the levels of each view, is done by all
+    spread = out.repartition(exchange_books.sparkSession.sparkContext.defaultParallelism)
+    rows = spread.select("pair_id", "side", F.inline(exact.let(F.from_json("levels", f"array<{EXCHANGE_BOOK}>"), views)))
+    return rows.select("pair_id", "side", "ord", minted("aggregate", F.col("side"), F.col("snapshot_id")).alias("id"), "event_time", "levels")
 
 
 def episodes(polls: DataFrame) -> DataFrame:

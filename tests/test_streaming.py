@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaybook.operators import aggregate, book, validate
-from quaybook.operators.steps import Book, Sequence
+from quaybook.operators.steps import Book, Sequence, Union
 from quaybook.sources import feed, io, topic_log
 from quaybook.streaming import market, sinks
 
@@ -189,6 +189,31 @@ def test_texts_of_books():
         assert [[tuple(x.values()) for x in json.loads(t)] for t in held.texts()] == list(held.sides())
 
 
+@pytest.mark.parametrize("side", ["asks", "bids"])
+def test_views_share_their_levels(side):
+    """They are what view() gives after each book, over several blocks; in a block a level stands once, however many views it lasts."""
+    def level(e, i, price, quantity):
+        return {"exchange_id": e, "simulation": i % 2, "source_id": f"b{i}", "price": price, "quantity": quantity}
+
+    books = [{"exchange_id": i % 3, "ord": i, "snapshot_id": f"s{i}", "event_time": 1000 - i % 7, "levels": [] if i % 5 == 4 else [level(i % 3, i, str(i % 11 + k), str(k + 1)) for k in (9, 1, 10)]} for i in range(150)]
+    plain, want = Union(), []
+    for b in books:
+        plain.step(str(b["exchange_id"]), b["event_time"], b["levels"])
+        time, levels = plain.view(side)
+        want.append((b["ord"], b["snapshot_id"], time, json.loads(levels)))
+    steps = market._Unions()
+    steps.union, steps.stepped = Union(), set()
+    blocks = [r for frame in steps.made((1, side), [(b["ord"], "", json.dumps(b)) for b in books]) for r in frame.itertuples(index=False)]
+    got = []
+    for r in blocks:
+        known = json.loads(r.levels)
+        assert len(known) == len({json.dumps(x) for x in known})
+        got += [(o, s, t, [known[j] for j in r.at[b : b + n]]) for o, s, t, b, n in zip(r.ord, r.snapshot_id, r.event_time, r.begin, r.size, strict=True)]
+    assert got == want
+    assert len(blocks) == 3 and steps.union.held == plain.held
+    assert sum(len(json.loads(r.levels)) for r in blocks) < sum(len(w[3]) for w in want) / 2
+
+
 def test_neighbours_travel_as_blocks():
     """A row for each run of a key, of no more than BLOCK_ROWS events and about BLOCK_CHARS characters; nothing is lost or turned round."""
     keys = [1] * 450 + [2, None, None, 1] + [3] * 5
