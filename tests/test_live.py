@@ -68,7 +68,7 @@ def test_state_partitions_follow_the_cores(spark, tmp_path):
         io.until_read(query)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress if p["numInputRows"]} == {2 * spark.sparkContext.defaultParallelism}
+    assert {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress if p["numInputRows"]} == {spark.sparkContext.defaultParallelism}
     assert sorted((r.pair_id, r.ord) for r in live.held(spark, f"{tmp_path}/state").collect()) == [(0, 48), (1, 49), (2, 47)]
 
 
