@@ -26,6 +26,9 @@ from pyspark.sql.types import StructType
 
 #: Records of a segment, and of each partition in a micro-batch.
 SEGMENT_ROWS = 20_000
+#: Segments whose footers a task reads.
+INDEX_FILES = 64
+_INDEX = pa.schema([("file", pa.string()), ("topic", pa.string()), ("partition", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("n", pa.int64())])
 
 
 def _storage(path: str) -> tuple[pafs.FileSystem, str]:
@@ -46,6 +49,39 @@ def _cut(records: DataFrame, like: DataFrame, rows: int) -> DataFrame:
     return held.select(*records.columns, run.alias("_b")).repartition("topic", "partition", "_b")
 
 
+def _offsets(segment: pq.ParquetFile) -> tuple[int | None, int | None]:
+    """A segment's least and largest offset, as its footer says; only where that says nothing the column is read."""
+    meta = segment.metadata
+    at = next(i for i in range(meta.num_columns) if meta.schema.column(i).path == "offset")
+    told = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+    if all(x is not None and x.has_min_max for x in told):
+        return min(x.min for x in told), max(x.max for x in told)
+    found = pc.min_max(segment.read(columns=["offset"]).column("offset")).as_py()
+    return found["min"], found["max"]
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each segment what the index says of it: all of its records are of one partition, so the first one tells which."""
+    for batch in batches:
+        rows = []
+        for file in batch.column("file").to_pylist():
+            fs, at = _storage(file)
+            with fs.open_input_file(at) as opened:
+                segment = pq.ParquetFile(opened)
+                if segment.metadata.num_rows:
+                    (of,) = next(segment.iter_batches(1, columns=["topic", "partition"])).to_pylist()
+                    first, last = _offsets(segment)
+                    rows.append({"file": file, **of, "first": first, "last": last, "n": segment.metadata.num_rows})
+        yield pa.RecordBatch.from_pylist(rows, _INDEX)
+
+
+def _index(segments: DataFrame) -> DataFrame:
+    """The index of what has just been written: a row for each segment, by its footer. Its records aren't read again, and nothing is shuffled."""
+    files = segments.inputFiles()
+    listed = segments.sparkSession.createDataFrame(pa.table({"file": pa.array(files, pa.string())})).coalesce(max(1, -(-len(files) // INDEX_FILES)))
+    return listed.mapInArrow(_described, "file string, topic string, partition int, first bigint, last bigint, n bigint")
+
+
 def append(records: DataFrame, path: str, name: str, rows: int = SEGMENT_ROWS, like: DataFrame | None = None, together: bool = False) -> bool:
     """Add records (topic, partition, offset, ...) to the log; False if an append of this name is there already.
 
@@ -59,9 +95,7 @@ def append(records: DataFrame, path: str, name: str, rows: int = SEGMENT_ROWS, l
     runs = records.withColumn("_b", F.lit(0)) if together else _cut(records, records if like is None else like, rows)
     placed = runs.withColumns({"_t": F.col("topic"), "_p": F.col("partition")}).sortWithinPartitions("_t", "_p", "_b", "offset")
     placed.write.mode("overwrite").option("maxRecordsPerFile", rows).partitionBy("_t", "_p", "_b").parquet(f"{path}/segments/{name}")
-    written = spark.read.schema(records.schema).parquet(f"{path}/segments/{name}")
-    index = written.groupBy(F.col("_metadata.file_path").alias("file"), "topic", "partition").agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.count("*").alias("n"))
-    index.write.mode("overwrite").parquet(f"{path}/index/{name}")
+    _index(spark.read.schema(records.schema).parquet(f"{path}/segments/{name}")).write.mode("overwrite").parquet(f"{path}/index/{name}")
     return True
 
 

@@ -245,3 +245,18 @@ def test_what_is_appended_is_reckoned_once(spark, tmp_path):
     index = spark.read.parquet(f"{tmp_path}/log/index/a").orderBy("topic", "first").collect()
     assert max(r["n"] for r in index) <= 50 and len(index) <= 40
     assert all(x["topic"] != y["topic"] or x["last"] < y["first"] for x, y in zip(index, index[1:], strict=False))
+
+
+def test_an_index_is_made_of_footers(spark, tmp_path):
+    """It says what a scan of the segments says, of odd names, nulls and an empty append too; its plan reads no records and shuffles nothing."""
+    topics = F.element_at(F.array(*map(F.lit, ("plain", "a b", "x%y", "c=d:e")), F.lit(None).cast("string")), (F.col("id") % 5 + 1).cast("int"))
+    rows = spark.range(600).select(topics.alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), (F.col("id") * 7 - 100).alias("offset"), F.col("id").cast("string").alias("value"))
+    topic_log.append(rows, f"{tmp_path}/log", "a", 25)
+    written = spark.read.schema(rows.schema).parquet(f"{tmp_path}/log/segments/a")
+    below = F.substring_index("file", "/segments/", -1).alias("file")
+    want = written.select(F.col("_metadata.file_path").alias("file"), *rows.columns).groupBy(below, "topic", "partition").agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.count("*").alias("n"))
+    same(spark.read.parquet(f"{tmp_path}/log/index/a").withColumn("file", below), want)
+    plan = topic_log._index(written)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan" not in plan
+    assert topic_log.append(rows.limit(0), f"{tmp_path}/log", "b") and spark.read.parquet(f"{tmp_path}/log/index/b").isEmpty()
+    assert topic_log.read(spark, f"{tmp_path}/log", rows.schema).count() == 600
