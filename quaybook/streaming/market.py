@@ -35,8 +35,10 @@ MARKET = ["exchange_id", "pair_id"]
 FRAME_ROWS = 200
 #: Events of a block and, about, its characters; and characters of blocks that go back to Spark at once.
 BLOCK_ROWS, BLOCK_CHARS, FRAME_CHARS = 200, 1 << 20, 1 << 22
-#: Views that go back to Spark together, with each of their levels once.
+#: Books or views that go back to Spark together, with each of their levels once.
 VIEW_ROWS = 64
+#: What a book has of its event besides place, id and levels.
+HEAD = {"simulation": "int", "event_time": "bigint", "sequence_id": "bigint"}
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -115,8 +117,32 @@ class _Verdicts(_BlockSteps):
         self.known.update(astuple(self.rules))
 
 
-class _Books(_BlockSteps):
-    columns = ["event", "asks", "bids"]
+class _ViewSteps(_Steps):
+    """Books or views go back some together: their levels once, in order, and of each how many of the places in `at` are its own."""
+
+    def block(self, key: tuple, events: list[tuple[int, dict]]) -> tuple[tuple, int]:
+        """Of some events the row that goes back, and about its size."""
+        raise NotImplementedError
+
+    def made(self, key: tuple, events: list[tuple[int, str, str]]) -> Iterator[pd.DataFrame]:
+        blocks, chars = [], 0
+        for i in range(0, len(events), VIEW_ROWS):
+            row, size = self.block(key, [(at, json.loads(brief)) for at, _, brief in events[i : i + VIEW_ROWS]])
+            blocks.append(row)
+            chars += size
+            if chars >= FRAME_CHARS:
+                yield pd.DataFrame(blocks, columns=self.columns)
+                blocks, chars = [], 0
+        if blocks:
+            yield pd.DataFrame(blocks, columns=self.columns)
+
+
+def _begins(size: np.ndarray) -> np.ndarray:
+    return np.cumsum(size, dtype=np.int32) - size
+
+
+class _Books(_ViewSteps):
+    columns = ["exchange_id", "pair_id", "ord", "id", *HEAD, *(f"{s}{c}" for s in book.SIDES for c in ("", "_at", "_begin", "_size"))]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.levels = handle.getMapState("levels", "side string, price string", "quantity string, event string")
@@ -127,10 +153,13 @@ class _Books(_BlockSteps):
             getattr(self.book, side)[price] = list(level)
         self.before = {s: dict(getattr(self.book, s)) for s in ("asks", "bids")}
 
-    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
-        e = json.loads(brief)
-        self.book.step(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in ("asks", "bids")))
-        yield event, *self.book.texts()
+    def block(self, key: tuple, events: list[tuple[int, dict]]) -> tuple[tuple, int]:
+        told = [(e["type"], e["id"], *(None if e.get(s) is None else [(x["p"], x["q"]) for x in e[s]] for s in book.SIDES)) for _, e in events]
+        sides, chars = [], 0
+        for levels, size, at in self.book.views(told):
+            sides += [json.dumps(levels), at, _begins(size), size]
+            chars += len(sides[-4]) + 4 * len(at)
+        return (*key, [at for at, _ in events], [e["id"] for _, e in events], *([e.get(c) for _, e in events] for c in HEAD), *sides), chars
 
     def save(self) -> None:
         for side, before in self.before.items():
@@ -142,9 +171,7 @@ class _Books(_BlockSteps):
                     self.levels.updateValue((side, price), tuple(level))
 
 
-class _Unions(_Steps):
-    """Views go back some together: their levels once, in order, and of each view how many of the places in `at` are its own."""
-
+class _Unions(_ViewSteps):
     columns = ["pair_id", "side", "ord", "snapshot_id", "event_time", "levels", "at", "begin", "size"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -154,21 +181,13 @@ class _Unions(_Steps):
         self.union = Union({exchange: {"time": time, "levels": json.loads(levels)} for (exchange,), (time, levels) in self.held.iterator()})
         self.stepped: set[str] = set()
 
-    def made(self, key: tuple, events: list[tuple[int, str, str]]) -> Iterator[pd.DataFrame]:
-        blocks, chars = [], 0
-        for i in range(0, len(events), VIEW_ROWS):
-            books = [json.loads(brief) for _, _, brief in events[i : i + VIEW_ROWS]]
-            self.stepped.update(str(e["exchange_id"]) for e in books)
-            known, views = self.union.views(key[1], [(str(e["exchange_id"]), e["event_time"], e["levels"]) for e in books])
-            size = np.array([len(at) for _, at in views], np.int32)
-            levels = json.dumps(known)
-            blocks.append((*key, [e["ord"] for e in books], [e["snapshot_id"] for e in books], [time for time, _ in views], levels, np.concatenate([at for _, at in views]), np.cumsum(size, dtype=np.int32) - size, size))
-            chars += len(levels)
-            if chars >= FRAME_CHARS:
-                yield pd.DataFrame(blocks, columns=self.columns)
-                blocks, chars = [], 0
-        if blocks:
-            yield pd.DataFrame(blocks, columns=self.columns)
+    def block(self, key: tuple, events: list[tuple[int, dict]]) -> tuple[tuple, int]:
+        books = [e for _, e in events]
+        self.stepped.update(str(e["exchange_id"]) for e in books)
+        known, views = self.union.views(key[1], [(str(e["exchange_id"]), e["event_time"], e["levels"]) for e in books])
+        size = np.array([len(at) for _, at in views], np.int32)
+        levels = json.dumps(known)
+        return (*key, [e["ord"] for e in books], [e["snapshot_id"] for e in books], [time for time, _ in views], levels, np.concatenate([at for _, at in views]), _begins(size), size), len(levels)
 
     def save(self) -> None:
         for exchange in self.stepped:
@@ -241,19 +260,32 @@ def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
     return out.select(F.from_json("event", events.schema).alias("e"), *told).select("e.*", "verdict", "request", "reset")
 
 
+def _held(known: Column, at: str, begin: Column, size: Column) -> Column:
+    """A book's or view's own levels."""
+    return F.transform(F.slice(at, begin + 1, size), lambda i: F.get(known, i))
+
+
 def books(events: DataFrame, order: str = "ord") -> DataFrame:
     """operators.book.books() on a stream: a snapshot after every event."""
 
     def plain(side: str) -> Column:
         return F.transform(side, lambda x: F.struct(exact.canonical(x["price"]).alias("p"), exact.canonical(x["quantity"]).alias("q"))).alias(side)
 
-    fields = {"exchange_id": "int", "pair_id": "int", "ord": "bigint", "simulation": "int", "id": "string", "event_time": "bigint", "sequence_id": "bigint"}
-    event = F.struct(*(F.col(order if c == "ord" else c).cast(t).alias(c) for c, t in fields.items()))
-    out = _unblocked(_stepped(events, F.struct("type", "id", plain("asks"), plain("bids")), order, _Books(), "event string, asks string, bids string", event=event))
-    levels = f"array<{OWNED_LEVEL}>"
-    read = out.select(F.from_json("event", ", ".join(f"{c} {t}" for c, t in fields.items())).alias("e"), F.from_json("asks", levels).alias("asks"), F.from_json("bids", levels).alias("bids"))
+    brief = F.struct("type", "id", *(F.col(c).cast(t).alias(c) for c, t in HEAD.items()), *map(plain, book.SIDES))
+    schema = ", ".join(["exchange_id int", "pair_id int", "ord array<long>", "id array<string>", *(f"{c} array<{t}>" for c, t in HEAD.items()), *(f"{s} string, {s}_at array<int>, {s}_begin array<int>, {s}_size array<int>" for s in book.SIDES)])
+    out = _stepped(events, brief, order, _Books(), schema)
+    each = ["ord", "id", *HEAD]
+
+    def told(asks: Column, bids: Column) -> Column:
+        def one(x: Column) -> Column:
+            return F.struct(*(x[c].alias(c) for c in each), *(_held(known, f"{s}_at", x[f"{s}_begin"], x[f"{s}_size"]).alias(s) for s, known in zip(book.SIDES, (asks, bids), strict=True)))
+
+        return F.transform(F.arrays_zip(*each, *(f"{s}_{c}" for s in book.SIDES for c in ("begin", "size"))), one)
+
+    asks, bids = (F.from_json(s, f"array<{OWNED_LEVEL}>") for s in book.SIDES)
+    read = out.select("exchange_id", "pair_id", F.inline(exact.let(asks, lambda a: exact.let(bids, lambda b: told(a, b)))))
     return read.select(
-        "e.exchange_id", "e.pair_id", "e.ord", "e.simulation", minted("book", F.col("e.id")).alias("id"), F.col("e.id").alias("trigger_id"), "e.event_time", F.col("e.sequence_id").alias("last_sequence_id"), "asks", "bids",
+        "exchange_id", "pair_id", "ord", "simulation", minted("book", F.col("id")).alias("id"), F.col("id").alias("trigger_id"), "event_time", F.col("sequence_id").alias("last_sequence_id"), "asks", "bids",
     )
 
 
@@ -266,7 +298,7 @@ def unioned(exchange_books: DataFrame) -> DataFrame:
 
     def views(known: Column) -> Column:
         def view(x: Column) -> Column:
-            return F.struct(x["ord"].alias("ord"), x["snapshot_id"].alias("snapshot_id"), x["event_time"].alias("event_time"), F.transform(F.slice("at", x["begin"] + 1, x["size"]), lambda i: F.get(known, i)).alias("levels"))
+            return F.struct(x["ord"].alias("ord"), x["snapshot_id"].alias("snapshot_id"), x["event_time"].alias("event_time"), _held(known, "at", x["begin"], x["size"]).alias("levels"))
 
         return F.transform(F.arrays_zip("ord", "snapshot_id", "event_time", "begin", "size"), view)
 

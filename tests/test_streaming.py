@@ -260,3 +260,29 @@ def test_an_index_is_made_of_footers(spark, tmp_path):
     assert "Exchange" not in plan and "FileScan" not in plan
     assert topic_log.append(rows.limit(0), f"{tmp_path}/log", "b") and spark.read.parquet(f"{tmp_path}/log/index/b").isEmpty()
     assert topic_log.read(spark, f"{tmp_path}/log", rows.schema).count() == 600
+
+
+def test_books_share_their_levels():
+    """After each event of several blocks they are what texts() gives; in a block a level stands once, however many books it lasts."""
+    def said(i):
+        return None if i % 7 == 3 else [{"p": str((i * 5) % 23 + k), "q": str((i + k) % 4)} for k in (9, 1, 10, 1)]
+
+    events = [{"type": "reset" if i % 41 == 40 else "snapshot" if i % 53 == 0 else "update", "id": f"e{i}", "asks": said(i), "bids": said(i + 2)} for i in range(150)]
+    plain, want = Book(), []
+    for e in events:
+        plain.step(e["type"], e["id"], *(None if e[s] is None else [(x["p"], x["q"]) for x in e[s]] for s in book.SIDES))
+        want.append([json.loads(t) for t in plain.texts()])
+    steps = market._Books()
+    steps.book = Book()
+    blocks = [r for frame in steps.made((1, None), [(i, "", json.dumps({**e, "event_time": i, "sequence_id": None if i % 2 else 1 << 60})) for i, e in enumerate(events)]) for r in frame.to_dict("records")]
+    got = []
+    for r in blocks:
+        known = [json.loads(r[s]) for s in book.SIDES]
+        assert all(len(x) == len({json.dumps(y) for y in x}) for x in known)
+        for j in range(len(r["ord"])):
+            at = [r[f"{s}_at"][r[f"{s}_begin"][j] :][: r[f"{s}_size"][j]] for s in book.SIDES]
+            got.append([[x[i] for i in places] for x, places in zip(known, at, strict=True)])
+    assert got == want
+    assert [t for r in blocks for t in r["sequence_id"]] == [None if i % 2 else 1 << 60 for i in range(150)]
+    assert len(blocks) == 3 and steps.book == plain
+    assert sum(len(json.loads(r[s])) for r in blocks for s in book.SIDES) < sum(len(x) for w in want for x in w) / 2
