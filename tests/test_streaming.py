@@ -286,3 +286,17 @@ def test_books_share_their_levels():
     assert [t for r in blocks for t in r["sequence_id"]] == [None if i % 2 else 1 << 60 for i in range(150)]
     assert len(blocks) == 3 and steps.book == plain
     assert sum(len(json.loads(r[s])) for r in blocks for s in book.SIDES) < sum(len(x) for w in want for x in w) / 2
+
+
+def test_a_task_reads_many_small_topics(spark, tmp_path):
+    """Tasks follow the records, not the topics: no more than SEGMENT_ROWS together, each record once, also where a micro-batch begins and ends inside segments."""
+    rows = spark.range(300).select(F.concat(F.lit("t"), (F.col("id") % 30).cast("string")).alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.col("id").cast("string").alias("value"))
+    topic_log.append(rows, f"{tmp_path}/log", "a")
+    reader = topic_log.LogReader({"path": f"{tmp_path}/log", "startingoffsets": "earliest"}, rows.select("value").schema)
+    start, end = {f"t{i}/0": 45 for i in range(5)}, {k: min(to, 280) for k, to in reader.latestOffset().items()}
+    shares = reader.partitions(start, end)
+    assert len(end) == 30 and len(shares) == 1
+    got = [v for x in shares for b in reader.read(x) for v in b.column("value").to_pylist()]
+    assert sorted(map(int, got)) == [i for i in range(280) if not (i % 30 < 5 and i < 45)]
+    reader.known = {f"t{i}/0": [(0, 9, 9_000, "one"), (10, 19, 9_000, "two"), (20, 29, 15_000, "three")] for i in range(2)}
+    assert [[file for file, _, _ in x.segments] for x in reader.partitions({}, dict.fromkeys(reader.known, 30))] == [["one", "two"], ["three"], ["one", "two"], ["three"]]
