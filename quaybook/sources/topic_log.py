@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
@@ -40,13 +40,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def _cut(records: DataFrame, like: DataFrame, rows: int) -> DataFrame:
-    """records with _b: runs of offsets, of about `rows` records of a partition each, as densely as offsets stand in `like`; a run is in one task."""
+def _cut(records: DataFrame, like: DataFrame, rows: int, derived: dict[str, Column]) -> DataFrame:
+    """records with what is derived of them, and _b: runs of offsets, of about `rows` records of a partition each, as densely as offsets stand in `like`; a run is in one task."""
     dense = like.groupBy("topic", "partition").agg(F.min("offset").alias("_low"), F.ceil((F.max("offset") - F.min("offset") + 1) / F.count("*") * rows).cast("long").alias("_width"))
     dense = dense.select(F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "_low", "_width")
-    held = records.join(F.broadcast(dense), [F.col("topic") == F.col("_topic"), F.col("partition") == F.col("_partition")], "left")  # a row for each partition, as the index has
-    run = F.floor((F.col("offset") - F.coalesce("_low", F.lit(0))) / F.coalesce("_width", F.lit(rows))).cast("long")
-    return held.select(*records.columns, run.alias("_b")).repartition("topic", "partition", "_b")
+    topic, partition, offset = (derived.get(c, F.col(c)) for c in ("topic", "partition", "offset"))
+    held = records.join(F.broadcast(dense), [topic == F.col("_topic"), partition == F.col("_partition")], "left")  # a row for each partition, as the index has
+    run = F.floor((offset - F.coalesce("_low", F.lit(0))) / F.coalesce("_width", F.lit(rows))).cast("long")
+    return held.select(*records.columns, run.alias("_b")).repartition(topic, partition, "_b").withColumns(derived)
 
 
 def _offsets(segment: pq.ParquetFile) -> tuple[int | None, int | None]:
@@ -82,20 +83,22 @@ def _index(segments: DataFrame) -> DataFrame:
     return listed.mapInArrow(_described, "file string, topic string, partition int, first bigint, last bigint, n bigint")
 
 
-def append(records: DataFrame, path: str, name: str, rows: int = SEGMENT_ROWS, like: DataFrame | None = None, together: bool = False) -> bool:
+def append(records: DataFrame, path: str, name: str, rows: int = SEGMENT_ROWS, like: DataFrame | None = None, together: bool = False, derived: dict[str, Column] | None = None) -> bool:
     """Add records (topic, partition, offset, ...) to the log; False if an append of this name is there already.
 
     Offsets are given, each once in its partition, and rise from one append to the next. Records are reckoned once to be written;
     how dense their offsets are is asked of `like`, if they are costly: (topic, partition, offset) of the same partitions, about as many.
-    With `together` each partition's records are in one task already, as after a window over them.
+    With `together` each partition's records are in one task already, as after a window over them. Columns that are
+    `derived` from the records' own are added where they are written: what is dealt out goes without them.
     """
     spark = records.sparkSession
     if _exists(spark, f"{path}/index/{name}/_SUCCESS"):
         return False
-    runs = records.withColumn("_b", F.lit(0)) if together else _cut(records, records if like is None else like, rows)
+    whole = records.withColumns(derived) if derived else records
+    runs = whole.withColumn("_b", F.lit(0)) if together else _cut(records, whole if like is None else like, rows, derived or {})
     placed = runs.withColumns({"_t": F.col("topic"), "_p": F.col("partition")}).sortWithinPartitions("_t", "_p", "_b", "offset")
     placed.write.mode("overwrite").option("maxRecordsPerFile", rows).partitionBy("_t", "_p", "_b").parquet(f"{path}/segments/{name}")
-    _index(spark.read.schema(records.schema).parquet(f"{path}/segments/{name}")).write.mode("overwrite").parquet(f"{path}/index/{name}")
+    _index(spark.read.schema(whole.schema).parquet(f"{path}/segments/{name}")).write.mode("overwrite").parquet(f"{path}/index/{name}")
     return True
 
 

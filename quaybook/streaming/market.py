@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import IntegralType, StringType, StructType
 
 from quaybook.functions import exact
 from quaybook.functions.ids import minted
@@ -50,17 +51,17 @@ class _Steps(StatefulProcessor):
     def load(self) -> None:
         raise NotImplementedError
 
-    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
-        """What comes of an event, of which `brief` is what is read here."""
+    def rows(self, key: tuple, at: int, event: str, brief: str) -> Iterator[tuple]:
+        """What comes of the event at a place, of which `brief` is what is read here."""
         raise NotImplementedError
 
     def save(self) -> None:
         raise NotImplementedError
 
     def made(self, key: tuple, events: list[tuple[int, str, str]]) -> Iterator[pd.DataFrame]:
-        return self.framed(row for _, text, brief in events for row in self.rows(key, text, brief))
+        return self.framed(key, (row for at, text, brief in events for row in self.rows(key, at, text, brief)))
 
-    def framed(self, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    def framed(self, key: tuple, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         while part := list(islice(made, FRAME_ROWS)):
             yield pd.DataFrame(part, columns=self.columns)
 
@@ -78,41 +79,47 @@ class _Steps(StatefulProcessor):
         pass
 
 
-class _BlockSteps(_Steps):
-    """What comes of events goes back in blocks, too: each column is text without line breaks, a line for each row."""
+class _Verdicts(_Steps):
+    """Verdicts go back in blocks, too: the key once, `event` and `told` as texts with a line for each event, the other columns as arrays."""
 
-    def framed(self, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    def __init__(self, kept: list[str]) -> None:
+        #: What of `brief` goes back with the event.
+        self.kept = kept
+        self.columns = [*MARKET, "_ord", *kept, "event", "told"]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("rules", "last long, awaiting boolean, baseline_pending boolean, last_time long, requested boolean")
+
+    def load(self) -> None:
+        self.rules = Sequence(*self.known.get()) if self.known.exists() else Sequence()
+
+    def rows(self, key: tuple, at: int, event: str, brief: str) -> Iterator[tuple]:
+        e = json.loads(brief)
+        verdict, request, reset = self.rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
+        yield at, *map(e.get, self.kept), event, f"{request:d}{reset:d}{verdict}"
+
+    def framed(self, key: tuple, made: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         blocks, part, size, chars = [], [], 0, 0
+
+        def block() -> tuple:
+            *arrays, event, told = zip(*part, strict=True)
+            return (*key, *map(list, arrays), "\n".join(event), "\n".join(told))
+
         for row in made:
             part.append(row)
-            size += sum(map(len, row))
+            size += len(row[-2])
             if len(part) >= BLOCK_ROWS or size >= BLOCK_CHARS:
-                blocks.append(tuple(map("\n".join, zip(*part, strict=True))))
+                blocks.append(block())
                 chars += size
                 part, size = [], 0
             if chars >= FRAME_CHARS:
                 yield pd.DataFrame(blocks, columns=self.columns)
                 blocks, chars = [], 0
         if part:
-            blocks.append(tuple(map("\n".join, zip(*part, strict=True))))
+            blocks.append(block())
         if blocks:
             yield pd.DataFrame(blocks, columns=self.columns)
 
-
-class _Verdicts(_BlockSteps):
-    columns = ["event", "told"]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getValueState("rules", "last long, awaiting boolean, baseline_pending boolean, last_time long, requested boolean")
-
-    def load(self) -> None:
-        self.rules = Sequence(*self.known.get()) if self.known.exists() else Sequence()
-
-    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
-        e = json.loads(brief)
-        verdict, request, reset = self.rules.step(e["type"], e.get("sequence_id"), e.get("sequence_jump"), e.get("event_time"))
-        yield event, f"{request:d}{reset:d}{verdict}"
-
     def save(self) -> None:
         self.known.update(astuple(self.rules))
 
@@ -204,7 +211,7 @@ class _Episodes(_Steps):
     def load(self) -> None:
         self.seen = Staleness(*self.known.get()) if self.known.exists() else Staleness()
 
-    def rows(self, key: tuple, event: str, brief: str) -> Iterator[tuple]:
+    def rows(self, key: tuple, at: int, event: str, brief: str) -> Iterator[tuple]:
         e = json.loads(brief)
         if (episode := self.seen.step(bool(e["stale"]), e["now"])) is not None:
             yield *key, *episode
@@ -247,17 +254,24 @@ def _stepped(events: DataFrame, brief: Column, order: str, steps: _Steps, schema
     return blocks.groupBy(*keys).transformWithStateInPandas(steps, schema, "append", "none")
 
 
-def _unblocked(out: DataFrame) -> DataFrame:
-    """A row for each line of out's columns."""
-    return out.select(*(F.split(c, "\n").alias(c) for c in out.columns)).select(F.inline(F.arrays_zip(*out.columns)))
-
-
 def verdicts(events: DataFrame, order: str = "ord") -> DataFrame:
-    """operators.validate.verdicts() on a stream."""
-
-    out = _unblocked(_stepped(events, F.struct("type", "sequence_id", "sequence_jump", "event_time"), order, _Verdicts(), "event string, told string", event=F.struct("*")))
+    """operators.validate.verdicts() on a stream. Each of an event's columns goes to the state and back once: as key, as place, as what the rules read, or with the rest as JSON."""
+    types = {f.name: f.dataType for f in events.schema}
+    ruled = ["type", "sequence_id", "sequence_jump", "event_time"]
+    kept = [c for c in ruled if isinstance(types[c], IntegralType | StringType)]
+    apart = {*MARKET, *kept, *([order] if isinstance(types[order], IntegralType) else [])}
+    rest = [c for c in events.columns if c not in apart] or events.columns
+    back = [*(f"{c} {types[c].simpleString()}" for c in MARKET), "_ord array<bigint>", *(f"{c} array<{types[c].simpleString()}>" for c in kept), "event string", "told string"]
+    blocks = _stepped(events, F.struct(*ruled), order, _Verdicts(kept), ", ".join(back), event=F.struct(*rest))
+    lines = [F.split(c, "\n").alias(c) for c in ("event", "told")]
+    out = blocks.select(*MARKET, "_ord", *kept, *lines).select(*MARKET, F.inline(F.arrays_zip("_ord", *kept, "event", "told")))
     told = [F.substring("told", 3, 1 << 20).alias("verdict"), *((F.substring("told", i, 1) == "1").alias(c) for i, c in ((1, "request"), (2, "reset")))]
-    return out.select(F.from_json("event", events.schema).alias("e"), *told).select("e.*", "verdict", "request", "reset")
+    read = out.select(*MARKET, *kept, F.col("_ord").cast(types[order]).alias("_ord"), F.from_json("event", StructType([events.schema[c] for c in rest])).alias("_rest"), *told)
+
+    def whole(c: str) -> Column:
+        return F.col(f"_rest.{c}") if c in rest else F.col(c) if c in (*MARKET, *kept) else F.col("_ord").alias(c)
+
+    return read.select(*map(whole, events.columns), "verdict", "request", "reset")
 
 
 def _held(known: Column, at: str, begin: Column, size: Column) -> Column:

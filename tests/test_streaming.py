@@ -1,6 +1,7 @@
 """Streams in several micro-batches give what batch gives: state is carried from one to the next, and over restarts."""
 
 import json
+import re
 
 import pyarrow as pa
 import pytest
@@ -300,3 +301,37 @@ def test_a_task_reads_many_small_topics(spark, tmp_path):
     assert sorted(map(int, got)) == [i for i in range(280) if not (i % 30 < 5 and i < 45)]
     reader.known = {f"t{i}/0": [(0, 9, 9_000, "one"), (10, 19, 9_000, "two"), (20, 29, 15_000, "three")] for i in range(2)}
     assert [[file for file, _, _ in x.segments] for x in reader.partitions({}, dict.fromkeys(reader.known, 30))] == [["one", "two"], ["three"], ["one", "two"], ["three"]]
+
+
+def test_a_column_of_an_event_travels_once(spark, tmp_path, events):
+    """What goes to the state as key, place or for the rules isn't in the event's text; odd texts, nulls and types come back as they were."""
+    odd = events.select(
+        "exchange_id", F.col("pair_id").cast("long").alias("pair_id"), F.col("ord").cast("int").alias("ord"), "type",
+        F.when(F.col("ord") % 7 == 0, F.lit('a\n"b"\\n\u2028')).otherwise(F.col("id")).alias("id"), "source_ids", (F.col("sequence_id") + F.lit(1 << 60)).alias("sequence_id"), "sequence_jump",
+        F.col("event_time").cast("double").alias("event_time"), F.when(F.col("ord") % 5 == 0, F.lit("")).alias("note"), F.lit(None).cast("string").alias("none"), "asks",
+    )
+    plan = market.verdicts(events)._jdf.queryExecution().analyzed().toString()
+    sent = re.search(r"to_json\(struct\((.*?)\), [^,]* AS event#", plan)[1]
+    assert "source_ids" in sent and not any(f"{c}," in sent for c in ("exchange_id", "pair_id", "ord", "type", "sequence_id", "sequence_jump", "event_time"))
+    got = ran(market.verdicts(logged(odd, f"{tmp_path}/log", F.lit("all"), rows=300)(f"{tmp_path}/state")), tmp_path)
+    want = validate.verdicts(odd)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    same(got, want)
+    keyless = odd.withColumn("exchange_id", F.when(F.col("ord") % 13 != 0, F.col("exchange_id")))
+    back = ran(market.verdicts(logged(keyless, f"{tmp_path}/keyless/log", F.lit("all"), rows=300)(f"{tmp_path}/keyless/state")), f"{tmp_path}/keyless")
+    same(back.select(*odd.columns), keyless)
+
+
+def test_derived_columns_are_not_dealt_out(spark, tmp_path):
+    """Topic, partition and offset that follow from a record's columns are made again after the shuffle; the log is the same."""
+    rows = spark.range(500).select((F.col("id") % 3).alias("market"), F.when(F.col("id") % 11 != 0, F.col("id") * 3).otherwise(F.col("id") * 3 + 1).alias("ord"), F.col("id").cast("string").alias("value"))
+    place = {"topic": F.concat_ws("-", F.lit("m"), "market"), "partition": F.lit(0), "offset": F.col("ord")}
+    whole = rows.withColumns(place)
+    plan = topic_log._cut(rows, whole, 40, place)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    (dealt,) = [i for i, x in enumerate(plan) if "RepartitionByExpression" in x]
+    assert "value#" in plan[dealt + 1] and "topic#" not in plan[dealt + 1] and "offset#" not in plan[dealt + 1]
+    topic_log.append(rows, f"{tmp_path}/log", "a", 40, derived=place)
+    topic_log.append(whole, f"{tmp_path}/plain", "a", 40)
+    same(topic_log.read(spark, f"{tmp_path}/log", whole.schema), topic_log.read(spark, f"{tmp_path}/plain", whole.schema))
+    a, b = (spark.read.parquet(f"{tmp_path}/{x}/index/a").drop("file") for x in ("log", "plain"))
+    same(a, b)
